@@ -1,0 +1,64 @@
+"""A table with one current row per key, kept as a log of parquet folders.
+
+A write adds one folder with the changed rows; a full write starts afresh and makes older folders
+irrelevant. A folder counts once Spark's success marker is in it, and a tag that has been written is
+skipped, so repeating a batch changes nothing. There is one writer per table.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from .files import is_complete, list_dirs
+
+DELTA, FULL = "delta", "full"
+
+
+class KeyedLog:
+    def __init__(self, spark: SparkSession, path: str, key: str, schema: StructType):
+        self.spark, self.path, self.key, self.schema = spark, path, key, schema
+
+    def _folders(self) -> list[tuple[int, str, str, str]]:
+        out = []
+        for name in list_dirs(self.spark, self.path):
+            if is_complete(self.spark, f"{self.path}/{name}"):
+                version, kind, tag = name.split("~", 2)
+                out.append((int(version), kind, tag, name))
+        return sorted(out)
+
+    def has(self, tag: str) -> bool:
+        return any(t == tag for _, _, t, _ in self._folders())
+
+    def write(self, df: DataFrame, tag: str, full: bool = False) -> bool:
+        """Add the changed rows under ``tag``; false when that tag is already there."""
+        folders = self._folders()
+        if any(t == tag for _, _, t, _ in folders):
+            return False
+        version = folders[-1][0] + 1 if folders else 1
+        name = f"{version:012d}~{FULL if full else DELTA}~{tag}"
+        df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/{name}")
+        return True
+
+    def read(self) -> DataFrame:
+        """Current rows: the newest version of each key since the last full write."""
+        folders = self._folders()
+        fulls = [i for i, f in enumerate(folders) if f[1] == FULL]
+        live = folders[fulls[-1]:] if fulls else folders
+        if not live:
+            return self.spark.createDataFrame([], self.schema)
+        read = lambda f: self.spark.read.schema(self.schema).parquet(f"{self.path}/{f[3]}")
+        if len(live) == 1:
+            return read(live[0])
+        parts = [read(f).withColumn("log_version", F.lit(f[0])) for f in live]
+        union = reduce(DataFrame.unionByName, parts)
+        # One row per key and folder, so a group is never larger than the number of folders.
+        return union.groupBy(self.key).agg(
+            F.max_by(F.struct(*self.schema.names), "log_version").alias("row")
+        ).select("row.*")
+
+    def compact(self, tag: str) -> None:
+        """Rewrite the current rows as one full folder. Older folders stay until they are removed by hand."""
+        self.write(self.read(), tag, full=True)
