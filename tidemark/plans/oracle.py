@@ -370,7 +370,8 @@ put("scan_job_count", "SELECT count(*) AS jobs_created FROM scanned")
 put("suppressed_jobs", f"""
 SELECT dataset_id, arg_min(from_backend, job_id) AS from_backend, arg_min(to_backend, job_id) AS to_backend, reason,
        'PENDING' AS status, {NOW}::DOUBLE AS created_at
-FROM jobs GROUP BY dataset_id, reason HAVING count(*) FILTER (WHERE status = 'PENDING') = 0""")
+FROM (SELECT * REPLACE (CASE WHEN status = 'COMPLETE' THEN reason || ' again' ELSE reason END AS reason) FROM jobs)
+GROUP BY dataset_id, reason HAVING count(*) FILTER (WHERE status = 'PENDING') = 0""")
 put("recent_jobs", """
 SELECT job_id, dataset_id, status, created_at FROM jobs ORDER BY created_at DESC, job_id LIMIT 100""")
 CLAIMED = f"""(SELECT job_id FROM jobs WHERE status = 'PENDING' AND (retry_after IS NULL OR retry_after <= {NOW})

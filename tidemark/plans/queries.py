@@ -257,9 +257,11 @@ def scan_job_count(spark, sf):
 
 @query
 def suppressed_jobs(spark, sf):
-    """Ask again for every job there ever was; only pairs without a pending job are created."""
+    """Ask again for every job there ever was, under a new reason for completed ones; only pairs of dataset and reason
+    without a pending job are created."""
     jobs = dv.jobs(spark, sf)
-    asked = jobs.select("dataset_id", "from_backend", "to_backend", "reason", F.col("job_id").alias("ord"))
+    reason = F.when(F.col("status") == "COMPLETE", F.concat("reason", F.lit(" again"))).otherwise(F.col("reason"))
+    asked = jobs.select("dataset_id", "from_backend", "to_backend", reason.alias("reason"), F.col("job_id").alias("ord"))
     made = jb.create_jobs(asked, jobs, NOW)
     return made.select("dataset_id", "from_backend", "to_backend", "reason", "status", "created_at")
 
