@@ -39,16 +39,17 @@ def hot_reactions(
     Only datasets that can react are walked. ``seq`` numbers the arrivals from 0, uniquely per dataset.
     """
     summary = first_values(events).filter(F.col("top") > limits.hot_reads)
-    known = state.select(F.col("dataset_id").alias("known_id"), F.col("current_backend").alias("state_tier"))
+    known = state.select(F.col("dataset_id").alias("known_id"), F.col("current_backend").alias("state_tier"), "history")
     tier = F.when(F.col("known_id").isNull(), F.col("born.current_backend")).otherwise(F.col("state_tier"))
+    # Datasets that can react, with the history they bring along.
     ready = (
         summary.join(known, F.col("dataset_id") == F.col("known_id"), "left")
         .filter(tier == COLD_TIER)
-        .select("dataset_id")
+        .select("dataset_id", "history")
     )
     fields = ["dataset_id", "seq", "timestamp", "reads_1h", "writes_1h", "bytes_read_1h", "size_gb"]
     new = events.join(ready, "dataset_id", "left_semi").select(*fields)
-    old = explode_history(state.join(ready, "dataset_id", "left_semi")).select(
+    old = explode_history(ready).select(
         "dataset_id", (F.col("pos") - HISTORY_LENGTH).cast("long").alias("seq"), "timestamp", "reads_1h", "writes_1h",
         "bytes_read_1h", F.lit(None).cast("double").alias("size_gb"),
     )
@@ -79,9 +80,6 @@ def ingest_batch(
     """``validated`` comes from ``validate_events`` on rows with the event text ``value`` and the arrival number
     ``seq``. Several branches read it, so persist or store it first when it is costly to compute."""
     events = accepted(validated)
-    batch = summarise(events)
-    touched = state.join(batch.select("dataset_id"), "dataset_id", "left_semi")
-    triggers = hot_reactions(events, touched, limits, skip_noop, min_rows)
-    return Ingested(
-        dead_letters(validated, now), upsert(touched, batch), triggers, reaction_jobs(triggers, jobs, now)
-    )
+    triggers = hot_reactions(events, state, limits, skip_noop, min_rows)
+    new_state = upsert(state, summarise(events), touched_only=True)
+    return Ingested(dead_letters(validated, now), new_state, triggers, reaction_jobs(triggers, jobs, now))

@@ -25,7 +25,8 @@ def hot_blocks(
     Each bucket holds at least one row, hence ``lookback`` buckets hold at least ``lookback`` rows.
     """
     counts = df.groupBy(key, bucket.alias("b")).agg(F.count("*").alias("n"))
-    rows = df.agg(F.count("*")).scalar()
+    # The same aggregate as above, so its shuffle is reused.
+    rows = counts.agg(F.sum("n")).scalar()
     size = F.greatest(F.lit(min_rows), F.ceil(rows / MAX_BLOCKS)).cast("long")
     per_key = W.partitionBy(key)
     in_order = per_key.orderBy("b")

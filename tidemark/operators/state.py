@@ -53,8 +53,8 @@ def fold_events(events: DataFrame) -> DataFrame:
     return summarise(events).select(*DATASET.names)
 
 
-def upsert(state: DataFrame, batch: DataFrame) -> DataFrame:
-    """Merge a summarised batch into the state. Tiers and the time of the last move belong to the state; the
+def upsert(state: DataFrame, batch: DataFrame, touched_only: bool = False) -> DataFrame:
+    """Merge a summarised batch into the state; with ``touched_only`` just the rows the batch changes. Tiers and the time of the last move belong to the state; the
     newest values come from the batch; histories are joined and cut to 24 entries."""
     old, new = state.alias("old"), batch.alias("new")
     insert_only = {"initial_backend", "current_backend", "last_migrated_at"}
@@ -69,7 +69,8 @@ def upsert(state: DataFrame, batch: DataFrame) -> DataFrame:
         else:
             merged = F.when(F.col("new.dataset_id").isNull(), o).otherwise(n)
         columns.append(merged.alias(name))
-    return old.join(new, F.col("old.dataset_id") == F.col("new.dataset_id"), "full").select(*columns)
+    how = "right" if touched_only else "full"
+    return old.join(new, F.col("old.dataset_id") == F.col("new.dataset_id"), how).select(*columns)
 
 
 def explode_history(datasets: DataFrame) -> DataFrame:

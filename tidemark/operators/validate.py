@@ -45,13 +45,14 @@ def validate_events(raw: DataFrame, value: str = "value") -> DataFrame:
     ).otherwise(at("0].initial_backend", "string"))
     parsed = with_columns_once(
         with_columns_once(raw, {"doc": doc}),
-        {**kinds, "top": F.schema_of_variant(at("0]")), "more": at("1]").isNotNull(), **typed},
+        {**kinds, "empty": at("0]").isNull(), "more": at("1]").isNotNull(), **typed},
     )
 
     c = F.col
     rules = [
-        (c("doc").isNull() | c("top").isNull() | c("more"), "invalid json"),
-        (~c("top").startswith("OBJECT"), "event must be object"),
+        (c("doc").isNull() | c("empty") | c("more"), "invalid json"),
+        # Valid JSON is an object exactly when it opens with a brace.
+        (~F.ltrim(c(value), F.lit(" \t\r\n")).startswith("{"), "event must be object"),
     ]
     for name, wanted in REQUIRED:
         rules.append((c(f"kind_{name}").isNull(), f"missing field: {name}"))
