@@ -44,7 +44,8 @@ def test_reports_agree(spark, tmp_path):
     j = jobs(spark, [job("1", status="COMPLETE", duration=2.0), job("2", status="FAILED")])
     s = reports.savings(d, j).first()
     assert s.savings == pytest.approx(-0.5) and s.monthly == pytest.approx(-15)
-    files.write_json_report(reports.json_report(d, j, "now"), str(tmp_path / "r"))
+    files.write_json_report(reports.json_report(d, j, "now"), str(tmp_path / "r"), reports.migration_counts(j))
+    assert spark.read.json(str(tmp_path / "r-counts")).filter("kind = 'reason'").first().jobs == 2
     (text,) = [r.value for r in spark.read.text(str(tmp_path / "r")).collect()]
     r = json.loads(text)
     assert r["costs"]["savings"]["amount"] == pytest.approx(-0.5)

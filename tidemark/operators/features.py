@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from dataclasses import replace
 
-from ..functions.numeric import clamp
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from ..functions.numeric import clamp, or_zero
 from ..schemas import ROLLING_HOURS
 from .forecast import RECENT, TREND_HIGH, TREND_LOW, forecast_columns, trailing_windows
 from .reports import temperature
@@ -33,17 +35,32 @@ def encode_temperature(name: Column) -> Column:
 
 
 def rolling_columns(runs: Runs) -> Runs:
-    """Sums over the last 6 to 96 rows, clipped trend, class and number of active hours in the last 24 rows."""
+    """Sums over the last 6 to 96 rows, clipped trend, class and number of active hours in the last 24 rows.
+
+    Each sum is the difference of two running totals, so a row costs the same for every width.
+    """
     w = runs.window
-    out = {
-        f"{kind}_{h}h": F.sum(f"{kind}_1h").over(w.rowsBetween(-(h - 1), 0)).cast("double")
-        for kind in ("reads", "writes") for h in ROLLING_HOURS
-    }
-    recent = F.avg("reads_1h").over(w.rowsBetween(-(RECENT - 1), 0))
-    before = F.coalesce(F.avg("reads_1h").over(w.rowsBetween(-(2 * RECENT - 1), -RECENT)), F.lit(0.0))
+    upto = w.rowsBetween(W.unboundedPreceding, 0)
+    series = {"reads": F.col("reads_1h"), "writes": F.col("writes_1h"), "active": (F.col("reads_1h") > 0).cast("long")}
+    runs = runs.with_columns(
+        run_no=F.row_number().over(w), **{f"run_{k}": F.sum(or_zero(c)).over(upto) for k, c in series.items()}
+    )
+    back = lambda k, n: F.coalesce(F.lag(f"run_{k}", n).over(w), F.lit(0))
+    widths = [(k, h) for k in ("reads", "writes") for h in ROLLING_HOURS] + [("active", 24), ("reads", 2 * RECENT)]
+    lags = {f"run_{k}_{n}": back(k, n) for k, n in widths}
+    runs = runs.with_columns(**lags)
+    c = F.col
+    out = {f"{k}_{h}h": (c(f"run_{k}") - c(f"run_{k}_{h}")).cast("double") for k in ("reads", "writes") for h in ROLLING_HOURS}
+    recent = (c("run_reads") - c(f"run_reads_{RECENT}")) / F.least(c("run_no"), F.lit(RECENT))
+    rows_before = F.least(c("run_no") - RECENT, F.lit(RECENT))
+    before = F.when(
+        rows_before > 0, (c(f"run_reads_{RECENT}") - c(f"run_reads_{2 * RECENT}")) / rows_before
+    ).otherwise(F.lit(0.0))
     out["trend_6h"] = clamp(recent / F.greatest(before, F.lit(1.0)), TREND_LOW, TREND_HIGH)
-    out["access_freq_24h"] = F.count_if(F.col("reads_1h") > 0).over(w.rowsBetween(-23, 0)).cast("double")
-    return runs.with_columns(**out).with_columns(data_temperature=temperature(F.col("reads_24h")))
+    out["access_freq_24h"] = (c("run_active") - c("run_active_24")).cast("double")
+    out["data_temperature"] = temperature(c("run_reads") - c("run_reads_24"))
+    kept = [n for n in runs.df.columns if n in (runs.own, runs.block) or not n.startswith("run_")]
+    return replace(runs, df=runs.df.select(*kept, *[v.alias(n) for n, v in out.items()]))
 
 
 def training_table(access: DataFrame, min_rows: int = MIN_BLOCK_ROWS) -> DataFrame:

@@ -15,8 +15,9 @@ from .skew import MIN_BLOCK_ROWS, spread
 from .state import explode_history, first_values, summarise, upsert
 from .validate import accepted, dead_letters
 
-# Arrival numbers per bucket when a hot dataset is cut into blocks.
-SEQ_BUCKET = 64
+# A hot dataset is cut into blocks along buckets of arrival numbers: at least this many per bucket, and about this
+# many buckets over a whole batch, so that the bucket counts of one dataset stay small too.
+MIN_BUCKET, BUCKETS = 64, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -53,10 +54,10 @@ def hot_reactions(
         "dataset_id", (F.col("pos") - HISTORY_LENGTH).cast("long").alias("seq"), "timestamp", "reads_1h", "writes_1h",
         "bytes_read_1h", F.lit(None).cast("double").alias("size_gb"),
     )
-    runs = spread(
-        new.unionByName(old), "dataset_id", ["seq"], F.floor(F.col("seq") / SEQ_BUCKET), lookback=HISTORY_LENGTH - 1,
-        min_rows=min_rows,
-    )
+    rows = new.unionByName(old)
+    width = F.greatest(F.lit(MIN_BUCKET), F.ceil(events.agg(F.count(F.lit(1))).scalar() / BUCKETS))
+    bucket = F.floor(F.col("seq") / width)
+    runs = spread(rows, "dataset_id", ["seq"], bucket, lookback=HISTORY_LENGTH - 1, min_rows=min_rows)
     walked = trailing_windows(runs, HISTORY_LENGTH).done()
     hot = walked.filter((F.col("seq") >= 0) & (F.col("reads_1h") > limits.hot_reads))
     judged = decide(add_averages(hot).withColumn("current_backend", F.lit(COLD_TIER)), limits)

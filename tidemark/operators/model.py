@@ -35,7 +35,7 @@ def prepare(split_table: DataFrame, kind: str, horizon: int, lookback: int = ft.
     series = scaled.withColumn("series", F.concat_ws("|", "dataset_id", "is_train"))
     samples = ft.sequence_samples(series, features, horizon, lookback, series="series").drop("series")
     # The scaler, the fit and the evaluation all read the samples.
-    samples = staged(samples)
+    samples = staged(samples.withColumn("x", F.flatten("x")))
     target_scaler = ft.fit_plain_scaler(samples.filter("is_train"), ["target"])
     return Samples(kind, horizon, samples, target_scaler)
 
@@ -43,7 +43,7 @@ def prepare(split_table: DataFrame, kind: str, horizon: int, lookback: int = ft.
 def train(samples: Samples, loss: str = "squaredError", max_iter: int = 40, reg: float = 0.01) -> LinearRegressionModel:
     """Linear model on the flattened window; ``loss`` is ``squaredError`` or ``huber``."""
     data = ft.scale(samples.data.filter("is_train"), samples.target_scaler, ["target"])
-    vectors = data.select(array_to_vector(F.flatten("x")).alias("features"), "target")
+    vectors = data.select(array_to_vector("x").alias("features"), "target")
     return LinearRegression(
         featuresCol="features", labelCol="target", loss=loss, maxIter=max_iter, regParam=reg, standardization=False,
         solver="l-bfgs",
@@ -53,7 +53,7 @@ def train(samples: Samples, loss: str = "squaredError", max_iter: int = 40, reg:
 def predict(model: LinearRegressionModel, samples: Samples, validation_only: bool = True) -> DataFrame:
     """Predictions on the original scale: ``dataset_id, timestamp, is_train, target, prediction``."""
     data = samples.data.filter("not is_train") if validation_only else samples.data
-    scored = model.transform(data.withColumn("features", array_to_vector(F.flatten("x"))))
+    scored = model.transform(data.withColumn("features", array_to_vector("x")))
     plain = ft.unscale(scored, samples.target_scaler, {"prediction": "target"})
     return plain.select("dataset_id", "timestamp", "is_train", "target", "prediction")
 

@@ -203,8 +203,12 @@ def overview(datasets: DataFrame, jobs: DataFrame, run_log: DataFrame, service:
     )
 
 
-def json_report(datasets: DataFrame, jobs: DataFrame, generated_at: str) -> DataFrame:
-    """The whole report as one nested row; write it with ``df.write.json`` or ``to_json``."""
+def json_report(datasets: DataFrame, jobs: DataFrame, generated_at: str, with_reasons: bool = False) -> DataFrame:
+    """The report as one nested row; write it with ``df.write.json`` or ``to_json``.
+
+    Reasons carry figures, so there may be as many as jobs, too many for one row. They are left to the long table
+    ``migration_counts``; ``with_reasons`` puts them in as a map where their number is known to be small.
+    """
     counts = migration_counts(jobs)
     as_map = lambda kind: counts.filter(F.col("kind") == kind).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("item", "jobs"))))
@@ -217,7 +221,7 @@ def json_report(datasets: DataFrame, jobs: DataFrame, generated_at: str) -> Data
     one = migration_efficiency(jobs).select(
         F.struct("*").alias("e"), _one(totals(datasets, jobs)).alias("system"), _one(savings(datasets, jobs)).alias("s"),
         as_map("status").alias("by_status"),
-        as_map("reason").alias("by_reason"), tiers.alias("backends"),
+        *([as_map("reason").alias("by_reason")] if with_reasons else []), tiers.alias("backends"),
         _one(access_patterns(datasets)).alias("access_patterns"),
     )
     c = F.col
@@ -243,7 +247,7 @@ def json_report(datasets: DataFrame, jobs: DataFrame, generated_at: str) -> Data
         ).alias("costs"),
         F.struct(
             F.struct(
-                c("e.total"), "by_status", "by_reason", c("e.avg_duration"), c("e.success_rate"),
+                c("e.total"), "by_status", *(["by_reason"] if with_reasons else []), c("e.avg_duration"), c("e.success_rate"),
                 c("e.median_duration"), c("e.min_duration"), c("e.max_duration"),
             ).alias("efficiency")
         ).alias("migrations"),

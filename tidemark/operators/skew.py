@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 MIN_BLOCK_ROWS = 100_000
-MAX_BLOCKS = 4096
+MAX_BLOCKS = 65_536
 
 
 def hot_blocks(
@@ -20,8 +20,8 @@ def hot_blocks(
 ) -> DataFrame:
     """One row per hot key with its blocks as ranges of ``bucket``.
 
-    The block size is the larger of ``min_rows`` and 1/4096 of all rows. A key is hot above that size, so
-    there are fewer than 4096 hot keys with fewer than 8192 blocks together, whatever the input size.
+    The block size is the larger of ``min_rows`` and 1/65536 of all rows. A key is hot above that size, so
+    there are fewer than 65536 hot keys with fewer than 131072 blocks together, about 5 MB, whatever the input size.
     Each bucket holds at least one row, hence ``lookback`` buckets hold at least ``lookback`` rows.
     """
     counts = df.groupBy(key, bucket.alias("b")).agg(F.count("*").alias("n"))
@@ -72,7 +72,7 @@ def spread(
     ``lookahead`` rows ahead. ``bucket`` is a non-decreasing function of the order with few rows per key and value."""
     hot = hot_blocks(df, key, bucket, lookback, lookahead, min_rows)
     columns = df.columns
-    # Broadcast is safe: hot_blocks is bounded by 8192 ranges.
+    # Broadcast is safe: hot_blocks is bounded by 131072 ranges.
     joined = df.withColumn("run_b", bucket).join(F.broadcast(hot), key, "left")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("run_block"), F.lit(True).alias("run_own")))
     seen = F.transform(

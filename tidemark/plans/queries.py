@@ -410,7 +410,7 @@ def overview(spark, sf):
 @query
 def json_report(spark, sf):
     """Key figures of the nested report, read back out of it."""
-    r = reports.json_report(dv.datasets(spark, sf), dv.jobs(spark, sf), "2024-02-01T00:00:00")
+    r = reports.json_report(dv.datasets(spark, sf), dv.jobs(spark, sf), "2024-02-01T00:00:00", with_reasons=True)
     c = F.col
     return rounded(r.select(
         "generated_at", c("system.total_datasets"), c("system.total_migrations"),

@@ -116,9 +116,11 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_json_report(report: DataFrame, path: str) -> None:
-    """A one-row report as one JSON file."""
+def write_json_report(report: DataFrame, path: str, counts: DataFrame | None = None) -> None:
+    """A one-row report as one JSON file, and the long ``counts`` next to it as JSON lines in as many files as needed."""
     report.coalesce(1).write.mode("overwrite").json(path)
+    if counts is not None:
+        counts.write.mode("overwrite").json(f"{path}-counts")
 
 
 def read_pipe_log(spark: SparkSession, path: str, service: str = "benchmark") -> DataFrame:
