@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.numeric import clamp, or_zero
+from ..functions.once import with_columns_once
 from ..schemas import ROLLING_HOURS
 from .forecast import RECENT, TREND_HIGH, TREND_LOW, forecast_columns, trailing_windows
 from .reports import temperature
@@ -149,7 +150,7 @@ def fit_plain_scaler(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def scale(df: DataFrame, scaler: DataFrame, columns: list[str]) -> DataFrame:
-    s = df.withColumn("scaler", scaler.select(F.struct("*")).scalar())
+    s = with_columns_once(df, {"scaler": scaler.select(F.struct("*")).scalar()})
     return s.withColumns({
         c: (F.col(c) - F.col(f"scaler.mean_{c}")) / F.col(f"scaler.sd_{c}") for c in columns
     }).drop("scaler")
@@ -157,7 +158,7 @@ def scale(df: DataFrame, scaler: DataFrame, columns: list[str]) -> DataFrame:
 
 def unscale(df: DataFrame, scaler: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Inverse: ``columns`` maps a scaled column to the column whose scale it has."""
-    s = df.withColumn("scaler", scaler.select(F.struct("*")).scalar())
+    s = with_columns_once(df, {"scaler": scaler.select(F.struct("*")).scalar()})
     return s.withColumns({
         c: F.col(c) * F.col(f"scaler.sd_{of}") + F.col(f"scaler.mean_{of}") for c, of in columns.items()
     }).drop("scaler")

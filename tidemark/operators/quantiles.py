@@ -3,13 +3,15 @@
 Each level asks an approximate pass for a grid of quantiles, picks the two grid values around the wanted
 rank, and counts exactly what lies below and between them. Two levels leave about a hundred-thousandth of
 the values; only those are ranked. A bracket that misses the rank keeps the previous one, so the result
-is exact for any distribution.
+is exact for any distribution. Each scalar is attached once, so the input is scanned six times in all.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..functions.once import with_columns_once
+
 GRID = 1000
 ACCURACY = 10_000
 LEVELS = 2
@@ -19,7 +21,7 @@ def _bracket(x: DataFrame, found: DataFrame) -> DataFrame:
     """Narrow the bracket of ``found`` (one row, one struct ``t``) to the grid values around the rank."""
     grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
     t = lambda f: F.col(f"t.{f}")
-    cut = x.withColumn("t", found.scalar()).filter(F.col("x").between(t("from"), t("to")))
+    cut = with_columns_once(x, {"t": found.scalar()}).filter(F.col("x").between(t("from"), t("to")))
     seen = cut.agg(
         F.any_value("t").alias("t"), F.count("*").alias("m"), F.percentile_approx("x", grid, ACCURACY).alias("q")
     )
@@ -33,7 +35,7 @@ def _bracket(x: DataFrame, found: DataFrame) -> DataFrame:
         ).alias("g")
     )
     g = lambda f: F.col(f"g.{f}")
-    counted = x.withColumn("g", guess.scalar()).agg(
+    counted = with_columns_once(x, {"g": guess.scalar()}).agg(
         F.any_value("g").alias("g"),
         F.count_if(F.col("x") < g("from")).alias("below"),
         F.count_if(F.col("x").between(g("from"), g("to"))).alias("inside"),
@@ -68,7 +70,7 @@ def exact_quantile(df: DataFrame, column: str, p: float, method: str = "exclusiv
     for _ in range(levels):
         found = _bracket(x, found)
     # Equal values collapse before they are ranked; only the bracket reaches the one ordered window.
-    left = x.withColumn("t", found.scalar()).filter(F.col("x").between(F.col("t.from"), F.col("t.to")))
+    left = with_columns_once(x, {"t": found.scalar()}).filter(F.col("x").between(F.col("t.from"), F.col("t.to")))
     ranked = (
         left.groupBy("x").agg(F.count("*").alias("c"), F.any_value("t").alias("t"))
         .withColumn("upto", F.col("t.below") + F.sum("c").over(W.orderBy("x")))

@@ -70,10 +70,15 @@ def observed_optimized(datasets: DataFrame, jobs: DataFrame, fee: float = REPORT
 
 def savings(datasets: DataFrame, jobs: DataFrame, baseline: str = "current", fee: float = REPORT_MOVE_FEE) -> DataFrame:
     """Baseline, optimised cost, savings and their projection in one row."""
-    base = observed_baseline(datasets, baseline).agg(F.any_value(F.struct("*"))).scalar()
     best = observed_optimized(datasets, jobs, fee).withColumnsRenamed({
         "storage": "opt_storage", "access": "opt_access", "latency": "opt_latency", "total": "optimized",
     })
+    if baseline == "current":
+        # The same tier on both sides: one pass over the datasets gives both.
+        parts = [F.col(f"opt_{c}").alias(c) for c in ("storage", "access", "latency")]
+        base = F.struct(*parts, sum(parts[1:], parts[0]).alias("total"))
+    else:
+        base = observed_baseline(datasets, baseline).select(F.struct("*")).scalar()
     b = best.withColumn("base", base).withColumn("amount", F.col("base.total") - F.col("optimized"))
     pct = F.when(F.col("base.total") > 0, F.col("amount") / F.col("base.total") * 100).otherwise(F.lit(0.0))
     return b.select(

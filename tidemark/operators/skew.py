@@ -11,6 +11,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
+from ..functions.once import with_columns_once
+
 MIN_BLOCK_ROWS = 100_000
 MAX_BLOCKS = 65_536
 
@@ -31,8 +33,7 @@ def hot_blocks(
     per_key = W.partitionBy(key)
     in_order = per_key.orderBy("b")
     placed = (
-        counts.withColumn("key_rows", F.sum("n").over(per_key))
-        .withColumn("size", size)
+        with_columns_once(counts.withColumn("key_rows", F.sum("n").over(per_key)), {"size": size})
         .filter(F.col("key_rows") > F.col("size"))
         .withColumn("block", F.floor((F.sum("n").over(in_order) - F.col("n")) / F.col("size")))
         .withColumn("from", F.coalesce(F.lag("b", lookback).over(in_order), F.min("b").over(per_key)))
@@ -73,7 +74,7 @@ def spread(
     hot = hot_blocks(df, key, bucket, lookback, lookahead, min_rows)
     columns = df.columns
     # Broadcast is safe: hot_blocks is bounded by 131072 ranges.
-    joined = df.withColumn("run_b", bucket).join(F.broadcast(hot), key, "left")
+    joined = with_columns_once(df, {"run_b": bucket}).join(F.broadcast(hot), key, "left")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("run_block"), F.lit(True).alias("run_own")))
     seen = F.transform(
         F.filter("blocks", lambda k: F.col("run_b").between(k["see_from"], k["see_to"])),
