@@ -2,7 +2,8 @@
 
 A write adds one folder with the changed rows; a full write starts afresh and makes older folders
 irrelevant. A folder counts once Spark's success marker is in it, and a tag that has been written is
-skipped, so repeating a batch changes nothing. There is one writer per table.
+skipped, so repeating a batch changes nothing. Writes to one table must not overlap; the streams of one application
+take turns through the lock of their store.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 
@@ -26,6 +27,8 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        # The event and the scan stream of one application both write jobs; they take turns.
+        self.lock = threading.RLock()
         self.state = KeyedLog(spark, f"{root}/state", "dataset_id", DATASET)
         self.jobs = KeyedLog(spark, f"{root}/jobs", "job_id", JOB)
         self.requests = KeyedLog(spark, f"{root}/requests", "request_id", REQUEST)
@@ -53,6 +56,11 @@ def process_batch(
 ) -> bool:
     """Run one batch and write its results: dead letters, new jobs, then the state, whose folder commits the batch.
     A batch that is already committed is left alone."""
+    with store.lock:
+        return _process_batch(store, raw, batch, now, limits, skip_noop, name)
+
+
+def _process_batch(store, raw, batch, now, limits, skip_noop, name) -> bool:
     tag = f"{name}-{batch}"
     if store.state.has(tag):
         return False
@@ -90,6 +98,11 @@ def ingest_stream(
 
 def run_scan(store: Store, now: float, tag: str, limits: Limits = LIMITS) -> DataFrame:
     """Claim the oldest pending request, if any, scan all datasets and write the new jobs. Returns the jobs made."""
+    with store.lock:
+        return _run_scan(store, now, tag, limits)
+
+
+def _run_scan(store: Store, now: float, tag: str, limits: Limits) -> DataFrame:
     requests = store.requests.read()
     store.requests.write(changed(claim_request(requests, now), requests, "request_id"), f"{tag}-claim")
     store.jobs.write(scan(store.state.read(), store.jobs.read(), now, limits), tag)
