@@ -1,4 +1,4 @@
-"""Reporting queries over dataset state and jobs. Each table is scanned once per report."""
+"""Reporting queries over dataset state and jobs."""
 
 from __future__ import annotations
 
