@@ -1,6 +1,7 @@
 """Toxicity by multiple-instance learning: only documents are labelled, sentences are scored.
 
-A sentence's score is logistic in the weights of its words; a document is toxic if any sentence is (noisy-or):
+A sentence's score is logistic in the weights of its words, each of which counts as itself and by its first letters, so
+that an unseen form of a known stem is recognised. A document is toxic if any sentence is (noisy-or):
 ``1 - prod(1 - p_sentence)``. The weights are fitted by gradient descent on the document likelihood, so the label of a
 document is shared out among its sentences, and the fitted sentence scores locate what is offending.
 
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from math import exp
 
 import numpy as np
 import pandas as pd
@@ -22,8 +23,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import saved
 
-#: Words with the strongest association with the label that the model keeps.
-VOCABULARY = 4096
+#: Features with the strongest association with the label that the model keeps, and the least association.
+VOCABULARY, LEAST_Z = 4096, 4.0
+#: Lengths of word beginnings that are features.
+PREFIXES = (4, 5)
+#: Words whose weight a worker remembers.
+MEMO = 500_000
 #: Labelled documents the weights are fitted on, at most; the association counts use all of them.
 MAX_TRAIN = 20_000
 MIN_DOCS = 3
@@ -32,33 +37,48 @@ WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 
 
-@dataclass(frozen=True)
-class Model:
-    """Weight per word, and the bias of a sentence."""
+def features(word: str) -> list[str]:
+    """The word itself and its beginnings, which are marked as such."""
+    return [word, *(word[:n] + "-" for n in PREFIXES if len(word) > n)]
 
-    words: dict[str, float]
-    bias: float
 
-    def sentence(self, text: str) -> float:
-        """Score of one sentence in lower case."""
-        found = {w for w in WORD.findall(text) if w in self.words}
-        return _sigmoid(self.bias + sum(self.words[w] for w in found)) if found else 0.0
+class Model:
+    """Weight per feature of a word, and the bias of a sentence."""
+
+    def __init__(self, weights: dict[str, float], bias: float):
+        self.weights, self.bias = weights, bias
+        self._known: dict[str, float | None] = {}
+
+    def __reduce__(self):
+        return Model, (self.weights, self.bias)
+
+    def _word(self, word: str) -> float | None:
+        """The weight of a word, none if the model has no feature of it."""
+        if len(self._known) > MEMO:
+            self._known.clear()
+        found = [self.weights[f] for f in features(word) if f in self.weights]
+        self._known[word] = out = sum(found) if found else None
+        return out
+
+    def _sentence(self, text: str) -> float:
+        known, total, any_ = self._known, self.bias, False
+        for w in set(WORD.findall(text)):
+            x = known[w] if w in known else self._word(w)
+            if x is not None:
+                total += x
+                any_ = True
+        return 1.0 / (1.0 + exp(-min(30.0, max(-30.0, total)))) if any_ else 0.0
 
     def document(self, text: str | None) -> float:
-        """Noisy-or over the sentences. A sentence without a word of the model has score 0."""
-        text = (text or "").lower()
+        """Noisy-or over the sentences. A sentence without a feature of the model has score 0."""
         clean = 1.0
-        known = self.words
-        for part in SENTENCE.findall(text):
-            found = {w for w in WORD.findall(part) if w in known}
-            if found:
-                clean *= 1.0 - _sigmoid(self.bias + sum(known[w] for w in found))
+        for part in SENTENCE.findall((text or "").lower()):
+            clean *= 1.0 - self._sentence(part)
         return 1.0 - clean
 
     def offending(self, text: str | None, least: float = 0.5) -> list[dict]:
         """Sentences with at least the given score: start and end (code points, end exclusive) and score."""
-        text = text or ""
-        parts = ((m.start(), m.end(), self.sentence(m.group().lower())) for m in SENTENCE.finditer(text))
+        parts = ((m.start(), m.end(), self._sentence(m.group().lower())) for m in SENTENCE.finditer(text or ""))
         return [{"start": s, "end": e, "score": p} for s, e, p in parts if p >= least]
 
 
@@ -66,11 +86,11 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
-def associated_words(docs: DataFrame, label: str, text: str = "text", keep: int = VOCABULARY) -> list[tuple[str, float]]:
-    """Words whose presence goes with the label, strongest first, with their smoothed log odds. Counted over all rows;
+def associated_features(docs: DataFrame, label: str, text: str = "text", keep: int = VOCABULARY) -> list[tuple[str, float]]:
+    """Features whose presence goes with the label, strongest first, with their smoothed log odds. Counted over all rows;
     only the ``keep`` strongest come back."""
 
-    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Counts of one task, so that the shuffle sees a word once per task and flush.
         counts: dict[str, list[int]] = {}
 
@@ -84,15 +104,15 @@ def associated_words(docs: DataFrame, label: str, text: str = "text", keep: int
 
         for batch in batches:
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w in set(WORD.findall((t or "").lower())):
-                    counts.setdefault(w, [0, 0])[y] += 1
+                for f in {f for w in set(WORD.findall((t or "").lower())) for f in features(w)}:
+                    counts.setdefault(f, [0, 0])[y] += 1
                 if len(counts) > 200_000:
                     yield flush()
         if counts:
             yield flush()
 
     rows = docs.select(text, F.col(label).cast("int").alias("y"))
-    per_word = rows.mapInArrow(distinct_words, "word string, neg long, pos long").groupBy("word").agg(
+    per_word = rows.mapInArrow(count, "word string, neg long, pos long").groupBy("word").agg(
         F.sum("neg").alias("neg"), F.sum("pos").alias("pos")
     )
     total = docs.agg(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).first()
@@ -104,17 +124,17 @@ def associated_words(docs: DataFrame, label: str, text: str = "text", keep: int
     spread = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
     strongest = (
         per_word.filter(F.col("pos") + F.col("neg") >= MIN_DOCS).select("word", odds.alias("odds"), (odds / spread).alias("z"))
-        .filter(F.abs("z") > 2).orderBy(F.desc(F.abs("z")), "word").limit(keep)
+        .filter(F.abs("z") > LEAST_Z).orderBy(F.desc(F.abs("z")), "word").limit(keep)
     )
     return [(r.word, r.odds) for r in strongest.collect()]
 
 
 def fit(docs: DataFrame, label: str = "toxic", text: str = "text", max_train: int = MAX_TRAIN, keep: int = VOCABULARY,
-        steps: int = 300, ridge: float = 1e-3) -> Model:
+        steps: int = 300, ridge: float = 1e-4) -> Model:
     """Train on ``docs(doc_id, text, label)``. Of these, ``max_train`` documents at most (those with the smallest hash)
     fit the weights; what is gathered of a document are the words of the model in its distinct sentences."""
     docs = docs.filter(F.col(label).isNotNull()).select("doc_id", text, label)
-    odds = associated_words(docs, label, text, keep)
+    odds = associated_features(docs, label, text, keep)
     if not odds:
         return Model({}, -30.0)
     index = {w: i for i, (w, _) in enumerate(odds)}
@@ -125,10 +145,10 @@ def fit(docs: DataFrame, label: str = "toxic", text: str = "text", max_train: in
             for t in batch[text]:
                 seen = set()
                 for part in SENTENCE.findall((t or "").lower()):
-                    found = frozenset(index[w] for w in WORD.findall(part) if w in index)
+                    found = tuple(sorted(index[f] for w in set(WORD.findall(part)) for f in features(w) if f in index))
                     if found:
                         seen.add(found)
-                out.append([sorted(s) for s in seen])
+                out.append([list(s) for s in seen])
             yield pd.DataFrame({"y": batch[label].astype(int), "bags": out})
 
     # The smallest hashes are a seeded sample; rows that repeat are taken together.
@@ -149,7 +169,7 @@ def fit(docs: DataFrame, label: str = "toxic", text: str = "text", max_train: in
     doc, sent, word = (np.array(x, np.int64) for x in (sentence_doc, entry_sentence, entry_word))
     # The words' own log odds are the start; a sentence alone is almost never toxic.
     start = np.array([o for _, o in odds])
-    theta = np.concatenate((np.clip(start, -2, 4), [-4.0]))
+    theta = np.concatenate((np.clip(start, -2, 4), [-6.0]))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         x = np.bincount(sent, theta[word], len(doc)) + theta[-1]
