@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, mixing, simhash, tokens, toxicity
+from . import decontaminate, mixing, pii, quality, rules, simhash, tokens, toxicity, warc
 from .common import saved
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -16,16 +16,78 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", quality.text_statistics("text").alias("stats"))
+    docs = saved(docs.withColumn("held_out", toxicity.fold_of("doc_id", 3) == 1), "op1")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    model = quality.fit(docs.filter("not held_out").join(labels, "doc_id"))
+    scored = docs.select("doc_id", "held_out", quality.quality("stats", model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op2_token_output(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return tokens.read_documents(tokens.write_tokens(docs, f"{TOKENIZERS}/{tokens.VOCABULARY_FILE}"))
 
 
+def page_captures(spark: SparkSession, folder: str) -> DataFrame:
+    """Each page as a full response and, a thousand time steps later, a revisit of its address. Revisits carry an entity
+    tag, a date or no validator, by the page's number."""
+    pages = table(spark, folder, "pages")
+    p = F.col("page_id")
+    tag = F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    date = F.date_format(F.timestamp_seconds(p * 60), "yyyy-MM-dd'T'HH:mm:ss")
+    first = F.create_map(
+        F.lit("ETag"), tag, F.lit("Last-Modified"), date, F.lit("Content-Length"), F.octet_length("html").cast("string"),
+        F.lit("X-Cache"), F.lit("miss"),
+    )
+    again = F.map_filter(
+        F.create_map(
+            F.lit("etag"), F.when(p % 3 == 0, F.concat(F.lit("W/"), tag)), F.lit("last-modified"), F.when(p % 3 == 1, date),
+            F.lit("Content-Length"), F.lit("0"), F.lit("X-Cache"), F.lit("hit"),
+        ),
+        lambda k, v: v.isNotNull(),
+    )
+    both = F.array(
+        F.struct((p * 2).alias("record_id"), F.lit("response").alias("kind"), p.alias("time"), first.alias("headers"), F.col("html").alias("payload")),
+        F.struct((p * 2 + 1).alias("record_id"), F.lit("revisit").alias("kind"), (p + 1000).alias("time"), again.alias("headers"), F.lit(None).cast("string").alias("payload")),
+    )
+    return pages.select("url", F.inline(both))
+
+
+def op3_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve_revisits(page_captures(spark, folder))
+    h = F.col("headers")
+    return found.select(
+        "record_id", "kind", "canonical", "status", "source_id", h["etag"].alias("etag"),
+        h["last-modified"].alias("last_modified"), h["content-length"].alias("content_length"), h["x-cache"].alias("x_cache"),
+        F.md5("payload").alias("payload_md5"),
+    )
+
+
+def op4_rules(spark: SparkSession, folder: str) -> DataFrame:
+    figures = rules.text_figures(table(spark, folder, "documents")).drop("text", "n_chars")
+    judged = rules.judge(saved(figures, "op4"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """The contaminated documents: a row for each stretch that matches a benchmark item."""
     return decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", mixing.n_words("text").alias("size"))
     mixed = mixing.mix(saved(docs, "op8"), F.col("size"))
@@ -47,4 +109,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex64("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_output, op6_decontamination, op8_mixing, op9_toxicity, op10_simhash)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality, op2_token_output, op3_revisits, op4_rules, op6_decontamination, op7_pii, op8_mixing, op9_toxicity,
+        op10_simhash,
+    )
+}
