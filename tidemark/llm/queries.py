@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, mixing, pii, quality, rules, simhash, tokens, toxicity, warc
+from . import decontaminate, mixing, pii, quality, rules, simhash, suffix, tokens, toxicity, warc
 from .common import saved
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -73,6 +73,11 @@ def op4_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffix.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """The contaminated documents: a row for each stretch that matches a benchmark item."""
     return decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -112,7 +117,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality, op2_token_output, op3_revisits, op4_rules, op6_decontamination, op7_pii, op8_mixing, op9_toxicity,
-        op10_simhash,
+        op1_quality, op2_token_output, op3_revisits, op4_rules, op5_repeats, op6_decontamination, op7_pii,
+        op8_mixing, op9_toxicity, op10_simhash,
     )
 }
