@@ -45,6 +45,19 @@ def saved(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **option
 
 
 
+def fold_of(doc_id: Column | str, of: int) -> Column:
+    """The fold of a document among ``of``: the checksum of its id as text."""
+    return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")) % of
+
+
+def training_labels(labels: DataFrame, label: str, fold: int, of: int, most: int) -> DataFrame:
+    """``(doc_id, label)`` of labelled rows outside the held-out fold: all of them, or the ``most`` with the smallest
+    hash. At most ``most`` small rows, so it may be broadcast."""
+    rows = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold_of("doc_id", of) != fold))
+    picked = rows.select("doc_id", label).orderBy(F.xxhash64("doc_id", F.lit(of)), "doc_id", label).limit(most)
+    return F.broadcast(picked)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, root)`` for every node of ``links``: the smallest node that can be reached.
 

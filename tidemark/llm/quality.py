@@ -27,6 +27,8 @@ STATISTICS = (
 FEATURES, WIDTH, RIDGE, SEED = 256, 3.0, 1e-4, 1
 #: Share of the labelled rows that calibrate and do not fit; bins of the regression's output for calibration.
 CALIBRATE_ONE_IN, BINS = 4, 2000
+#: Labelled rows the model is fitted on, at most.
+MAX_TRAIN = 200_000
 _LOW, _HIGH = -1.0, 2.0
 
 _CLASS = np.zeros(256, np.int64)

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate, mixing, pii, quality, rules, simhash, suffix, tokens, toxicity, warc
-from .common import saved
+from .common import fold_of, saved, training_labels
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
@@ -18,9 +18,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", quality.text_statistics("text").alias("stats"))
-    docs = saved(docs.withColumn("held_out", toxicity.fold_of("doc_id", 3) == 1), "op1")
-    labels = table(spark, folder, "labels").select("doc_id", "quality")
-    model = quality.fit(docs.filter("not held_out").join(labels, "doc_id"))
+    docs = saved(docs.withColumn("held_out", fold_of("doc_id", 3) == 1), "op1")
+    picked = training_labels(table(spark, folder, "labels"), "quality", 1, 3, quality.MAX_TRAIN)
+    model = quality.fit(docs.join(picked, "doc_id"))
     scored = docs.select("doc_id", "held_out", quality.quality("stats", model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -103,7 +103,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.fit_on_labels(docs, table(spark, folder, "labels"))
     scored = docs.select(
-        "doc_id", (toxicity.fold_of("doc_id", 4) == 2).alias("held_out"), toxicity.toxicity("text", model).alias("score")
+        "doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), toxicity.toxicity("text", model).alias("score")
     )
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import saved
+from .common import saved, training_labels
 
 #: Features with the strongest association with the label that the model keeps, and the least association.
 VOCABULARY, LEAST_Z = 4096, 4.0
@@ -29,7 +29,7 @@ VOCABULARY, LEAST_Z = 4096, 4.0
 PREFIXES = (4, 5)
 #: Words whose weight a worker remembers.
 MEMO = 500_000
-#: Labelled documents the weights are fitted on, at most; the association counts use all of them.
+#: Labelled documents the model is fitted on, at most.
 MAX_TRAIN = 20_000
 MIN_DOCS = 3
 THRESHOLD = 0.3
@@ -87,8 +87,8 @@ def _sigmoid(x):
 
 
 def associated_features(docs: DataFrame, label: str, text: str = "text", keep: int = VOCABULARY) -> list[tuple[str, float]]:
-    """Features whose presence goes with the label, strongest first, with their smoothed log odds. Counted over all rows;
-    only the ``keep`` strongest come back."""
+    """Features whose presence goes with the label, strongest first, with their smoothed log odds. Only the
+    ``keep`` strongest come back."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Counts of one task, so that the shuffle sees a word once per task and flush.
@@ -129,11 +129,11 @@ def associated_features(docs: DataFrame, label: str, text: str = "text", keep: i
     return [(r.word, r.odds) for r in strongest.collect()]
 
 
-def fit(docs: DataFrame, label: str = "toxic", text: str = "text", max_train: int = MAX_TRAIN, keep: int = VOCABULARY,
-        steps: int = 300, ridge: float = 1e-4) -> Model:
-    """Train on ``docs(doc_id, text, label)``. Of these, ``max_train`` documents at most (those with the smallest hash)
-    fit the weights; what is gathered of a document are the words of the model in its distinct sentences."""
-    docs = docs.filter(F.col(label).isNotNull()).select("doc_id", text, label)
+def fit(docs: DataFrame, label: str = "toxic", text: str = "text", keep: int = VOCABULARY, steps: int = 300,
+        ridge: float = 1e-4) -> Model:
+    """Train on all rows of ``docs(text, label)``. What is gathered of a document are the features of the model in its
+    different sentences, so the number of rows has to be bounded, see ``MAX_TRAIN``."""
+    docs = docs.filter(F.col(label).isNotNull()).select(text, label)
     odds = associated_features(docs, label, text, keep)
     if not odds:
         return Model({}, -30.0)
@@ -151,13 +151,7 @@ def fit(docs: DataFrame, label: str = "toxic", text: str = "text", max_train: in
                 out.append([list(s) for s in seen])
             yield pd.DataFrame({"y": batch[label].astype(int), "bags": out})
 
-    # The smallest hashes are a seeded sample; rows that repeat are taken together.
-    n = docs.count()
-    chosen = docs.withColumn("order", F.xxhash64(F.col("doc_id"), F.lit(9)))
-    if n > max_train:
-        cut = -(1 << 63) + (1 << 64) * max_train // n
-        chosen = chosen.filter(F.col("order") < F.lit(min(cut, (1 << 63) - 1)))
-    rows = chosen.select(text, label).mapInPandas(bags, "y int, bags array<array<int>>").collect()
+    rows = docs.mapInPandas(bags, "y int, bags array<array<int>>").collect()
 
     y = np.array([r.y for r in rows], float)
     sentence_doc, entry_sentence, entry_word = [], [], []
@@ -206,20 +200,11 @@ def offending_sentences(text: Column | str, model: Model, least: float = 0.5) ->
     return run(text)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, fold: int, of: int) -> DataFrame:
-    """``(doc_id, text, label)`` of the labelled documents outside the held-out fold."""
-    side = labels.filter(F.col(label).isNotNull() & (fold_of("doc_id", of) != fold)).select("doc_id", label)
-    return docs.select("doc_id", "text").join(side, "doc_id")
-
-
-def fold_of(doc_id: str, of: int) -> Column:
-    return F.crc32(F.col(doc_id).cast("string")) % of
-
-
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     return docs.filter(toxicity("text", model) < threshold)
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model from all labelled rows outside the held-out fold (remainder 2 of 4)."""
-    return fit(saved(training_rows(docs, labels, "toxic", 2, 4), "toxicity-training"))
+def fit_on_labels(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
+    """The model from labelled rows outside the held-out fold (remainder 2 of 4), ``max_train`` at most."""
+    picked = training_labels(labels, "toxic", 2, 4, max_train)
+    return fit(saved(docs.select("doc_id", "text").join(picked, "doc_id"), "toxicity-training"))
