@@ -1,3 +1,90 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express; the others are tested against brute force."""
 
+from .rules import ALPHA, FIGURES, MIN_GROUP, SPREADS, ZERO
+
+SPACE = r"\x20\x09-\x0D"
 SQL: dict[str, str] = {}
+
+# ---- revisits ----------------------------------------------------------------------------------------------
+
+SQL["op3_revisits"] = r"""
+WITH cut AS (
+  SELECT page_id AS p, html, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u
+  FROM pages),
+parts AS (
+  SELECT p, html,
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^.*@', ''), ':(80|443)$', ''),
+      '\.$', ''), '^www[0-9]*\.', '') AS host,
+    regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/(index\.(html?|php))?$', '') AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '^[^?]*\?(.*)$', 1), '&'),
+      lambda q: q <> '' AND NOT regexp_matches(q, '(?i)^(utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)(=|$)'))), '&') AS query
+  FROM cut),
+pages_ AS (
+  SELECT p, html, md5(html) AS tag, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canonical,
+    strftime(make_timestamp(p * 60 * 1000000), '%Y-%m-%dT%H:%M:%S') AS date FROM parts),
+based AS (
+  SELECT v.*, (SELECT max({'t': r.p, 'r': r.p * 2}).r FROM pages_ r WHERE r.canonical = v.canonical AND r.p < v.p + 1000) // 2 AS base
+  FROM pages_ v),
+judged AS (
+  SELECT v.p, v.canonical, v.date, r.p AS base, r.tag AS base_tag, r.date AS base_date, r.html AS base_html,
+    CASE WHEN v.p % 3 = 0 THEN v.tag = r.tag WHEN v.p % 3 = 1 THEN v.date = r.date END AS agree
+  FROM based v JOIN pages_ r ON r.p = v.base)
+SELECT p * 2 AS record_id, 'response' AS kind, canonical, 'response' AS status, p * 2 AS source_id, '"' || tag || '"' AS etag,
+  date AS last_modified, CAST(strlen(html) AS VARCHAR) AS content_length, 'miss' AS x_cache, tag AS payload_md5
+FROM pages_
+UNION ALL
+SELECT p * 2 + 1, 'revisit', canonical, CASE WHEN agree THEN 'resolved' WHEN NOT agree THEN 'mismatch' ELSE 'unverified' END,
+  CASE WHEN coalesce(agree, true) THEN base * 2 END,
+  CASE WHEN coalesce(agree, true) THEN '"' || base_tag || '"' WHEN p % 3 = 0 THEN 'W/"' || (SELECT tag FROM pages_ q WHERE q.p = judged.p) || '"' END,
+  CASE WHEN p % 3 = 1 THEN date WHEN coalesce(agree, true) THEN base_date END,
+  CASE WHEN coalesce(agree, true) THEN CAST(strlen(base_html) AS VARCHAR) ELSE '0' END, 'hit',
+  CASE WHEN coalesce(agree, true) THEN base_tag END
+FROM judged"""
+
+# ---- quality rules -----------------------------------------------------------------------------------------
+
+_GAMMA = f"((1 + {ALPHA}::DOUBLE) / (1 - {ALPHA}::DOUBLE))"
+
+
+def _fences(name: str, by: str) -> str:
+    keys = f"{by}, " if by else ""
+    return f"""
+{name}_q AS (
+  SELECT {keys}figure, max(total) AS docs, min(CASE WHEN upto >= 0.5 * total THEN bucket END) AS b50,
+         min(CASE WHEN upto >= 0.75 * total THEN bucket END) AS b75
+  FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}figure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}figure) AS total
+        FROM (SELECT {keys}figure, bucket, count(*) AS n FROM buckets GROUP BY ALL)) GROUP BY ALL),
+{name} AS (
+  SELECT {keys}max(docs) AS docs, {", ".join(f"max(CASE WHEN figure = '{f}' THEN low + {SPREADS} * (high - low) + {s}::DOUBLE END) AS {f}" for f, s in FIGURES.items())}
+  FROM (SELECT *, CASE WHEN b50 = -1000000 THEN 0 ELSE 2 * pow({_GAMMA}, b50) / ({_GAMMA} + 1) END AS low,
+               CASE WHEN b75 = -1000000 THEN 0 ELSE 2 * pow({_GAMMA}, b75) / ({_GAMMA} + 1) END AS high FROM {name}_q) {"GROUP BY " + by if by else ""})"""
+
+
+_limit = lambda f: f"CASE WHEN o.docs >= {MIN_GROUP} THEN o.{f} WHEN l.docs >= {MIN_GROUP} THEN l.{f} ELSE e.{f} END"
+SQL["op4_rules"] = rf"""
+WITH split AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^{SPACE}]')) AS lines FROM documents),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i + 4]) AS times
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM split)),
+covered AS (
+  SELECT doc_id, count(DISTINCT w) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS w FROM windows WHERE times > 1) GROUP BY 1),
+base AS (
+  SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM split LEFT JOIN covered c USING (doc_id)),
+figures AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, n_symbols::DOUBLE / greatest(word_chars, 1) AS symbol_share,
+         n_repeat_words::DOUBLE / greatest(n_words, 1) AS repeat_share, n_dup_lines::DOUBLE / greatest(n_lines, 1) AS repeated_line_share,
+         word_chars::DOUBLE / greatest(n_words, 1) AS mean_word FROM base),
+buckets AS (
+  SELECT lang, source, figure, CASE WHEN value <= {ZERO} THEN -1000000 ELSE CAST(ceil(ln(value) / ln({_GAMMA})) AS INTEGER) END AS bucket
+  FROM (UNPIVOT (SELECT lang, source, {", ".join(FIGURES)} FROM figures) ON {", ".join(FIGURES)} INTO NAME figure VALUE value)),
+{_fences("own", "lang, source")}, {_fences("spoken", "lang")}, {_fences("overall", "")}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {" AND ".join(f"f.{x} <= {_limit(x)}" for x in FIGURES)} AS kept
+FROM figures f JOIN own o ON f.lang IS NOT DISTINCT FROM o.lang AND f.source IS NOT DISTINCT FROM o.source
+JOIN spoken l ON f.lang IS NOT DISTINCT FROM l.lang, overall e"""
