@@ -1,14 +1,9 @@
-"""Hand-made rows and a plain Python model of the placement rule for the tests."""
+"""Hand-made rows for the tests, and the registered SQL run over such rows."""
 
-from tidemark.schemas import DATASET, JOB
-
-PRICES = {  # store, read, write, latency
-    "on-prem": (0.40, 0.0, 0.0, 0.01),
-    "private-cloud": (0.25, 0.05, 0.05, 0.03),
-    "public-hot": (0.20, 0.04, 0.04, 0.07),
-    "public-cold": (0.04, 0.001, 0.001, 4.0),
-}
+import duckdb
 
+from tidemark.plans import oracle
+from tidemark.schemas import DATASET, JOB
 
 def history(reads, writes=None):
     writes = writes or [1] * len(reads)
@@ -33,45 +28,30 @@ def jobs(spark, rows):
     return spark.createDataFrame(rows, JOB)
 
 
-def mean(xs):
-    return sum(xs) / len(xs)
-
-
-def expected_load(xs, hours=24):
-    xs = xs[-hours:]
-    n = len(xs)
-    now = mean(xs[max(0, n - 6):])
-    then = mean(xs[n - 12:n - 6]) if n >= 12 else mean(xs[: max(1, n // 2)])
-    slope = now / max(then, 1)
-    return now * (0.7 if slope < 0.7 else 2.0 if slope > 2.0 else slope) * hours
-
-
-def expected_placement(reads, writes, size, tier, hot=100, cold=10):
-    """(target, reason, current cost, target cost) of a dataset, from the definitions."""
-    if not reads:
-        return tier, "insufficient-history", 0.0, 0.0
-    day, day_writes = reads[-24:], writes[-24:]
-    r, w = expected_load(day), expected_load(day_writes)
-    top, usual = max(day), mean(day)
-    archive = usual <= cold and top < hot
-
-    def price(name):
-        store, read, write, latency = PRICES[name]
-        return size * store * 24 / 720 + r * read + w * write + (0 if archive else r * latency * 0.1)
-
-    rate = r / 24 if r else usual
-    if top >= hot or rate >= hot:
-        names = [t for t in PRICES if PRICES[t][3] <= 0.1]
-    else:
-        names = list(PRICES) if archive else ["on-prem", "private-cloud", "public-hot"]
-    costs = [price(t) for t in names]
-    best = names[costs.index(min(costs))]
-    here, there = price(tier), min(costs)
-    share = (here - there) / here * 100 if here else 0.0
-    if best != tier and here - there < 0.5 and share < 5:
-        return tier, "hysteresis-hold", here, here
-    if best == "public-cold":
-        why = "cold-data-cooldown"
-    else:
-        why = "hot-read-low-latency" if top >= hot else "forecasted-cost-reduction"
-    return best, why, here, there
+def by_sql(d, body, columns):
+    """Rows of the SQL that ``body`` makes of the definitions in ``oracle``, over datasets with history: ``ranked`` (their
+    entries, newest first), ``state`` and ``fc`` (forecast of a day)."""
+    rows = [r for r in d.collect() if r.history]
+    con = duckdb.connect()
+    con.execute("create table state (dataset_id varchar, size_gb double, current_backend varchar, initial_backend varchar)")
+    con.execute("create table ranked (dataset_id varchar, rn bigint, reads_1h bigint, writes_1h bigint, bytes_read_1h bigint)")
+    for r in rows:
+        con.execute("insert into state values (?, ?, ?, ?)", [r.dataset_id, r.size_gb, r.current_backend, r.initial_backend])
+        con.executemany("insert into ranked values (?, ?, ?, ?, ?)", [
+            [r.dataset_id, i + 1, e.reads_1h, e.writes_1h, e.bytes_read_1h] for i, e in enumerate(reversed(r.history))])
+    view = lambda name, text: con.execute(f"create view {name} as {text}")
+    view("prices", oracle.CTE["prices"])
+    view("win", oracle.window("ranked", 24))
+    view("fc", oracle.forecast("win", "state", 24))
+
+    class Definitions:
+        place = staticmethod(oracle.place)
+
+        @staticmethod
+        def window(source, hours):
+            view(f"win_{hours}", oracle.window(source, hours))
+            return f"win_{hours}"
+
+        forecast = staticmethod(oracle.forecast)
+
+    return con.execute(f"select {columns} from ({body(Definitions)})").fetchall()

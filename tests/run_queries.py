@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -21,6 +22,7 @@ def session(cpus: int = 8, partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]").appName("tidemark-tests")
         .config("spark.sql.shuffle.partitions", str(partitions)).config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
         .config("spark.driver.bindAddress", "127.0.0.1").config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
     )

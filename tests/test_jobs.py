@@ -86,6 +86,17 @@ def test_requests(spark):
     table = spark.createDataFrame([("2", "PENDING", 5.0, "x", None, None, None), ("1", "PENDING", 3.0, "x", None, None, None)],
                                   REQUEST).unionByName(jb.new_request(spark, "3", 9.0))
     started = jb.claim_request(table, 10.0)
-    out = by_id(jb.finish_requests(started, 12.0, F.lit(4).cast("long")), "request_id")
+    out = by_id(jb.finish_request(started, "1", 12.0, F.lit(4).cast("long")), "request_id")
     assert (out["1"].status, out["1"].started_at, out["1"].finished_at, out["1"].jobs_created) == ("COMPLETE", 10.0, 12.0, 4)
     assert out["2"].status == out["3"].status == "PENDING"
+    # A request that another scan has claimed is left alone.
+    both = jb.claim_request(started, 11.0)
+    out = by_id(jb.finish_request(both, "2", 12.0, F.lit(4).cast("long")), "request_id")
+    assert (out["1"].status, out["1"].jobs_created, out["2"].status) == ("RUNNING", None, "COMPLETE")
+
+
+def test_several_outcomes_of_a_job_leave_one_row(spark):
+    table = jobs(spark, [job("1", status="RUNNING", attempts=1)])
+    said = spark.createDataFrame([("1", False, "lost", None), ("1", True, None, 2.0), ("1", True, None, 1.0)], OUTCOME)
+    (row,) = jb.apply_outcomes(table, said, 5.0).collect()
+    assert (row.status, row.duration_sec, row.error) == ("COMPLETE", 2.0, None)

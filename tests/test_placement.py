@@ -1,5 +1,5 @@
 import pytest
-from helpers import dataset, datasets, expected_load, expected_placement, job, jobs
+from helpers import by_sql, dataset, datasets, job, jobs
 from hypothesis import given, settings, strategies as st
 
 from tidemark.config import Limits
@@ -35,7 +35,8 @@ def test_cost_summary(spark):
     j = jobs(spark, [job("1", status="COMPLETE"), job("2"), job("3", status="FAILED")])
     s = one(cost_summary(d, j))
     assert abs(s.savings - (s.baseline - s.optimized)) < 0.011
-    assert set(s.asDict()) == {"baseline", "optimized", "migration_cost", "savings", "savings_percent"}
+    assert set(s.asDict()) == {
+        "baseline", "optimized", "migration_cost", "savings", "savings_percent", "unpriced_datasets"}
 
 
 def test_cost_summary_golden(spark):
@@ -45,7 +46,7 @@ def test_cost_summary_golden(spark):
         dataset("b", [1000] * 24, "public-hot", initial="public-cold"),
     ])
     s = one(cost_summary(d, jobs(spark, [job("1", status="COMPLETE")])))
-    assert tuple(s) == (9633.94, 1139.41, 0.0, 8494.53, 88.17)
+    assert tuple(s) == (9633.94, 1139.41, 0.0, 8494.53, 88.17, 0)
 
 
 def test_hysteresis_hold(spark):
@@ -77,9 +78,17 @@ def test_short_histories(spark, hours):
     d = datasets(spark, [dataset(str(n), [(i * 37) % 50 for i in range(n)], writes=[i % 3 for i in range(n)])
                          for n in lengths])
     got = {r["dataset_id"]: (r["reads"], r["writes"]) for r in forecast_access(d, hours).collect()}
-    for n in lengths:
-        want = expected_load([(i * 37) % 50 for i in range(n)], hours), expected_load([i % 3 for i in range(n)], hours)
-        assert got[str(n)] == pytest.approx(want)
+    want = by_sql(d, lambda o: o.forecast(o.window("ranked", hours), "state", hours), "dataset_id, fc_reads, fc_writes")
+    assert len(want) == len(lengths)
+    for name, reads, writes in want:
+        assert got[name] == pytest.approx((reads, writes))
+
+
+def test_forecast_golden(spark):
+    # Means 0 and 12 of the older and the newer half: the trend is cut to 2. Then falling load, cut to 0.7.
+    d = datasets(spark, [dataset("up", [0] * 6 + [12] * 6), dataset("down", [100] * 6 + [10] * 6), dataset("one", [7])])
+    got = {r["dataset_id"]: r["reads"] for r in forecast_access(d).collect()}
+    assert got == pytest.approx({"up": 12 * 2 * 24, "down": 10 * 0.7 * 24, "one": 7 * 24})
 
 
 def test_unknown_tier_is_reported_and_left_out(spark):
@@ -94,6 +103,7 @@ def test_prices(spark):
         "on-prem", "private-cloud", "public-hot", "public-cold"]
 
 
+DECIDED = "dataset_id, target_backend, reason, current_cost, target_cost"
 BOUNDARIES = [
     ([99] * 24, 10.0, "public-cold"), ([100] * 24, 10.0, "public-cold"), ([0] * 23 + [100], 10.0, "on-prem"),
     ([0] * 23 + [99], 10.0, "public-cold"), ([10] * 24, 500.0, "on-prem"), ([10] * 23 + [11], 500.0, "on-prem"),
@@ -105,10 +115,20 @@ BOUNDARIES = [
 def test_boundaries(spark, limits):
     d = datasets(spark, [dataset(str(i), r, t, s) for i, (r, s, t) in enumerate(BOUNDARIES)])
     got = {r["dataset_id"]: r for r in evaluate_placement(d, Limits(hot_reads=limits[0], cold_reads=limits[1])).collect()}
-    for i, (reads, size, tier) in enumerate(BOUNDARIES):
-        want = expected_placement(reads, [1] * len(reads), size, tier, *limits)
-        assert (got[str(i)].target_backend, got[str(i)].reason) == want[:2], (i, want)
-        assert (got[str(i)].current_cost, got[str(i)].target_cost) == pytest.approx(want[2:], abs=1e-4)
+    want = by_sql(d, lambda o: o.place("fc", *limits), DECIDED)
+    assert len(want) == len(BOUNDARIES)
+    for name, target, why, here, there in want:
+        assert (got[name].target_backend, got[name].reason) == (target, why), name
+        assert (got[name].current_cost, got[name].target_cost) == pytest.approx((here, there), abs=1e-4)
+
+
+def test_boundaries_golden(spark):
+    # 100 reads are hot, 99 are not; an average of 10 is cold, above 10 it is not.
+    d = datasets(spark, [dataset("a", [0] * 23 + [100]), dataset("b", [0] * 23 + [99]), dataset("c", [10] * 24, "on-prem", 500.0),
+                         dataset("d", [10] * 23 + [11], "on-prem", 500.0)])
+    got = {r["dataset_id"]: r["reason"] for r in evaluate_placement(d).collect()}
+    assert got == {"a": "hot-read-low-latency", "b": "cold-data-cooldown", "c": "cold-data-cooldown",
+                   "d": "forecasted-cost-reduction"}
 
 
 CASE = st.tuples(
@@ -120,16 +140,15 @@ CASE = st.tuples(
 
 @settings(max_examples=6, deadline=None)
 @given(st.lists(CASE, min_size=20, max_size=40))
-def test_placement_equals_the_plain_model(spark, cases):
+def test_placement_equals_the_sql(spark, cases):
     rows = []
     for reads, size, tier, w, f in cases:
         reads = [int(x * f) for x in reads]
         rows.append((reads, [(w + i) % 7 for i in range(len(reads))], size, tier))
     d = datasets(spark, [dataset(str(i), r, t, s, w or None) for i, (r, w, s, t) in enumerate(rows)])
     got = {r["dataset_id"]: r for r in evaluate_placement(d).collect()}
-    for i, (reads, writes, size, tier) in enumerate(rows):
-        target, why, here, there = expected_placement(reads, writes, size, tier)
-        g = got[str(i)]
+    for name, target, why, here, there in by_sql(d, lambda o: o.place("fc"), DECIDED):
+        g = got[name]
         assert (g.current_cost, g.target_cost) == pytest.approx((here, there), abs=1e-4)
         assert g.target_backend == target or abs(here - there) < 1e-9
         assert g.reason == why

@@ -4,12 +4,15 @@ import pytest
 from run_queries import compare, duck
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 QUICK = [
     "event_validation", "dataset_state_upsert", "hot_reactions_on_state", "placement_decisions", "scan_jobs",
     "suppressed_jobs", "job_outcomes", "cost_summary", "savings_projection", "text_report", "migration_counts",
-    "p95_event_value", "scenario_placement", "training_features", "feature_scaler", "best_horizon",
+    "p95_event_value", "calendar_effect", "training_features", "feature_scaler", "best_horizon", "cost_summary_after_faults",
+    "savings_after_faults", "filled_hours_of_events", "streamed_state", "logged_runs",
 ]
 
 
@@ -29,6 +32,6 @@ def test_entry(spark):
     assert entry(spark).count() == 15
 
 
-def test_only_the_model_fit_has_no_sql():
-    assert set(queries()) - set(oracle_sql()) == {"trained_forecast"}
+def test_every_query_of_the_library_has_sql():
+    assert set(QUERIES) == set(ORACLE)
     assert set(oracle_sql()) <= set(queries())

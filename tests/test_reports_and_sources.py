@@ -5,10 +5,11 @@ from helpers import dataset, datasets, job, jobs
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics, reports, scenario
+from tidemark.operators.pricing import cost_summary
 from tidemark.operators import features as ft
 from tidemark.schemas import DATASET, RUN_LOG, TRAINING
 from tidemark.sources import files
-from tidemark.sources.keyed_log import KeyedLog
+from tidemark.sources.keyed_table import KeyedTable
 
 
 def test_empty_tables(spark):
@@ -44,10 +45,10 @@ def test_reports_agree(spark, tmp_path):
     j = jobs(spark, [job("1", status="COMPLETE", duration=2.0), job("2", status="FAILED")])
     s = reports.savings(d, j).first()
     assert s.savings == pytest.approx(-0.5) and s.monthly == pytest.approx(-15)
-    files.write_json_report(reports.json_report(d, j, "now"), str(tmp_path / "r"), reports.migration_counts(j))
-    assert spark.read.json(str(tmp_path / "r-counts")).filter("kind = 'reason'").first().jobs == 2
-    (text,) = [r.value for r in spark.read.text(str(tmp_path / "r")).collect()]
-    r = json.loads(text)
+    files.write_json_report(reports.json_report(d, j, "now"), str(tmp_path / "r"))
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "r")).collect()]
+    assert [x for x in lines if x.get("reason")] == [{"reason": "r", "count": 2}]
+    (r,) = [x for x in lines if "costs" in x]
     assert r["costs"]["savings"]["amount"] == pytest.approx(-0.5)
     assert r["migrations"]["efficiency"]["by_status"] == {"COMPLETE": 1, "FAILED": 1}
     assert r["backends"]["on-prem"] == {"count": 1, "total_gb": 100.0}
@@ -81,16 +82,20 @@ def test_training_csv(spark, tmp_path):
     assert (r.timestamp, r.reads_6h, r.hour_of_day, r.data_temperature, r.trend_6h) == (1735707600, 0.0, 5, "hot", 3.0)
 
 
-def test_keyed_log_and_materialise(spark, tmp_path):
-    log = KeyedLog(spark, str(tmp_path / "log"), "dataset_id", DATASET)
+def test_keyed_table_and_materialise(spark, tmp_path):
+    log = KeyedTable(spark, str(tmp_path / "log"), "dataset_id", DATASET, apart="size(history) > 1", buckets=3)
     assert log.read().count() == 0
     assert log.write(datasets(spark, [dataset("a", [1]), dataset("b", [1])]), "x")
     assert log.write(datasets(spark, [dataset("a", [1, 2])]), "y")
     assert log.write(datasets(spark, [dataset("a", [9])]), "y") is False
     sizes = {r.dataset_id: len(r.history) for r in log.read().collect()}
     assert sizes == {"a": 2, "b": 1}
-    log.compact("z")
-    assert {r.dataset_id: len(r.history) for r in log.read().collect()} == sizes
+    assert [r.dataset_id for r in log.read_apart().collect()] == ["a"]
+    for i in range(5):
+        assert log.write(datasets(spark, [dataset(f"n{i}", [1])]), f"more{i}")
+    again = KeyedTable(spark, str(tmp_path / "log"), "dataset_id", DATASET)
+    assert {r.dataset_id: len(r.history) for r in again.read().collect()} == sizes | {f"n{i}": 1 for i in range(5)}
+    assert again.has("x") and not again.has("z")
     first = files.materialise(spark.range(3), str(tmp_path / "m"))
     assert files.materialise(spark.range(9), str(tmp_path / "m")).count() == first.count() == 3
 
@@ -133,3 +138,53 @@ def test_scaler_equals_the_built_sequences(spark):
     windows = np.array([values[i:i + 24] for i in range(60 - 35)], dtype=float).ravel()
     assert s.mean_f == pytest.approx(windows.mean()) and s.sd_f == pytest.approx(windows.std())
     assert (s.mean_g, s.sd_g) == (1.0, 1.0)
+
+
+def test_savings_never_come_from_unpriced_datasets(spark):
+    d = datasets(spark, [dataset("a", [5] * 3, "on-prem"), dataset("b", [5] * 3, "tape", initial="on-prem")])
+    j = jobs(spark, [])
+    s = cost_summary(d, j).first()
+    assert (s.savings, s.savings_percent, s.unpriced_datasets) == (0.0, 0.0, 1) and s.baseline > 0
+    s = reports.savings(d, j, baseline="initial").first()
+    assert (s.savings, s.unpriced_datasets) == (0.0, 1) and s.baseline > 0
+
+
+def test_hours_off_the_grid_are_not_lost(spark):
+    rows = [("a", 0, 5, 1, 1), ("a", 1800, 7, 1, 1), ("a", 7300, 1, 0, 0), ("b", 2**60, 3, 0, 0), ("b", 100, 2, 0, 0)]
+    access = spark.createDataFrame(rows, "dataset_id string, timestamp long, reads_1h long, writes_1h long, bytes_read_1h long")
+    got = {(r.dataset_id, r.timestamp): r.reads_1h for r in scenario.fill_hours(access).collect()}
+    assert got == {("a", 0): 12, ("a", 3600): 0, ("a", 7200): 1, ("b", 2**60 // 3600 * 3600): 3, ("b", 0): 2}
+
+
+def test_calendar_entries_of_no_days_cover_none(spark):
+    from tidemark.config import CalendarEntry
+
+    c = scenario.calendar_table(spark, (CalendarEntry("x", 5, 0, ("p",), read_multiplier=2.0),))
+    assert scenario.daily_multipliers(c, 30).count() == 0
+
+
+def test_scaler_of_large_values(spark):
+    rows = [("a", 3600 * i, 1e12 + i % 2, True, i, 60) for i in range(60)]
+    t = spark.createDataFrame(rows, "dataset_id string, timestamp long, f double, is_train boolean, part_pos long, part_rows long")
+    s = ft.fit_scaler(t, ["f"], 12).first()
+    assert s.sd_f == pytest.approx(0.5, rel=1e-6)
+
+
+def test_malformed_training_cells(spark, tmp_path):
+    names = TRAINING.names
+    row = {n: "3" for n in names} | {"dataset_id": "a", "timestamp": "yesterday", "hour_of_day": "9e30"}
+    p = tmp_path / "t.csv"
+    p.write_text(",".join(names) + "\n" + ",".join(row[n] for n in names) + "\n")
+    r = files.read_training_csv(spark, str(p)).first()
+    assert (r.timestamp, r.hour_of_day) == (None, 0)
+
+
+def test_runs_keep_their_copies_together(spark):
+    import os
+
+    with files.run_of("q") as run:
+        df = files.staged(spark.range(3))
+    folder = f"{files.shared_dir(spark)}/staged/{run}"
+    assert df.count() == 3 and len(os.listdir(folder)) == 1
+    files.drop_run(spark, run)
+    assert not os.path.exists(folder)

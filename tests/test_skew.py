@@ -38,9 +38,11 @@ def test_spread_equals_a_plain_window(rows, width, min_rows):
 
 def test_blocks_are_bounded(rows):
     hot = hot_blocks(rows, "key", F.floor(F.col("seq") / 10), 23, 0, 500).collect()
-    assert [r["key"] for r in hot] == ["hot"]
-    assert len(hot[0]["blocks"]) == 8
-    assert max(b["own_to"] - b["own_from"] for b in hot[0]["blocks"]) <= 50
+    assert {r["hot_key"] for r in hot} == {"hot"} and len(hot) == 400
+    assert {r["block"] for r in hot} == set(range(8))
+    # A bucket of ten rows is seen by its own block, and near a border by the next one.
+    assert all(r["first_block"] == r["block"] <= r["last_block"] <= r["block"] + 1 for r in hot)
+    assert sum(r["last_block"] > r["block"] for r in hot) == 7 * 23
 
 
 def test_positions(rows):

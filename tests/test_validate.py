@@ -23,6 +23,12 @@ CASES = [
     ("  " + json.dumps(GOOD) + "\n", None),
     (json.dumps(GOOD) + " x", "invalid json"),
     (json.dumps(GOOD) + "," + json.dumps(GOOD), "invalid json"),
+    (json.dumps(GOOD) + "] garbage", "invalid json"),
+    (json.dumps(GOOD) + "],[1", "invalid json"),
+    (json.dumps(GOOD) + "]", "invalid json"),
+    (json.dumps(GOOD) + "}", "invalid json"),
+    (json.dumps(GOOD) + "] {}", "invalid json"),
+    (json.dumps({**GOOD, "tags": [1, "]"]}), None),
     ("", "invalid json"),
     ("nope", "invalid json"),
     (json.dumps(GOOD)[:-1], "invalid json"),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from .numeric import or_zero
+from .numeric import or_zero, whole
 
 
 def known(history: Column) -> Column:
@@ -16,8 +16,13 @@ def newest(entries: Column, n) -> Column:
     return F.slice(entries, F.greatest(size - F.lit(n), F.lit(0)) + 1, F.lit(n))
 
 
+def _sum(entries: Column, field: str) -> Column:
+    # In double: exact below 2**53, and no value of an event can make it overflow.
+    return F.aggregate(entries, F.lit(0.0), lambda acc, e: acc + or_zero(e[field]).cast("double"))
+
+
 def total(entries: Column, field: str) -> Column:
-    return F.aggregate(entries, F.lit(0).cast("long"), lambda acc, e: acc + or_zero(e[field]).cast("long"))
+    return whole(_sum(entries, field))
 
 
 def peak(entries: Column, field: str) -> Column:
@@ -27,4 +32,4 @@ def peak(entries: Column, field: str) -> Column:
 
 
 def mean(entries: Column, field: str) -> Column:
-    return total(entries, field) / F.size(entries)
+    return _sum(entries, field) / F.size(entries)

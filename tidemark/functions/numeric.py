@@ -18,3 +18,10 @@ def percent(top: Column, bottom: Column) -> Column:
 
 def or_zero(x: Column) -> Column:
     return F.coalesce(x, F.lit(0))
+
+
+def whole(x: Column) -> Column:
+    """A number as a 64-bit integer; beyond the range the nearest one."""
+    top = F.lit(2**63 - 1).cast("long")
+    low = F.lit(-(2**63)).cast("long")
+    return F.when(x >= 2.0**63, top).when(x <= -(2.0**63), low).otherwise(x.try_cast("long"))

@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.numeric import clamp, or_zero
+from ..functions.numeric import clamp, or_zero, whole
 from ..functions.once import with_columns_once
 from ..schemas import ROLLING_HOURS
 from .forecast import RECENT, TREND_HIGH, TREND_LOW, forecast_columns, trailing_windows
@@ -43,23 +43,25 @@ def rolling_columns(runs: Runs) -> Runs:
     w = runs.window
     upto = w.rowsBetween(W.unboundedPreceding, 0)
     series = {"reads": F.col("reads_1h"), "writes": F.col("writes_1h"), "active": (F.col("reads_1h") > 0).cast("long")}
+    # As decimals: exact, and no value of an event can make a running total overflow.
+    exact = lambda c: or_zero(c).cast("decimal(19,0)")
     runs = runs.with_columns(
-        run_no=F.row_number().over(w), **{f"run_{k}": F.sum(or_zero(c)).over(upto) for k, c in series.items()}
+        run_no=F.row_number().over(w), **{f"run_{k}": F.sum(exact(c)).over(upto) for k, c in series.items()}
     )
-    back = lambda k, n: F.coalesce(F.lag(f"run_{k}", n).over(w), F.lit(0))
+    back = lambda k, n: F.coalesce(F.lag(f"run_{k}", n).over(w), F.lit(0).cast("decimal(29,0)"))
     widths = [(k, h) for k in ("reads", "writes") for h in ROLLING_HOURS] + [("active", 24), ("reads", 2 * RECENT)]
     lags = {f"run_{k}_{n}": back(k, n) for k, n in widths}
     runs = runs.with_columns(**lags)
     c = F.col
     out = {f"{k}_{h}h": (c(f"run_{k}") - c(f"run_{k}_{h}")).cast("double") for k in ("reads", "writes") for h in ROLLING_HOURS}
-    recent = (c("run_reads") - c(f"run_reads_{RECENT}")) / F.least(c("run_no"), F.lit(RECENT))
+    recent = (c("run_reads") - c(f"run_reads_{RECENT}")).cast("double") / F.least(c("run_no"), F.lit(RECENT))
     rows_before = F.least(c("run_no") - RECENT, F.lit(RECENT))
     before = F.when(
-        rows_before > 0, (c(f"run_reads_{RECENT}") - c(f"run_reads_{2 * RECENT}")) / rows_before
+        rows_before > 0, (c(f"run_reads_{RECENT}") - c(f"run_reads_{2 * RECENT}")).cast("double") / rows_before
     ).otherwise(F.lit(0.0))
     out["trend_6h"] = clamp(recent / F.greatest(before, F.lit(1.0)), TREND_LOW, TREND_HIGH)
     out["access_freq_24h"] = (c("run_active") - c("run_active_24")).cast("double")
-    out["data_temperature"] = temperature(c("run_reads") - c("run_reads_24"))
+    out["data_temperature"] = temperature((c("run_reads") - c("run_reads_24")).cast("double"))
     kept = [n for n in runs.df.columns if n in (runs.own, runs.block) or not n.startswith("run_")]
     return replace(runs, df=runs.df.select(*kept, *[v.alias(n) for n, v in out.items()]))
 
@@ -100,15 +102,17 @@ def sequence_samples(
 ) -> DataFrame:
     """``x``: the ``lookback`` rows up to each row, ``target``: the sum of ``y`` over the next ``horizon`` rows.
     Only complete windows are kept."""
-    runs = spread(rows, series, ["timestamp"], day(), lookback=lookback - 1, lookahead=horizon, min_rows=min_rows)
+    # Every value takes part in the order, so rows with one timestamp have one order too.
+    order = ["timestamp", "y", *features]
+    runs = spread(rows, series, order, day(), lookback=lookback - 1, lookahead=horizon, min_rows=min_rows)
     w = runs.window
     past, future = w.rowsBetween(-(lookback - 1), 0), w.rowsBetween(1, horizon)
+    whole_ = (F.count(F.lit(1)).over(past) == lookback) & (F.count(F.lit(1)).over(future) == horizon)
     out = runs.with_columns(
-        seen=F.count(F.lit(1)).over(past), ahead=F.count(F.lit(1)).over(future), target=F.sum("y").over(future),
-        x=F.collect_list(F.array(*features)).over(past),
+        full=whole_, target=F.sum("y").over(future), x=F.collect_list(F.array(*features)).over(past),
     ).done()
     keep = [c for c in rows.columns if c not in features and c not in ("y", "part_pos", "part_rows")]
-    return out.filter((F.col("seen") == lookback) & (F.col("ahead") == horizon)).select(*keep, "x", "target")
+    return out.filter("full").select(*keep, "x", "target")
 
 
 def sample_weight(horizon: int, lookback: int = LOOKBACK) -> Column:
@@ -119,25 +123,28 @@ def sample_weight(horizon: int, lookback: int = LOOKBACK) -> Column:
     return F.greatest(F.lit(0), last - first + 1)
 
 
-def _deviation(square_mean: Column, mean: Column) -> Column:
-    sd = F.sqrt(F.greatest(F.lit(0.0), square_mean - mean * mean))
-    # A constant feature keeps its scale.
-    return F.when(sd == 0, F.lit(1.0)).otherwise(sd)
-
-
 def fit_scaler(rows: DataFrame, features: list[str], horizon: int, lookback: int = LOOKBACK) -> DataFrame:
     """Mean and population deviation of each feature over all rows of all training sequences, in one row
     ``(mean_*, sd_*)``. Rows are weighted by their number of sequences, so no sequence is built for it."""
     w = F.when(F.col("is_train"), sample_weight(horizon, lookback)).otherwise(F.lit(0)).cast("double")
     weighted = rows.withColumn("w", w).filter("w > 0")
     total = F.sum("w")
-    sums = weighted.agg(
+    first = weighted.agg(
         *[(F.sum(F.col("w") * F.col(c)) / total).alias(f"mean_{c}") for c in features],
-        *[(F.sum(F.col("w") * F.col(c) * F.col(c)) / total).alias(f"square_{c}") for c in features],
+        *[(F.min(c) == F.max(c)).alias(f"same_{c}") for c in features],
     )
-    return sums.select(
-        *[F.col(f"mean_{c}") for c in features],
-        *[_deviation(F.col(f"square_{c}"), F.col(f"mean_{c}")).alias(f"sd_{c}") for c in features],
+    # A second pass over the differences from the mean: squares of large values would cancel. A constant feature keeps
+    # its scale.
+    m = lambda n: F.col(f"m.{n}")
+    centred = with_columns_once(weighted, {"m": first.select(F.struct("*")).scalar()})
+    return centred.agg(
+        *[F.any_value(m(f"mean_{c}")).alias(f"mean_{c}") for c in features],
+        *[
+            F.when(F.any_value(m(f"same_{c}")), F.lit(1.0))
+            .otherwise(F.sqrt(F.sum(F.col("w") * (F.col(c) - m(f"mean_{c}")) * (F.col(c) - m(f"mean_{c}"))) / total))
+            .alias(f"sd_{c}")
+            for c in features
+        ],
     )
 
 
@@ -145,7 +152,7 @@ def fit_plain_scaler(df: DataFrame, columns: list[str]) -> DataFrame:
     """The same for unweighted columns, such as the target."""
     return df.agg(
         *[F.avg(c).alias(f"mean_{c}") for c in columns],
-        *[F.when(F.stddev_pop(c) == 0, F.lit(1.0)).otherwise(F.stddev_pop(c)).alias(f"sd_{c}") for c in columns],
+        *[F.when(F.min(c) == F.max(c), F.lit(1.0)).otherwise(F.stddev_pop(c)).alias(f"sd_{c}") for c in columns],
     )
 
 
@@ -173,7 +180,8 @@ def backtest(access: DataFrame, horizon: int, lookback: int = LOOKBACK, min_rows
     past, future = w.rowsBetween(-(lookback - 1), 0), w.rowsBetween(1, horizon)
     walked = trailing_windows(runs, hours=horizon).with_columns(
         seen=F.count(F.lit(1)).over(past), ahead=F.count(F.lit(1)).over(future),
-        actual_reads=F.sum("reads_1h").over(future), actual_writes=F.sum("writes_1h").over(future),
+        actual_reads=whole(F.sum(F.col("reads_1h").cast("double")).over(future)),
+        actual_writes=whole(F.sum(F.col("writes_1h").cast("double")).over(future)),
     ).done()
     full = walked.filter((F.col("seen") == lookback) & (F.col("ahead") == horizon))
     return full.withColumns(forecast_columns(horizon)).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import entries as en
-from ..functions.numeric import clamp, or_zero
+from ..functions.numeric import clamp, or_zero, whole
 from ..functions.once import with_columns_once
 from .skew import Runs
 
@@ -40,7 +40,7 @@ def window_columns(hours: int = HOURS) -> dict[str, Column]:
     older = F.when(n >= 2 * RECENT, F.slice(h, F.greatest(n - 2 * RECENT, F.lit(0)) + 1, F.lit(RECENT))).otherwise(
         F.slice(h, F.lit(1), head)
     )
-    safe_mean = lambda a, f: F.when(F.size(a) > 0, en.total(a, f) / F.size(a)).otherwise(F.lit(0.0))
+    safe_mean = lambda a, f: F.when(F.size(a) > 0, en.mean(a, f)).otherwise(F.lit(0.0))
     return {
         "n": n,
         "recent_reads": safe_mean(recent, "reads_1h"),
@@ -91,9 +91,10 @@ def trailing_windows(runs: Runs, hours: int = HOURS) -> Runs:
     reads, writes, size = or_zero(F.col("reads_1h")), or_zero(F.col("writes_1h")), or_zero(F.col("bytes_read_1h"))
     out = runs.with_columns(
         n=F.count(F.lit(1)).over(last),
-        sum_reads=F.sum(reads).over(last),
-        sum_writes=F.sum(writes).over(last),
-        sum_bytes=F.sum(size).over(last),
+        # In double, as in the row-local form: no value of an event can make it overflow.
+        sum_reads=whole(F.sum(reads.cast("double")).over(last)),
+        sum_writes=whole(F.sum(writes.cast("double")).over(last)),
+        sum_bytes=whole(F.sum(size.cast("double")).over(last)),
         peak_reads=F.max(reads).over(last),
         recent_reads=F.avg(reads).over(recent),
         recent_writes=F.avg(writes).over(recent),

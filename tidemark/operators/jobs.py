@@ -13,9 +13,6 @@ from .state import with_history
 PENDING, RUNNING, COMPLETE, FAILED = "PENDING", "RUNNING", "COMPLETE", "FAILED"
 JOB_KEY = ("dataset_id", "reason")
 
-# Above this many ids the id list is no longer broadcast but joined by shuffle.
-BROADCAST_IDS = 100_000
-
 
 def job_id(dataset_id: Column, reason: Column, created_at: Column) -> Column:
     return F.sha2(F.concat_ws("|", dataset_id, reason, created_at.cast("string")), 256)
@@ -73,11 +70,10 @@ def eligible(now: float) -> Column:
     return (F.col("status") == PENDING) & (F.col("retry_after").isNull() | (F.col("retry_after") <= now))
 
 
-def _marked(table: DataFrame, ids: DataFrame, key: str, n: int) -> DataFrame:
-    """Adds ``hit``: whether the key is among the ``n`` ids."""
+def _marked(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Adds ``hit``: whether the key is among the ids. Spark sees how many there are and picks the join."""
     ids = ids.select(F.col(key).alias("hit_key"))
-    side = F.broadcast(ids) if n <= BROADCAST_IDS else ids
-    joined = table.join(side, table[key] == F.col("hit_key"), "left")
+    joined = table.join(ids, table[key] == F.col("hit_key"), "left")
     return joined.withColumn("hit", F.col("hit_key").isNotNull()).drop("hit_key")
 
 
@@ -101,7 +97,7 @@ def claimed(jobs: DataFrame, now: float, n: int = 1) -> DataFrame:
 
 def claim_jobs(jobs: DataFrame, now: float, n: int = 1) -> DataFrame:
     """The whole job table after claiming up to ``n`` jobs."""
-    marked = _marked(jobs, next_jobs(jobs, now, n), "job_id", n)
+    marked = _marked(jobs, next_jobs(jobs, now, n), "job_id")
     return marked.withColumns({k: F.when(F.col("hit"), v).otherwise(F.col(k)) for k, v in _start(now).items()}).select(
         *JOB.names
     )
@@ -110,13 +106,17 @@ def claim_jobs(jobs: DataFrame, now: float, n: int = 1) -> DataFrame:
 def apply_outcomes(jobs: DataFrame, outcomes: DataFrame, now: float, limits: Limits = LIMITS) -> DataFrame:
     """The whole job table after outcomes ``(job_id, success, error, duration_sec)``.
 
-    A success completes the job. A failure puts it back with a growing delay until its attempts are used up.
+    A success completes the job. A failure puts it back with a growing delay until its attempts are used up. Of several
+    outcomes of one job a success counts before a failure, then the longer duration, then the later error text.
     """
-    o = outcomes.select(
-        F.col("job_id").alias("o_id"), F.col("success").alias("o_ok"), F.col("error").alias("o_error"),
-        F.col("duration_sec").alias("o_duration"),
+    one = outcomes.groupBy(F.col("job_id").alias("o_id")).agg(
+        F.max(F.struct("success", "duration_sec", "error")).alias("o")
+    )
+    o = one.select(
+        "o_id", F.col("o.success").alias("o_ok"), F.col("o.error").alias("o_error"),
+        F.col("o.duration_sec").alias("o_duration"),
     )
-    joined = jobs.join(o, jobs["job_id"] == o["o_id"], "left")
+    joined = jobs.join(o, jobs["job_id"] == F.col("o_id"), "left")
     done = F.col("o_ok")
     broken = ~F.col("o_ok")
     tries = F.coalesce("attempts", F.lit(1))
@@ -163,19 +163,24 @@ def new_request(datasets_or_spark, request_id: str, now: float, reason: str = "a
     return spark.createDataFrame([(request_id, PENDING, float(now), reason, None, None, None)], REQUEST)
 
 
+def next_request(requests: DataFrame) -> DataFrame:
+    """The oldest pending request, equal times by id."""
+    return requests.filter(F.col("status") == PENDING).orderBy("created_at", "request_id").limit(1)
+
+
 def claim_request(requests: DataFrame, now: float) -> DataFrame:
     """The request table after the oldest pending request has started."""
-    oldest = requests.filter(F.col("status") == PENDING).orderBy("created_at", "request_id").limit(1)
-    marked = _marked(requests, oldest, "request_id", 1)
+    marked = _marked(requests, next_request(requests), "request_id")
     return marked.withColumns({
         "status": F.when(F.col("hit"), RUNNING).otherwise(F.col("status")),
         "started_at": F.when(F.col("hit"), F.lit(float(now))).otherwise(F.col("started_at")),
     }).select(*REQUEST.names)
 
 
-def finish_requests(requests: DataFrame, now: float, jobs_created: Column) -> DataFrame:
-    """Complete the running requests with the number of jobs their scan made."""
-    hit = F.col("status") == RUNNING
+def finish_request(requests: DataFrame, request_id: Column | str, now: float, jobs_created: Column) -> DataFrame:
+    """Complete one running request with the number of jobs its scan made. Others that run are left alone."""
+    wanted = F.lit(request_id) if isinstance(request_id, str) else request_id
+    hit = (F.col("status") == RUNNING) & (F.col("request_id") == wanted)
     return requests.withColumns({
         "finished_at": F.when(hit, F.lit(float(now))).otherwise(F.col("finished_at")),
         "jobs_created": F.when(hit, jobs_created).otherwise(F.col("jobs_created")),

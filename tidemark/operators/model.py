@@ -66,6 +66,28 @@ def evaluate(predictions: DataFrame, name: str, kind: str, ord_: int) -> DataFra
     )
 
 
+def compare_losses(split_table: DataFrame, horizons=ft.HORIZONS, kinds=("reads", "writes")) -> DataFrame:
+    """For every target, horizon and loss the number of validation samples, and whether the trained model's mean error is
+    below that of always predicting the training mean."""
+    out = None
+    for kind in kinds:
+        for horizon in horizons:
+            s = prepare(split_table, kind, horizon)
+            usual = s.target_scaler.select("mean_target").scalar()
+            truth = s.data.filter("not is_train")
+            naive = truth.agg(F.avg(F.abs(F.col("target") - usual)).alias("mean_mae"))
+            for loss in ("squaredError", "huber"):
+                error = predict(train(s, loss), s).agg(
+                    F.count("*").alias("n"), F.avg(F.abs(F.col("target") - F.col("prediction"))).alias("mae")
+                )
+                row = error.crossJoin(naive).select(  # one row each
+                    F.lit(kind).alias("target"), F.lit(f"{horizon}h").alias("name"), F.lit(loss).alias("loss"), "n",
+                    (F.col("mae") < F.col("mean_mae")).alias("beats_mean"),
+                )
+                out = row if out is None else out.unionByName(row)
+    return out
+
+
 def compare(split_table: DataFrame, horizons=ft.HORIZONS, kinds=("reads", "writes"), loss: str = "squaredError",
             max_iter: int = 40) -> DataFrame:
     """Train every target and horizon and return their validation errors, one row each."""

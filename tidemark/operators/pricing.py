@@ -93,8 +93,18 @@ def dataset_costs(datasets: DataFrame, tiers=TIERS) -> DataFrame:
     )
 
 
+def _totals(datasets: DataFrame, tiers=TIERS) -> DataFrame:
+    """Sums over the datasets that can be priced at both tiers, and how many cannot: ``b``, ``o``,
+    ``unpriced_datasets``. A dataset never counts on one side alone."""
+    both = F.col("initial_cost").isNotNull() & F.col("current_cost").isNotNull()
+    add = lambda c: F.coalesce(F.sum(F.when(both, F.col(c))), F.lit(0.0))
+    return dataset_costs(datasets, tiers).agg(
+        add("initial_cost").alias("b"), add("current_cost").alias("o"), F.count_if(~both).alias("unpriced_datasets")
+    )
+
+
 def baseline_cost(datasets: DataFrame, tiers=TIERS) -> DataFrame:
-    return dataset_costs(datasets, tiers).agg(F.coalesce(F.sum("initial_cost"), F.lit(0.0)).alias("baseline"))
+    return _totals(datasets, tiers).select(F.col("b").alias("baseline"), "unpriced_datasets")
 
 
 def _moves(jobs: DataFrame) -> Column:
@@ -102,25 +112,22 @@ def _moves(jobs: DataFrame) -> Column:
 
 
 def optimized_cost(datasets: DataFrame, jobs: DataFrame, tiers=TIERS, fee: float = LIVE_MOVE_FEE) -> DataFrame:
-    total = dataset_costs(datasets, tiers).agg(F.coalesce(F.sum("current_cost"), F.lit(0.0)).alias("data_cost"))
-    return total.withColumn("migration_cost", _moves(jobs) * F.lit(fee)).select(
-        (F.col("data_cost") + F.col("migration_cost")).alias("optimized"), "migration_cost"
+    return _totals(datasets, tiers).withColumn("migration_cost", _moves(jobs) * F.lit(fee)).select(
+        (F.col("o") + F.col("migration_cost")).alias("optimized"), "migration_cost", "unpriced_datasets"
     )
 
 
 def cost_summary(datasets: DataFrame, jobs: DataFrame, tiers=TIERS, fee: float = LIVE_MOVE_FEE) -> DataFrame:
-    """Five totals in one row, rounded to cents. Each table is scanned once."""
-    totals = (
-        dataset_costs(datasets, tiers)
-        .agg(
-            F.coalesce(F.sum("initial_cost"), F.lit(0.0)).alias("b"),
-            F.coalesce(F.sum("current_cost"), F.lit(0.0)).alias("o"),
-        )
-        .withColumn("m", _moves(jobs) * F.lit(fee))
-        .withColumn("opt", F.col("o") + F.col("m"))
-    )
-    b, opt = F.col("b"), F.col("opt")
-    return totals.select(
+    """Five totals in one row, rounded to cents, and the number of datasets that are in none of them because a tier of
+    theirs has no price. Each table is scanned once."""
+    return _totals(datasets, tiers).withColumn("m", _moves(jobs) * F.lit(fee)).select(*summary_columns())
+
+
+def summary_columns() -> list[Column]:
+    """The summary from columns with the sums ``b``, ``o``, ``m`` and ``unpriced_datasets``."""
+    b, opt = F.col("b"), F.col("o") + F.col("m")
+    return [
         F.round(b, 2).alias("baseline"), F.round(opt, 2).alias("optimized"), F.round("m", 2).alias("migration_cost"),
         F.round(b - opt, 2).alias("savings"), F.round(percent(b - opt, b), 2).alias("savings_percent"),
-    )
+        F.col("unpriced_datasets"),
+    ]

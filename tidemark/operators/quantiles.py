@@ -1,9 +1,8 @@
-"""Exact quantiles without sorting or collecting the whole column.
+"""Exact quantiles without one task that sees the whole column.
 
-Each level asks an approximate pass for a grid of quantiles, picks the two grid values around the wanted
-rank, and counts exactly what lies below and between them. Two levels leave about a hundred-thousandth of
-the values; only those are ranked. A bracket that misses the rank keeps the previous one, so the result
-is exact for any distribution. Each scalar is attached once, so the input is scanned six times in all.
+The column becomes pairs (value, count), cut into ranges of values. Counts per range, one small number for each partition,
+tell how many values lie before a range; running counts inside each range do the rest. The source is read once and the
+stored pairs twice.
 """
 
 from __future__ import annotations
@@ -11,76 +10,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.once import with_columns_once
+from ..sources.files import staged
 
-GRID = 1000
-ACCURACY = 10_000
-LEVELS = 2
 
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """Stored ``(x, c, part)``: every value with its count and the number of its range; ranges ascend."""
+    x = df.select(F.col(column).cast("double").alias("x")).filter("x is not null")
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = x.groupBy("x").agg(F.count("*").alias("c"))
+    return staged(pairs.repartitionByRange(ranges, "x").withColumn("part", F.spark_partition_id()))
 
-def _bracket(x: DataFrame, found: DataFrame) -> DataFrame:
-    """Narrow the bracket of ``found`` (one row, one struct ``t``) to the grid values around the rank."""
-    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-    t = lambda f: F.col(f"t.{f}")
-    cut = with_columns_once(x, {"t": found.scalar()}).filter(F.col("x").between(t("from"), t("to")))
-    seen = cut.agg(
-        F.any_value("t").alias("t"), F.count("*").alias("m"), F.percentile_approx("x", grid, ACCURACY).alias("q")
-    )
-    i = (F.floor((t("k1") - t("below")) * GRID / F.col("m")) - 1).cast("int")
-    j = (F.ceil((t("k2") - t("below")) * GRID / F.col("m")) + 1).cast("int")
-    guess = seen.select(
-        F.struct(
-            "t",
-            F.when(i < 0, t("from")).otherwise(F.get("q", i)).alias("from"),
-            F.when(j > GRID, t("to")).otherwise(F.get("q", j)).alias("to"),
-        ).alias("g")
-    )
-    g = lambda f: F.col(f"g.{f}")
-    counted = with_columns_once(x, {"g": guess.scalar()}).agg(
-        F.any_value("g").alias("g"),
-        F.count_if(F.col("x") < g("from")).alias("below"),
-        F.count_if(F.col("x").between(g("from"), g("to"))).alias("inside"),
-    )
-    ok = (F.col("below") < g("t.k1")) & (F.col("below") + F.col("inside") >= g("t.k2"))
-    keep = [g(f"t.{f}").alias(f) for f in ("n", "max", "k1", "k2", "part")]
-    return counted.select(
-        F.struct(
-            *keep,
-            F.when(ok, g("from")).otherwise(g("t.from")).alias("from"),
-            F.when(ok, g("to")).otherwise(g("t.to")).alias("to"),
-            F.when(ok, F.col("below")).otherwise(g("t.below")).alias("below"),
-        ).alias("t")
-    )
 
+def _offsets(pairs: DataFrame) -> DataFrame:
+    """``(part, before, n)``: values before each range and in all. One row per range, so one array holds them."""
+    sizes = pairs.groupBy("part").agg(F.sum("c").alias("c"))
+    listed = sizes.agg(F.sort_array(F.collect_list(F.struct("part", "c"))).alias("s"))
+    total = lambda s: F.aggregate(s, F.lit(0).cast("long"), lambda a, e: a + e["c"])
+    rows = F.transform("s", lambda e, i: F.struct(
+        e["part"].alias("range"), total(F.slice("s", F.lit(1), i)).alias("before"), F.col("n").alias("n")
+    ))
+    return with_columns_once(listed, {"n": total(F.col("s"))}).select(F.inline(rows))
 
-def exact_quantile(df: DataFrame, column: str, p: float, method: str = "exclusive", levels: int = LEVELS) -> DataFrame:
+
+def exact_quantile(df: DataFrame, column: str, p: float, method: str = "exclusive") -> DataFrame:
     """One row ``(n, value)``. Exclusive: linear at position p(n+1), and the maximum below 100 values.
     Inclusive: linear at position 1 + p(n-1). Nulls are ignored; no values give a null."""
-    x = df.select(F.col(column).cast("double").alias("x")).filter("x is not null")
+    pairs = value_counts(df, column)
     n = F.col("n")
     want = F.lit(p) * (n + 1) if method == "exclusive" else 1 + F.lit(p) * (n - 1)
     want = F.greatest(F.lit(1.0), F.least(n.cast("double"), want))
-    first = F.floor(want)
-    found = x.agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).select(
-        F.struct(
-            n, F.col("hi").alias("max"), first.alias("k1"), F.least(n, first + 1).alias("k2"),
-            (want - first).alias("part"), F.col("lo").alias("from"), F.col("hi").alias("to"),
-            F.lit(0).cast("long").alias("below"),
-        ).alias("t")
-    )
-    for _ in range(levels):
-        found = _bracket(x, found)
-    # Equal values collapse before they are ranked; only the bracket reaches the one ordered window.
-    left = with_columns_once(x, {"t": found.scalar()}).filter(F.col("x").between(F.col("t.from"), F.col("t.to")))
-    ranked = (
-        left.groupBy("x").agg(F.count("*").alias("c"), F.any_value("t").alias("t"))
-        .withColumn("upto", F.col("t.below") + F.sum("c").over(W.orderBy("x")))
-    )
+    # Bounded by the number of partitions.
+    placed = pairs.join(F.broadcast(_offsets(pairs)), F.col("part") == F.col("range"))
+    within = F.sum("c").over(W.partitionBy("part").orderBy("x"))
+    ranked = placed.select("x", "n", (F.col("before") + within).alias("upto"), want.alias("want"))
+    first = F.floor("want")
     result = ranked.agg(
-        F.any_value("t").alias("t"),
-        F.min(F.when(F.col("upto") >= F.col("t.k1"), F.col("x"))).alias("a"),
-        F.min(F.when(F.col("upto") >= F.col("t.k2"), F.col("x"))).alias("b"),
+        F.max("n").alias("n"), F.max("x").alias("top"), F.max(F.col("want") - first).alias("part"),
+        F.min(F.when(F.col("upto") >= first, F.col("x"))).alias("a"),
+        F.min(F.when(F.col("upto") >= F.least(F.col("n"), first + 1), F.col("x"))).alias("b"),
     )
-    value = F.col("a") + F.col("t.part") * (F.col("b") - F.col("a"))
+    value = F.col("a") + F.col("part") * (F.col("b") - F.col("a"))
     if method == "exclusive":
-        value = F.when(F.col("t.n") < 100, F.col("t.max")).otherwise(value)
-    return result.select(F.coalesce(F.col("t.n"), F.lit(0)).alias("n"), value.alias("value"))
+        value = F.when(n < 100, F.col("top")).otherwise(value)
+    return result.select(F.coalesce(n, F.lit(0)).alias("n"), value.alias("value"))

@@ -1,15 +1,11 @@
-"""Expected demand per dataset and hour, from workload templates and a demand calendar."""
+"""Demand calendar and workload templates next to observed access, and hourly rows without gaps."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import CALENDAR, CYCLE_DAYS, PERSONAS
-
-# Share of archive hours with a full-rate read, and the rate of the others.
-ARCHIVE_SPIKE, ARCHIVE_IDLE = 0.002, 0.01
-VIRAL_DECAY, VIRAL_HALF_LIFE, VIRAL_FLOOR = 0.693, 48.0, 0.01
-
+from ..functions.numeric import whole
 
 def calendar_table(spark: SparkSession, entries=CALENDAR) -> DataFrame:
     rows = [
@@ -34,7 +30,8 @@ def daily_multipliers(calendar: DataFrame, cycle_days: int = CYCLE_DAYS) -> Data
 
     The date ranges become single days, so the lookup is an equality join on at most personas x cycle days rows.
     """
-    days = calendar.select(
+    # An entry of no days covers none; a sequence would count down.
+    days = calendar.filter("duration_days > 0").select(
         F.explode(F.sequence("start_day", F.col("start_day") + F.col("duration_days") - 1)).alias("cycle_day"),
         "personas", "read_multiplier", "write_multiplier",
     ).filter(F.col("cycle_day").between(0, cycle_days - 1))
@@ -49,83 +46,61 @@ def daily_multipliers(calendar: DataFrame, cycle_days: int = CYCLE_DAYS) -> Data
     )
 
 
-def hour_grid(datasets: DataFrame, first_hour: int, hours: int) -> DataFrame:
-    """Every dataset once per hour ``[first_hour, first_hour + hours)``; rows are made in place, without a join."""
-    return datasets.withColumn(
-        "hour_no", F.explode(F.sequence(F.lit(first_hour).cast("long"), F.lit(first_hour + hours - 1).cast("long")))
-    )
-
-
-def persona_multiplier(persona: Column, hour_of_day: Column, day: Column, creation_hour: Column) -> Column:
-    business = F.when((day % 7 < 5) & (hour_of_day >= 9) & (hour_of_day < 17), 1.0).otherwise(0.15)
-    batch = F.exp(-F.pow(hour_of_day - 2, F.lit(2)) / 8)
-    archive = F.lit(ARCHIVE_SPIKE * 1.0 + (1 - ARCHIVE_SPIKE) * ARCHIVE_IDLE)
-    age = day * 24 + hour_of_day - creation_hour
-    viral = F.greatest(F.lit(VIRAL_FLOOR), F.exp(-VIRAL_DECAY * age / VIRAL_HALF_LIFE))
-    return (
-        F.when(persona == "business_hours", business)
-        .when(persona == "batch_processing", batch)
-        .when(persona == "cold_archive", archive)
-        .when(persona == "viral_content", viral)
-        .otherwise(F.lit(1.0))
-    )
-
-
-def expected_demand(
-    datasets: DataFrame, first_hour: int, hours: int, calendar: DataFrame | None = None,
-    cycle_days: int = CYCLE_DAYS, personas=PERSONAS,
-) -> DataFrame:
-    """Noise-free reads and writes per dataset and hour. ``datasets`` has ``dataset_id``, ``persona`` and optionally
-    ``creation_hour``."""
-    spark = datasets.sparkSession
+def calendar_access(access: DataFrame, calendar: DataFrame | None = None, cycle_days: int = CYCLE_DAYS,
+                    personas=PERSONAS) -> DataFrame:
+    """Observed hourly rows (``dataset_id, persona, timestamp, reads_1h, writes_1h``) with the multipliers in force for
+    their persona on their day of the cycle (1.0 when there is none) and the template rates of the persona (null when
+    unknown)."""
+    spark = access.sparkSession
     calendar = calendar_table(spark) if calendar is None else calendar
-    born = F.col("creation_hour") if "creation_hour" in datasets.columns else F.lit(0)
-    base = datasets.select("dataset_id", "persona", born.alias("creation_hour"))
-    hour = F.col("hour_no")
-    grid = hour_grid(base, first_hour, hours).withColumns({
-        "hour_of_day": (hour % 24).cast("int"),
-        "cycle_day": (F.floor(hour / 24) % cycle_days).cast("int"),
-    })
+    day = F.pmod(F.floor(F.col("timestamp") / 86400), F.lit(cycle_days)).cast("int")
+    rows = access.select("dataset_id", "persona", "timestamp", "reads_1h", "writes_1h", day.alias("cycle_day"))
     # Both sides are bounded: one row per template, and at most templates x cycle days.
     names = [p.name for p in personas]
     lookup = daily_multipliers(calendar, cycle_days).filter(F.col("persona").isin(*names))
-    rated = grid.join(F.broadcast(persona_table(spark, personas)), "persona").join(
-        F.broadcast(lookup), ["persona", "cycle_day"], "left"
+    joined = rows.join(F.broadcast(lookup), ["persona", "cycle_day"], "left").join(
+        F.broadcast(persona_table(spark, personas).drop("template_backend")), "persona", "left"
     )
-    load = persona_multiplier(F.col("persona"), F.col("hour_of_day"), F.col("cycle_day"), F.col("creation_hour"))
     one = F.lit(1.0)
-    return rated.select(
-        "dataset_id", "persona", "hour_no", "hour_of_day", "cycle_day",
-        (F.col("base_reads") * load * F.coalesce("read_multiplier", one)).alias("expected_reads"),
-        (F.col("base_writes") * load * F.coalesce("write_multiplier", one)).alias("expected_writes"),
-    )
+    return joined.withColumns({
+        "in_entry": F.col("read_multiplier").isNotNull(), "read_multiplier": F.coalesce("read_multiplier", one),
+        "write_multiplier": F.coalesce("write_multiplier", one),
+    })
 
 
-def demand_events(demand: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Demand as access events, to price a scenario before it happens. ``attributes`` has one row per dataset with its
-    tiers and size."""
-    per_hour = demand.select(
-        "dataset_id", (F.col("hour_no") * 3600).alias("timestamp"), F.col("hour_no").alias("seq"),
-        F.floor("expected_reads").cast("long").alias("reads_1h"),
-        F.floor("expected_writes").cast("long").alias("writes_1h"),
-        F.lit(0).cast("long").alias("bytes_read_1h"), "hour_of_day",
-        (F.col("cycle_day") % 7).cast("int").alias("day_of_week"),
+def calendar_effect(access: DataFrame, calendar: DataFrame | None = None, **options) -> DataFrame:
+    """Mean reads per dataset inside and outside the entries of the calendar, next to what was expected of them."""
+    inside = F.col("in_entry")
+    mean = lambda when: F.avg(F.when(when, F.col("reads_1h").cast("double")))
+    return calendar_access(access, calendar, **options).groupBy("dataset_id", "persona").agg(
+        F.count_if(inside).alias("hours_inside"), F.count_if(~inside).alias("hours_outside"),
+        mean(inside).alias("reads_inside"), mean(~inside).alias("reads_outside"),
+        F.max("read_multiplier").alias("expected_multiplier"), F.max("base_reads").alias("template_reads"),
     )
-    keep = attributes.select("dataset_id", "current_backend", "initial_backend", "size_gb")
-    return per_hour.join(keep, "dataset_id")
+
+
+#: Whole hours that the grid covers, in epoch seconds: the years 1970 to 2099.
+FIRST_SECOND, LAST_SECOND = 0, 4_102_444_799
 
 
 def fill_hours(access: DataFrame) -> DataFrame:
-    """Hourly rows with the missing hours between the first and last row of each dataset as zeros."""
-    span = access.groupBy("dataset_id").agg(
+    """Hourly rows with the missing hours between the first and last row of each dataset as zeros. Rows are added up to
+    whole hours first, so none is lost; rows outside ``FIRST_SECOND`` to ``LAST_SECOND`` keep their hour but do not
+    stretch the grid."""
+    hour = F.floor(F.col("timestamp") / 3600) * 3600
+    sums = [whole(F.sum(F.col(c).cast("double"))).alias(c) for c in ("reads_1h", "writes_1h", "bytes_read_1h")]
+    values = access.groupBy("dataset_id", hour.cast("long").alias("timestamp")).agg(*sums)
+    usual = F.col("timestamp").between(FIRST_SECOND, LAST_SECOND)
+    span = values.filter(usual).groupBy("dataset_id").agg(
         F.min("timestamp").alias("first"), F.max("timestamp").alias("last")
     )
     grid = span.select("dataset_id", F.explode(F.sequence("first", "last", F.lit(3600).cast("long"))).alias("timestamp"))
-    values = access.select("dataset_id", "timestamp", "reads_1h", "writes_1h", "bytes_read_1h")
+    # A full join also keeps the hours that lie outside the grid.
+    joined = grid.join(values, ["dataset_id", "timestamp"], "full")
     zero = F.lit(0).cast("long")
-    return grid.join(values, ["dataset_id", "timestamp"], "left").select(
+    return joined.select(
         "dataset_id", "timestamp",
         *[F.coalesce(c, zero).alias(c) for c in ("reads_1h", "writes_1h", "bytes_read_1h")],
-        (F.floor(F.col("timestamp") / 3600) % 24).cast("int").alias("hour_of_day"),
-        ((F.floor(F.col("timestamp") / 86400) + 3) % 7).cast("int").alias("day_of_week"),
+        F.pmod(F.floor(F.col("timestamp") / 3600), F.lit(24)).cast("int").alias("hour_of_day"),
+        F.pmod(F.floor(F.col("timestamp") / 86400) + 3, F.lit(7)).cast("int").alias("day_of_week"),
     )

@@ -12,39 +12,32 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from ..functions.once import with_columns_once
+from ..sources.files import staged
 
 MIN_BLOCK_ROWS = 100_000
-MAX_BLOCKS = 65_536
 
 
 def hot_blocks(
     df: DataFrame, key: str, bucket: Column, lookback: int, lookahead: int, min_rows: int = MIN_BLOCK_ROWS
 ) -> DataFrame:
-    """One row per hot key with its blocks as ranges of ``bucket``.
+    """One row per bucket of a key with more than ``min_rows`` rows: its block, of about so many rows, and the first and
+    last block whose frames may reach into it.
 
-    The block size is the larger of ``min_rows`` and 1/65536 of all rows. A key is hot above that size, so
-    there are fewer than 65536 hot keys with fewer than 131072 blocks together, about 5 MB, whatever the input size.
-    Each bucket holds at least one row, hence ``lookback`` buckets hold at least ``lookback`` rows.
+    ``bucket`` is a non-decreasing function of the order. Each bucket holds at least one row, hence ``lookback`` buckets
+    hold at least ``lookback`` rows. One window goes over the buckets of a key, so they should be much fewer than its
+    rows: days for hourly rows, ranges of arrival numbers for events.
     """
     counts = df.groupBy(key, bucket.alias("b")).agg(F.count("*").alias("n"))
-    # The same aggregate as above, so its shuffle is reused.
-    rows = counts.agg(F.sum("n")).scalar()
-    size = F.greatest(F.lit(min_rows), F.ceil(rows / MAX_BLOCKS)).cast("long")
     per_key = W.partitionBy(key)
     in_order = per_key.orderBy("b")
     placed = (
-        with_columns_once(counts.withColumn("key_rows", F.sum("n").over(per_key)), {"size": size})
-        .filter(F.col("key_rows") > F.col("size"))
-        .withColumn("block", F.floor((F.sum("n").over(in_order) - F.col("n")) / F.col("size")))
-        .withColumn("from", F.coalesce(F.lag("b", lookback).over(in_order), F.min("b").over(per_key)))
-        .withColumn("to", F.coalesce(F.lead("b", lookahead).over(in_order), F.max("b").over(per_key)))
+        counts.withColumn("key_rows", F.sum("n").over(per_key)).filter(F.col("key_rows") > min_rows)
+        .withColumn("block", F.floor((F.sum("n").over(in_order) - F.col("n")) / min_rows))
     )
-    blocks = placed.groupBy(key, "block").agg(
-        F.min("b").alias("own_from"), F.max("b").alias("own_to"), F.min("from").alias("see_from"),
-        F.max("to").alias("see_to"),
-    )
-    return blocks.groupBy(key).agg(
-        F.collect_list(F.struct("block", "own_from", "own_to", "see_from", "see_to")).alias("blocks")
+    return placed.select(
+        F.col(key).alias("hot_key"), F.col("b").alias("hot_b"), "block",
+        F.coalesce(F.lag("block", lookahead).over(in_order), F.min("block").over(per_key)).alias("first_block"),
+        F.coalesce(F.lead("block", lookback).over(in_order), F.max("block").over(per_key)).alias("last_block"),
     )
 
 
@@ -71,18 +64,16 @@ def spread(
 ) -> Runs:
     """Prepare ``df`` for windows over ``key`` in ``order`` whose frames reach at most ``lookback`` rows back and
     ``lookahead`` rows ahead. ``bucket`` is a non-decreasing function of the order with few rows per key and value."""
-    hot = hot_blocks(df, key, bucket, lookback, lookahead, min_rows)
+    # Stored, so that its size is known when the join is planned; mostly it is empty.
+    hot = staged(hot_blocks(df, key, bucket, lookback, lookahead, min_rows))
     columns = df.columns
-    # Broadcast is safe: hot_blocks is bounded by 131072 ranges.
-    joined = with_columns_once(df, {"run_b": bucket}).join(F.broadcast(hot), key, "left")
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("run_block"), F.lit(True).alias("run_own")))
-    seen = F.transform(
-        F.filter("blocks", lambda k: F.col("run_b").between(k["see_from"], k["see_to"])),
-        lambda k: F.struct(
-            k["block"].alias("run_block"), F.col("run_b").between(k["own_from"], k["own_to"]).alias("run_own")
-        ),
-    )
-    out = joined.select(*columns, F.inline(F.when(F.col("blocks").isNull(), whole).otherwise(seen)))
+    rows = with_columns_once(df, {"run_b": bucket})
+    joined = rows.join(hot, (rows[key] == F.col("hot_key")) & (F.col("run_b") == F.col("hot_b")), "left")
+    mine = F.coalesce("block", F.lit(0)).cast("long")
+    # A bucket at a border is doubled, once for each block that looks across; all others stay as they are.
+    blocks = F.sequence(F.coalesce("first_block", F.lit(0)).cast("long"), F.coalesce("last_block", F.lit(0)).cast("long"))
+    out = joined.select(*columns, mine.alias("run_mine"), F.explode(blocks).alias("run_block"))
+    out = out.withColumn("run_own", F.col("run_block") == F.col("run_mine")).drop("run_mine")
     return Runs(out, W.partitionBy(key, "run_block").orderBy(*order))
 
 

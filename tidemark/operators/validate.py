@@ -27,10 +27,14 @@ def _has_kind(kind: Column, wanted: str) -> Column:
 def validate_events(raw: DataFrame, value: str = "value") -> DataFrame:
     """Keeps the columns of ``raw`` and adds ``valid``, ``error`` and the ten typed event fields.
 
-    The text is parsed as the only element of a JSON array: then anything after the event is a syntax
-    error or a second element, and both are found.
+    The text is parsed as the only element of a JSON array: then anything after the event is a syntax error or a second
+    element, and both are found. A text with a closing bracket could end the array itself, so it must also parse as
+    the only member of an object; nothing closes both.
     """
-    doc = F.try_parse_json(F.concat(F.lit("["), F.col(value), F.lit("]")))
+    text = F.col(value)
+    doc = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"e":'), text, F.lit("}")))
+    doc = F.when(~text.contains("]") | member.isNotNull(), doc)
 
     def at(path: str, kind: str = "variant") -> Column:
         return F.try_variant_get("doc", f"$[{path}", kind)

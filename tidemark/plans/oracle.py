@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import CLAIM, CUT_HOUR, NOW, SCENARIO_HOURS
+from .queries import CLAIM, CUT_HOUR, NOW
 
 ORACLE: dict[str, str] = {}
 
@@ -80,13 +80,14 @@ BODY = " || ".join([
     "',\"hour_of_day\":' || " + fault(6, "CAST(hour_of_day AS VARCHAR)", {6: "'24'", 7: "'-1'"}),
     "',\"day_of_week\":' || " + fault(8, "CAST(day_of_week AS VARCHAR)", {8: "'7'"}),
     "',\"current_backend\":\"' || " + fault(13, "current_backend", {13: "'tape-vault'"}) + " || '\"'",
-    "',\"initial_backend\":\"' || initial_backend || '\"'",
+    "CASE fault WHEN 18 THEN '' WHEN 19 THEN ',\"initial_backend\":null' ELSE ',\"initial_backend\":\"' || initial_backend || '\"' END",
     "',\"size_gb\":' || " + fault(5, "CAST(CAST(size_gb AS BIGINT) AS VARCHAR)", {5: "'-3.5'"}),
 ])
 CTE["raw"] = f"""
   SELECT hour_no AS seq,
          CASE fault WHEN 10 THEN '[1,2]' WHEN 11 THEN 'null'
-              ELSE '{{' || {BODY} || CASE fault WHEN 12 THEN '' ELSE '}}' END END AS value
+              ELSE '{{' || {BODY} || CASE fault WHEN 12 THEN '' ELSE '}}' END ||
+                CASE fault WHEN 15 THEN ' end' WHEN 16 THEN '] garbage' WHEN 17 THEN '],[1' ELSE '' END END AS value
   FROM (SELECT *, (user_id * 7 + hour_no) % 64 AS fault FROM access)"""
 
 INTEGERS = ["timestamp", "reads_1h", "writes_1h", "bytes_read_1h", "hour_of_day", "day_of_week"]
@@ -122,7 +123,8 @@ CTE["checked"] = f"""
            {_number("size_gb", "DOUBLE")},
            json_extract_string(doc, '$.dataset_id') AS v_dataset_id,
            json_extract_string(doc, '$.current_backend') AS v_current_backend,
-           json_extract_string(doc, '$.initial_backend') AS v_initial_backend
+           CASE WHEN json_exists(doc, '$.initial_backend') THEN json_extract_string(doc, '$.initial_backend')
+                ELSE json_extract_string(doc, '$.current_backend') END AS v_initial_backend
     FROM (SELECT *, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS doc FROM raw))"""
 CTE["valid"] = (
     "SELECT seq, " + ", ".join(f"v_{f} AS {f}" for f in FIELDS) + ", v_initial_backend AS initial_backend "
@@ -137,7 +139,7 @@ CTE["state"] = """
          any_value(initial_backend) AS initial_backend FROM access GROUP BY 1"""
 CTE["state_valid"] = """
   SELECT dataset_id, arg_max(size_gb, seq) AS size_gb, arg_min(current_backend, seq) AS current_backend,
-         arg_min(initial_backend, seq) AS initial_backend FROM valid GROUP BY 1"""
+         arg_min_null(initial_backend, seq) AS initial_backend FROM valid GROUP BY 1"""
 
 
 def window(source: str, hours: int) -> str:
@@ -181,12 +183,22 @@ def cost(p: str, hours: int = 24, latency: str = "1") -> str:
     )
 
 
-CTE["costs"] = f"""
+def both_costs(source: str) -> str:
+    return f"""
   SELECT f.dataset_id, f.initial_backend, f.current_backend, {cost("i")} AS initial_cost, {cost("c")} AS current_cost
-  FROM fc24 f JOIN prices i ON i.backend = f.initial_backend JOIN prices c ON c.backend = f.current_backend"""
-CTE["cost_totals"] = """
-  SELECT sum(initial_cost) AS b, sum(current_cost) AS o,
-         (SELECT count(*) * 0.001::DOUBLE FROM jobs WHERE status = 'COMPLETE') AS m FROM costs"""
+  FROM {source} f JOIN prices i ON i.backend = coalesce(nullif(f.initial_backend, ''), f.current_backend)
+  JOIN prices c ON c.backend = f.current_backend"""
+
+
+def cost_totals(costs: str, source: str) -> str:
+    return f"""
+  SELECT sum(initial_cost) AS b, sum(current_cost) AS o, (SELECT count(*) FROM {source}) - count(*) AS unpriced_datasets,
+         (SELECT count(*) * 0.001::DOUBLE FROM jobs WHERE status = 'COMPLETE') AS m FROM {costs}"""
+
+
+CTE["costs"], CTE["costs_valid"] = both_costs("fc24"), both_costs("fc_valid")
+CTE["cost_totals"] = cost_totals("costs", "fc24")
+CTE["cost_totals_valid"] = cost_totals("costs_valid", "fc_valid")
 
 
 def place(source: str, hot: float = 100, cold: float = 10, extra: str = "") -> str:
@@ -346,15 +358,18 @@ SELECT dataset_id, backend, round({cost("p", 12)}, 4) AS cost FROM fc12 f JOIN p
 put("dataset_costs", """
 SELECT dataset_id, initial_backend, current_backend, round(initial_cost, 4) AS initial_cost,
        round(current_cost, 4) AS current_cost FROM costs""")
-put("baseline_cost", "SELECT round(b, 4) AS baseline FROM cost_totals")
-put("optimized_cost", "SELECT round(o + m, 4) AS optimized, round(m, 4) AS migration_cost FROM cost_totals")
+put("baseline_cost", "SELECT round(b, 4) AS baseline, unpriced_datasets FROM cost_totals")
+put("optimized_cost", """
+SELECT round(o + m, 4) AS optimized, round(m, 4) AS migration_cost, unpriced_datasets FROM cost_totals""")
 SUMMARY = """
 SELECT round(b, 2) AS baseline, round(o + m, 2) AS optimized, round(m, 2) AS migration_cost,
        round(b - (o + m), 2) AS savings, round(CASE WHEN b <> 0 THEN (b - (o + m)) / b * 100 ELSE 0 END, 2)
-         AS savings_percent FROM cost_totals"""
-put("cost_summary", SUMMARY)
+         AS savings_percent, unpriced_datasets FROM {}"""
+put("cost_summary", SUMMARY.format("cost_totals"))
+put("cost_summary_after_faults", SUMMARY.format("cost_totals_valid"))
 put("unpriced_datasets", """
-SELECT dataset_id, current_backend, initial_backend FROM state_valid
+SELECT dataset_id, current_backend, initial_backend
+FROM (SELECT * REPLACE (coalesce(nullif(initial_backend, ''), current_backend) AS initial_backend) FROM state_valid)
 WHERE current_backend NOT IN (SELECT backend FROM prices) OR initial_backend NOT IN (SELECT backend FROM prices)""")
 put("placement_decisions", "SELECT * FROM placed")
 put("placement_other_limits", "SELECT * FROM placed_other")
@@ -421,43 +436,55 @@ CTE["day"] = """
   FROM ranked WHERE rn <= 24 GROUP BY 1"""
 
 
-def observed(tier: str) -> str:
+CTE["day_valid"] = CTE["day"].replace("FROM ranked ", "FROM ranked_valid ")
+
+
+def observed(tier: str, other: str = "current_backend", valid: str = "") -> str:
+    """Sums at one tier over the datasets with a price at both."""
     return f"""
-  SELECT sum(size_gb * p_store * (24 / 720.0::DOUBLE)) AS storage, sum(reads * p_read + writes * p_write) AS access_,
-         sum(reads * p_latency * 0.0001::DOUBLE) AS latency
-  FROM state s JOIN day d USING (dataset_id) JOIN prices p ON p.backend = s.{tier}"""
+  SELECT sum(size_gb * p.p_store * (24 / 720.0::DOUBLE)) AS storage, sum(reads * p.p_read + writes * p.p_write) AS access_,
+         sum(reads * p.p_latency * 0.0001::DOUBLE) AS latency,
+         (SELECT count(*) FROM state{valid}) - count(*) AS unpriced_datasets
+  FROM (SELECT * REPLACE (coalesce(nullif(initial_backend, ''), current_backend) AS initial_backend) FROM state{valid}) s
+  JOIN day{valid} d USING (dataset_id) JOIN prices p ON p.backend = s.{tier} JOIN prices q ON q.backend = s.{other}"""
 
 
 CTE["seen"] = observed("current_backend")
 CTE["seen_initial"] = observed("initial_backend")
+CTE["seen_valid"] = observed("current_backend", "initial_backend", "_valid")
+CTE["seen_initial_valid"] = observed("initial_backend", "current_backend", "_valid")
 CTE["fee"] = "SELECT count(*) * 0.5::DOUBLE AS migration FROM jobs WHERE status = 'COMPLETE'"
 put("observed_baseline", """
 SELECT round(storage, 2) AS storage, round(access_, 2) AS access, round(latency, 2) AS latency,
-       round(storage + access_ + latency, 2) AS total FROM seen""")
+       round(storage + access_ + latency, 2) AS total, unpriced_datasets FROM seen""")
 put("observed_optimized", """
 SELECT round(storage, 2) AS storage, round(access_, 2) AS access, round(latency, 2) AS latency,
-       round(storage + access_ + latency + migration, 2) AS total, round(migration, 2) AS migration FROM seen, fee""")
+       round(storage + access_ + latency + migration, 2) AS total, round(migration, 2) AS migration,
+       unpriced_datasets FROM seen, fee""")
 
 
-def savings(base: str) -> str:
+def savings(base: str, now: str = "seen") -> str:
     return f"""
   SELECT b.storage + b.access_ + b.latency AS baseline, b.storage, b.access_, b.latency,
          o.storage + o.access_ + o.latency + migration AS optimized, o.storage AS opt_storage, o.access_ AS opt_access,
          o.latency AS opt_latency, migration,
-         (b.storage + b.access_ + b.latency) - (o.storage + o.access_ + o.latency + migration) AS savings
-  FROM {base} b, seen o, fee"""
+         (b.storage + b.access_ + b.latency) - (o.storage + o.access_ + o.latency + migration) AS savings,
+         b.unpriced_datasets
+  FROM {base} b, {now} o, fee"""
 
 
 CTE["saved"] = savings("seen")
 CTE["saved_initial"] = savings("seen_initial")
+CTE["saved_valid"] = savings("seen_initial_valid", "seen_valid")
 SAVINGS = """
 SELECT round(baseline, 2) AS baseline, round(storage, 2) AS storage, round(access_, 2) AS access,
        round(latency, 2) AS latency, round(optimized, 2) AS optimized, round(opt_storage, 2) AS opt_storage,
        round(opt_access, 2) AS opt_access, round(opt_latency, 2) AS opt_latency, round(migration, 2) AS migration,
        round(savings, 2) AS savings, round(CASE WHEN baseline > 0 THEN savings / baseline * 100 ELSE 0 END, 2)
-         AS savings_percent, round(savings * 30, 2) AS monthly, round(savings * 365, 2) AS annual FROM {}"""
+         AS savings_percent, round(savings * 30, 2) AS monthly, round(savings * 365, 2) AS annual, unpriced_datasets FROM {}"""
 put("savings_projection", SAVINGS.format("saved"))
 put("savings_from_initial", SAVINGS.format("saved_initial"))
+put("savings_after_faults", SAVINGS.format("saved_valid"))
 CTE["counted"] = """
   SELECT kind, item, CAST(sum(jobs) AS BIGINT) AS jobs FROM (
     SELECT 'status' AS kind, status AS item, count(*) AS jobs FROM jobs GROUP BY status
@@ -526,17 +553,20 @@ SELECT total_datasets, tiers, j.*, c.*, round(events_per_sec, 2) AS events_per_s
        round(events_per_hour, 2) AS events_per_hour, round(p95_latency_ms, 2) AS p95_latency_ms
 FROM (SELECT count(*) AS total_datasets FROM state),
      (SELECT string_agg(backend || '=' || datasets || ';', '' ORDER BY backend) AS tiers FROM shares),
-     ({JOB_COUNTS}) j, ({SUMMARY}) c, (SELECT * FROM newest WHERE service = 'view')""")
+     ({JOB_COUNTS}) j, ({SUMMARY.format('cost_totals')}) c, (SELECT * FROM newest WHERE service = 'view')""")
 put("json_report", """
 SELECT '2024-02-01T00:00:00' AS generated_at, (SELECT count(*) FROM state) AS total_datasets, total AS total_migrations,
        round(baseline, 2) AS baseline, round(migration, 2) AS migration, round(savings * 365, 2) AS annual,
        round(success_rate, 2) AS success_rate, round(median_duration, 2) AS median_duration,
        (SELECT jobs FROM counted WHERE kind = 'status' AND item = 'FAILED') AS failed,
-       (SELECT jobs FROM counted WHERE kind = 'reason' AND item = '5-LOW') AS low,
+       unpriced_datasets,
        (SELECT datasets FROM shares WHERE backend = 'on-prem') AS on_prem, hot_datasets
 FROM saved, efficiency, patterns""")
 
 
+put("report_reasons", "SELECT item AS reason, jobs FROM counted WHERE kind = 'reason'")
+
+
 def _line(section: str, source: str, items) -> str:
     return " UNION ALL ".join(
         f"SELECT '{section}' AS section, '{item}' AS item, round(CAST({value} AS DOUBLE), 2) AS value, {text} AS text "
@@ -560,14 +590,15 @@ put("text_report", " UNION ALL ".join([
         ("baseline latency", "latency"), ("optimized", "optimized"), ("optimized storage", "opt_storage"),
         ("optimized access", "opt_access"), ("optimized latency", "opt_latency"), ("optimized migration", "migration"),
         ("savings", "savings"), ("monthly savings", "savings * 30"), ("annual savings", "savings * 365")]]
-        + [("savings percent", _pct, f"printf('%.1f%%', {_pct})")]),
+        + [("savings percent", _pct, f"printf('%.1f%%', {_pct})"),
+           ("unpriced datasets", "unpriced_datasets", _plain("unpriced_datasets"))]),
     _line("migrations", "efficiency", [("total", "total", _plain("total")),
           ("success rate", "success_rate", "printf('%.1f%%', success_rate)")]
           + [(f"{label} duration", f"{k}_duration", f"printf('%.2fs', {k}_duration)") for label, k in
              [("average", "avg"), ("median", "median"), ("min", "min"), ("max", "max")]]),
     "SELECT 'jobs by ' || kind, item, CAST(jobs AS DOUBLE), CAST(jobs AS VARCHAR) FROM counted",
     "SELECT 'tiers', backend, CAST(datasets AS DOUBLE), "
-    "printf('%4d datasets (%5.1f%%) | %8.1f GB', datasets, share, total_gb) FROM shares",
+    "printf('%d datasets, %.1f GB, share %.1f%%', datasets, total_gb, share) FROM shares",
     _line("access", "patterns", [(f"total {k}", f"total_{k}_24h", f"format('{{:,}}', total_{k}_24h)")
           for k in ("reads", "writes")]
           + [(f"{k} datasets", f"{k}_datasets", _plain(f"{k}_datasets")) for k in ("hot", "warm", "cold")]),
@@ -578,34 +609,24 @@ SELECT CAST(date_trunc('minute', ts) AS TIMESTAMP) AS window_start, count(*) AS
 
 # ---- scenario and features -------------------------------------------------------------------------------
 
-CTE["who"] = f"SELECT {ATTRIBUTES} FROM (SELECT DISTINCT user_id FROM events)"
-CTE["demand"] = f"""
-  SELECT dataset_id, persona, hour_no, hour_of_day, cycle_day, base_reads * load * rm AS expected_reads,
-         base_writes * load * wm AS expected_writes
-  FROM (
-    SELECT *, CASE persona WHEN 'business_hours' THEN
-                CASE WHEN cycle_day % 7 < 5 AND hour_of_day >= 9 AND hour_of_day < 17 THEN 1.0::DOUBLE ELSE 0.15 END
-              WHEN 'batch_processing' THEN exp(-pow(hour_of_day - 2, 2) / 8)
-              WHEN 'cold_archive' THEN 0.002::DOUBLE * 1.0 + 0.998::DOUBLE * 0.01::DOUBLE
-              ELSE greatest(0.01, exp(-0.693::DOUBLE * (cycle_day * 24 + hour_of_day) / 48)) END AS load,
-           {case("kind", [5000, 800, 1, 8000])}::DOUBLE AS base_reads, {case("kind", [500, 400, 0.1, 100])}::DOUBLE AS base_writes,
-           CASE WHEN kind IN (0, 3) AND cycle_day BETWEEN 5 AND 7 THEN 5.0::DOUBLE
-                WHEN kind = 2 AND cycle_day = 20 THEN 30.0 ELSE 1.0 END AS rm,
-           CASE WHEN kind = 1 AND cycle_day BETWEEN 15 AND 16 THEN 8.0::DOUBLE ELSE 1.0 END AS wm
-    FROM (SELECT *, CAST(hour_no % 24 AS INTEGER) AS hour_of_day, CAST((hour_no // 24) % 30 AS INTEGER) AS cycle_day,
-                 CASE persona WHEN 'business_hours' THEN 0 WHEN 'batch_processing' THEN 1 WHEN 'cold_archive' THEN 2 ELSE 3 END AS kind
-          FROM who, (SELECT range AS hour_no FROM range({SCENARIO_HOURS}))))"""
-put("expected_demand", """
-SELECT dataset_id, persona, cycle_day, round(sum(expected_reads), 4) AS reads, round(sum(expected_writes), 4) AS writes,
-       count(*) AS hours FROM demand GROUP BY 1, 2, 3""")
-CTE["ranked_demand"] = """
-  SELECT dataset_id, CAST(floor(expected_reads) AS BIGINT) AS reads_1h, CAST(floor(expected_writes) AS BIGINT) AS writes_1h,
-         CAST(0 AS BIGINT) AS bytes_read_1h, row_number() OVER (PARTITION BY dataset_id ORDER BY hour_no DESC) AS rn
-  FROM demand"""
-CTE["win_demand"] = window("ranked_demand", 24)
-CTE["fc_demand"] = forecast("win_demand", "who", 24)
-CTE["placed_demand"] = place("fc_demand")
-put("scenario_placement", "SELECT * FROM placed_demand")
+CTE["calendar"] = """
+  SELECT * FROM (VALUES ('business_hours', 5, 7, 5.0::DOUBLE, 1.0::DOUBLE), ('viral_content', 5, 7, 5.0, 1.0),
+    ('batch_processing', 15, 16, 1.0, 8.0), ('cold_archive', 20, 20, 30.0, 1.0)) t(who, first_day, last_day, rm, wm)"""
+CTE["templates"] = f"""
+  SELECT * FROM (VALUES {", ".join(f"('{p}', {r}::DOUBLE, {w}::DOUBLE)" for p, r, w in zip(PERSONA, [5000, 800, 1, 8000], [500, 400, 0.1, 100]))})
+    t(who, base_reads, base_writes)"""
+CTE["in_calendar"] = """
+  SELECT dataset_id, persona, timestamp, reads_1h, writes_1h, cycle_day, c.who IS NOT NULL AS in_entry,
+         coalesce(rm, 1.0) AS read_multiplier, coalesce(wm, 1.0) AS write_multiplier, base_reads, base_writes
+  FROM (SELECT *, CAST((timestamp // 86400) % 30 AS INTEGER) AS cycle_day FROM access) a
+  LEFT JOIN calendar c ON c.who = a.persona AND a.cycle_day BETWEEN c.first_day AND c.last_day
+  LEFT JOIN templates t ON t.who = a.persona"""
+put("calendar_access", "SELECT * FROM in_calendar")
+put("calendar_effect", """
+SELECT dataset_id, persona, count(*) FILTER (WHERE in_entry) AS hours_inside, count(*) FILTER (WHERE NOT in_entry) AS hours_outside,
+       round(avg(reads_1h) FILTER (WHERE in_entry), 4) AS reads_inside, round(avg(reads_1h) FILTER (WHERE NOT in_entry), 4)
+         AS reads_outside, max(read_multiplier) AS expected_multiplier, max(base_reads) AS template_reads
+FROM in_calendar GROUP BY 1, 2""")
 put("filled_hours", """
 SELECT g.dataset_id, g.timestamp, coalesce(reads_1h, 0) AS reads_1h, coalesce(writes_1h, 0) AS writes_1h,
        coalesce(bytes_read_1h, 0) AS bytes_read_1h, CAST((g.timestamp // 3600) % 24 AS INTEGER) AS hour_of_day,
@@ -614,6 +635,36 @@ FROM (SELECT dataset_id, unnest(range(min(timestamp), max(timestamp) + 3600, 360
 LEFT JOIN access a ON a.dataset_id = g.dataset_id AND a.timestamp = g.timestamp""")
 
 
+CTE["event_hours"] = """
+  SELECT printf('ds_%06d', user_id) AS dataset_id, CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600 AS timestamp,
+         count(*) AS reads_1h, CAST(sum(event_id) AS BIGINT) AS bytes_read_1h FROM events GROUP BY 1, 2"""
+put("filled_hours_of_events", """
+SELECT g.dataset_id, g.timestamp, coalesce(reads_1h, 0) AS reads_1h, CAST(0 AS BIGINT) AS writes_1h,
+       coalesce(bytes_read_1h, 0) AS bytes_read_1h, CAST((g.timestamp // 3600) % 24 AS INTEGER) AS hour_of_day,
+       CAST((g.timestamp // 86400 + 3) % 7 AS INTEGER) AS day_of_week
+FROM (SELECT dataset_id, unnest(range(min(timestamp), max(timestamp) + 3600, 3600)) AS timestamp FROM event_hours GROUP BY 1) g
+LEFT JOIN event_hours a ON a.dataset_id = g.dataset_id AND a.timestamp = g.timestamp""")
+
+# ---- sources, sinks and streams --------------------------------------------------------------------------
+
+put("appended_requests", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS request_id, CASE WHEN o_orderstatus = 'O' THEN 'PENDING' ELSE 'COMPLETE' END AS status,
+       CAST(epoch(o_orderdate) AS DOUBLE) AS created_at, 'api-full-scan' AS reason FROM orders
+UNION ALL SELECT 'full-scan-1', 'PENDING', {NOW}::DOUBLE, 'api-full-scan'""")
+CTE["runs"] = """
+  SELECT event_type AS service, count(*)::DOUBLE AS n, max(CAST(event_id % 97 AS DOUBLE)) AS p95 FROM events GROUP BY 1"""
+put("imported_run_log", """
+SELECT n AS events, n AS accepted, 2.5::DOUBLE AS duration_sec, round(n / 2.5, 4) AS events_per_sec,
+       round(n * 1440, 4) AS events_per_hour, p95 AS p95_latency_ms FROM runs""")
+put("logged_runs", """
+SELECT service, n AS events, n AS accepted, 2.5::DOUBLE AS duration_sec, round(n / 2.5, 4) AS events_per_sec,
+       round(n * 1440, 4) AS events_per_hour, 1.0::DOUBLE AS p95_latency_ms
+FROM runs ORDER BY n DESC, service DESC LIMIT 1""")
+ORACLE["streamed_state"] = ORACLE["dataset_state"]
+ORACLE["streamed_jobs"] = ORACLE["reaction_job_list"]
+ORACLE["streamed_dead_letters"] = ORACLE["dead_letter_events"]
+
+
 def over(function: str, first: int, last: int) -> str:
     side = lambda n: "CURRENT ROW" if n == 0 else f"{abs(n)} {'PRECEDING' if n < 0 else 'FOLLOWING'}"
     return f"{function} OVER (PARTITION BY dataset_id ORDER BY timestamp ROWS BETWEEN {side(first)} AND {side(last)})"
@@ -637,6 +688,8 @@ CTE["split"] = """
            CAST(floor(count(*) OVER (PARTITION BY dataset_id) * 0.8::DOUBLE) AS BIGINT) AS n_train FROM training)"""
 put("training_features", """
 SELECT * REPLACE (round(trend_6h, 4) AS trend_6h) FROM training""")
+ORACLE["training_csv"] = ORACLE["training_features"]
+put("reused_features", "SELECT dataset_id, timestamp, reads_24h, round(trend_6h, 4) AS trend_6h FROM training")
 put("chronological_split", "SELECT dataset_id, timestamp, is_train, part_pos, part_rows FROM split")
 
 
@@ -664,13 +717,15 @@ put("sequence_samples_reads", samples("reads", 12))
 put("sequence_samples_writes", samples("writes", 8))
 NAMES = [f"{c}" for c in ("reads_1h", "bytes_read_1h", "hour_of_day", "day_of_week", "reads_6h", "reads_12h", "reads_24h",
                           "reads_48h", "reads_96h", "trend_6h", "data_temperature_encoded", "access_freq_24h")]
-_mean = lambda c: f"sum(w * ({c})) / sum(w)"
-_dev = lambda c: f"sqrt(greatest(0, sum(w * ({c}) * ({c})) / sum(w) - pow(sum(w * ({c})) / sum(w), 2)))"
+# Every row of every sequence of the training part, written out.
+CTE["unfolded"] = """
+  SELECT t.* FROM split t JOIN (
+    SELECT dataset_id, unnest(range(0, part_rows - 35)) AS first FROM (SELECT DISTINCT dataset_id, part_rows FROM split WHERE is_train)
+  ) s ON s.dataset_id = t.dataset_id AND t.part_pos BETWEEN s.first AND s.first + 23 WHERE is_train"""
 put("feature_scaler", f"""
-SELECT {", ".join(f"round({_mean(c)}, 3) AS mean_f_{n}" for n, c in zip(NAMES, inputs("reads")))},
-       {", ".join(f"round(CASE WHEN {_dev(c)} = 0 THEN 1 ELSE {_dev(c)} END, 3) AS sd_f_{n}" for n, c in zip(NAMES, inputs("reads")))}
-FROM (SELECT *, CAST(greatest(0, least(part_pos, part_rows - 36) - greatest(0, part_pos - 23) + 1) AS DOUBLE) AS w
-      FROM split WHERE is_train) WHERE w > 0""")
+SELECT {", ".join(f"round(avg({c}), 3) AS mean_f_{n}" for n, c in zip(NAMES, inputs("reads")))},
+       {", ".join(f"round(CASE WHEN min({c}) = max({c}) THEN 1 ELSE stddev_pop({c}) END, 3) AS sd_f_{n}" for n, c in zip(NAMES, inputs("reads")))}
+FROM unfolded""")
 
 
 def backtest(horizon: int) -> str:
@@ -708,3 +763,11 @@ put("best_horizon", " UNION ALL ".join(f"""
 SELECT '{k}' AS target, CASE WHEN a <= b THEN '8h' ELSE '12h' END AS best, round(least(a, b), 3) AS val_mae
 FROM (SELECT (SELECT avg(abs(actual_{k} - predicted_{k})) FROM back8) AS a,
              (SELECT avg(abs(actual_{k} - predicted_{k})) FROM back12) AS b)""" for k in ("reads", "writes")))
+# Validation samples of gap-free hours: rows of the last part with a whole window before and ahead.
+CTE["grid_rows"] = """
+  SELECT dataset_id, count(*) AS n FROM (
+    SELECT dataset_id, unnest(range(min(timestamp), max(timestamp) + 3600, 3600)) AS timestamp FROM access GROUP BY 1) GROUP BY 1"""
+put("trained_forecast", " UNION ALL ".join(f"""
+SELECT '{k}' AS target, '{h}h' AS name, '{loss}' AS loss,
+       CAST(sum(greatest(0, n - CAST(floor(n * 0.8::DOUBLE) AS BIGINT) - 24 - {h} + 1)) AS BIGINT) AS n, true AS beats_mean
+FROM grid_rows""" for k in ("reads", "writes") for h in (8, 12) for loss in ("squaredError", "huber")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +15,11 @@ from ..operators.quantiles import exact_quantile
 from ..operators.validate import accepted, dead_letters, validate_events
 from ..schemas import DATASET, JOB
 from ..sources import derived as dv
-from ..sources.files import keyed_messages, staged
+from ..sources.files import (
+    append_request, append_run, keyed_messages, latest_logged_run, materialise, read_pipe_log, read_training_csv, run_of,
+    run_folder, staged, text_event_stream,
+)
+from ..streaming.pipeline import Store, ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,16 +27,21 @@ QUERIES: dict[str, Query] = {}
 # Clock of the job queries; later than every order date.
 NOW = 1_100_000_000.0
 CLAIM = 1000
-# First and number of hours of the demand scenario.
-SCENARIO_HOURS = 24 * 30
 # The state query is fed in two batches cut at this hour number (2024-01-16).
 CUT_HOUR = 473_712
 STRICT = Limits(hot_reads=400, cold_reads=500)
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
-    return f
+    """Registers a query; the copies it stages lie under one run id of its name."""
+
+    @wraps(f)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        with run_of(f.__name__):
+            return f(spark, sf)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
@@ -215,6 +225,18 @@ def cost_summary(spark, sf):
     return pricing.cost_summary(dv.datasets(spark, sf), dv.jobs(spark, sf))
 
 
+@query
+def cost_summary_after_faults(spark, sf):
+    """Totals over the state built from the faulty event text, which holds unknown tiers."""
+    return pricing.cost_summary(state.fold_events(_valid(spark, sf)), dv.jobs(spark, sf))
+
+
+@query
+def savings_after_faults(spark, sf):
+    faulty = state.fold_events(_valid(spark, sf))
+    return rounded(reports.savings(faulty, dv.jobs(spark, sf), baseline="initial"), 2)
+
+
 @query
 def unpriced_datasets(spark, sf):
     return pricing.unpriced(state.fold_events(_valid(spark, sf)))
@@ -306,9 +328,10 @@ def claimed_requests(spark, sf):
 
 @query
 def finished_requests(spark, sf):
-    requests = jb.claim_request(dv.requests(spark, sf), NOW)
+    before = dv.requests(spark, sf)
+    mine = jb.next_request(before).select("request_id").scalar()
     made = jb.scan(dv.datasets(spark, sf), dv.jobs(spark, sf), NOW).agg(F.count("*")).scalar()
-    out = jb.finish_requests(requests, NOW + 5, made)
+    out = jb.finish_request(jb.claim_request(before, NOW), mine, NOW + 5, made)
     return out.select("request_id", "status", "started_at", "finished_at", "jobs_created")
 
 
@@ -410,18 +433,27 @@ def overview(spark, sf):
 @query
 def json_report(spark, sf):
     """Key figures of the nested report, read back out of it."""
-    r = reports.json_report(dv.datasets(spark, sf), dv.jobs(spark, sf), "2024-02-01T00:00:00", with_reasons=True)
+    r = reports.nested_report(dv.datasets(spark, sf), dv.jobs(spark, sf), "2024-02-01T00:00:00")
     c = F.col
     return rounded(r.select(
         "generated_at", c("system.total_datasets"), c("system.total_migrations"),
         c("costs.baseline.total").alias("baseline"), c("costs.optimized.breakdown.migration"),
         c("costs.savings.annual"), c("migrations.efficiency.success_rate"), c("migrations.efficiency.median_duration"),
         c("migrations.efficiency.by_status")["FAILED"].alias("failed"),
-        c("migrations.efficiency.by_reason")["5-LOW"].alias("low"), c("backends")["on-prem"]["count"].alias("on_prem"),
+        c("costs.unpriced_datasets"), c("backends")["on-prem"]["count"].alias("on_prem"),
         c("access_patterns.hot_datasets"),
     ), 2)
 
 
+@query
+def report_reasons(spark, sf):
+    """The rows of the written report that count jobs by reason."""
+    lines = reports.json_report(dv.datasets(spark, sf), dv.jobs(spark, sf), "2024-02-01T00:00:00")
+    return lines.filter(F.col("part") == "reason").select(
+        F.get_json_object("body", "$.reason").alias("reason"), F.get_json_object("body", "$.count").cast("long").alias("jobs")
+    )
+
+
 @query
 def text_report(spark, sf):
     return reports.text_report(dv.datasets(spark, sf), dv.jobs(spark, sf)).select(
@@ -434,31 +466,22 @@ def event_rate(spark, sf):
     return rounded(metrics.event_rate(dv.table(spark, sf, "events")), 6)
 
 
-# ---- scenario and features -------------------------------------------------------------------------------
+# ---- calendar and hours ----------------------------------------------------------------------------------
 
 
-def _attributes(spark, sf):
-    columns = dv.dataset_columns(F.col("user_id"))
-    return dv.table(spark, sf, "events").select("user_id").distinct().select(
-        *[c.alias(n) for n, c in columns.items()]
-    )
+def _persona_access(spark, sf):
+    return dv.access(spark, sf)
 
 
 @query
-def expected_demand(spark, sf):
-    """Expected load per dataset and day."""
-    d = scenario.expected_demand(_attributes(spark, sf), 0, SCENARIO_HOURS)
-    return rounded(d.groupBy("dataset_id", "persona", "cycle_day").agg(
-        F.sum("expected_reads").alias("reads"), F.sum("expected_writes").alias("writes"), F.count("*").alias("hours")
-    ))
+def calendar_access(spark, sf):
+    """Hourly rows with the multipliers of the demand calendar in force."""
+    return scenario.calendar_access(_persona_access(spark, sf))
 
 
 @query
-def scenario_placement(spark, sf):
-    """Placement of every dataset after a cycle of expected load."""
-    who = _attributes(spark, sf)
-    d = scenario.expected_demand(who, 0, SCENARIO_HOURS)
-    return rounded(placement.evaluate_placement(state.fold_events(scenario.demand_events(d, who))))
+def calendar_effect(spark, sf):
+    return rounded(scenario.calendar_effect(_persona_access(spark, sf)))
 
 
 @query
@@ -466,6 +489,117 @@ def filled_hours(spark, sf):
     return scenario.fill_hours(dv.access(spark, sf))
 
 
+@query
+def filled_hours_of_events(spark, sf):
+    """Hours from raw event times, which lie anywhere within the hour."""
+    e = dv.table(spark, sf, "events")
+    one = F.lit(1).cast("long")
+    return scenario.fill_hours(e.select(
+        dv.dataset_key(F.col("user_id")).alias("dataset_id"), dv.epoch("ts").alias("timestamp"), one.alias("reads_1h"),
+        F.lit(0).cast("long").alias("writes_1h"), F.col("event_id").alias("bytes_read_1h"),
+    ))
+
+
+# ---- sources and sinks -----------------------------------------------------------------------------------
+
+
+@query
+def appended_requests(spark, sf):
+    """The stored request table after one more request."""
+    path = f"{run_folder(spark)}/requests"
+    append_request(dv.requests(spark, sf), path)
+    append_request(jb.new_request(spark, "full-scan-1", NOW), path)
+    return spark.read.parquet(path).select("request_id", "status", "created_at", "reason")
+
+
+@query
+def training_csv(spark, sf):
+    """Training features written as a CSV file and read back by the training reader."""
+    path = f"{run_folder(spark)}/training"
+    table = ft.training_table(_access(spark, sf))
+    table.withColumn("timestamp", F.timestamp_seconds("timestamp")).write.option("header", True).csv(path)
+    return rounded(read_training_csv(spark, path))
+
+
+@query
+def reused_features(spark, sf):
+    """Training features stored once; the second call only reads, though it is given nothing to compute."""
+    path = f"{run_folder(spark)}/features"
+    first = materialise(ft.training_table(_access(spark, sf)), path)
+    return rounded(materialise(first.filter("false"), path).select("dataset_id", "timestamp", "reads_24h", "trend_6h"))
+
+
+def _log_lines(spark, sf):
+    """A pipe table with a header and one row per event type, and a malformed row."""
+    log = dv.run_log(spark, sf).groupBy("service").agg(F.count("*").alias("n"), F.max("p95_latency_ms").alias("p95"))
+    cell = lambda c: F.col(c).cast("string")
+    row = F.concat(
+        F.lit("| "), cell("n"), F.lit(" | "), cell("n"), F.lit(" | 2.5 | "), (F.col("n") / 2.5).cast("string"), F.lit(" | "),
+        (F.col("n") * 1440).cast("double").cast("string"), F.lit(" | "), cell("p95"), F.lit(" |"),
+    )
+    rows = log.agg(F.array_join(F.sort_array(F.collect_list(row)), "\n").alias("rows"))  # one row per event type
+    head = "| events | accepted | duration_sec | events_per_sec | events_per_hour | p95_latency_ms |\n|---|---|---|---|---|---|\n"
+    return rows.select(F.concat(F.lit("# Runs\n\n" + head), "rows", F.lit("\n| broken | row |\n")).alias("value"))
+
+
+@query
+def imported_run_log(spark, sf):
+    """Run-log rows read from a text table."""
+    path = f"{run_folder(spark)}/log"
+    _log_lines(spark, sf).coalesce(1).write.text(path)
+    return rounded(read_pipe_log(spark, path).filter("events is not null").drop("ts", "service"))
+
+
+@query
+def logged_runs(spark, sf):
+    """The newest row of a run log to which one row per event type has been appended."""
+    path = f"{run_folder(spark)}/runs"
+    log = dv.run_log(spark, sf).groupBy("service").agg(F.count("*").alias("n"))
+    runs = log.select(
+        "service", F.col("n").cast("double").alias("ts"), F.col("n").cast("double").alias("events"),
+        F.col("n").cast("double").alias("accepted"), F.lit(2.5).alias("duration_sec"), (F.col("n") / 2.5).alias("events_per_sec"),
+        (F.col("n") * 1440.0).alias("events_per_hour"), F.lit(1.0).alias("p95_latency_ms"),
+    )
+    append_run(runs.filter("service <> 'view'"), path)
+    append_run(runs.filter("service = 'view'"), path)
+    return rounded(latest_logged_run(spark.read.parquet(path)))
+
+
+# ---- streaming -------------------------------------------------------------------------------------------
+
+
+def _streamed(spark, sf) -> Store:
+    """The event pipeline run over the whole event text as a stream of files, in arrival order."""
+    folder = run_folder(spark)
+    # One file: the lines of a file keep their order, which is the order of arrival.
+    _raw(spark, sf).orderBy("seq", "value").select("value").coalesce(1).write.text(f"{folder}/events")
+    store = Store(spark, f"{folder}/store")
+    ingest_stream(
+        text_event_stream(spark, f"{folder}/events/part-*"), store, f"{folder}/checkpoint", clock=lambda: NOW,
+        trigger={"availableNow": True},
+    ).awaitTermination()
+    return store
+
+
+@query
+def streamed_state(spark, sf):
+    return _state_row(_streamed(spark, sf).state.read())
+
+
+@query
+def streamed_jobs(spark, sf):
+    made = _streamed(spark, sf).jobs.read()
+    return made.select("dataset_id", "from_backend", "to_backend", "reason", "status", "attempts", "created_at")
+
+
+@query
+def streamed_dead_letters(spark, sf):
+    return _streamed(spark, sf).dead_letters().select("error", "payload", "ts")
+
+
+# ---- features --------------------------------------------------------------------------------------------
+
+
 def _access(spark, sf):
     return staged(dv.access(spark, sf))
 
@@ -564,6 +698,6 @@ def best_horizon(spark, sf):
 
 @query
 def trained_forecast(spark, sf):
-    """Validation errors of the trained forecasters on gap-free hours. No SQL: the fit is iterative."""
+    """Forecasters trained on gap-free hours with both losses: validation samples, and whether they beat the mean."""
     table = staged(ft.training_table(staged(scenario.fill_hours(_access(spark, sf)))))
-    return rounded(model.compare(staged(ft.chronological_split(table)), max_iter=25), 3)
+    return model.compare_losses(staged(ft.chronological_split(table)))

@@ -169,7 +169,8 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Position in this list is the fault number; all other numbers leave the event untouched.
 FAULTS = (
     "no dataset_id", "reads null", "reads text", "reads 2.0", "reads negative", "size negative", "hour 24", "hour -1",
-    "day 7", "writes true", "array", "null", "broken", "unknown backend", "bytes negative",
+    "day 7", "writes true", "array", "null", "broken", "unknown backend", "bytes negative", "text after the event",
+    "bracket after the event", "array after the event", "no initial tier", "initial tier null",
 )
 
 
@@ -198,12 +199,15 @@ def raw_events(access_df: DataFrame) -> DataFrame:
         put("hour_of_day", c("hour_of_day"), False, {6: "24", 7: "-1"}),
         put("day_of_week", c("day_of_week"), False, {8: "7"}),
         put("current_backend", c("current_backend"), True, {13: '"tape-vault"'}),
-        put("initial_backend", c("initial_backend"), True, {}),
+        put("initial_backend", c("initial_backend"), True, {18: None, 19: "null"}),
         put("size_gb", c("size_gb").cast("long"), False, {5: "-3.5"}),
     )
     value = (
         F.when(c("fault") == 10, F.lit("[1,2]"))
         .when(c("fault") == 11, F.lit("null"))
-        .otherwise(F.concat(F.lit("{"), body, F.when(c("fault") == 12, "").otherwise("}")))
+        .otherwise(F.concat(
+            F.lit("{"), body, F.when(c("fault") == 12, "").otherwise("}"),
+            F.when(c("fault") == 15, " end").when(c("fault") == 16, "] garbage").when(c("fault") == 17, "],[1").otherwise(""),
+        ))
     )
     return access_df.withColumn("fault", fault).select(hour_no.alias("seq"), value.alias("value"))

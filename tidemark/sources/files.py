@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -49,42 +49,60 @@ def publish_kafka(events: DataFrame, servers: str, topic: str) -> None:
 
 
 def read_training_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The training table from CSV with a header: timestamps to epoch seconds, missing numbers to zero."""
+    """The training table from CSV with a header: timestamps to epoch seconds (null if malformed), numbers that are missing
+    or out of range to zero."""
     header = spark.read.option("header", True).csv(path)
     wanted = {f.name: f.dataType for f in TRAINING}
 
     def cell(name: str) -> Column:
         kind = wanted[name].simpleString()
         if name == "timestamp":
-            return F.unix_timestamp(F.to_timestamp(name))
+            return F.unix_timestamp(F.try_to_timestamp(name))
         if kind == "string":
             return F.coalesce(name, F.lit("0"))
         # A whole number may be written as 3.0.
-        return F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)).cast(kind)
+        return F.coalesce(F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)).try_cast(kind), F.lit(0).cast(kind))
 
     return header.select(*[cell(n).alias(n) for n in wanted])
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all machines see: the ``spark.checkpoint.dir`` of the cluster. Only a local session without that
-    setting gets a temporary folder."""
+    """Folder that all machines see: the setting ``spark.checkpoint.dir``, which the cluster or the caller makes."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir is not set")
-    return _local_dir()
+    if not found:
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines see")
+    return found
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+_RUN: ContextVar[str] = ContextVar("run", default="all")
+
+
+@contextmanager
+def run_of(name: str):
+    """Puts the copies that ``staged`` makes inside the block under one run id, which is given back. The results built
+    inside may read them until ``drop_run``."""
+    run = f"{name}-{uuid.uuid4().hex}"
+    token = _RUN.set(run)
+    try:
+        yield run
+    finally:
+        _RUN.reset(token)
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new folder for what a query writes itself, under the run id that holds now."""
+    return f"{shared_dir(spark)}/staged/{_RUN.get()}/{uuid.uuid4().hex}"
+
+
+def drop_run(spark: SparkSession, run: str) -> None:
+    """Delete the copies of one run, once its results have been read."""
+    delete(spark, f"{shared_dir(spark)}/staged/{run}")
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """``df`` as a table written to the shared folder. For a result that several branches of one query read: they
-    then share a scan with pruned columns, and losing an executor costs no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}"
+    """``df`` as a table written to the shared folder, by a job that runs at once. For a result that several branches of
+    one query read: they then share a scan with pruned columns, and losing an executor costs no recomputation."""
+    path = f"{shared_dir(df.sparkSession)}/staged/{_RUN.get()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -101,11 +119,35 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or nothing."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_small(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place of the old one. It is written aside first and then renamed over it."""
+    fs, p = _fs(spark, path)
+    _, aside = _fs(spark, f"{path}.next")
+    stream = fs.create(aside, True)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = rename
+    context.rename(aside, p, options)
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:

@@ -12,14 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import LIMITS, Limits
 from ..operators.ingest import ingest_batch
-from ..operators.jobs import claim_request, finish_requests, scan
+from ..operators.jobs import finish_request, next_request, scan
 from ..operators.metrics import event_rate
 from ..operators.validate import validate_events
 from ..schemas import DATASET, JOB, REQUEST
-from ..sources.files import is_complete
-from ..sources.keyed_log import KeyedLog
-
-COMPACT_EVERY = 50
+from ..sources.files import is_complete, materialise
+from ..sources.keyed_table import KeyedTable
 
 
 class Store:
@@ -29,9 +27,10 @@ class Store:
         self.spark, self.root = spark, root
         # The event and the scan stream of one application both write jobs; they take turns.
         self.lock = threading.RLock()
-        self.state = KeyedLog(spark, f"{root}/state", "dataset_id", DATASET)
-        self.jobs = KeyedLog(spark, f"{root}/jobs", "job_id", JOB)
-        self.requests = KeyedLog(spark, f"{root}/requests", "request_id", REQUEST)
+        self.state = KeyedTable(spark, f"{root}/state", "dataset_id", DATASET)
+        # Pending jobs are what a batch has to know of the jobs; all others are kept apart from them.
+        self.jobs = KeyedTable(spark, f"{root}/jobs", "job_id", JOB, apart="status = 'PENDING'")
+        self.requests = KeyedTable(spark, f"{root}/requests", "request_id", REQUEST, apart="status = 'PENDING'")
 
     def batch_path(self, table: str, batch: int) -> str:
         return f"{self.root}/{table}/batch={batch}"
@@ -69,16 +68,13 @@ def _process_batch(store, raw, batch, now, limits, skip_noop, name) -> bool:
     # Every branch of the batch reads the validated rows; a lost copy is computed again from the source.
     validated = validate_events(raw.select("value", "seq")).persist(StorageLevel.DISK_ONLY)
     try:
-        out = ingest_batch(validated, store.state.read(), store.jobs.read(), now, limits, skip_noop)
+        out = ingest_batch(validated, store.state.read(), store.jobs.read_apart(), now, limits, skip_noop)
         counted = out.dead_letters.observe(f"{name}_rejected", F.count(F.lit(1)).alias("rejected"))
         counted.write.mode("overwrite").parquet(store.batch_path("dead_letters", batch))
         store.jobs.write(out.jobs.observe(f"{name}_jobs", F.count(F.lit(1)).alias("created")), tag)
         store.state.write(out.state, tag)
     finally:
         validated.unpersist()
-    if (batch + 1) % COMPACT_EVERY == 0:
-        store.state.compact(f"compact-{batch}")
-        store.jobs.compact(f"compact-{batch}")
     return True
 
 
@@ -97,27 +93,36 @@ def ingest_stream(
 
 
 def run_scan(store: Store, now: float, tag: str, limits: Limits = LIMITS) -> DataFrame:
-    """Claim the oldest pending request, if any, scan all datasets and write the new jobs. Returns the jobs made."""
+    """Claim the oldest pending request, if any, scan all datasets and write the new jobs. Returns the jobs made. The
+    same tag again finds what the first run wrote and adds nothing."""
     with store.lock:
         return _run_scan(store, now, tag, limits)
 
 
 def _run_scan(store: Store, now: float, tag: str, limits: Limits) -> DataFrame:
-    requests = store.requests.read()
-    store.requests.write(changed(claim_request(requests, now), requests, "request_id"), f"{tag}-claim")
-    store.jobs.write(scan(store.state.read(), store.jobs.read(), now, limits), tag)
-    made = store.jobs.read().filter(F.col("created_at") == float(now)).filter(~F.col("reason").startswith("real-time"))
-    running = store.requests.read().filter(F.col("status") == "RUNNING")
-    done = finish_requests(running, now, made.agg(F.count("*")).scalar())
-    store.requests.write(done, f"{tag}-finish")
+    # The claimed row and the jobs have files of their own under the tag, so a repeat goes on with the same ones.
+    folder = f"{store.root}/scans/{tag}"
+    pending = store.requests.read_apart()
+    claimed = materialise(next_request(pending).withColumns({"status": F.lit("RUNNING"), "started_at": F.lit(float(now))}), f"{folder}/request")
+    store.requests.write(claimed, f"{tag}-claim")
+    made = materialise(scan(store.state.read(), store.jobs.read_apart(), now, limits), f"{folder}/jobs")
+    store.jobs.write(made, tag)
+    mine = [r.request_id for r in claimed.select("request_id").collect()]  # one at most
+    if mine:
+        done = finish_request(claimed, mine[0], now, made.agg(F.count("*")).scalar())
+        store.requests.write(done, f"{tag}-finish")
     return made
 
 
-def changed(after: DataFrame, before: DataFrame, key: str) -> DataFrame:
-    """Rows of ``after`` that differ from ``before``."""
-    b = before.select(F.col(key).alias("b_key"), F.xxhash64(*before.columns).alias("b_hash"))
-    joined = after.withColumn("a_hash", F.xxhash64(*before.columns)).join(b, F.col(key) == F.col("b_key"), "left")
-    return joined.filter(~F.col("a_hash").eqNullSafe(F.col("b_hash"))).select(*after.columns)
+def run_pending_scans(store: Store, now: float, tag: str, limits: Limits = LIMITS) -> int:
+    """One scan for each pending request, oldest first, and one scan when there is none. Returns the number of scans."""
+    done = 0
+    while True:
+        waiting = not next_request(store.requests.read_apart()).isEmpty()
+        if done and not waiting:
+            return done
+        run_scan(store, now, f"{tag}-{done}", limits)
+        done += 1
 
 
 def scan_stream(
@@ -127,7 +132,7 @@ def scan_stream(
     """Scan whenever ``ticks`` (any stream, such as new requests) has data, at most once per trigger interval."""
 
     def each(df: DataFrame, batch: int) -> None:
-        run_scan(store, clock(), f"scan-{batch}", limits)
+        run_pending_scans(store, clock(), f"scan-{batch}", limits)
 
     writer = ticks.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
