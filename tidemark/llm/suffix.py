@@ -2,11 +2,12 @@
 
 A string of ``LENGTH`` bytes is removed wherever it also starts in a document with a smaller id. Suffix arrays of shards
 find them: every string is sent to the shard that its smallest ``GRAM``-gram hash names, so equal strings meet. Only
-strings whose gram occurs in two documents are sent. A shard builds suffix arrays by Larsson-Sadakane refinement and
+strings around grams that occur in two documents with the same ``SIDE`` bytes before or after them are sent: of the bytes
+of a string beside its gram, that many lie on one side. A shard builds suffix arrays by Larsson-Sadakane refinement and
 common prefixes by Kasai's rule; a shard too large for one array is cut into pieces whose sorted strings are merged by
 binary search.
 
-Three passes over the texts, which are shuffled once: (1) which gram hashes occur in two documents, (2) the strings around
+Three passes over the texts, which are shuffled once: (1) which grams with one side occur in two documents, (2) the strings around
 those grams, (3) removal. A task first drops what repeats among its own documents, so a passage that a third of all
 documents share is sent once per chunk.
 
@@ -23,10 +24,13 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 LENGTH, GRAM = 50, 20
+SIDE = (LENGTH - GRAM + 1) // 2
 #: Bytes of text that one task handles at a time, about, and bytes of one suffix array, at most.
-CHUNK, PIECE = 16 << 20, 1 << 20
-#: Hash bits that tell grams apart; equal bits of different grams only cost work.
-BITS = 44
+CHUNK, PIECE = 4 << 20, 1 << 20
+#: Bits that order grams and bits that tell grams with a side apart; equal bits of different grams only cost work.
+ORDER_BITS, BITS = 36, 40
+#: Bytes looked through together, so that a place fits beside the bits of the order.
+SLICE = 1 << 27
 _NULL = np.iinfo(np.int64).max
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -36,7 +40,7 @@ def words_at(text: np.ndarray) -> np.ndarray:
     padded = np.concatenate((text, np.zeros(16, np.uint8)))
     out = np.empty(len(text) + 8, np.uint64)
     for shift in range(8):
-        part = np.frombuffer(padded.tobytes(), "<u8", (len(padded) - shift) // 8, shift)
+        part = np.frombuffer(padded.data, "<u8", (len(padded) - shift) // 8, shift)
         out[shift::8] = part[: len(out[shift::8])]
     return out[: len(text)]
 
@@ -55,41 +59,51 @@ def gram_hashes(text: np.ndarray) -> np.ndarray:
     h += w[16 : 16 + n] & np.uint64(0xFFFFFFFF)
     h *= _FACTOR
     h ^= h >> np.uint64(32)
-    return h >> np.uint64(64 - BITS)
+    return h
 
 
-def segments(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches of consecutive windows with one smallest gram hash, none longer than a gram lasts and none across
-    documents: document number, first window, number of windows, hash."""
+def segments(text: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of consecutive windows with one gram, the leftmost of the smallest hashes, and none across documents:
+    document number, first window, number of windows, place of the gram."""
     span = LENGTH - GRAM + 1
-    h = gram_hashes(text)
     n = len(text) - LENGTH + 1
     if n <= 0:
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, np.zeros(0, np.uint64)
-    least, width = h, 1
-    while width * 2 <= span:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    least = np.minimum(least[:n], least[span - width : span - width + n])
-    change = np.ones(n, bool)
-    change[1:] = least[1:] != least[:-1]
-    sizes = np.diff(ends, prepend=0)
-    begin = ends - sizes
-    last = ends - LENGTH + 1  # first start that is too late
+        return empty, empty, empty, empty
+    change = np.zeros(n, bool)
+    place = np.zeros(n, np.int64)
+    low = np.uint64(64 - ORDER_BITS)
+    for a in range(0, n, SLICE):
+        z = min(n, a + SLICE)
+        least = (hashes[a : z + span - 1] >> low << low) | np.arange(z + span - 1 - a, dtype=np.uint64)
+        width = 1
+        while width * 2 <= span:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        least = np.minimum(least[: z - a], least[span - width : span - width + z - a])
+        place[a:z] = a + (least & np.uint64((1 << (64 - ORDER_BITS)) - 1)).astype(np.int64)
+    change[0] = True
+    change[1:] = place[1:] != place[:-1]
+    begin = ends - np.diff(ends, prepend=0)
+    late = ends - LENGTH + 1  # first start that is too late
     change[begin[begin < n]] = True
-    change[np.clip(last, 0, n)[(last > begin) & (last < n)]] = True
+    change[late[(late > begin) & (late < n)]] = True
     first = np.nonzero(change)[0]
     count = np.diff(np.append(first, n))
     doc = np.searchsorted(ends, first, "right")
     whole = first + LENGTH <= ends[doc]
-    first, count, doc = first[whole], count[whole], doc[whole]
-    # A gram lasts ``span`` windows; longer stretches (periodic text) are cut.
-    parts = -(-count // span)
-    index = np.repeat(np.arange(len(first)), parts)
-    nth = np.arange(len(index)) - np.repeat(np.cumsum(parts) - parts, parts)
-    first, count = first[index] + nth * span, np.minimum(span, count[index] - nth * span)
-    return doc[index], first, count, least[first]
+    return doc[whole], first[whole], count[whole], place[first[whole]]
+
+
+def sided(hashes: np.ndarray, place: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For grams at ``place`` in documents from ``begin`` to ``end``: hash of the gram with the ``SIDE`` bytes before it,
+    whether there are so many, and the same for the bytes after it."""
+    gram = hashes[place]
+    left, right = place - SIDE >= begin, place + GRAM + SIDE <= end
+    before = hashes[np.where(left, place - SIDE, place)]
+    after = hashes[np.where(right, place + SIDE, place)]
+    mix = lambda a, b: ((a * _FACTOR ^ b) * _FACTOR) >> np.uint64(64 - BITS)
+    return mix(before, gram), left, mix(after ^ np.uint64(1), gram), right
 
 
 def gather(text: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -245,7 +259,7 @@ def _unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
 class Chunk:
     """The documents of one chunk in a fixed order, as one array of bytes."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, search: bool = True):
         texts = table["text"].cast(pa.large_binary()).to_pylist()
         ids = [_NULL if k is None else k for k in table["doc_id"].to_pylist()]
         order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
@@ -254,19 +268,38 @@ class Chunk:
         self.ends = np.cumsum([len(t) for t in self.texts]).astype(np.int64)
         self.bytes = np.frombuffer(b"".join(self.texts), np.uint8)
 
-    def grams(self, shards: int) -> tuple[tuple, np.ndarray, np.ndarray, np.ndarray]:
-        """The segments, the different hashes in order of (shard, hash), their shards, and whether two documents of the
-        chunk hold them."""
-        parts = segments(self.bytes, self.ends)
-        doc, _, _, h = parts
-        shard = (h % np.uint64(shards)).astype(np.int64)
-        order = np.lexsort((self.ids[doc], h, shard))
-        s, k, d = shard[order], h[order], self.ids[doc][order]
-        new = np.ones(len(k), bool)
-        new[1:] = k[1:] != k[:-1]
-        first = np.nonzero(new)[0]
-        last = np.append(first[1:], len(k)) - 1
-        return parts, k[first], s[first], d[first] != d[last] if len(first) else np.zeros(0, bool)
+        self.begins = self.ends - np.diff(self.ends, prepend=0)
+        if not search:
+            return
+        self.hashes = gram_hashes(self.bytes)
+        self.doc, self.first, self.count, self.place = segments(self.bytes, self.ends, self.hashes)
+
+    def offers(self) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+        """The different hashes of grams with one side in ascending order, whether two documents of the chunk hold them,
+        and the hashes of each segment."""
+        sides = sided(self.hashes, self.place, self.begins[self.doc], self.ends[self.doc])
+        before, left, after, right = sides
+        h = np.concatenate((before[left], after[right]))
+        d = np.concatenate((self.ids[self.doc[left]], self.ids[self.doc[right]]))
+        order = np.lexsort((d, h))
+        h, d = h[order], d[order]
+        first = np.nonzero(np.append(True, h[1:] != h[:-1]))[0] if len(h) else np.zeros(0, np.int64)
+        last = np.append(first[1:], len(h)) - 1
+        return h[first], d[first] != d[last] if len(first) else np.zeros(0, bool), sides
+
+
+def _range(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each hash: ranges of values, so that sorted hashes of one shard lie close together."""
+    return ((hashes >> np.uint64(BITS - 20)) * np.uint64(shards) >> np.uint64(20)).astype(np.int64)
+
+
+def _close(sorted_numbers: np.ndarray) -> np.ndarray:
+    """Differences of sorted numbers as bytes, the low bytes of all of them first: the zeros above compress away."""
+    return np.ascontiguousarray(np.diff(sorted_numbers, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+
+
+def _from_close(raw: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
 
 
 def _split(shards: np.ndarray) -> list[tuple[int, int, int]]:
@@ -297,20 +330,18 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
     texts = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)))
 
     def offer(key: tuple, table: pa.Table) -> pa.Table:
-        chunk = Chunk(table)
-        _, grams, shard, twice = chunk.grams(shards)
+        grams, twice, _ = Chunk(table).offers()
         rows = []
-        for s, a, z in _split(shard):
-            rows.append((s, key[0].as_py(), _packed(np.diff(grams[a:z], prepend=np.uint64(0)), np.packbits(twice[a:z]))))
+        for s, a, z in _split(_range(grams, shards)):
+            rows.append((s, key[0].as_py(), _packed(_close(grams[a:z]), np.packbits(twice[a:z]))))
         return _table(rows)
 
     def common(key: tuple, table: pa.Table) -> pa.Table:
-        got = [_unpacked(d, "<u8", "u1") for d in table["data"].to_pylist()]
-        hashes = [np.cumsum(g, dtype=np.uint64) for g, _ in got]
+        got = [_unpacked(d, "u1", "u1") for d in table["data"].to_pylist()]
+        hashes = [_from_close(g) for g, _ in got]
         twice = [np.unpackbits(t, count=len(h)).astype(bool) for h, (_, t) in zip(hashes, got)]
         every = np.sort(np.concatenate(hashes))
         again = every[1:][every[1:] == every[:-1]]
-        again = again[np.append(True, again[1:] != again[:-1])] if len(again) else again
         rows = []
         for c, h, t in zip(table["chunk"].to_pylist(), hashes, twice):
             place = np.minimum(np.searchsorted(again, h), max(0, len(again) - 1))
@@ -323,22 +354,23 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
         if not left.num_rows or not right.num_rows:
             return _table([])
         chunk = Chunk(left)
-        (doc, first, count, h), grams, shard, _ = chunk.grams(shards)
+        grams, _, (before, has_before, after, has_after) = chunk.offers()
         wanted = np.zeros(len(grams), bool)
-        place = {s: (a, z) for s, a, z in _split(shard)}
+        place = {s: (a, z) for s, a, z in _split(_range(grams, shards))}
         for s, data in zip(right["shard"].to_pylist(), right["data"].to_pylist()):
             bits, n = _unpacked(data, "u1", "<i8")
             a, z = place[s]
             wanted[a:z] = np.unpackbits(bits, count=int(n[0])).astype(bool)
-        chosen = np.sort(grams[wanted])
+        chosen = grams[wanted]
         if not len(chosen):
             return _table([])
-        at = np.minimum(np.searchsorted(chosen, h), len(chosen) - 1)
-        take = chosen[at] == h
-        doc, first, count, h = doc[take], first[take], count[take], h[take]
+        among = lambda x: chosen[np.minimum(np.searchsorted(chosen, x), len(chosen) - 1)] == x
+        take = (has_before & among(before)) | (has_after & among(after))
+        doc, first, count = chunk.doc[take], chunk.first[take], chunk.count[take]
+        hashes = chunk.hashes
+        h = hashes[chunk.place[take]]
         size = count + LENGTH - 1
         # Equal strings of later documents of the chunk need not travel: what they repeat is here.
-        hashes = gram_hashes(chunk.bytes)
         tail = first + size - GRAM
         sign = h.copy()
         for k in range(0, LENGTH + LENGTH - GRAM, GRAM):
@@ -356,7 +388,7 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
             equal[i : i + (1 << 16)] = np.logical_and.reduceat(x == y, np.cumsum(s) - s)
         local = np.zeros(len(h), bool)
         local[a[equal]] = True
-        start = first - (chunk.ends[doc] - np.diff(chunk.ends, prepend=0)[doc])
+        start = first - chunk.begins[doc]
         shard = (h % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((start, doc, local, shard))
         rows = []
@@ -414,11 +446,11 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
         return _table(rows)
 
     def remove(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        chunk = Chunk(left) if left.num_rows else None
+        chunk = Chunk(left, search=False) if left.num_rows else None
         out: list[tuple] = []
         if chunk is not None:
             change = np.zeros(len(chunk.bytes) + 1, np.int32)
-            begins = chunk.ends - np.diff(chunk.ends, prepend=0)
+            begins = chunk.begins
             for data in right["data"].to_pylist():
                 doc, start, size = _unpacked(data, "<i4", "<i8", "<i8")
                 at = begins[doc] + start
