@@ -47,8 +47,8 @@ def test_reports_agree(spark, tmp_path):
     assert s.savings == pytest.approx(-0.5) and s.monthly == pytest.approx(-15)
     files.write_json_report(reports.json_report(d, j, "now"), str(tmp_path / "r"))
     lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "r")).collect()]
-    assert [x for x in lines if x.get("reason")] == [{"reason": "r", "count": 2}]
-    (r,) = [x for x in lines if "costs" in x]
+    assert [json.loads(x["body"]) for x in lines if x["part"] == "reason"] == [{"reason": "r", "count": 2}]
+    (r,) = [json.loads(x["body"]) for x in lines if x["part"] == "report"]
     assert r["costs"]["savings"]["amount"] == pytest.approx(-0.5)
     assert r["migrations"]["efficiency"]["by_status"] == {"COMPLETE": 1, "FAILED": 1}
     assert r["backends"]["on-prem"] == {"count": 1, "total_gb": 100.0}

