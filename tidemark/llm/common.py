@@ -45,6 +45,13 @@ def saved(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **option
 
 
 
+def values(column, kind=None, step: int = 256):
+    """The values of an Arrow column as Python objects, a slice at a time: a whole batch of texts is never held twice."""
+    for at in range(0, len(column), step):
+        part = column.slice(at, step)
+        yield from (part.cast(kind) if kind is not None else part).to_pylist()
+
+
 def fold_of(doc_id: Column | str, of: int) -> Column:
     """The fold of a document among ``of``: the checksum of its id as text."""
     return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")) % of

@@ -13,11 +13,15 @@ hits again, an empty table gives no rows. Other columns pass through untouched.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import values
+
 #: Characters of a q-gram, of a window, and between the starts of windows; edits allowed in a window.
 Q, WINDOW, STRIDE, EDITS = 12, 64, 16, 3
 SHORTEST = 32
@@ -95,16 +99,17 @@ class Index:
         self.table = np.zeros(1 << self.bits, bool)
         self.table[(self.hash >> np.uint64(64 - self.bits)).astype(np.int64)] = True
 
-    def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
+    def search(self, texts: Iterable[str | None], n: int | None = None) -> list[list[tuple[int, int, int, int]]]:
         """Per text ``(item, start, end, edits)`` for each item found, in code points of the original text, end
         exclusive: the whole stretch over which windows of the item match; edits are those of the worst window in it."""
         out: list[list[tuple[int, int, int, int]]] = []
         # Texts are looked through together, so far apart that no match reaches from one into the next.
         gap, lot, size = GAP * (self.edits + 1), [], 0
-        for t in [*texts, None]:
+        n = len(texts) if n is None else n
+        for t in chain(texts, (None,)):
             lot.append((t or "", normal(t)))
             size += len(lot[-1][1])
-            if size >= LOT_CHARS or len(out) + len(lot) > len(texts):
+            if size >= LOT_CHARS or len(out) + len(lot) > n:
                 begins = np.cumsum([0] + [len(n) + len(gap) for _, n in lot])
                 mine: list[list] = [[] for _ in lot]
                 for item, a, z, e in self.hits(gap.join(n for _, n in lot)):
@@ -112,7 +117,7 @@ class Index:
                     mine[k].append((item, max(0, a - int(begins[k])), z - int(begins[k]), e))
                 out += [regions(t, h) for (t, _), h in zip(lot, mine)]
                 lot, size = [], 0
-        return out[: len(texts)]
+        return out[:n]
 
     def hits(self, norm: str) -> list[tuple[int, int, int, int]]:
         found = [(i, a, a + len(s), 0) for i, s in self.short for a in _occurrences(norm, s)]
@@ -248,7 +253,7 @@ def contamination(text: Column | str, benchmark: list[Index]) -> Column:
         def run(texts: pa.Array) -> pa.Array:
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
             names = ("item_id", "start", "end", "edits")
-            return pa.array([[dict(zip(names, h)) for h in hits] for hits in index.search(texts.to_pylist())], kind)
+            return pa.array([[dict(zip(names, h)) for h in hits] for hits in index.search(values(texts), len(texts))], kind)
 
         return run(text)
 
@@ -259,7 +264,8 @@ def contamination(text: Column | str, benchmark: list[Index]) -> Column:
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document row, benchmark item and matching stretch: ``doc_id, item_id, start, end, edits``."""
     hits = docs.select("doc_id", contamination("text", indexes(benchmark)).alias("hits"))
-    return hits.select("doc_id", F.inline("hits"))
+    # The outer form keeps Spark from computing the hits once more to leave out empty ones.
+    return hits.select("doc_id", F.inline_outer("hits")).filter("item_id is not null")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import SPACE, n_words, saved
+from .common import SPACE, n_words, saved, values
 
 SEED = 8
 WEIGHTS = (5, 2, 1)
@@ -202,7 +202,7 @@ def taken_texts(mixed: DataFrame, text: str = "text") -> DataFrame:
     @F.arrow_udf("string")
     def cut(texts: pa.Array, start: pa.Array, end: pa.Array) -> pa.Array:
         out = []
-        for t, a, z in zip(texts.to_pylist(), start.to_pylist(), end.to_pylist()):
+        for t, a, z in zip(values(texts), values(start), values(end)):
             spans = [m.span() for m in _WORD.finditer(t)]
             out.append(t[spans[a][0] : spans[z - 1][1]])
         return pa.array(out, pa.string())

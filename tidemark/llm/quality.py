@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import values
+
 STATISTICS = (
     "log_chars", "log_words", "mean_word", "spread_word", "symbols", "digits", "upper", "punctuation", "wide", "blanks",
     "short_words", "distinct_words", "most_frequent_word", "log_lines", "mean_line", "repeated_lines", "line_ends",
@@ -57,7 +59,7 @@ def statistics(text: bytes | None) -> list[float]:
 def text_statistics(text: Column | str) -> Column:
     @F.arrow_udf("array<double>")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([statistics(t) for t in texts.cast(pa.binary()).to_pylist()], pa.list_(pa.float64()))
+        return pa.array([statistics(t) for t in values(texts, pa.binary())], pa.list_(pa.float64()))
 
     return run(text)
 

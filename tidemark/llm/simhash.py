@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import components, saved
+from .common import components, saved, values
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Fingerprints of one bucket compared in one task; larger buckets are cut into tiles of pairs.
@@ -49,7 +49,7 @@ def simhash(text: Column | str) -> Column:
 
     @F.arrow_udf("long")
     def run(texts: pa.Array) -> pa.Array:
-        found = [fingerprint(t) for t in texts.cast(pa.binary()).to_pylist()]
+        found = [fingerprint(t) for t in values(texts, pa.binary())]
         return pa.array(np.array(found, np.uint64).view(np.int64))
 
     return run(text)

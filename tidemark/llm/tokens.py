@@ -11,30 +11,40 @@ order of id, then text; rows without an id come last; an empty table has no bloc
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import saved
+from .common import saved, values
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
 END_ID = 0
 #: A block is closed at so many ids; a longer document is a block of its own.
-BLOCK_IDS = 1 << 22
-#: Pieces of text a worker remembers.
-CACHE = 400_000
+BLOCK_IDS = 1 << 18
+#: Words that a task remembers, and characters of text that it encodes together.
+CACHE, LOT_CHARS = 400_000, 1 << 20
 #: Bytes of text per shard, about.
 SHARD_BYTES = 64 << 20
 
-# Texts are cut where the pre-tokenizer always cuts: before white space that follows other text, and after a run of
-# letters that no letter follows. White space other than blank and line feed makes a text go whole.
-_PIECE = re.compile(r"[ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]++(?![^\x00-\x7f])|[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​-‏﻿]")
+#: How the vocabulary file writes a blank.
+BLANK = "\u0120"
+# White space other than blank and line feed, and what one of two regular expression engines takes for it.
+_OTHER_SPACE = frozenset(
+    c for c in map(chr, [*range(9, 14), *range(28, 32), 133, 160, 5760, 6158, *range(8192, 8208), 8232, 8233, 8239, 8287, 12288, 65279])
+    if c != "\n"
+)
+
+
+def _plain(text: str) -> bool:
+    """Whether every blank stands alone between other characters: the pre-tokenizer then always cuts before it, so what
+    is between blanks can be encoded apart."""
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
+        return False
+    return _OTHER_SPACE.isdisjoint(set(text))
 
 
 class EliasFano:
@@ -106,7 +116,7 @@ class EliasFano:
 
 
 class Encoder:
-    """Ids of texts as little-endian bytes; pieces that occur again are looked up."""
+    """Ids of texts as little-endian bytes; words that occur again are looked up."""
 
     def __init__(self, path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
@@ -116,24 +126,44 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.end = np.array([end_id], self.kind).tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        self.known.update(zip(pieces, (np.array(e.ids, self.kind).tobytes() for e in found)))
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return self.end
-        if _OTHER_SPACE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes() + self.end
-        pieces = _PIECE.findall(text)
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        if missing := [p for p in dict.fromkeys(pieces) if p not in known]:
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.blank = np.array([t.startswith(BLANK) for t in tokens])
+        self.words: dict[str, bytes] = {}  # what stands between blanks, with the blank before it
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words strung together, each after a blank. A blank begins a pre-token and so a token, and there is no
+        other, so the tokens that begin with a blank are the places to cut."""
+        ids = self._whole(" " + " ".join(words))
+        cut = np.append(np.nonzero(self.blank[ids])[0], len(ids)) * self.width
+        raw, cut = ids.tobytes(), cut.tolist()
+        self.words.update((w, raw[a:z]) for w, a, z in zip(words, cut, cut[1:], strict=False))
+
+    def _lot(self, texts: list[str]) -> list[bytes]:
+        split = [t.split(" ") if _plain(t) else None for t in texts]
+        wanted = {w for s in split if s for w in s[1:]}
+        if len(self.words) > CACHE:  # the words of this lot are the ones to keep
+            self.words = {w: self.words[w] for w in wanted if w in self.words}
+        if missing := [w for w in wanted if w not in self.words]:
             self._learn(missing)
-        return b"".join([known[p] for p in pieces]) + self.end
+        words = self.words
+        return [
+            (self._whole(s[0]).tobytes() + b"".join([words[w] for w in s[1:]]) if s else self._whole(t).tobytes()) + self.end
+            for t, s in zip(texts, split)
+        ]
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Each text's ids with the end id."""
+        lot, size = [], 0
+        for t in texts:
+            lot.append(t or "")
+            size += len(lot[-1])
+            if size >= LOT_CHARS:
+                yield from self._lot(lot)
+                lot, size = [], 0
+        yield from self._lot(lot)
 
 
 BLOCK_SCHEMA = (
@@ -141,16 +171,6 @@ BLOCK_SCHEMA = (
 )
 
 
-def _encoder(path: str, end_id: int) -> Encoder:
-    key = (path, end_id)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, end_id)
-    return _ENCODERS[key]
-
-
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
-
-
 def encode_blocks(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS,
                   shards: int | None = None) -> DataFrame:
     """Blocks of ``docs(doc_id, text)``; shards follow each other in ascending ``doc_id`` order, so do blocks in one."""
@@ -163,7 +183,7 @@ def encode_blocks(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, bl
     numbered = placed.select(F.spark_partition_id().alias("shard"), "doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_path, end_id)
+        encoder = Encoder(tokenizer_path, end_id)
         ids: list[bytes] = []
         keys: list[int | None] = []
         no = size = shard = 0
@@ -183,8 +203,8 @@ def encode_blocks(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, bl
             ]))
 
         for batch in batches:
-            for shard, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                coded = encoder(text)
+            texts = values(batch.column(2))
+            for shard, key, coded in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoder.encode(texts)):
                 if ids and size + len(coded) // encoder.width > block_ids:
                     yield block()
                     no, size = no + 1, 0
@@ -204,7 +224,8 @@ def decode_blocks(blocks: DataFrame) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in batch.to_pylist():
+            for n in range(batch.num_rows):
+                b = batch.slice(n, 1).to_pylist()[0]
                 ids = np.frombuffer(b["ids"], f"<u{b['width']}").astype("<u4")
                 ends = EliasFano.from_bytes(b["ends"]).decode()
                 starts = np.concatenate(([0], ends[:-1]))

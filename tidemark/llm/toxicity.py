@@ -21,14 +21,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import saved, training_labels
+from .common import saved, training_labels, values
 
 #: Features with the strongest association with the label that the model keeps, and the least association.
 VOCABULARY, LEAST_Z = 4096, 4.0
 #: Lengths of word beginnings that are features.
 PREFIXES = (4, 5)
 #: Words whose weight a worker remembers.
-MEMO = 500_000
+MEMO = 150_000
 #: Labelled documents the model is fitted on, at most.
 MAX_TRAIN = 20_000
 MIN_DOCS = 3
@@ -103,7 +103,7 @@ def associated_features(docs: DataFrame, label: str, text: str = "text", keep: i
             )
 
         for batch in batches:
-            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for t, y in zip(values(batch.column(0)), values(batch.column(1))):
                 for f in {f for w in set(WORD.findall((t or "").lower())) for f in features(w)}:
                     counts.setdefault(f, [0, 0])[y] += 1
                 if len(counts) > 200_000:
@@ -184,7 +184,7 @@ def toxicity(text: Column | str, model: Model) -> Column:
 
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([float(model.document(t)) for t in texts.to_pylist()], pa.float64())
+        return pa.array([float(model.document(t)) for t in values(texts)], pa.float64())
 
     return run(text)
 
@@ -195,7 +195,7 @@ def offending_sentences(text: Column | str, model: Model, least: float = 0.5) ->
     @F.arrow_udf("array<struct<start:int,end:int,score:double>>")
     def run(texts: pa.Array) -> pa.Array:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-        return pa.array([model.offending(t, least) for t in texts.to_pylist()], kind)
+        return pa.array([model.offending(t, least) for t in values(texts)], kind)
 
     return run(text)
 
