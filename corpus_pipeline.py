@@ -35,7 +35,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes: a row per taken stretch of a document, documents taken more than once more than once."""
-    taken = mixing.taken_texts(mixing.mix(docs))
+    taken = mixing.mix(docs, cut="text")
     return taken.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

@@ -73,7 +73,7 @@ def test_mix(spark, shard):
 def test_taken_texts(spark):
     table = d.table(spark, n=60)
     mixed = m.mix(table, shard=500)
-    out = m.taken_texts(mixed).collect()
+    out = m.mix(table, shard=500, cut="text").collect()
     total = mixed.agg(F.sum("taken")).first()[0]
     assert sum(len(r.text.encode().split()) for r in out) == total
     texts = {r.text for r in table.collect()}

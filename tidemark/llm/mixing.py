@@ -118,6 +118,17 @@ def _block_ranges(sizes: np.ndarray, want: int, block: int, seed: list[int]) ->
     return out
 
 
+_WORD = re.compile(f"[^{SPACE}]+")
+
+
+def _cut(text: str | None, ranges: list[list[int]]) -> list[str]:
+    """The text of each range of words; a range over all of them is the text as it is."""
+    if not ranges:
+        return []
+    spans = [m.span() for m in _WORD.finditer(text)]
+    return [text if (a, z) == (0, len(spans)) else text[spans[a][0] : spans[z - 1][1]] for a, z in ranges]
+
+
 def apportion(sources: list[tuple[str | None, int]], weights=WEIGHTS, repeats: int = REPEATS, block: int = BLOCK):
     """``(block, [(source, size, target, blocks)])`` for sources in their order. A source whose target is the limit of
     repeats takes everything that often; the blocks of the others go by highest quotients."""
@@ -133,9 +144,10 @@ def apportion(sources: list[tuple[str | None, int]], weights=WEIGHTS, repeats: i
 
 
 def mix(docs: DataFrame, size: Column | None = None, source: str = "source", doc_id: str = "doc_id", weights=WEIGHTS,
-        repeats: int = REPEATS, seed: int = SEED, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+        repeats: int = REPEATS, seed: int = SEED, block: int = BLOCK, shard: int = SHARD, cut: str | None = None) -> DataFrame:
     """All rows with what the mix takes of them: ``size`` (words of ``text``, or what is given), ``source_size``,
-    ``target`` (of the source), ``taken`` (words, repeats counted) and ``ranges`` (word ranges taken)."""
+    ``target`` (of the source), ``taken`` (words, repeats counted) and ``ranges`` (word ranges taken). With ``cut``, the
+    name of the text column, a row for each range taken instead, its text cut to the range; whole documents keep theirs."""
     rows = docs.withColumn("size", F.coalesce(n_words("text") if size is None else size, F.lit(0)).cast("long"))
     rows = rows.drop(*ADDED[1:])
     key = F.xxhash64(F.lit(seed), F.col(doc_id), F.col("size"))
@@ -188,26 +200,11 @@ def mix(docs: DataFrame, size: Column | None = None, source: str = "source", doc
         chosen = _block_ranges(shard["size"].to_numpy(), want, block, [seed, rank, no])
         taken = pa.array([sum(z - a for a, z in r) for r in chosen], pa.int64())
         ranges = pa.array(chosen, pa.list_(pa.list_(pa.int64())))
-        return shard.select(names).append_column("taken", taken).append_column("ranges", ranges)
+        out = shard.select(names).append_column("taken", taken).append_column("ranges", ranges)
+        if cut is None:
+            return out
+        texts = [x for t, own in zip(values(shard[cut]), chosen) for x in _cut(t, own)]
+        rows = out.take(pa.array([i for i, own in enumerate(chosen) for _ in own], pa.int64()))
+        return rows.set_column(names.index(cut), cut, pa.array(texts, pa.string()))
 
     return ready.groupBy(*keys).applyInArrow(take, out)
-
-
-_WORD = re.compile(f"[^{SPACE}]+")
-
-
-def taken_texts(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """One row per taken range, with the text cut to it; whole documents keep their text as it is."""
-
-    @F.arrow_udf("string")
-    def cut(texts: pa.Array, start: pa.Array, end: pa.Array) -> pa.Array:
-        out = []
-        for t, a, z in zip(values(texts), values(start), values(end)):
-            spans = [m.span() for m in _WORD.finditer(t)]
-            out.append(t[spans[a][0] : spans[z - 1][1]])
-        return pa.array(out, pa.string())
-
-    rows = mixed.withColumn("mix_range", F.explode("ranges"))
-    a, z = F.col("mix_range")[0], F.col("mix_range")[1]
-    whole = (a == 0) & (z == F.col("size"))
-    return rows.withColumn(text, F.when(whole, F.col(text)).otherwise(cut(F.col(text), a, z))).drop("mix_range")
