@@ -184,6 +184,27 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int = LENGTH, cha
     return common[order]
 
 
+def equal_to_earlier(text: np.ndarray, hashes: np.ndarray, first: np.ndarray, size: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which stretches (``LENGTH`` to ``2 * LENGTH - GRAM`` bytes) equal, byte for byte, one with a smaller id."""
+    out = np.zeros(len(first), bool)
+    if not len(first):
+        return out
+    tail = first + size - GRAM
+    sign = size.astype(np.uint64)
+    for k in range(0, 2 * LENGTH - GRAM, GRAM):
+        sign = (sign ^ hashes[np.minimum(first + k, tail)]) * _FACTOR + np.uint64(k + 1)
+    order = np.lexsort((ids, sign))
+    lead = np.append(True, sign[order][1:] != sign[order][:-1])
+    leader = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
+    later = (ids[order] > ids[leader]) & (size[order] == size[leader])
+    a, b = order[later], leader[later]
+    for i in range(0, len(a), 1 << 16):
+        s = size[a[i : i + (1 << 16)]]
+        x, y = (gather(text, first[q[i : i + (1 << 16)]], s) for q in (a, b))
+        out[a[i : i + (1 << 16)]] = np.logical_and.reduceat(x == y, np.cumsum(s) - s)
+    return out
+
+
 def _strings(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The strings of ``LENGTH`` bytes from the given positions, comparable as bytes."""
     return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, LENGTH)[at]).view(f"V{LENGTH}").ravel()
@@ -371,23 +392,7 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
         h = hashes[chunk.place[take]]
         size = count + LENGTH - 1
         # Equal strings of later documents of the chunk need not travel: what they repeat is here.
-        tail = first + size - GRAM
-        sign = h.copy()
-        for k in range(0, LENGTH + LENGTH - GRAM, GRAM):
-            sign = (sign ^ hashes[np.minimum(first + k, tail)]) * _FACTOR + np.uint64(k + 1)
-        sign ^= size.astype(np.uint64)
-        order = np.lexsort((first, chunk.ids[doc], sign))
-        lead = np.append(True, sign[order][1:] != sign[order][:-1])
-        leader = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
-        later = (chunk.ids[doc[order]] > chunk.ids[doc[leader]]) & (size[order] == size[leader])
-        a, b = order[later], leader[later]
-        equal = np.zeros(len(a), bool)
-        for i in range(0, len(a), 1 << 16):
-            s = size[a[i : i + (1 << 16)]]
-            x, y = (gather(chunk.bytes, first[q[i : i + (1 << 16)]], s) for q in (a, b))
-            equal[i : i + (1 << 16)] = np.logical_and.reduceat(x == y, np.cumsum(s) - s)
-        local = np.zeros(len(h), bool)
-        local[a[equal]] = True
+        local = equal_to_earlier(chunk.bytes, hashes, first, size, chunk.ids[doc])
         start = first - chunk.begins[doc]
         shard = (h % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((start, doc, local, shard))
@@ -409,16 +414,20 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
         doc, start, size, h, ids = (np.concatenate([g[k] for g in got]) for k in range(5))
         text = np.concatenate([g[5] for g in got])
         source = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
+        at_source = np.append(0, np.cumsum([len(g[0]) for g in got]))
         size = size.astype(np.int64)
         ends = np.cumsum(size)
+        # What equals a string of an earlier document is repeated as a whole; the arrays need not hold it.
+        same = equal_to_earlier(text, gram_hashes(text), ends - size, size, ids)
+        rest = np.nonzero(~same)[0]
         # Strings of one hash lie together; arrays hold whole hashes as far as they fit.
-        order = np.argsort(h, kind="stable")
+        order = rest[np.argsort(h[rest], kind="stable")]
         hits: list[np.ndarray] = []
         sorted_h = h[order]
         edge = np.append(np.nonzero(np.append(True, sorted_h[1:] != sorted_h[:-1]))[0], len(order))
         upto = np.append(0, np.cumsum(size[order]))
         a = 0
-        while a < len(edge) - 1:
+        while len(order) and a < len(edge) - 1:
             b = int(np.searchsorted(upto[edge], upto[edge[a]] + PIECE, "right")) - 1
             b = min(max(b, a + 1), len(edge) - 1)
             lot = order[edge[a] : edge[b]]
@@ -437,11 +446,13 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
             # Windows that follow each other are one stretch.
             new = np.append(True, (d[1:] != d[:-1]) | (s[1:] != s[:-1] + 1)) if len(d) else np.zeros(0, bool)
             f = np.nonzero(new)[0]
-            l = np.append(f[1:], len(d)) - 1
-            if len(d) or len(g[6]):
+            l = np.append(f[1:], len(d))[: len(f)] - 1
+            mine = np.nonzero(same[at_source[n] : at_source[n + 1]])[0] + at_source[n]
+            if len(d) or len(g[6]) or len(mine):
                 rows.append((key[0].as_py(), c, _packed(
-                    np.concatenate((d[f], g[6])).astype("<i4"), np.concatenate((s[f], g[7])).astype("<i8"),
-                    np.concatenate((s[l] - s[f] + LENGTH if len(f) else s[:0], g[8].astype(np.int64))).astype("<i8"),
+                    np.concatenate((d[f], g[6], doc[mine])).astype("<i4"),
+                    np.concatenate((s[f], g[7], start[mine])).astype("<i8"),
+                    np.concatenate((s[l] - s[f] + LENGTH, g[8].astype(np.int64), size[mine])).astype("<i8"),
                 )))
         return _table(rows)
 
