@@ -70,15 +70,17 @@ def resolve_revisits(captures: DataFrame, strict: bool = False, block: int = BLO
     ``record_id, kind, url, canonical, time, status, source_id, headers, payload``.
 
     The as-of join is a running maximum over the captures of a URL without their payloads. URLs with many captures are
-    cut into stretches of time; each stretch starts from the last response before it, one small row per stretch.
+    cut into stretches of time; each stretch starts from the last response before it, one small row per stretch. The
+    captures are read four times, so store them first where they are costly to make.
     """
     rows = captures.select(
         "record_id", F.lower("kind").alias("kind"), "url", canonical_url("url").alias("canonical"), "time",
         lower_names(F.col("headers")).alias("headers"), "payload",
     )
-    rows = saved(rows, "warc-captures")
-    keys = rows.select("record_id", "kind", "canonical", "time", F.col("headers")["etag"].alias("etag"),
-                       F.col("headers")["last-modified"].alias("modified"))
+    keys = saved(rows.select(
+        "record_id", "kind", "canonical", "time", F.col("headers")["etag"].alias("etag"),
+        F.col("headers")["last-modified"].alias("modified"),
+    ), "warc-keys")
     usable = keys.filter("canonical is not null and time is not null")
     # Stretches of about BLOCK captures of one URL, from its span and count; most URLs are one stretch.
     span = usable.groupBy("canonical").agg(F.count("*").alias("n"), F.min("time").alias("t0"), F.max("time").alias("t1"))
