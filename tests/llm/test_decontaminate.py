@@ -96,3 +96,37 @@ def test_tables(spark, passes):
 def test_grams_differ_only_by_chance():
     a = c._grams(c._codes("abcdefghijklmnopqrstuvwxyz" * 3), 12)
     assert np.array_equal(a[:26], a[26:52]) and len(set(a[:26].tolist())) == 26
+
+
+def test_a_window_at_any_offset_is_found():
+    rng = random.Random(11)
+    items = passages()
+    index = c.Index(items)
+    for trial in range(200):
+        item, passage = rng.choice(items)
+        whole = c.normal(passage)
+        a = rng.randrange(len(whole) - 64)
+        edits = rng.randrange(4)
+        quote = edited(rng, whole[a : a + 64], edits)
+        before = d.prose(rng, 30) + " "
+        hits = [h for h in index.search([before + quote + " " + d.prose(rng, 30)])[0] if h[0] == item]
+        middle = len(before) + len(quote) // 2
+        assert any(h[1] <= middle < h[2] and h[3] <= 3 for h in hits), (trial, a)
+
+
+def test_hits_are_those_of_brute_force():
+    rng = random.Random(12)
+    items = [(i, d.prose(rng, 14)) for i in range(4)]
+    assert all(len(c.normal(t)) >= 60 for _, t in items)
+    index = c.Index(items)
+    texts = []
+    for _ in range(40):
+        whole = c.normal(rng.choice(items)[1])
+        a = rng.randrange(max(1, len(whole) - 50))
+        texts.append(d.prose(rng, 6) + " " + edited(rng, whole[a : a + rng.randrange(50, 80)], rng.randrange(6)) + d.prose(rng, 6))
+    for text, hits in zip(texts, index.search(texts)):
+        for item, passage in items:
+            whole, norm = c.normal(passage), c.normal(text)
+            m = min(64, len(whole))
+            near = any(plain_edits(whole[a : a + m], norm) <= 3 for a in range(len(whole) - m + 1))
+            assert near == (item in {h[0] for h in hits}), (item, text)

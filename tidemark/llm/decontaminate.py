@@ -1,13 +1,15 @@
 """Benchmark decontamination: regions of a text that are within an edit budget of a benchmark passage.
 
-Texts are compared in lower case with runs of white space as one space. Each benchmark item is cut into overlapping
-windows. By the q-gram lemma a region within ``k`` edits of a window of ``m`` characters shares at least
-``m - q + 1 - k q`` q-grams with it, all on ``k + 1`` neighbouring diagonals; matching q-grams are counted in
-overlapping diagonal bands, bands with enough are kept, and a banded alignment has the last word.
-
-Defined results: null and empty texts have no hits, items shorter than ``SHORTEST`` characters are looked up whole and
-exactly (an empty or null item is left out), repeated items are reported under each id, a repeated document row gets its
-hits again, an empty table gives no rows. Other columns pass through untouched.
+Texts are compared in lower case with runs of white space as one space. A window is any ``WINDOW`` characters of a
+benchmark item, from any offset. By the q-gram lemma a region within ``k`` edits of a window of ``m`` characters shares
+at least ``m - q + 1 - k q`` q-grams with it, all on ``k + 1`` neighbouring diagonals; matching q-grams are counted in
+overlapping diagonal bands by their place in the item, windows with enough are kept, and a banded alignment of each has
+the last word.
+
+Defined results: null and empty texts have no hits; an item shorter than a window is one window, from ``Q * (EDITS + 2)``
+characters on; shorter items are looked up whole and exactly (an empty or null item is left out); repeated items are
+reported under each id, a repeated document row gets its hits again, an empty table gives no rows. Other columns pass
+through untouched.
 """
 
 from __future__ import annotations
@@ -22,9 +24,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import values
 
-#: Characters of a q-gram, of a window, and between the starts of windows; edits allowed in a window.
-Q, WINDOW, STRIDE, EDITS = 12, 64, 16, 3
+#: Characters of a q-gram, of a window, and between the starts of windows (all are looked for); edits allowed in a window.
+Q, WINDOW, STRIDE, EDITS = 12, 64, 1, 3
 SHORTEST = 32
+#: Windows that are aligned together.
+ALIGNED = 4096
 #: Characters of benchmark text that one pass over the documents looks for; more text takes more passes.
 PASS_CHARS = 8_000_000
 #: Characters of documents that a task looks through together.
@@ -64,41 +68,154 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
     return out * factor
 
 
-class Index:
-    """The q-grams of a bounded set of benchmark texts."""
-
-    def __init__(self, items: list[tuple[int, str]], q: int = Q, window: int = WINDOW, stride: int = STRIDE,
-                 edits: int = EDITS):
-        self.q, self.edits = q, edits
-        texts = [(i, normal(t)) for i, t in items]
-        least = max(SHORTEST, q * (edits + 2))
-        self.short = [(i, t) for i, t in texts if t and len(t) < least]
-        self.windows: list[tuple[int, int, np.ndarray]] = []  # item, start in the item, characters
-        hashes, owner, offset = [], [], []
-        for i, t in texts:
-            if len(t) < least:
-                continue
-            c = _codes(t)
-            m = min(window, len(c))
-            starts = sorted({*range(0, len(c) - m + 1, stride), len(c) - m})
-            for s in starts:
-                g = _grams(c[s : s + m], q)
-                hashes.append(g)
-                owner.append(np.full(len(g), len(self.windows)))
-                offset.append(np.arange(len(g)))
-                self.windows.append((i, s, c[s : s + m]))
-        join = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
-        h, self.owner, self.offset = join(hashes, np.uint64), join(owner, np.int64), join(offset, np.int64)
+class Grams:
+    """The q-grams of items, by place, and the windows of the items that a text comes near. Places count through all
+    items, one after another."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], q: int, window: int, edits: list[int]):
+        self.q, self.ids = q, [i for i, _ in items]
+        length = np.array([len(c) for _, c in items], np.int64)
+        self.codes = np.concatenate([c for _, c in items])
+        self.begin = np.cumsum(length) - length
+        self.of = np.repeat(np.arange(len(items), dtype=np.int32), length)
+        self.size = np.minimum(window, length)  # characters of a window, by item
+        self.edits = np.array(edits, np.int64)
+        self.last = self.begin + length - self.size  # where the last window begins
+        self.need = self.size - q + 1 - self.edits * q
+        self.least, self.reach = int(self.need.min()), int((self.size + self.edits).max())
+        h = _grams(self.codes, q)
+        place = np.nonzero(self.of[: len(h)] == self.of[q - 1 :])[0]  # none reaches into the next item
+        h = h[place]
         order = np.argsort(h, kind="stable")
-        self.hash, self.owner, self.offset = h[order], self.owner[order], self.offset[order]
-        self.need = np.array([len(w[2]) - q + 1 - edits * q for w in self.windows], np.int64)
-        self.least = int(self.need.min()) if len(self.need) else 0
-        self.longest = max((len(w[2]) for w in self.windows), default=0)
+        self.hash, self.place = h[order], place[order]
         # A bit table in front of the exact search, with 32 places per gram.
         self.bits = max(16, int(max(1, len(h)) * 32 - 1).bit_length())
         self.table = np.zeros(1 << self.bits, bool)
         self.table[(self.hash >> np.uint64(64 - self.bits)).astype(np.int64)] = True
 
+    def hits(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
+        item, band, start = self.near(codes)
+        if not len(start):
+            return []
+        size, k = self.size[item], self.edits[item]
+        low = band * (k + 1)
+        edits, end = self.unmoved(codes, start, low, size, 2 * int(k.max() + 1))
+        for n in np.unique(k):
+            for m in np.unique(size[k == n]):
+                rest = np.nonzero((k == n) & (size == m) & (edits > 1))[0]
+                for part in (rest[x : x + ALIGNED] for x in range(0, len(rest), ALIGNED)):
+                    edits[part], end[part] = self.moved(codes, start[part], low[part], int(m), int(n))
+        good = np.nonzero(edits <= k)[0]
+        if not len(good):
+            return []
+        item, band, start, edits, end, size = (x[good] for x in (item, band, start, edits, end, size))
+        # Windows at neighbouring places are one stretch.
+        first = np.ones(len(good), bool)
+        first[1:] = (item[1:] != item[:-1]) | (band[1:] != band[:-1]) | (start[1:] != start[:-1] + 1)
+        first = np.nonzero(first)[0]
+        a = np.maximum(0, np.minimum.reduceat(end - size, first))
+        z = np.minimum(len(codes), np.maximum.reduceat(end, first))
+        e = np.maximum.reduceat(edits, first)
+        return [(self.ids[i], *x) for i, *x in zip(item[first].tolist(), a.tolist(), z.tolist(), e.tolist())]
+
+    def near(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, band and place of each window that shares enough q-grams with the text in the band, in this order."""
+        none = (np.zeros(0, np.int64),) * 3
+        g = _grams(codes, self.q)
+        at = np.nonzero(self.table[(g >> np.uint64(64 - self.bits)).astype(np.int64)])[0]
+        if len(at) < self.least:
+            return none
+        low = np.searchsorted(self.hash, g[at], "left")
+        high = np.searchsorted(self.hash, g[at], "right")
+        real = high > low
+        at, low, high = at[real], low[real], high[real]
+        # A region is at most a window and its edits long: stretches of text with too few grams go.
+        ahead = np.searchsorted(at, at + self.reach, "left") - np.arange(len(at))
+        dense = np.zeros(len(at) + 1, np.int64)
+        start = np.nonzero(ahead >= self.least)[0]
+        np.add.at(dense, start, 1)
+        np.add.at(dense, start + ahead[start], -1)
+        keep = np.cumsum(dense[:-1]) > 0
+        at, low, high = at[keep], low[keep], high[keep]
+        if not len(at):
+            return none
+        times = high - low
+        pos = np.repeat(at, times)
+        place = self.place[np.repeat(low - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())]
+        item = self.of[place].astype(np.int64)
+        # Bands of 2k + 2 diagonals, one beginning every k + 1: any k + 1 neighbours lie in one of them.
+        band = (pos - place) // (self.edits[item] + 1)
+        band = np.concatenate((band, band - 1))
+        place, item = np.concatenate((place, place)), np.concatenate((item, item))
+        order = np.lexsort((place, band, item))
+        place, band, item = place[order], band[order], item[order]
+        once = np.ones(len(place), bool)
+        once[1:] = (place[1:] != place[:-1]) | (band[1:] != band[:-1])
+        place, band, item = place[once], band[once], item[once]
+        # A window has enough where the gram that makes it enough is not too far ahead.
+        i = np.arange(len(place))
+        i = i[i + self.need[item] <= len(place)]
+        j = i + self.need[item[i]] - 1
+        span = self.size[item[i]] - self.q
+        enough = (item[j] == item[i]) & (band[j] == band[i]) & (place[j] - place[i] <= span)
+        i, j, span = i[enough], j[enough], span[enough]
+        item, band = item[i], band[i]
+        first, last = np.maximum(self.begin[item], place[j] - span), np.minimum(place[i], self.last[item])
+        same = (item[1:] == item[:-1]) & (band[1:] == band[:-1])
+        first[1:] = np.where(same, np.maximum(first[1:], last[:-1] + 1), first[1:])  # each window once
+        n = np.maximum(0, last - first + 1)
+        return np.repeat(item, n), np.repeat(band, n), np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+    def unmoved(self, codes, start, low, size, diagonals: int) -> tuple[np.ndarray, np.ndarray]:
+        """Least number of characters that differ on one of the diagonals from ``low`` on, and where that stretch ends."""
+        # Windows at neighbouring places lie in a run; their characters are compared once per diagonal.
+        new = np.ones(len(start), bool)
+        new[1:] = (start[1:] != start[:-1] + 1) | (low[1:] != low[:-1]) | (size[1:] != size[:-1])
+        head = np.nonzero(new)[0]
+        long = np.diff(np.append(head, len(start))) + size[head] - 1
+        base = np.cumsum(long) - long
+        place = np.repeat(start[head] - base, long) + np.arange(long.sum())
+        mine, at = self.codes[place], place + np.repeat(low[head], long)
+        here = (base - head)[np.cumsum(new) - 1] + np.arange(len(start))
+        edits, end = np.full(len(start), 1 << 14, np.int64), start + low + size
+        for d in range(diagonals):
+            p = at + d
+            differs = (p < 0) | (p >= len(codes)) | (codes[np.clip(p, 0, len(codes) - 1)] != mine)
+            total = np.concatenate(([0], np.cumsum(differs)))
+            n = total[here + size] - total[here]
+            less = n < edits
+            edits[less], end[less] = n[less], (start + low + size)[less] + d
+        return edits, end
+
+    def moved(self, codes, start, low, m: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``aligned`` of many windows of ``m`` characters: the paths of up to ``k`` edits that touch their bands."""
+        steps = np.arange(2 * (k + 1) + 2 * k)
+        at = (start + low - k)[:, None] + steps
+        row = np.zeros(at.shape, np.int64)
+        far = np.full((len(start), 1), 1 << 14)
+        for i in range(m):
+            p = at + i
+            # What is beyond the text differs from everything.
+            differs = (p < 0) | (p >= len(codes)) | (codes[np.clip(p, 0, len(codes) - 1)] != self.codes[start + i][:, None])
+            best = np.minimum(row + differs, np.concatenate((row[:, 1:], far), 1) + 1)
+            row = np.minimum.accumulate(best - steps, 1) + steps
+        end = row.argmin(1)
+        return row[np.arange(len(end)), end], start + low - k + end + m
+
+
+class Index:
+    """What to look for of a bounded set of benchmark texts."""
+
+    def __init__(self, items: list[tuple[int, str]], q: int = Q, window: int = WINDOW, edits: int = EDITS):
+        self.edits = edits
+        texts = [(i, normal(t)) for i, t in items]
+        full = max(SHORTEST, q * (edits + 2))
+        self.short = [(i, t) for i, t in texts if t and len(t) < full]
+        most = [(i, _codes(t)) for i, t in texts if len(t) >= full]
+        self.grams = []
+        if most:
+            self.grams.append(Grams(most, q, window, [edits] * len(most)))
+
     def search(self, texts: Iterable[str | None], n: int | None = None) -> list[list[tuple[int, int, int, int]]]:
         """Per text ``(item, start, end, edits)`` for each item found, in code points of the original text, end
         exclusive: the whole stretch over which windows of the item match; edits are those of the worst window in it."""
@@ -121,62 +238,8 @@ class Index:
 
     def hits(self, norm: str) -> list[tuple[int, int, int, int]]:
         found = [(i, a, a + len(s), 0) for i, s in self.short for a in _occurrences(norm, s)]
-        if not self.windows or len(norm) < self.q:
-            return found
         codes = _codes(norm)
-        g = _grams(codes, self.q)
-        at = np.nonzero(self.table[(g >> np.uint64(64 - self.bits)).astype(np.int64)])[0]
-        if len(at) < self.least:
-            return found
-        low = np.searchsorted(self.hash, g[at], "left")
-        high = np.searchsorted(self.hash, g[at], "right")
-        real = high > low
-        at, low, high = at[real], low[real], high[real]
-        # A region is at most a window and its edits long: stretches of text with too few grams go.
-        reach = self.longest + self.edits
-        ahead = np.searchsorted(at, at + reach, "left") - np.arange(len(at))
-        dense = np.zeros(len(at) + 1, np.int64)
-        start = np.nonzero(ahead >= self.least)[0]
-        np.add.at(dense, start, 1)
-        np.add.at(dense, start + ahead[start], -1)
-        keep = np.cumsum(dense[:-1]) > 0
-        at, low, high = at[keep], low[keep], high[keep]
-        if not len(at):
-            return found
-        times = high - low
-        pos = np.repeat(at, times)
-        entry = np.repeat(low - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
-        owner, diagonal = self.owner[entry], pos - self.offset[entry]
-        # Bands of 2k + 2 diagonals, one beginning every k + 1: any k + 1 neighbours lie in one of them.
-        step = self.edits + 1
-        band = np.concatenate((diagonal // step, diagonal // step - 1))
-        owner, pos, diagonal = (np.concatenate((x, x)) for x in (owner, pos, diagonal))
-        order = np.lexsort((pos, band, owner))
-        owner, band, pos, diagonal = owner[order], band[order], pos[order], diagonal[order]
-        change = np.ones(len(owner), bool)
-        change[1:] = (owner[1:] != owner[:-1]) | (band[1:] != band[:-1])
-        begin = np.nonzero(change)[0]
-        count = np.diff(np.append(begin, len(owner)))
-        seen = (-1, -1)
-        for b in np.nonzero(count >= self.need[owner[begin]])[0]:
-            w = int(owner[begin[b]])
-            item, _, window = self.windows[w]
-            m, d = len(window), int(band[begin[b]]) * step
-            if seen[0] == w and d <= seen[1] <= d + 2 * step:
-                continue  # the band before has found it
-            own = diagonal[begin[b] : begin[b] + count[b]]
-            main = int(np.bincount(own - d).argmax()) + d
-            edits, end = self.edits + 1, 0
-            if 0 <= main <= len(codes) - m:
-                edits, end = int((codes[main : main + m] != window).sum()), main + m
-            if edits > self.edits:
-                a, z = max(0, d - self.edits), min(len(codes), d + 2 * step + m + self.edits)
-                edits, end = aligned(window, codes[a:z], d + step - a, step + self.edits)
-                end += a
-            if edits <= self.edits:
-                found.append((item, max(0, end - m), end, edits))
-                seen = (w, end - m)
-        return found
+        return found + [h for g in self.grams if len(codes) >= g.q for h in g.hits(codes)]
 
 
 def regions(text: str, hits: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
