@@ -130,3 +130,23 @@ def test_hits_are_those_of_brute_force():
             m = min(64, len(whole))
             near = any(plain_edits(whole[a : a + m], norm) <= 3 for a in range(len(whole) - m + 1))
             assert near == (item in {h[0] for h in hits}), (item, text)
+
+
+def test_short_items_may_have_edits():
+    rng = random.Random(13)
+    for n in range(32, 60):
+        item = d.prose(rng, 20, lines=False)[:n - 1].replace(" .", "..").rstrip().ljust(n, "z")
+        assert len(c.normal(item)) == n
+        index = c.Index([(7, item)])
+        for edits in (0, 1, 3 * n // 64):
+            text = d.prose(rng, 20) + " " + edited(rng, item, edits) + " " + d.prose(rng, 20)
+            assert [h[0] for h in index.search([text])[0]] == [7], (n, edits)
+    index = c.Index([(1, "What is the capital city of France?")])
+    assert index.search(["so: what is the capital citty of france? x"])[0][0][0] == 1
+    assert index.search(["so: what is the currency used in france? x"])[0] == []
+
+
+def test_whole_items_are_whole_words():
+    index = c.Index([(1, "yes"), (2, "42"), (3, "(a)"), (4, "日本")])
+    texts = ["eyes yesterday 421 x42", "Yes.", "is it 42?", "f(a)b", "今日本語"]
+    assert [[h[0] for h in hits] for hits in index.search(texts)] == [[], [1], [2], [3], [4]]

@@ -7,14 +7,16 @@ overlapping diagonal bands by their place in the item, windows with enough are k
 the last word.
 
 Defined results: null and empty texts have no hits; an item shorter than a window is one window, from ``Q * (EDITS + 2)``
-characters on; shorter items are looked up whole and exactly (an empty or null item is left out); repeated items are
-reported under each id, a repeated document row gets its hits again, an empty table gives no rows. Other columns pass
-through untouched.
+characters on with all edits, from ``SHORTEST`` on with edits in proportion to its length and grams of ``SHORT_Q``; items
+shorter than ``SHORTEST`` characters are looked up exactly, as whole words (an empty or null item is left out); repeated
+items are reported under each id, a repeated document row gets its hits again, an empty table gives no rows. Other
+columns pass through untouched.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable
 from itertools import chain
 
@@ -26,7 +28,8 @@ from .common import values
 
 #: Characters of a q-gram, of a window, and between the starts of windows (all are looked for); edits allowed in a window.
 Q, WINDOW, STRIDE, EDITS = 12, 64, 1, 3
-SHORTEST = 32
+#: Characters from which an item may have edits, and of a q-gram of items too short for ``Q``.
+SHORTEST, SHORT_Q = 32, 10
 #: Windows that are aligned together.
 ALIGNED = 4096
 #: Characters of benchmark text that one pass over the documents looks for; more text takes more passes.
@@ -209,12 +212,15 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], q: int = Q, window: int = WINDOW, edits: int = EDITS):
         self.edits = edits
         texts = [(i, normal(t)) for i, t in items]
-        full = max(SHORTEST, q * (edits + 2))
-        self.short = [(i, t) for i, t in texts if t and len(t) < full]
+        full = q * (edits + 2)
+        self.short = [(i, t) for i, t in texts if t and len(t) < min(SHORTEST, full)]
+        some = [(i, _codes(t)) for i, t in texts if SHORTEST <= len(t) < full]
         most = [(i, _codes(t)) for i, t in texts if len(t) >= full]
         self.grams = []
         if most:
             self.grams.append(Grams(most, q, window, [edits] * len(most)))
+        if some:
+            self.grams.append(Grams(some, SHORT_Q, window, [max(1, edits * len(c) // window) for _, c in some]))
 
     def search(self, texts: Iterable[str | None], n: int | None = None) -> list[list[tuple[int, int, int, int]]]:
         """Per text ``(item, start, end, edits)`` for each item found, in code points of the original text, end
@@ -262,10 +268,22 @@ def regions(text: str, hits: list[tuple[int, int, int, int]]) -> list[tuple[int,
     ]
 
 
+#: Scripts without blanks between words (Thai to Lao, Burmese, Khmer, kana, ideographs).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def _within_word(a: str, b: str) -> bool:
+    """Whether no word ends between two neighbouring characters."""
+    return all((c == "_" or unicodedata.category(c)[0] in "LMN") and not _UNSPACED.match(c) for c in (a, b))
+
+
 def _occurrences(text: str, part: str) -> list[int]:
+    """Where the part stands in the text as whole words."""
     found, at = [], text.find(part)
     while at >= 0:
-        found.append(at)
+        z = at + len(part)
+        if not (at and _within_word(text[at - 1], part[0]) or z < len(text) and _within_word(part[-1], text[z])):
+            found.append(at)
         at = text.find(part, at + 1)
     return found
 
