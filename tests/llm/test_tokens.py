@@ -7,6 +7,7 @@ import documents as d
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemark.llm import tokens as t
 from tidemark.llm.queries import TOKENIZERS
@@ -77,3 +78,12 @@ def test_documents_come_back(spark, encoder, tmp_path, block_ids, shards):
 
 def test_nothing(spark, tmp_path):
     assert t.read_documents(t.write_tokens(d.empty(spark), PATH, str(tmp_path / "out"))).count() == 0
+
+
+def test_added_tokens_are_those_of_a_fresh_tokenizer(encoder):
+    fresh = Tokenizer.from_file(PATH)
+    texts = ["<|endoftext|>", "<|endoftext|> x", "a <|endoftext|> b", "one two<|endoftext|>three four", "<|endoftext| > a b", *ODD]
+    assert 50256 in fresh.encode(texts[2], add_special_tokens=False).ids
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        want = fresh.encode(text, add_special_tokens=False).ids + [t.END_ID]
+        assert np.frombuffer(ids, encoder.kind).tolist() == want, repr(text)

@@ -5,8 +5,10 @@ block holds, as little-endian bytes: the ids of its documents one after another
 needs), the ends of the documents as an Elias-Fano sequence over that array, and the document ids as another. Offsets
 come from the select structure; there is no table of 64-bit offsets.
 
-Defined results: a null or empty text has the end id alone; repeated ids and rows are documents of their own, in the
-order of id, then text; rows without an id come last; an empty table has no block. Other columns are left out.
+Defined results: an added token of the vocabulary, such as ``<|endoftext|>``, is one id where a text holds it, as the
+tokenizer's ``encode`` gives it; a null or empty text has the end id alone; repeated ids and rows are documents of their
+own, in the order of id, then text; rows without an id come last; an empty table has no block. Other columns are left
+out.
 """
 
 from __future__ import annotations
@@ -122,7 +124,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Tokens that are cut out of a text before it is split into words.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.end = np.array([end_id], self.kind).tobytes()
@@ -130,6 +133,10 @@ class Encoder:
         self.blank = np.array([t.startswith(BLANK) for t in tokens])
         self.words: dict[str, bytes] = {}  # what stands between blanks, with the blank before it
 
+    def _by_word(self, text: str) -> bool:
+        """Whether words can be looked up. An added token is cut out first and may hold blanks of its own."""
+        return _plain(text) and not any(t in text or " " in t for t in self.added)
+
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
@@ -142,7 +149,7 @@ class Encoder:
         self.words.update((w, raw[a:z]) for w, a, z in zip(words, cut, cut[1:], strict=False))
 
     def _lot(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if _plain(t) else None for t in texts]
+        split = [t.split(" ") if self._by_word(t) else None for t in texts]
         wanted = {w for s in split if s for w in s[1:]}
         if len(self.words) > CACHE:  # the words of this lot are the ones to keep
             self.words = {w: self.words[w] for w in wanted if w in self.words}
