@@ -83,3 +83,36 @@ def test_awkward_tables(spark):
     assert p.find_spans(d.empty(spark)).count() == 0
     assert set(out.columns) == set(t.columns)
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().toString())
+
+
+def numbered(code, body):
+    """An account number with right check digits."""
+    value = "".join(str(int(c, 36)) for c in body + code + "00")
+    return f"{code}{98 - int(value) % 97:02d}{body}"
+
+
+def spaced(number):
+    return " ".join(number[i : i + 4] for i in range(0, len(number), 4))
+
+
+def test_accounts_before_anything(spark):
+    rng = random.Random(8)
+    numbers = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
+    for code in ("NO", "BE", "FR", "MT", "LC", "RU", "NL", "PL"):
+        number = numbered(code, "".join(rng.choice("0123456789AZ") for _ in range(p.IBAN_LENGTHS[code] - 4)))
+        numbers += [number, spaced(number)]
+    numbers += [numbered("ZZ", "12345678901234567"), spaced(numbered("ZZ", "1234567890123456"))]
+    tails = ["", " Please pay", " BIC COBADEFFXXX", " 2024", " 1 2", " A", ", DE", " and", ". X", " DE89 3704 0044", "\nNO 7"]
+    cases = [(n, t) for n in numbers for t in tails if not n.startswith("ZZ") or t[:2] not in (" 1", " 2", " A", " B", " D")]
+    texts = [f"Konto {n}{t}" for n, t in cases] + [f"{numbers[0]} {numbers[1]}", f"AT12 {numbers[0]} X", f"{numbers[1]}9", f"x{numbers[1]}"]
+    got = spans(table(spark, texts))
+    found = [[texts[i][s[1]:s[2]] for s in got[i] if s[0] == "iban"] for i in range(len(texts))]
+    for (n, _), text, f in zip(cases, texts, found):
+        assert f == [n], text
+    assert found[len(cases):] == [numbers[:2], numbers[:1], [], []]
+
+
+def test_accounts_do_not_overlap(spark):
+    spans = [("a", 0, 10), ("b", 5, 15), ("c", 12, 20), ("d", 20, 22)]
+    df = spark.createDataFrame([(spans,), (spans[2:],), ([],)], f"x {p.AT}")
+    assert [[s.m for s in r[0]] for r in df.select(p.apart(F.col("x"))).collect()] == [["a", "c", "d"], ["c", "d"], []]

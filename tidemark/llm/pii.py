@@ -5,7 +5,8 @@ overlap; the patterns are written so that no character is looked at more than a
 start where a run starts, or where the last match ended).
 
 Kinds: email, ip (parts at most 255), card (16 to 19 digits, Luhn), phone (8 to 15 digits), and iban (mod 97), which is
-what the method adds. The score starts from how far a kind is confirmed by its form and rises with a context word of the
+what the method adds. An iban has the length of its country and ends where a word ends, whatever follows; with a country
+code that is not in ``IBAN_LENGTHS``, it is the longest run of words of 15 to 34 characters that is right. The score starts from how far a kind is confirmed by its form and rises with a context word of the
 kind up to ``NEAR`` code points before or after it.
 
 Defined results: a null or empty text has no spans; digits are ASCII digits; repeated rows are found each; an empty table
@@ -33,6 +34,35 @@ class Kind:
     needs: str
     score: float
     context: tuple[str, ...]
+    #: Group of the pattern that is the proposal, and characters that a match takes if it only looks ahead at the rest.
+    group: int = 0
+    taken: int | None = None
+
+
+#: Characters of an account number by country code.
+IBAN_LENGTHS = {
+    c: n
+    for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+        28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+        31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in codes.split()
+}
+
+
+def _iban() -> str:
+    """Takes the country code and check digits and captures the whole number ahead, so that one proposal does not hide
+    another that begins inside it."""
+    known = "|".join(IBAN_LENGTHS)
+    by_length = [
+        rf"(?:{'|'.join(c for c in IBAN_LENGTHS if IBAN_LENGTHS[c] == n)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}"
+        for n in sorted({*IBAN_LENGTHS.values()})
+    ]
+    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}"
+    return rf"(?<![A-Za-z0-9])(?=((?:{'|'.join([*by_length, other])})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}"
 
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -42,7 +72,7 @@ KINDS = (
     Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", 0.5, ("ip", "server", "host", "address")),
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,}+", "", 0.6, ("card", "visa", "credit", "karte", "carte", "tarjeta")),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.4, ("phone", "call", "tel", "fax", "mobile")),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "", 0.7, ("iban", "bank", "konto", "account")),
+    Kind("iban", _iban(), "", 0.7, ("iban", "bank", "konto", "account"), 1, 4),
 )
 BASE = ("email", "ip", "card", "phone")
 SPAN = "struct<kind:string,start:int,end:int,score:double>"
@@ -91,7 +121,7 @@ def _matches(text: Column, kind: Kind) -> tuple[Column, Column]:
     none = F.array().cast("array<string>")
     pattern = F.lit(kind.pattern)
     return (
-        F.when(may, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(none),
+        F.when(may, F.regexp_extract_all(text, pattern, F.lit(kind.group))).otherwise(none),
         F.when(may, F.transform(F.split(text, kind.pattern, -1), F.length)).otherwise(F.array().cast("array<int>")),
     )
 
@@ -103,14 +133,15 @@ def _running(lengths: Column, start: Column) -> Column:
     return F.aggregate(lengths, zero, step, lambda a: a["out"])
 
 
-def _with_starts(rows: DataFrame, names: list[str]) -> DataFrame:
-    """``name`` (matches) and ``name_gap`` (lengths between them) become one array of (m, start, end). Lengths are added
-    up in blocks of about the root of their number, so that many matches in one text stay affordable."""
+def _with_starts(rows: DataFrame, names: dict[str, int | None]) -> DataFrame:
+    """``name`` (matches) and ``name_gap`` (lengths between them) become one array of (m, start, end); ``names`` gives the
+    characters that each match takes, if they are not those of ``m``. Lengths are added up in blocks of about the root of their number, so that many matches in one text stay affordable."""
     empty = F.array().cast("array<array<int>>")
 
     def blocks(c: str) -> Column:
         size = F.ceil(F.sqrt(F.size(c))).cast("int")
-        lengths = F.transform(F.col(c), lambda m, i: F.length(m) + F.get(F.col(f"{c}_gap"), i))
+        taken = lambda m: F.length(m) if names[c] is None else F.lit(names[c])
+        lengths = F.transform(F.col(c), lambda m, i: taken(m) + F.get(F.col(f"{c}_gap"), i))
         last = F.ceil(F.size(c) / size).cast("int") - 1
         cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(lengths, b * size + 1, size))
         return F.when(F.size(c) > 0, cut).otherwise(empty)
@@ -136,6 +167,31 @@ def _with_starts(rows: DataFrame, names: list[str]) -> DataFrame:
     return with_columns_once(rows, {f"{c}_at": placed(c) for c in names})
 
 
+AT = "array<struct<m:string,start:int,end:int>>"
+
+
+def accounts(found: Column) -> Column:
+    """The account numbers among proposals (m, start, end)."""
+
+    def best(m: Column) -> Column:
+        words = F.split(m, " ")
+        shorter = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda i: F.array_join(F.slice(words, 1, i), " "))
+        tries = F.when(F.substring(m, 1, 2).isin(*IBAN_LENGTHS), F.array(m)).otherwise(shorter)
+        return F.get(F.filter(tries, lambda x: confirmed("iban", x)), 0)
+
+    cut = F.transform(found, lambda s: F.struct(best(s["m"]).alias("m"), s["start"].alias("start")))
+    whole = lambda s: F.struct(s["m"].alias("m"), s["start"].alias("start"), (s["start"] + F.length(s["m"])).alias("end"))
+    return F.transform(F.filter(cut, lambda s: s["m"].isNotNull()), whole).cast(AT)
+
+
+def apart(found: Column) -> Column:
+    """Spans without those that begin inside one before them that stays."""
+    after = lambda spans, s, i: F.coalesce(F.get(spans, i)["end"] <= s["start"], F.lit(True))
+    step = lambda kept, s: F.when(after(kept, s, F.size(kept) - 1), F.concat(kept, F.array(s))).otherwise(kept)
+    clear = F.forall(F.transform(found, lambda s, i: after(found, s, i - 1)), lambda x: x)
+    return F.when(clear, found).otherwise(F.aggregate(found, F.array().cast(AT), step))
+
+
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``spans``: array of (kind, start, end, score) by kind in the order of ``KINDS``, then start."""
     docs = docs.drop("spans")
@@ -143,10 +199,15 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     raw = {}
     for k in KINDS:
         raw[f"pii_{k.name}"], raw[f"pii_{k.name}_gap"] = _matches(t, k)
-    rows = _with_starts(with_columns_once(docs, raw), [f"pii_{k.name}" for k in KINDS])
+    rows = _with_starts(with_columns_once(docs, raw), {f"pii_{k.name}": k.taken for k in KINDS})
+    rows = with_columns_once(rows, {"pii_iban_valid": accounts(F.col("pii_iban_at"))})
+    rows = with_columns_once(rows, {"pii_iban_apart": apart(F.col("pii_iban_valid"))})
 
     def scored(k: Kind) -> Column:
-        good = F.filter(F.col(f"pii_{k.name}_at"), lambda s: confirmed(k.name, s["m"]))
+        if k.name == "iban":
+            good = F.col("pii_iban_apart")
+        else:
+            good = F.filter(F.col(f"pii_{k.name}_at"), lambda s: confirmed(k.name, s["m"]))
         words = "(?i)" + "|".join(k.context)
 
         def one(s: Column) -> Column:
