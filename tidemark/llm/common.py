@@ -93,3 +93,20 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         before = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def ascii_lower(text: Column) -> Column:
+    """``text`` with A-Z in lower case and every other character as it is. ``lower`` does just that to a text of ASCII
+    characters only, and is quicker than ``translate``."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, mixing, pii, quality, rules, simhash, suffix, tokens, toxicity, warc
-from .common import fold_of, saved, training_labels
+from . import decontaminate, exact, merkle, mixing, negatives, pii, quality, rules, simhash, suffix, tokens, toxicity, warc
+from .common import ascii_lower, fold_of, saved, training_labels
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
@@ -114,10 +114,37 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex64("fp").alias("fingerprint"), "component_id")
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents. Where the checksum of the id is a multiple of 5 the proof is tried with an altered text."""
+    value = {c: F.col(c) for c in merkle.FIELDS}
+    altered = merkle.leaf(*(value | {"text": ascii_lower(F.col("text"))}).values())
+    leaves = table(spark, folder, "documents").select(
+        "doc_id", "source", merkle.leaf(*value.values()).alias("leaf"), F.when(fold_of("doc_id", 5) == 0, altered).alias("altered")
+    )
+    proofs = merkle.prove(leaves)
+    folded = merkle.fold(F.coalesce("load.altered", "leaf"), F.col("path"))
+    return proofs.select(
+        "load.doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every hundredth vector against all vectors; every seventh has the next label."""
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, label=moved)
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    groups = exact.duplicate_groups(table(spark, folder, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality, op2_token_output, op3_revisits, op4_rules, op5_repeats, op6_decontamination, op7_pii,
-        op8_mixing, op9_toxicity, op10_simhash,
+        op8_mixing, op9_toxicity, op10_simhash, op11_merkle, op12_hard_negatives, op13_exact_dedup,
     )
 }
