@@ -88,8 +88,8 @@ def test_tokens_are_those_of_the_mix(stages):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_returns_its_columns(spark, name):
-    first = {"op3_revisits": "record_id"}.get(name, "doc_id")
+    first = {"op3_revisits": "record_id", "op12_hard_negatives": "anchor_id"}.get(name, "doc_id")
     df = QUERIES[name](spark, SF)
     assert df.columns[0] == first
-    n = {"op3_revisits": 2 * spark.read.parquet(f"{SF}/pages.parquet").count()}.get(name, 200)
+    n = {"op3_revisits": 2 * spark.read.parquet(f"{SF}/pages.parquet").count(), "op12_hard_negatives": 250}.get(name, 200)
     assert df.count() == n or name == "op6_decontamination"

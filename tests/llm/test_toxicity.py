@@ -3,6 +3,7 @@
 import random
 
 import documents as d
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import toxicity as t
@@ -36,6 +37,35 @@ def test_held_out_documents_and_sentences(spark):
     assert kept.columns == ["doc_id", "text", "toxic", "score"] and kept.filter("toxic = 1").count() < 10
 
 
+@pytest.mark.parametrize("labels, least", [(60, 0.6), (300, 0.9), (3000, 0.95)])
+def test_recall_with_few_and_many_labels(spark, labels, least):
+    data = spark.createDataFrame(labelled(labels + 800, 11), "doc_id long, text string, toxic int")
+    known = data.filter(F.col("doc_id") < labels)
+    model = t.fit(known)
+    scored = data.filter(F.col("doc_id") >= labels).select("toxic", t.toxicity("text", model).alias("p")).collect()
+    found = [r.p >= t.THRESHOLD for r in scored if r.toxic]
+    wrong = [r.p >= t.THRESHOLD for r in scored if not r.toxic]
+    assert sum(found) >= least * len(found) and sum(wrong) <= 0.03 * len(wrong)
+
+
+def test_held_out_documents_of_the_given_tables(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    model = t.fit_on_labels(docs, labels)
+    rows = docs.join(labels.filter("toxic is not null"), "doc_id").filter(fold_of("doc_id", 4) == 2)
+    scored = rows.select("toxic", (t.toxicity("text", model) >= t.THRESHOLD).alias("hit")).collect()
+    hits = [r.hit for r in scored if r.toxic]
+    assert sum(hits) >= 0.9 * len(hits) and sum(r.hit for r in scored if not r.toxic) <= 2
+
+
+def test_repeated_sentences_count_in_training_as_in_scoring(spark):
+    """Fifty harmless sentences of one kind must not add up to a toxic document once the model has seen such."""
+    calm = [(i, "A plain day here. " * 50, 0) for i in range(40)]
+    rude = [(100 + i, "A plain day here. " * 10 + "You zblorf thing.", 1) for i in range(20)]
+    model = t.fit(spark.createDataFrame(calm + rude, "doc_id long, text string, toxic int"))
+    assert model.document("A plain day here. " * 50) < 0.1 < t.THRESHOLD < model.document("You zblorf thing.")
+
+
 def test_noisy_or():
     m = t.Model({"bad": 3.0, "good": -1.0}, -2.0)
     one = 1 / (1 + 2.718281828459045 ** -1)

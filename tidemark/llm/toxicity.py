@@ -3,7 +3,12 @@
 A sentence's score is logistic in the weights of its words, each of which counts as itself and by its first letters, so
 that an unseen form of a known stem is recognised. A document is toxic if any sentence is (noisy-or):
 ``1 - prod(1 - p_sentence)``. The weights are fitted by gradient descent on the document likelihood, so the label of a
-document is shared out among its sentences, and the fitted sentence scores locate what is offending.
+document is shared out among its sentences, and the fitted sentence scores locate what is offending. Training and scoring count
+a repeated sentence as often as it occurs.
+
+The features are the ``VOCABULARY`` most surely associated with the label, however many labels there are. A weight starts at
+the feature's log odds times their reliability and is held towards 0 by a normal prior, whose force against the labels falls
+as labels are added; so a small training set gives a cautious model, not an empty one.
 
 Defined results: a null or empty text has no sentence and the score 0; a word is a run of letters, any case; unlabelled,
 repeated and conflicting labels are allowed (rows with a null id or label are left out, repeats count). An empty or
@@ -23,15 +28,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import saved, training_labels, values
 
-#: Features with the strongest association with the label that the model keeps, and the least association.
-VOCABULARY, LEAST_Z = 4096, 4.0
+#: Features with the strongest association with the label that the model keeps.
+VOCABULARY = 256
+#: Log odds whose z is the root of this start at half their size; deviation of the weights' prior.
+HALF_Z2, SPREAD = 4.0, 2.0
 #: Lengths of word beginnings that are features.
 PREFIXES = (4, 5)
 #: Words whose weight a worker remembers.
 MEMO = 150_000
 #: Labelled documents the model is fitted on, at most.
 MAX_TRAIN = 20_000
-MIN_DOCS = 3
+MIN_DOCS = 2
 THRESHOLD = 0.3
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
@@ -87,8 +94,8 @@ def _sigmoid(x):
 
 
 def associated_features(docs: DataFrame, label: str, text: str = "text", keep: int = VOCABULARY) -> list[tuple[str, float]]:
-    """Features whose presence goes with the label, strongest first, with their smoothed log odds. Only the
-    ``keep`` strongest come back."""
+    """Features whose presence goes with the label, surest first, with their smoothed log odds times their reliability. Only the
+    ``keep`` first come back."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Counts of one task, so that the shuffle sees a word once per task and flush.
@@ -124,15 +131,15 @@ def associated_features(docs: DataFrame, label: str, text: str = "text", keep: i
     spread = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
     strongest = (
         per_word.filter(F.col("pos") + F.col("neg") >= MIN_DOCS).select("word", odds.alias("odds"), (odds / spread).alias("z"))
-        .filter(F.abs("z") > LEAST_Z).orderBy(F.desc(F.abs("z")), "word").limit(keep)
+        .orderBy(F.desc(F.abs("z")), "word").limit(keep)
     )
-    return [(r.word, r.odds) for r in strongest.collect()]
+    return [(r.word, r.odds * r.z * r.z / (r.z * r.z + HALF_Z2)) for r in strongest.collect()]
 
 
 def fit(docs: DataFrame, label: str = "toxic", text: str = "text", keep: int = VOCABULARY, steps: int = 300,
-        ridge: float = 1e-4) -> Model:
+        spread: float = SPREAD) -> Model:
     """Train on all rows of ``docs(text, label)``. What is gathered of a document are the features of the model in its
-    different sentences, so the number of rows has to be bounded, see ``MAX_TRAIN``."""
+    different sentences and how often each occurs, so the number of rows has to be bounded, see ``MAX_TRAIN``."""
     docs = docs.filter(F.col(label).isNotNull()).select(text, label)
     odds = associated_features(docs, label, text, keep)
     if not odds:
@@ -141,17 +148,18 @@ def fit(docs: DataFrame, label: str = "toxic", text: str = "text", keep: int = V
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            out, times = [], []
             for t in batch[text]:
-                seen = set()
+                seen: dict[tuple[int, ...], int] = {}
                 for part in SENTENCE.findall((t or "").lower()):
                     found = tuple(sorted(index[f] for w in set(WORD.findall(part)) for f in features(w) if f in index))
                     if found:
-                        seen.add(found)
+                        seen[found] = seen.get(found, 0) + 1
                 out.append([list(s) for s in seen])
-            yield pd.DataFrame({"y": batch[label].astype(int), "bags": out})
+                times.append(list(seen.values()))
+            yield pd.DataFrame({"y": batch[label].astype(int), "bags": out, "times": times})
 
-    rows = docs.mapInPandas(bags, "y int, bags array<array<int>>").collect()
+    rows = docs.mapInPandas(bags, "y int, bags array<array<int>>, times array<int>").collect()
 
     y = np.array([r.y for r in rows], float)
     sentence_doc, entry_sentence, entry_word = [], [], []
@@ -161,19 +169,19 @@ def fit(docs: DataFrame, label: str = "toxic", text: str = "text", keep: int = V
             entry_word += bag
             sentence_doc.append(d)
     doc, sent, word = (np.array(x, np.int64) for x in (sentence_doc, entry_sentence, entry_word))
-    # The words' own log odds are the start; a sentence alone is almost never toxic.
-    start = np.array([o for _, o in odds])
-    theta = np.concatenate((np.clip(start, -2, 4), [-6.0]))
+    times = np.array([n for r in rows for n in r.times], float)
+    # A sentence alone is almost never toxic.
+    theta = np.concatenate(([o for _, o in odds], [-6.0]))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         x = np.bincount(sent, theta[word], len(doc)) + theta[-1]
         p = _sigmoid(x)
-        clean = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y))
+        clean = np.bincount(doc, times * np.log1p(-np.minimum(p, 1 - 1e-9)), len(y))
         toxic = np.clip(-np.expm1(clean), 1e-9, 1 - 1e-9)
         # d loss / d x = p (1 - y / P) for the noisy-or likelihood.
-        slope = p * (1 - (y / toxic)[doc]) if len(doc) else p
+        slope = times * p * (1 - (y / toxic)[doc]) if len(doc) else p
         grad = np.concatenate((np.bincount(word, slope[sent], len(odds)), [slope.sum()])) / max(1, len(y))
-        grad[:-1] += ridge * theta[:-1]
+        grad[:-1] += theta[:-1] / (spread**2 * max(1, len(y)))
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         theta -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     return Model({w: float(t) for (w, _), t in zip(odds, theta)}, float(theta[-1]))
