@@ -49,9 +49,9 @@ def plain(rows):
     return out
 
 
-@pytest.mark.parametrize("block", [3, 10, 50_000])
-def test_revisits(spark, block):
-    rng = random.Random(block)
+@pytest.mark.parametrize("ranges", [60, 7, None])
+def test_revisits(spark, ranges):
+    rng = random.Random(ranges or 1)
     rows = []
     for i in range(400):
         head = {}
@@ -62,12 +62,12 @@ def test_revisits(spark, block):
         url = rng.choice(["http://hot.com/a"] * 8 + ["http://b.com", "c.com/x?q=1", None])
         kind = rng.choice(["response", "revisit"])
         rows.append((i, kind, url, rng.choice([None, *range(60)]), rng.choice([head, head, head, None]), f"p{i}" if kind == "response" else None))
-    got = {r.record_id: r for r in w.resolve_revisits(captures(spark, rows).repartition(4), block=block).collect()}
+    got = {r.record_id: r for r in w.resolve_revisits(captures(spark, rows).repartition(4), ranges=ranges).collect()}
     assert len(got) == 400
     want = plain(rows)
     assert {k: (got[k].status, got[k].source_id) for k in want} == want
     assert all(got[k].payload == (None if s is None else f"p{s}") for k, (_, s) in want.items())
-    strict = {r.record_id: r.payload for r in w.resolve_revisits(captures(spark, rows), strict=True, block=block).collect()}
+    strict = {r.record_id: r.payload for r in w.resolve_revisits(captures(spark, rows), strict=True, ranges=ranges).collect()}
     assert all(strict[k] is None for k, (s, _) in want.items() if s != "resolved")
 
 
@@ -85,5 +85,52 @@ def test_repeated_rows_nulls_and_nothing(spark):
     df = captures(spark, rows).withColumn("status", F.lit("mine")).withColumn("canonical", F.lit("z"))
     got = [(r.record_id, r.status, r.payload) for r in w.resolve_revisits(df).collect()]
     assert sorted(got, key=str) == sorted(
-        [(1, "response", "p")] * 2 + [(2, "unverified", "p")] * 2 + [(None, "unresolved", None), (3, "response", None)], key=str)
+        [(1, "response", "p")] * 2 + [(2, "unverified", "p")] * 2 + [(None, "unverified", "p"), (3, "response", None)], key=str)
     assert w.resolve_revisits(captures(spark, [])).count() == 0
+
+
+CAPTURE = "record_id long, kind string, url string, time double, headers map<string,string>, payload string"
+
+
+def resolved(spark, rows):
+    out = w.resolve_revisits(spark.createDataFrame(rows, CAPTURE).repartition(3)).collect()
+    assert len(out) == len(rows)
+    return sorted(((r.record_id, r.kind, r.url, r.time, r.status, r.source_id, r.payload) for r in out), key=repr)
+
+
+def test_every_kind_comes_back(spark):
+    tag = {"ETag": '"a"'}
+    rows = [(1, "response", "http://a/", 1.0, tag, "A"), (2, "request", "http://a/", 2.0, tag, "ask"), (3, None, "http://a/", 2.0, None, None),
+            (4, "Revisit", "http://a/", 3.0, tag, None), (5, "metadata", None, None, None, "m")]
+    got = {r[0]: r[4:] for r in resolved(spark, rows)}
+    assert got == {1: ("response", 1, "A"), 2: ("other", None, "ask"), 3: ("other", None, None), 4: ("resolved", 1, "A"), 5: ("other", None, "m")}
+
+
+def test_ids_that_repeat_or_are_null(spark):
+    tag = {"ETag": '"a"'}
+    rows = [(1, "response", "http://a/", 1.0, tag, "A"), (9, "revisit", "http://a/", 2.0, tag, None), (9, "revisit", "http://b/", 2.0, tag, None),
+            (9, "revisit", "http://a/", 2.0, tag, None), (None, "response", "http://c/", 1.0, tag, "C"), (None, "revisit", "http://c/", 2.0, tag, None),
+            (None, "revisit", "http://d/", 2.0, tag, None)]
+    got = [(r[0], r[2], r[4], r[6]) for r in resolved(spark, rows) if r[1] == "revisit"]
+    assert sorted(got, key=repr) == sorted([(9, "http://a/", "resolved", "A"), (9, "http://a/", "resolved", "A"), (9, "http://b/", "unresolved", None),
+                                            (None, "http://c/", "resolved", "C"), (None, "http://d/", "unresolved", None)], key=repr)
+
+
+def test_earlier_is_strict_for_any_time(spark):
+    rows = [(1, "response", "http://a/", 1.25, {}, "old"), (2, "response", "http://a/", 1.5, {}, "same time"), (3, "revisit", "http://a/", 1.5, {}, None),
+            (4, "revisit", "http://a/", 1.75, {}, None), (5, "revisit", "http://a/", 1.25, {}, None)]
+    got = {r[0]: (r[4], r[6]) for r in resolved(spark, rows)}
+    assert got[3] == ("unverified", "old") and got[4] == ("unverified", "same time") and got[5] == ("unresolved", None)
+
+
+def test_many_captures_of_one_moment(spark):
+    """A URL whose captures are all close together is still cut, and every stretch knows the responses before it."""
+    rows = [(i, "response" if i % 40 == 0 else "revisit", "http://hot/", float(i // 100), {}, f"p{i}" if i % 40 == 0 else None) for i in range(2000)]
+    last = {}
+    for i, kind, _, t, _, p in rows:
+        if kind == "response":
+            last[t] = max(last.get(t, (-1, "")), (i, p))
+    for r in resolved(spark, rows):
+        if r[1] == "revisit":
+            want = max((v for t, v in last.items() if t < r[3]), default=None)
+            assert (r[5], r[6]) == (want or (None, None))

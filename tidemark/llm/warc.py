@@ -4,10 +4,11 @@ A capture is a full response or a revisit that says "not modified". A revisit ta
 its canonical URL (as-of join); if the validators agree, it gets that response's payload and its headers, updated by
 those of the revisit that may be. DataFrame functions only.
 
-Defined results: a capture without a URL or time is returned as ``unresolved``; of responses with one time the larger
-``record_id`` is the later one; repeated rows are captures of their own; an empty table gives an empty result. A revisit
-whose validators contradict is ``mismatch`` and gets nothing, one with no validator in common is ``unverified`` and gets
-the response (``strict=True``: nothing). Other columns are dropped.
+Defined results: a revisit without a URL or time is returned as ``unresolved``; a response at the time of the revisit is not
+earlier; of responses with one time the larger ``record_id`` is the later one, a null one the earliest; repeated rows are
+captures of their own, ids need not be unique; an empty table gives an empty result. A revisit whose validators contradict is
+``mismatch`` and gets nothing, one with no validator in common is ``unverified`` and gets the response (``strict=True``:
+nothing). Other columns are dropped.
 """
 
 from __future__ import annotations
@@ -24,8 +25,6 @@ KEPT_HEADERS = (
 )
 #: Query parameters that do not change what is served.
 TRACKING = "utm_[a-z]+|ref|fbclid|gclid|sessionid|sid"
-#: Captures of one URL that one window looks at, about.
-BLOCK = 50_000
 
 
 def canonical_url(url: Column | str) -> Column:
@@ -65,40 +64,44 @@ def merged_headers(stored: Column, update: Column) -> Column:
     return F.map_concat(rest, allowed)
 
 
-def resolve_revisits(captures: DataFrame, strict: bool = False, block: int = BLOCK) -> DataFrame:
-    """``captures(record_id, kind, url, time, headers, payload)``, kind ``response`` or ``revisit``, gives one row each:
-    ``record_id, kind, url, canonical, time, status, source_id, headers, payload``.
+def _row_key(rows: DataFrame) -> Column:
+    """A digest of all that a capture holds: rows with one key are equal, so they stand for each other."""
+    held = F.struct("record_id", "kind", "url", "time", F.map_entries("headers").alias("headers"), F.md5("payload").alias("payload"))
+    return F.md5(F.to_json(held, {"ignoreNullFields": "false"}))
 
-    The as-of join is a running maximum over the captures of a URL without their payloads. URLs with many captures are
-    cut into stretches of time; each stretch starts from the last response before it, one small row per stretch. The
-    captures are read four times, so store them first where they are costly to make.
+
+def resolve_revisits(captures: DataFrame, strict: bool = False, ranges: int | None = None) -> DataFrame:
+    """``captures(record_id, kind, url, time, headers, payload)`` gives one row each: ``record_id, kind, url, canonical, time,
+    status, source_id, headers, payload``. Kinds are ``response`` and ``revisit``; any other comes back as it is, with the
+    status ``other``.
+
+    The as-of join is a running maximum over the captures of a URL without their payloads. They are sorted by URL and time
+    over all tasks, and the captures of a URL within one range of that sort are one stretch; so a URL is cut by the number of
+    its captures, however close in time they are. Each stretch starts from the last response of the ones before it, one small
+    row per stretch. ``ranges`` is the number of ranges, that of shuffle partitions by default. The captures are read three times, so store them first where they are costly to make.
     """
     rows = captures.select(
         "record_id", F.lower("kind").alias("kind"), "url", canonical_url("url").alias("canonical"), "time",
         lower_names(F.col("headers")).alias("headers"), "payload",
     )
-    keys = saved(rows.select(
-        "record_id", "kind", "canonical", "time", F.col("headers")["etag"].alias("etag"),
-        F.col("headers")["last-modified"].alias("modified"),
-    ), "warc-keys")
-    usable = keys.filter("canonical is not null and time is not null")
-    # Stretches of about BLOCK captures of one URL, from its span and count; most URLs are one stretch.
-    span = usable.groupBy("canonical").agg(F.count("*").alias("n"), F.min("time").alias("t0"), F.max("time").alias("t1"))
-    hot = span.filter(F.col("n") > block).withColumn("parts", F.ceil(F.col("n") / block))
-    share = (F.col("time") - F.col("t0")).cast("double") / (F.col("t1") - F.col("t0") + 1).cast("double")
-    placed = usable.join(hot.drop("n"), "canonical", "left").withColumn(
-        "stretch", F.coalesce(F.floor(share * F.col("parts")), F.lit(0)).cast("long")
-    ).drop("t0", "t1", "parts")
-    full = F.when(F.col("kind") == "response", F.struct("time", "record_id", "etag", "modified"))
-    ends = placed.groupBy("canonical", "stretch").agg(F.max(full).alias("last"))
-    order = W.partitionBy("canonical").orderBy("stretch")
-    carried = ends.select(
-        "canonical", "stretch", F.max("last").over(order.rowsBetween(W.unboundedPreceding, -1)).alias("carried")
+    rows = rows.withColumn("key", _row_key(rows))
+    # At one time revisits come before responses, so what stands before a revisit is strictly earlier.
+    order = ["time", "answers", "record_id", "key"]
+    keys = rows.filter("canonical is not null and time is not null and kind in ('response', 'revisit')").select(
+        "canonical", "time", (F.col("kind") == "response").alias("answers"), "record_id", "key",
+        F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified"),
+    )
+    laid = keys.repartitionByRange(*([ranges] if ranges else []), "canonical", *order).withColumn("stretch", F.spark_partition_id())
+    placed = saved(laid, "warc-keys").withColumn(
+        "full", F.when(F.col("answers"), F.struct("time", "record_id", "key", "etag", "modified"))
     )
-    before = W.partitionBy("canonical", "stretch").orderBy("time").rangeBetween(W.unboundedPreceding, -1)
+    ends = placed.groupBy("canonical", "stretch").agg(F.max("full").alias("last"))
+    earlier = W.partitionBy("canonical").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select("canonical", "stretch", F.max("last").over(earlier).alias("carried"))
+    before = W.partitionBy("canonical", "stretch").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     found = (
-        placed.withColumn("within", F.max(full).over(before)).join(carried, ["canonical", "stretch"])
-        .filter("kind = 'revisit'").withColumn("base", F.coalesce("within", "carried"))
+        placed.withColumn("within", F.max("full").over(before)).filter("not answers").join(carried, ["canonical", "stretch"])
+        .withColumn("base", F.coalesce("within", "carried"))
     )
     tags = F.when(F.col("etag").isNotNull() & F.col("base.etag").isNotNull(), _weak(F.col("etag")) == _weak(F.col("base.etag")))
     dates = F.when(F.col("modified").isNotNull() & F.col("base.modified").isNotNull(), F.col("modified") == F.col("base.modified"))
@@ -107,26 +110,27 @@ def resolve_revisits(captures: DataFrame, strict: bool = False, block: int = BLO
         F.when(F.col("base").isNull(), "unresolved").when(agree, "resolved").when(~agree, "mismatch").otherwise("unverified")
     )
     good = F.col("status") == "resolved" if strict else F.col("status").isin("resolved", "unverified")
-    links = found.select("record_id", status.alias("status"), F.col("base.record_id").alias("found_id")).select(
-        F.col("record_id").alias("revisit_id"), F.col("status").alias("found_status"),
-        F.when(good, F.col("found_id")).alias("found_id"),
-    ).dropDuplicates(["revisit_id"])
+    links = found.select("key", status.alias("status"), F.col("base.record_id").alias("record_id"), F.col("base.key").alias("base")).select(
+        F.col("key").alias("revisit_key"), F.col("status").alias("found_status"), F.when(good, F.col("record_id")).alias("found_id"),
+        F.when(good, F.col("base")).alias("found_key"),
+    ).dropDuplicates(["revisit_key"])
     stored = rows.filter("kind = 'response'").select(
-        F.col("record_id").alias("stored_id"), F.col("headers").alias("stored_headers"), F.col("payload").alias("stored_payload")
-    ).dropDuplicates(["stored_id"])
+        F.col("key").alias("stored_key"), F.col("headers").alias("stored_headers"), F.col("payload").alias("stored_payload")
+    ).dropDuplicates(["stored_key"])
     revisits = (
-        rows.filter("kind = 'revisit'").drop("payload").join(links, F.col("record_id") == F.col("revisit_id"), "left")
-        .join(stored, F.col("found_id") == F.col("stored_id"), "left")
+        rows.filter("kind = 'revisit'").drop("payload").join(links, F.col("key") == F.col("revisit_key"), "left")
+        .join(stored, F.col("found_key") == F.col("stored_key"), "left")
         .select(
             "record_id", "kind", "url", "canonical", "time", F.coalesce("found_status", F.lit("unresolved")).alias("status"),
             F.col("found_id").alias("source_id"),
-            F.when(F.col("stored_id").isNotNull(), merged_headers(F.col("stored_headers"), F.col("headers")))
+            F.when(F.col("stored_key").isNotNull(), merged_headers(F.col("stored_headers"), F.col("headers")))
             .otherwise(F.col("headers")).alias("headers"),
             F.col("stored_payload").alias("payload"),
         )
     )
-    responses = rows.filter("kind = 'response'").select(
-        "record_id", "kind", "url", "canonical", "time", F.lit("response").alias("status"),
-        F.col("record_id").alias("source_id"), "headers", "payload",
+    answers = F.coalesce(F.col("kind") == "response", F.lit(False))
+    others = rows.filter(answers | F.col("kind").isNull() | (F.col("kind") != "revisit")).select(
+        "record_id", "kind", "url", "canonical", "time", F.when(answers, "response").otherwise("other").alias("status"),
+        F.when(answers, F.col("record_id")).alias("source_id"), "headers", "payload",
     )
-    return responses.unionByName(revisits)
+    return others.unionByName(revisits)
