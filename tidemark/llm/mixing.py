@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import SPACE, n_words, saved, values
+from .common import SPACE, free_name, n_words, saved, values
 
 SEED = 8
 WEIGHTS = (5, 2, 1)
@@ -150,54 +150,65 @@ def mix(docs: DataFrame, size: Column | None = None, source: str = "source", doc
     name of the text column, a row for each range taken instead, its text cut to the range; whole documents keep theirs."""
     rows = docs.withColumn("size", F.coalesce(n_words("text") if size is None else size, F.lit(0)).cast("long"))
     rows = rows.drop(*ADDED[1:])
-    key = F.xxhash64(F.lit(seed), F.col(doc_id), F.col("size"))
+    # The place of a document in the seeded order. Rows alike in id and size are told apart by all their columns; rows alike
+    # in those too are interchangeable.
+    told = [F.col(f.name) for f in rows.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    place = {"order": F.xxhash64(F.lit(seed), F.col(doc_id), F.col("size")), "tie": F.xxhash64(F.lit(seed + 1), *told)}
+    named = [c.alias(n) for n, c in place.items()]
     # What the plan needs of a document; texts are read once more, when the blocks are taken.
-    slim = saved(rows.select(F.col(source).alias("mix_source"), "size", key.alias("mix_order")), "mix-sizes")
-    found = slim.groupBy("mix_source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
+    slim = saved(rows.select(F.col(source).alias("source"), "size", *named), "mix-sizes")
+    found = slim.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     # By code point, which is the byte order of UTF-8.
     listed = sorted(((r[0], int(r[1])) for r in found), key=lambda x: (x[0] is None, str(x[0] or "").encode()))
     block, plan = apportion(listed, weights, repeats, block)
     schema = T.StructType([
-        T.StructField("mix_source", slim.schema["mix_source"].dataType), T.StructField("source_size", T.LongType()),
-        T.StructField("target", T.DoubleType()), T.StructField("mix_blocks", T.LongType()),
-        T.StructField("mix_full", T.BooleanType()), T.StructField("mix_shards", T.IntegerType()),
-        T.StructField("mix_rank", T.IntegerType()),
+        T.StructField("source", slim.schema["source"].dataType), T.StructField("source_size", T.LongType()),
+        T.StructField("target", T.DoubleType()), T.StructField("blocks", T.LongType()), T.StructField("full", T.BooleanType()),
+        T.StructField("shards", T.IntegerType()), T.StructField("rank", T.IntegerType()),
     ])
     table = docs.sparkSession.createDataFrame(
         [(s, n, t, q, f, max(1, -(-n // shard)), i) for i, (s, n, t, q, f) in enumerate(plan)], schema
     )
+    # Helper columns are in one struct, under a name that the input does not have.
+    own = free_name(rows, "mix")
 
-    def placed(df: DataFrame, by: str) -> DataFrame:
+    def placed(df: DataFrame, by: str, own: str, spot: Column) -> DataFrame:
         # One row per source; Spark broadcasts it as long as it is small.
-        joined = df.join(table.withColumnRenamed("mix_source", "mix_of"), df[by].eqNullSafe(F.col("mix_of"))).drop("mix_of")
-        return joined.withColumn("mix_shard", F.pmod(F.xxhash64("mix_order"), F.col("mix_shards")).cast("int"))
+        joined = df.join(table.select(F.struct("*").alias(own)), df[by].eqNullSafe(F.col(f"{own}.source")))
+        return joined.withColumn(own, F.col(own).withField("shard", F.pmod(spot, F.col(f"{own}.shards")).cast("int")))
 
-    keys = ["mix_rank", "mix_shard"]
-    shards = placed(slim, "mix_source").groupBy(*keys, "mix_blocks", "mix_full").agg(F.sum("size").alias("n"))
+    shards = placed(slim, "source", "mix", F.xxhash64("order", "tie")).groupBy("mix.rank", "mix.shard", "mix.blocks", "mix.full").agg(F.sum("size").alias("n"))
 
     def quotas(shards: pd.DataFrame) -> pd.DataFrame:
-        shards = shards.sort_values("mix_shard")
-        sizes, full = shards["n"].tolist(), bool(shards["mix_full"].iloc[0])
+        shards = shards.sort_values("shard")
+        sizes, full = shards["n"].tolist(), bool(shards["full"].iloc[0])
         limit = [-(-repeats * n // block) for n in sizes]
-        won = limit if full else sainte_lague(sizes, int(shards["mix_blocks"].iloc[0]), limit)
+        won = limit if full else sainte_lague(sizes, int(shards["blocks"].iloc[0]), limit)
         want = [min(q * block, repeats * n) for q, n in zip(won, sizes)]
-        return pd.DataFrame({"mix_rank": shards["mix_rank"], "mix_shard": shards["mix_shard"], "mix_want": want})
+        return pd.DataFrame({"rank": shards["rank"], "shard": shards["shard"], "want": want})
 
     # A task has the shards of a source: one small row for each SHARD words.
-    wants = shards.groupBy("mix_rank").applyInPandas(quotas, "mix_rank int, mix_shard int, mix_want long")
-    ready = placed(rows.withColumn("mix_order", key), source).join(saved(wants, "mix-quotas"), keys)
+    wants = saved(shards.groupBy("rank").applyInPandas(quotas, "rank int, shard int, want long"), "mix-quotas")
+    wants = wants.select(F.struct("*").alias(free_name(rows, "want")))
+    want = F.col(wants.columns[0])
+    ready = placed(rows, source, own, F.xxhash64(*place.values()))
+    ready = ready.join(wants, (ready[own]["rank"] == want["rank"]) & (ready[own]["shard"] == want["shard"]))
     names = [*rows.columns, "source_size", "target"]
+    ready = ready.select(
+        *rows.columns, F.col(f"{own}.source_size").alias("source_size"), F.col(f"{own}.target").alias("target"),
+        F.struct(*named, want["want"].alias("want"), F.col(f"{own}.rank").alias("rank"), F.col(f"{own}.shard").alias("shard")).alias(own),
+    )
     out = T.StructType([
         *(ready.schema[c] for c in names), T.StructField("taken", T.LongType()),
         T.StructField("ranges", T.ArrayType(T.ArrayType(T.LongType()))),
     ])
 
     def take(shard: pa.Table) -> pa.Table:
-        shard = shard.sort_by([("mix_order", "ascending"), ("size", "ascending")])
-        want, rank, no = (shard[c][0].as_py() for c in ("mix_want", *keys))
-        chosen = _block_ranges(shard["size"].to_numpy(), want, block, [seed, rank, no])
+        order, tie, wanted, rank, no = shard[own].combine_chunks().flatten()
+        shard = shard.take(np.lexsort((tie.to_numpy(), order.to_numpy())))
+        chosen = _block_ranges(shard["size"].to_numpy(), wanted[0].as_py(), block, [seed, rank[0].as_py(), no[0].as_py()])
         taken = pa.array([sum(z - a for a, z in r) for r in chosen], pa.int64())
         ranges = pa.array(chosen, pa.list_(pa.list_(pa.int64())))
         out = shard.select(names).append_column("taken", taken).append_column("ranges", ranges)
@@ -207,4 +218,4 @@ def mix(docs: DataFrame, size: Column | None = None, source: str = "source", doc
         rows = out.take(pa.array([i for i, own in enumerate(chosen) for _ in own], pa.int64()))
         return rows.set_column(names.index(cut), cut, pa.array(texts, pa.string()))
 
-    return ready.groupBy(*keys).applyInArrow(take, out)
+    return ready.groupBy(F.col(own)["rank"], F.col(own)["shard"]).applyInArrow(take, out)
