@@ -16,6 +16,12 @@ def newest(entries: Column, n) -> Column:
     return F.slice(entries, F.greatest(size - F.lit(n), F.lit(0)) + 1, F.lit(n))
 
 
+def in_time(entries: Column) -> Column:
+    """Entries by their timestamp; those of one time keep their order."""
+    placed = F.transform(entries, lambda e, i: F.struct(e["timestamp"].alias("timestamp"), i.alias("place"), e.alias("entry")))
+    return F.transform(F.array_sort(placed), lambda p: p["entry"])
+
+
 def _sum(entries: Column, field: str) -> Column:
     # In double: exact below 2**53, and no value of an event can make it overflow.
     return F.aggregate(entries, F.lit(0.0), lambda acc, e: acc + or_zero(e[field]).cast("double"))

@@ -25,6 +25,9 @@ FEATURES = {
     for kind in ("reads", "writes")
 }
 
+#: What the joint forecaster predicts, each summed over the horizon.
+TARGETS = ("reads_1h", "writes_1h", "bytes_read_1h")
+
 
 def day() -> Column:
     """Bucket of an hourly row: a dataset has few rows per day."""
@@ -115,6 +118,29 @@ def sequence_samples(
     return out.filter("full").select(*keep, "x", "target")
 
 
+def joint_samples(
+    table: DataFrame, features: list[str], horizon: int, lookback: int = LOOKBACK, depth: int | None = None,
+    series: str = "dataset_id", min_rows: int = MIN_BLOCK_ROWS,
+) -> DataFrame:
+    """Samples of several targets at once. ``x``: the features of the newest ``depth`` of ``lookback`` rows, oldest first, in one
+    array; ``y``: reads, writes and bytes of the next ``horizon`` rows; ``trend``: the clipped-trend forecast of the three.
+    Only complete windows are kept."""
+    rows = table.withColumn("data_temperature_encoded", encode_temperature(F.col("data_temperature")))
+    runs = spread(rows, series, ORDER, day(), lookback=lookback - 1, lookahead=horizon, min_rows=min_rows)
+    w = runs.window
+    past, future = w.rowsBetween(-(lookback - 1), 0), w.rowsBetween(1, horizon)
+    whole_ = (F.count(F.lit(1)).over(past) == lookback) & (F.count(F.lit(1)).over(future) == horizon)
+    newest = F.array(*[F.col(c).cast("double") for c in features])
+    walked = trailing_windows(runs, hours=horizon).with_columns(
+        full=whole_, x=F.flatten(F.collect_list(newest).over(w.rowsBetween(1 - (depth or lookback), 0))),
+        y=F.array(*[F.sum(F.col(c).cast("double")).over(future) for c in TARGETS]),
+        last_bytes=F.sum(F.col("bytes_read_1h").cast("double")).over(w.rowsBetween(1 - horizon, 0)),
+    ).done()
+    trend = F.array("fc_reads", "fc_writes", "last_bytes").alias("trend")
+    keep = [c for c in ("dataset_id", "timestamp", "is_train") if c in table.columns]
+    return walked.filter("full").withColumns(forecast_columns(horizon)).select(*keep, "x", "y", trend)
+
+
 def sample_weight(horizon: int, lookback: int = LOOKBACK) -> Column:
     """Number of sequences of its part that contain a row; follows from the row's position alone."""
     sequences = F.col("part_rows") - lookback - horizon + 1

@@ -10,11 +10,14 @@ from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.files import staged
-from . import features as ft
-from .metrics import best_model, forecast_errors, losses
+from . import features as ft, linear
+from .metrics import forecast_errors
+
+#: Inputs of the joint forecaster: those of the two single ones, each once.
+JOINT_FEATURES = tuple(dict.fromkeys(ft.FEATURES["reads"] + ft.FEATURES["writes"]))
 
 
 @dataclass(frozen=True)
@@ -66,25 +69,53 @@ def evaluate(predictions: DataFrame, name: str, kind: str, ord_: int) -> DataFra
     )
 
 
-def compare_losses(split_table: DataFrame, horizons=ft.HORIZONS, kinds=("reads", "writes")) -> DataFrame:
-    """For every target, horizon and loss the number of validation samples, the mean error of the trained model and that of
-    always predicting the training mean."""
+def standardised(samples: DataFrame, scale: list[tuple[float, float]], name: str) -> Column:
+    """An array column of ``samples`` with each place on the scale of its (mean, deviation)."""
+    mean, sd = (", ".join(f"{v!r}D" for v in column) for column in zip(*scale))
+    return F.expr(f"zip_with(zip_with({name}, array({mean}), (v, m) -> v - m), array({sd}), (v, s) -> v / s)")
+
+
+def array_scale(rows: DataFrame, name: str, size: int) -> list[tuple[float, float]]:
+    """Mean and population deviation of each place of an array column; a constant place keeps its scale. One row of
+    ``3 * size`` numbers comes back."""
+    at = [F.get(name, F.lit(i)) for i in range(size)]
+    out = rows.agg(*[f(c) for c in at for f in (F.avg, F.stddev_pop)], *[F.min(c) == F.max(c) for c in at]).first()
+    return [
+        (out[2 * i] or 0.0, 1.0 if out[2 * size + i] is not False or not out[2 * i + 1] else out[2 * i + 1]) for i in range(size)
+    ]
+
+
+def joint_forecast(
+    split_table: DataFrame, horizon: int, features: tuple[str, ...] = JOINT_FEATURES, depth: int = ft.LOOKBACK,
+    losses: tuple[str, ...] = ("squaredError", "huber"), reg: float = 0.01,
+) -> DataFrame:
+    """One model for reads, writes and bytes of the next ``horizon`` hours, fitted on the training part and judged on the other.
+
+    A row per loss and target: ``target, name, loss, n`` (samples judged), ``mae``, and the errors of always predicting the
+    training mean (``mean_mae``) and of the clipped-trend forecast (``trend_mae``), all in the unit of the target.
+    """
+    series = split_table.withColumn("series", F.concat_ws("|", "dataset_id", "is_train"))
+    samples = staged(ft.joint_samples(series, list(features), horizon, depth=depth, series="series"))
+    d, k = len(features) * depth, len(ft.TARGETS)
+    known = samples.filter("is_train")
+    scale_x, scale_y = array_scale(known, "x", d), array_scale(known, "y", k)
+    plain = samples.select("is_train", standardised(samples, scale_x, "x").alias("x"), standardised(samples, scale_y, "y").alias("y"), F.col("y").alias("truth"), "trend")
+    scaled = staged(plain)
+    train_rows, judged = scaled.filter("is_train").select("x", "y"), scaled.filter("not is_train")
     out = None
-    for kind in kinds:
-        for horizon in horizons:
-            s = prepare(split_table, kind, horizon)
-            usual = s.target_scaler.select("mean_target").scalar()
-            truth = s.data.filter("not is_train")
-            naive = truth.agg(F.avg(F.abs(F.col("target") - usual)).alias("mean_mae"))
-            for loss in ("squaredError", "huber"):
-                error = predict(train(s, loss), s).agg(
-                    F.count("*").alias("n"), F.avg(F.abs(F.col("target") - F.col("prediction"))).alias("mae")
-                )
-                row = error.crossJoin(naive).select(  # one row each
-                    F.lit(kind).alias("target"), F.lit(f"{horizon}h").alias("name"), F.lit(loss).alias("loss"), "n",
-                    "mae", "mean_mae",
-                )
-                out = row if out is None else out.unionByName(row)
+    for loss in losses:
+        found = linear.fit(train_rows, d, k, loss, reg)
+        for t, target in enumerate(ft.TARGETS):
+            mean, sd = scale_y[t]
+            truth = F.get("truth", F.lit(t))
+            off = lambda guess: F.avg(F.abs(truth - guess))  # noqa: B023, E731
+            row = judged.agg(
+                F.count("*").alias("n"), off(found.predict(t) * sd + mean).alias("mae"), off(F.lit(mean)).alias("mean_mae"),
+                off(F.get("trend", F.lit(t))).alias("trend_mae"),
+            ).select(
+                F.lit(target.removesuffix("_1h")).alias("target"), F.lit(f"{horizon}h").alias("name"), F.lit(loss).alias("loss"), "*"
+            )
+            out = row if out is None else out.unionByName(row)
     return out
 
 
@@ -98,6 +129,3 @@ def compare(split_table: DataFrame, horizons=ft.HORIZONS, kinds=("reads", "write
             row = evaluate(predict(train(s, loss, max_iter), s), f"{horizon}h", kind, i)
             out = row if out is None else out.unionByName(row)
     return out
-
-
-__all__ = ["Samples", "prepare", "train", "predict", "evaluate", "compare", "best_model", "losses"]

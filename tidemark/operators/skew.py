@@ -60,10 +60,14 @@ class Runs:
 
 def spread(
     df: DataFrame, key: str, order: list, bucket: Column, lookback: int = 0, lookahead: int = 0,
-    min_rows: int = MIN_BLOCK_ROWS,
+    min_rows: int = MIN_BLOCK_ROWS, largest: int | None = None,
 ) -> Runs:
     """Prepare ``df`` for windows over ``key`` in ``order`` whose frames reach at most ``lookback`` rows back and
-    ``lookahead`` rows ahead. ``bucket`` is a non-decreasing function of the order with few rows per key and value."""
+    ``lookahead`` rows ahead. ``bucket`` is a non-decreasing function of the order with few rows per key and value.
+    ``largest``, where it is known, is a bound on the rows of a key; if it is small, nothing has to be counted."""
+    if largest is not None and largest <= min_rows:
+        whole = df.select("*", F.lit(0).cast("long").alias("run_block"), F.lit(True).alias("run_own"))
+        return Runs(whole, W.partitionBy(key, "run_block").orderBy(*order))
     # Stored, so that its size is known when the join is planned; mostly it is empty.
     hot = staged(hot_blocks(df, key, bucket, lookback, lookahead, min_rows))
     columns = df.columns

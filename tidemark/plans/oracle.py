@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import CLAIM, CUT_HOUR, NOW
+from .queries import ARRIVALS, CLAIM, CUT_HOUR, LATE_CUT, NOW
 
 ORACLE: dict[str, str] = {}
 
@@ -273,6 +273,24 @@ CTE["hot_rows"] = """
   FROM walked WHERE reads_1h > 100 AND current_backend = 'public-cold'"""
 CTE["reacted"] = place("hot_rows", extra=", seq, timestamp, reads_1h, n")
 
+# Events that come late: times in steps of two hours, arrival numbers that permute the hours.
+CTE["late"] = f"""
+  SELECT * REPLACE (timestamp - timestamp % 7200 AS timestamp, (seq * 7919) % {ARRIVALS} AS seq) FROM valid"""
+CTE["ranked_late"] = "SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY timestamp DESC, seq DESC) AS rn FROM late"
+CTE["state_late"] = f"""
+  SELECT dataset_id, arg_max(size_gb, timestamp * {ARRIVALS} + seq) AS size_gb, arg_min(current_backend, seq) AS current_backend,
+         arg_min_null(initial_backend, seq) AS initial_backend FROM late GROUP BY 1"""
+CTE["late_rows"] = f"""
+  SELECT l.dataset_id, l.seq, l.timestamp, l.reads_1h, l.writes_1h, l.size_gb, s.current_backend, l.fresh FROM (
+    SELECT *, 1 AS fresh FROM late WHERE seq >= {LATE_CUT} UNION ALL
+    SELECT *, 0 AS fresh FROM late WHERE seq < {LATE_CUT}
+    QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY timestamp DESC, seq DESC) <= 24) l
+  JOIN state_late s USING (dataset_id)"""
+CTE["walked_late"] = trailing(
+    "late_rows", "timestamp, fresh, seq", "dataset_id, seq, timestamp, reads_1h, size_gb, current_backend, fresh")
+CTE["hot_late"] = CTE["hot_rows"].replace("FROM walked WHERE", "FROM walked_late WHERE fresh = 1 AND")
+CTE["reacted_late"] = place("hot_late", extra=", seq, timestamp, reads_1h, n")
+
 
 def sql(body: str, *names: str) -> str:
     """``body`` with the shared definitions it needs, in the order in which they are defined."""
@@ -318,8 +336,8 @@ put("event_messages", """
 SELECT dataset_id AS key,
        '{"timestamp":' || timestamp || ',"dataset_id":"' || dataset_id || '","reads_1h":' || reads_1h ||
        ',"writes_1h":' || writes_1h || ',"bytes_read_1h":' || bytes_read_1h || ',"hour_of_day":' || hour_of_day ||
-       ',"day_of_week":' || day_of_week || ',"current_backend":"' || current_backend || '","initial_backend":"' ||
-       initial_backend || '"}' AS value
+       ',"day_of_week":' || day_of_week || ',"current_backend":"' || current_backend || '","initial_backend":' ||
+       coalesce('"' || initial_backend || '"', 'null') || '}' AS value
 FROM valid""")
 put("history_entries", """
 SELECT dataset_id, least(c, 24) - rn AS pos, timestamp, reads_1h, writes_1h, bytes_read_1h, hour_of_day, day_of_week
@@ -332,6 +350,8 @@ SELECT r.dataset_id, any_value(s.size_gb) AS size_gb, any_value(s.initial_backen
 FROM {ranked} r JOIN {state} s ON s.dataset_id = r.dataset_id WHERE rn <= 24 {where} GROUP BY 1"""
 put("dataset_state", STATE_ROW.format(ranked="ranked_valid", state="state_valid", where=""))
 ORACLE["dataset_state_upsert"] = ORACLE["dataset_state"]
+put("dataset_state_event_time", STATE_ROW.format(ranked="ranked_late", state="state_late", where=""))
+put("hot_reactions_event_time", "SELECT * FROM reacted_late")
 put("dataset_detail", STATE_ROW.format(ranked="ranked", state="state", where="AND r.dataset_id = 'ds_000007'"))
 put("duplicate_dataset_keys", "SELECT dataset_id, count(*) AS rows FROM state GROUP BY 1 HAVING count(*) > 1")
 put("duplicate_access_keys", "SELECT dataset_id, count(*) AS rows FROM access GROUP BY 1 HAVING count(*) > 1")
@@ -627,12 +647,13 @@ SELECT dataset_id, persona, count(*) FILTER (WHERE in_entry) AS hours_inside, co
        round(avg(reads_1h) FILTER (WHERE in_entry), 4) AS reads_inside, round(avg(reads_1h) FILTER (WHERE NOT in_entry), 4)
          AS reads_outside, max(read_multiplier) AS expected_multiplier, max(base_reads) AS template_reads
 FROM in_calendar GROUP BY 1, 2""")
-put("filled_hours", """
-SELECT g.dataset_id, g.timestamp, coalesce(reads_1h, 0) AS reads_1h, coalesce(writes_1h, 0) AS writes_1h,
-       coalesce(bytes_read_1h, 0) AS bytes_read_1h, CAST((g.timestamp // 3600) % 24 AS INTEGER) AS hour_of_day,
-       CAST((g.timestamp // 86400 + 3) % 7 AS INTEGER) AS day_of_week
-FROM (SELECT dataset_id, unnest(range(min(timestamp), max(timestamp) + 3600, 3600)) AS timestamp FROM access GROUP BY 1) g
-LEFT JOIN access a ON a.dataset_id = g.dataset_id AND a.timestamp = g.timestamp""")
+CTE["grid"] = """
+  SELECT g.dataset_id, g.timestamp, coalesce(reads_1h, 0) AS reads_1h, coalesce(writes_1h, 0) AS writes_1h,
+         coalesce(bytes_read_1h, 0) AS bytes_read_1h, CAST((g.timestamp // 3600) % 24 AS INTEGER) AS hour_of_day,
+         CAST((g.timestamp // 86400 + 3) % 7 AS INTEGER) AS day_of_week
+  FROM (SELECT dataset_id, unnest(range(min(timestamp), max(timestamp) + 3600, 3600)) AS timestamp FROM access GROUP BY 1) g
+  LEFT JOIN access a ON a.dataset_id = g.dataset_id AND a.timestamp = g.timestamp"""
+put("filled_hours", "SELECT * FROM grid")
 
 
 CTE["event_hours"] = """
@@ -763,11 +784,52 @@ put("best_horizon", " UNION ALL ".join(f"""
 SELECT '{k}' AS target, CASE WHEN a <= b THEN '8h' ELSE '12h' END AS best, round(least(a, b), 3) AS val_mae
 FROM (SELECT (SELECT avg(abs(actual_{k} - predicted_{k})) FROM back8) AS a,
              (SELECT avg(abs(actual_{k} - predicted_{k})) FROM back12) AS b)""" for k in ("reads", "writes")))
-# Validation samples of gap-free hours: rows of the last part with a whole window before and ahead.
-CTE["grid_rows"] = """
-  SELECT dataset_id, count(*) AS n FROM (
-    SELECT dataset_id, unnest(range(min(timestamp), max(timestamp) + 3600, 3600)) AS timestamp FROM access GROUP BY 1) GROUP BY 1"""
-put("trained_forecast", " UNION ALL ".join(f"""
-SELECT '{k}' AS target, '{h}h' AS name, '{loss}' AS loss,
-       CAST(sum(greatest(0, n - CAST(floor(n * 0.8::DOUBLE) AS BIGINT) - 24 - {h} + 1)) AS BIGINT) AS n, true AS fitted
-FROM grid_rows""" for k in ("reads", "writes") for h in (8, 12) for loss in ("squaredError", "huber")))
+# The joint forecaster on gap-free hours: two inputs, three targets, solved in closed form.
+CTE["grid_split"] = f"""
+  SELECT *, pos < n_train AS is_train FROM (
+    SELECT dataset_id, timestamp, reads_1h, writes_1h, bytes_read_1h, row_number() OVER (PARTITION BY dataset_id ORDER BY timestamp) - 1 AS pos,
+           floor(count(*) OVER (PARTITION BY dataset_id) * 0.8::DOUBLE) AS n_train,
+           CAST({over("sum(reads_1h)", -23, 0)} AS DOUBLE) AS x1, CAST({over("sum(writes_1h)", -23, 0)} AS DOUBLE) AS x2 FROM grid)"""
+REG, DELTA = "0.01::DOUBLE", "1.35::DOUBLE"
+JOINT = ("reads", "writes", "bytes_read")
+
+
+def joint(horizon: int) -> None:
+    """Samples ``js``, their long scaled form ``jz``, and the fits ``jf0`` (squared loss) to ``jf2`` (reweighted twice)."""
+    part = lambda f, a, b: over(f, a, b).replace("PARTITION BY dataset_id", "PARTITION BY dataset_id, is_train")
+    ahead = ", ".join(f"CAST({part(f'sum({k}_1h)', 1, horizon)} AS DOUBLE) AS y_{k}" for k in JOINT)
+    keep = (
+        f"dataset_id, timestamp, is_train, x1, x2, {ahead}, {part('count(*)', -23, 0)} AS seen, {part('count(*)', 1, horizon)} AS ahead, "
+        f"CAST({part('sum(bytes_read_1h)', 1 - horizon, 0)} AS DOUBLE) AS t_bytes_read"
+    )
+    guess = lambda k: f"recent_{k} * greatest(0.7, least(2.0, recent_{k} / greatest(older_{k}, 1))) * {float(horizon)} AS t_{k}"
+    CTE[f"js{horizon}"] = f"""
+  SELECT *, {guess("reads")}, {guess("writes")} FROM ({trailing("grid_split", "timestamp", keep, horizon)}) WHERE seen = 24 AND ahead = {horizon}"""
+    CTE[f"jl{horizon}"] = " UNION ALL ".join(
+        f"SELECT '{k}' AS target, is_train, x1, x2, y_{k} AS truth, t_{k} AS trend FROM js{horizon}" for k in JOINT)
+    sd = lambda c: f"CASE WHEN min({c}) = max({c}) THEN 1 ELSE stddev_pop({c}) END"
+    CTE[f"jm{horizon}"] = f"""
+  SELECT target, {", ".join(f"avg({c}) AS m_{c}, {sd(c)} AS s_{c}" for c in ("x1", "x2", "truth"))} FROM jl{horizon} WHERE is_train GROUP BY 1"""
+    CTE[f"jz{horizon}"] = f"""
+  SELECT l.*, m.m_truth, m.s_truth, (x1 - m_x1) / s_x1 AS u1, (x2 - m_x2) / s_x2 AS u2, (truth - m_truth) / s_truth AS v
+  FROM jl{horizon} l JOIN jm{horizon} m USING (target)"""
+    for k in range(3):
+        far = f"abs(v - b0 - b1 * u1 - b2 * u2)"
+        source = f"(SELECT *, 1::DOUBLE AS w FROM jz{horizon})" if k == 0 else (
+            f"(SELECT z.*, CASE WHEN {far} <= {DELTA} THEN 1 ELSE {DELTA} / {far} END AS w FROM jz{horizon} z JOIN jf{horizon}_{k - 1} USING (target))")
+        c = lambda a, b: f"(sum(w * {a} * {b}) - sum(w * {a}) * sum(w * {b}) / sum(w)) / count(*)"
+        CTE[f"jf{horizon}_{k}"] = f"""
+  SELECT target, b1, b2, mv - b1 * m1 - b2 * m2 AS b0 FROM (
+    SELECT *, (c1v * c22 - c2v * c12) / (c11 * c22 - c12 * c12) AS b1, (c2v * c11 - c1v * c12) / (c11 * c22 - c12 * c12) AS b2 FROM (
+      SELECT target, sum(w * u1) / sum(w) AS m1, sum(w * u2) / sum(w) AS m2, sum(w * v) / sum(w) AS mv, {c("u1", "u1")} + {REG} AS c11,
+             {c("u2", "u2")} + {REG} AS c22, {c("u1", "u2")} AS c12, {c("u1", "v")} AS c1v, {c("u2", "v")} AS c2v
+      FROM {source} WHERE is_train GROUP BY 1))"""
+
+
+for _h in (8, 12):
+    joint(_h)
+put("trained_forecast", "SELECT *, mae < mean_mae AS beats_mean, mae < trend_mae AS beats_trend FROM (" + " UNION ALL ".join(f"""
+SELECT target, '{h}h' AS name, '{loss}' AS loss, count(*) AS n,
+       round(avg(abs(truth - ((b0 + b1 * u1 + b2 * u2) * s_truth + m_truth))), 3) AS mae, round(avg(abs(truth - m_truth)), 3) AS mean_mae,
+       round(avg(abs(truth - trend)), 3) AS trend_mae
+FROM jz{h} JOIN jf{h}_{k} USING (target) WHERE NOT is_train GROUP BY 1""" for h in (8, 12) for loss, k in (("squaredError", 0), ("huber", 2))) + ")")

@@ -14,16 +14,32 @@ from ..schemas import RUN_LOG, TRAINING
 OFFSETS_PER_PARTITION = 2**44
 
 
-def text_event_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Lines of JSON text that arrive as files; the arrival number is given when a batch is stored."""
+#: Columns of a file stream that give the order of arrival, together with the place in the block.
+ARRIVAL = ("file_time", "file", "block")
+
+
+def text_event_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, by_name: bool = False
+) -> DataFrame:
+    """Lines of JSON text that arrive as files; the arrival number is given when a batch is stored. Files of one batch are
+    in the order of their times, or of their names where those count their ranges (``by_name``)."""
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    seen = F.col("_metadata.file_modification_time")
     return reader.load(path).select(
-        "value", F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_path").alias("file")
+        "value", (F.lit(None).cast("timestamp") if by_name else seen).alias("file_time"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
     )
 
 
+def write_event_files(raw: DataFrame, path: str, order: list[str], rows_per_file: int) -> None:
+    """Event text in files of about so many rows, each a range of ``order``; the names of the files count the ranges."""
+    files = max(1, -(-raw.count() // rows_per_file))
+    ranges = raw.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    ranges.select("value").write.text(path)
+
+
 def kafka_event_stream(spark: SparkSession, servers: str, topic: str = "access_events", **options: str) -> DataFrame:
     """The event topic from its start. Events of a dataset share a partition, so offsets give their order."""
     reader = spark.readStream.format("kafka").options(**options)
@@ -37,8 +53,10 @@ def kafka_event_stream(spark: SparkSession, servers: str, topic: str = "access_e
 
 
 def keyed_messages(events: DataFrame, key: str = "dataset_id", columns: list[str] | None = None) -> DataFrame:
-    """``(key, value)`` text pairs, ready for a Kafka or file writer."""
-    return events.select(F.col(key).alias("key"), F.to_json(F.struct(*(columns or events.columns))).alias("value"))
+    """``(key, value)`` text pairs, ready for a Kafka or file writer. A null is written as ``null``: a field that is left
+    out may mean something else to the reader."""
+    value = F.to_json(F.struct(*(columns or events.columns)), {"ignoreNullFields": "false"})
+    return events.select(F.col(key).alias("key"), value.alias("value"))
 
 
 def publish_kafka(events: DataFrame, servers: str, topic: str) -> None:

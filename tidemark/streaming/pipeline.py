@@ -16,7 +16,7 @@ from ..operators.jobs import finish_request, next_request, scan
 from ..operators.metrics import event_rate
 from ..operators.validate import validate_events
 from ..schemas import DATASET, JOB, REQUEST
-from ..sources.files import is_complete, materialise
+from ..sources.files import ARRIVAL, is_complete, materialise
 from ..sources.keyed_table import KeyedTable
 
 
@@ -44,22 +44,23 @@ def number_arrivals(store: Store, df: DataFrame, batch: int) -> DataFrame:
     the numbers stay the same when a task is run again."""
     path = store.batch_path("inbox", batch)
     if not is_complete(store.spark, path):
-        ordered = df.withColumn("line", F.monotonically_increasing_id()).orderBy("file_time", "file", "line")
+        # Rows of a block are numbered in their order; blocks of a file may be read in any.
+        ordered = df.withColumn("line", F.monotonically_increasing_id()).orderBy(*ARRIVAL, "line")
         ordered.select("value", F.monotonically_increasing_id().alias("seq")).write.mode("overwrite").parquet(path)
     return store.spark.read.schema("value string, seq long").parquet(path)
 
 
 def process_batch(
     store: Store, raw: DataFrame, batch: int, now: float, limits: Limits = LIMITS, skip_noop: bool = False,
-    name: str = "ingest",
+    name: str = "ingest", order_by: str = "arrival",
 ) -> bool:
     """Run one batch and write its results: dead letters, new jobs, then the state, whose folder commits the batch.
     A batch that is already committed is left alone."""
     with store.lock:
-        return _process_batch(store, raw, batch, now, limits, skip_noop, name)
+        return _process_batch(store, raw, batch, now, limits, skip_noop, name, order_by)
 
 
-def _process_batch(store, raw, batch, now, limits, skip_noop, name) -> bool:
+def _process_batch(store, raw, batch, now, limits, skip_noop, name, order_by) -> bool:
     tag = f"{name}-{batch}"
     if store.state.has(tag):
         return False
@@ -68,7 +69,7 @@ def _process_batch(store, raw, batch, now, limits, skip_noop, name) -> bool:
     # Every branch of the batch reads the validated rows; a lost copy is computed again from the source.
     validated = validate_events(raw.select("value", "seq")).persist(StorageLevel.DISK_ONLY)
     try:
-        out = ingest_batch(validated, store.state.read(), store.jobs.read_apart(), now, limits, skip_noop)
+        out = ingest_batch(validated, store.state.read(), store.jobs.read_apart(), now, limits, skip_noop, order_by=order_by)
         counted = out.dead_letters.observe(f"{name}_rejected", F.count(F.lit(1)).alias("rejected"))
         counted.write.mode("overwrite").parquet(store.batch_path("dead_letters", batch))
         store.jobs.write(out.jobs.observe(f"{name}_jobs", F.count(F.lit(1)).alias("created")), tag)
@@ -80,13 +81,13 @@ def _process_batch(store, raw, batch, now, limits, skip_noop, name) -> bool:
 
 def ingest_stream(
     source: DataFrame, store: Store, checkpoint: str, clock: Callable[[], float] = time.time, limits: Limits = LIMITS,
-    skip_noop: bool = False, trigger: dict | None = None,
+    skip_noop: bool = False, trigger: dict | None = None, order_by: str = "arrival",
 ) -> StreamingQuery:
     """Start the event pipeline. ``trigger`` goes to ``DataStreamWriter.trigger``, for example
     ``{"availableNow": True}``."""
 
     def each(df: DataFrame, batch: int) -> None:
-        process_batch(store, df, batch, clock(), limits, skip_noop)
+        process_batch(store, df, batch, clock(), limits, skip_noop, order_by=order_by)
 
     writer = source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
