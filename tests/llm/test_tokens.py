@@ -40,6 +40,30 @@ def test_ids_are_those_of_the_tokenizer(encoder, monkeypatch):
         assert np.frombuffer(ids, encoder.kind).tolist() == plain(encoder, text), repr(text)
 
 
+@pytest.mark.parametrize("cache", [200, 1 << 30])
+def test_words_of_many_pieces(monkeypatch, cache):
+    """Against a tokenizer of its own: contractions, digits, marks and letters of many scripts next to each other."""
+    monkeypatch.setattr(t, "CACHE", cache)
+    monkeypatch.setattr(t, "LOT_CHARS", 3000)
+    fresh, encoder, rng = Tokenizer.from_file(PATH), t.Encoder(PATH), random.Random(3)
+    parts = ["don't", "'ll", "'LL", "foo", "bar-", "12", "½", "²", "_", "é", "ß", "Ж", "日", "ª", "\n", "...", "'", "\u0301", "͵", "ʰ", "\u0345", "Ա", "x"]
+    texts = [" ".join("".join(rng.choice(parts) for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(1, 30))) for _ in range(400)]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, encoder.kind).tolist() == fresh.encode(text, add_special_tokens=False).ids + [t.END_ID], repr(text)
+
+
+def test_some_documents_by_select(spark):
+    docs = d.table(spark)
+    blocks = t.write_tokens(docs, PATH, block_ids=500, shards=3)
+    wanted = [0, 7, 44, -5, 10**9, 3]
+    got = sorted((r.doc_id, r.ids) for r in t.ids_of(blocks, wanted).collect())
+    fresh = Tokenizer.from_file(PATH)
+    want = sorted(
+        (r.doc_id, fresh.encode(r.text or "", add_special_tokens=False).ids + [t.END_ID]) for r in docs.collect() if r.doc_id in wanted
+    )
+    assert got == want and len(got) >= 5
+
+
 @pytest.mark.parametrize("values", [
     [], [0], [7], [5, 5, 5], [0, 1 << 40], [-9, -9, -1, 4], list(range(3000)), [2**62 // 1000 * i for i in range(1000)],
 ])

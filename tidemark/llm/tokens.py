@@ -14,11 +14,15 @@ out.
 from __future__ import annotations
 
 import struct
+import sys
+import types
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .common import saved, values
@@ -27,13 +31,19 @@ VOCABULARY_FILE = "byte_bpe_50k.json"
 END_ID = 0
 #: A block is closed at so many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
-#: Words that a task remembers, and characters of text that it encodes together.
-CACHE, LOT_CHARS = 400_000, 1 << 20
+#: Bytes of words and their ids that a worker process remembers, about, and characters of text that it encodes together.
+CACHE, LOT_CHARS = 80 << 20, 1 << 20
+#: What an entry takes besides its characters.
+ENTRY = 150
 #: Bytes of text per shard, about.
 SHARD_BYTES = 64 << 20
 
 #: How the vocabulary file writes a blank.
 BLANK = "\u0120"
+#: Fixed value: the pattern of the byte-level pre-tokenizer. Tokens never cross its matches.
+PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Words of characters below this are cut here, as any engine knows their classes; others go to the tokenizer whole.
+KNOWN_CLASSES = "\u0530"
 # White space other than blank and line feed, and what one of two regular expression engines takes for it.
 _OTHER_SPACE = frozenset(
     c for c in map(chr, [*range(9, 14), *range(28, 32), 133, 160, 5760, 6158, *range(8192, 8208), 8232, 8233, 8239, 8287, 12288, 65279])
@@ -132,6 +142,19 @@ class Encoder:
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.blank = np.array([t.startswith(BLANK) for t in tokens])
         self.words: dict[str, bytes] = {}  # what stands between blanks, with the blank before it
+        self.pieces: dict[str, bytes] = {}  # pre-tokens without a blank
+        self.held = 0
+
+    @classmethod
+    def of_process(cls, path: str, end_id: int = END_ID) -> "Encoder":
+        """The encoder of this worker process, with what it knows from earlier tasks. Code of this package comes with each
+        task, so the encoder is kept in a module of its own."""
+        kept = sys.modules.setdefault("token_encoders_of_process", types.ModuleType("token_encoders_of_process"))
+        found = getattr(kept, "encoders", {}).get((path, end_id, cls.__qualname__))
+        if found is None:
+            found = cls(path, end_id)
+            kept.encoders = {(path, end_id, cls.__qualname__): found}
+        return found
 
     def _by_word(self, text: str) -> bool:
         """Whether words can be looked up. An added token is cut out first and may hold blanks of its own."""
@@ -140,26 +163,63 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def _learn(self, words: list[str]) -> None:
+    def _keep(self, into: dict[str, bytes], word: str, ids: bytes) -> None:
+        into[word] = ids
+        self.held += len(word) + len(ids) + ENTRY
+
+    def _learn_words(self, words: list[str]) -> None:
         """Encode words strung together, each after a blank. A blank begins a pre-token and so a token, and there is no
         other, so the tokens that begin with a blank are the places to cut."""
         ids = self._whole(" " + " ".join(words))
         cut = np.append(np.nonzero(self.blank[ids])[0], len(ids)) * self.width
         raw, cut = ids.tobytes(), cut.tolist()
-        self.words.update((w, raw[a:z]) for w, a, z in zip(words, cut, cut[1:], strict=False))
+        for w, a, z in zip(words, cut, cut[1:], strict=False):
+            self._keep(self.words, w, raw[a:z])
+
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        if missing := [p for p in pieces if p not in self.pieces]:
+            for p, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
+                self._keep(self.pieces, p, np.array(found.ids, self.kind).tobytes())
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words by their pre-tokens, so that "word" and "word." are one piece of work."""
+        known = [w for w in words if max(w) < KNOWN_CLASSES]
+        if len(known) < len(words):
+            self._learn_words([w for w in words if max(w) >= KNOWN_CLASSES])
+        if not known:
+            return
+        cut = PRE_TOKEN.findall(" " + " ".join(known))
+        heads = [i for i, p in enumerate(cut) if p[0] == " "]
+        first = {cut[i][1:] for i in heads}
+        if missing := [w for w in first if w not in self.words]:
+            self._learn_words(missing)
+        self._learn_pieces({p for p in cut if p[0] != " "})
+        for w, a, z in zip(known, heads, [*heads[1:], len(cut)], strict=True):
+            if z > a + 1:
+                self._keep(self.words, w, self.words[cut[a][1:]] + b"".join([self.pieces[p] for p in cut[a + 1:z]]))
 
     def _lot(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") if self._by_word(t) else None for t in texts]
         wanted = {w for s in split if s for w in s[1:]}
-        if len(self.words) > CACHE:  # the words of this lot are the ones to keep
+        if self.held > CACHE:  # the words of this lot are the ones to keep
             self.words = {w: self.words[w] for w in wanted if w in self.words}
+            self.pieces = {}
+            self.held = sum(len(w) + len(x) + ENTRY for w, x in self.words.items())
         if missing := [w for w in wanted if w not in self.words]:
             self._learn(missing)
-        words = self.words
-        return [
-            (self._whole(s[0]).tobytes() + b"".join([words[w] for w in s[1:]]) if s else self._whole(t).tobytes()) + self.end
-            for t, s in zip(texts, split)
-        ]
+        # A text's first word has no blank before it.
+        starts = [PRE_TOKEN.findall(s[0]) if s and s[0] and max(s[0]) < KNOWN_CLASSES else None for s in split]
+        self._learn_pieces({p for cut in starts if cut for p in cut})
+        words, pieces = self.words, self.pieces
+        out = []
+        for t, s, cut in zip(texts, split, starts):
+            if s is None:
+                ids = self._whole(t).tobytes()
+            else:
+                head = b"".join([pieces[p] for p in cut]) if cut else self._whole(s[0]).tobytes()
+                ids = head + b"".join([words[w] for w in s[1:]])
+            out.append(ids + self.end)
+        return out
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Each text's ids with the end id."""
@@ -190,7 +250,7 @@ def encode_blocks(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, bl
     numbered = placed.select(F.spark_partition_id().alias("shard"), "doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path, end_id)
+        encoder = Encoder.of_process(tokenizer_path, end_id)
         ids: list[bytes] = []
         keys: list[int | None] = []
         no = size = shard = 0
@@ -250,6 +310,35 @@ def decode_blocks(blocks: DataFrame) -> DataFrame:
     )
 
 
+def ids_of(blocks: DataFrame, wanted: list[int]) -> DataFrame:
+    """``doc_id, ids`` of the documents with the given ids. Their places and bounds come from the select structures; no other
+    document of a block is decoded."""
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, found = [], []
+            for n in range(batch.num_rows):
+                b = batch.slice(n, 1).to_pylist()[0]
+                docs, ends = EliasFano.from_bytes(b["doc_ids"]), EliasFano.from_bytes(b["ends"])
+                ids = np.frombuffer(b["ids"], f"<u{b['width']}")
+                if not docs.n:
+                    continue
+                least, most = docs.select(0), docs.select(docs.n - 1)
+                for w in wanted:
+                    if not least <= w <= most:
+                        continue
+                    at = bisect_left(range(docs.n), w, key=docs.select)
+                    while at < docs.n and docs.select(at) == w:
+                        keys.append(w)
+                        found.append(ids[ends.select(at - 1) if at else 0:ends.select(at)].astype(np.int64))
+                        at += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array([x.tolist() for x in found], pa.list_(pa.int64()))], names=["doc_id", "ids"]
+            )
+
+    return blocks.select("width", "ids", "ends", "doc_ids").mapInArrow(look_up, "doc_id long, ids array<long>")
+
+
 def block_starts(blocks: DataFrame) -> DataFrame:
     """``(shard, block, base)``: ids before each block. One small row per block; shards are added up first, so what one
     task sees is a row per shard or the blocks of one shard."""
