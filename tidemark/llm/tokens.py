@@ -19,6 +19,7 @@ import types
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,9 @@ VOCABULARY_FILE = "byte_bpe_50k.json"
 END_ID = 0
 #: A block is closed at so many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
-#: Bytes of words and their ids that a worker process remembers, about, and characters of text that it encodes together.
-CACHE, LOT_CHARS = 80 << 20, 1 << 20
-#: What an entry takes besides its characters.
-ENTRY = 150
+#: Words that a worker process remembers, twice, and the longest of them (about 170 bytes each, 400 at most); characters of
+#: text that it encodes together.
+CACHE, LONGEST, LOT_CHARS = 250_000, 64, 1 << 20
 #: Bytes of text per shard, about.
 SHARD_BYTES = 64 << 20
 
@@ -142,8 +142,9 @@ class Encoder:
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.blank = np.array([t.startswith(BLANK) for t in tokens])
         self.words: dict[str, bytes] = {}  # what stands between blanks, with the blank before it
+        self.before: dict[str, bytes] = {}  # the words known before the cache was last full
         self.pieces: dict[str, bytes] = {}  # pre-tokens without a blank
-        self.held = 0
+        self.passing: list[str] = []  # those too long to be kept
 
     @classmethod
     def of_process(cls, path: str, end_id: int = END_ID) -> "Encoder":
@@ -163,62 +164,71 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def _keep(self, into: dict[str, bytes], word: str, ids: bytes) -> None:
-        into[word] = ids
-        self.held += len(word) + len(ids) + ENTRY
-
     def _learn_words(self, words: list[str]) -> None:
         """Encode words strung together, each after a blank. A blank begins a pre-token and so a token, and there is no
         other, so the tokens that begin with a blank are the places to cut."""
-        ids = self._whole(" " + " ".join(words))
-        cut = np.append(np.nonzero(self.blank[ids])[0], len(ids)) * self.width
-        raw, cut = ids.tobytes(), cut.tolist()
-        for w, a, z in zip(words, cut, cut[1:], strict=False):
-            self._keep(self.words, w, raw[a:z])
+        if words:
+            ids = self._whole(" " + " ".join(words))
+            cut = np.append(np.nonzero(self.blank[ids])[0], len(ids)) * self.width
+            raw, cut = ids.tobytes(), cut.tolist()
+            self.words.update((w, raw[a:z]) for w, a, z in zip(words, cut, cut[1:], strict=False))
 
     def _learn_pieces(self, pieces: set[str]) -> None:
         if missing := [p for p in pieces if p not in self.pieces]:
-            for p, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                self._keep(self.pieces, p, np.array(found.ids, self.kind).tobytes())
+            found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+            self.pieces.update((p, np.array(x.ids, self.kind).tobytes()) for p, x in zip(missing, found))
+            self.passing += [p for p in missing if len(p) > LONGEST]
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words by their pre-tokens, so that "word" and "word." are one piece of work."""
-        known = [w for w in words if max(w) < KNOWN_CLASSES]
-        if len(known) < len(words):
-            self._learn_words([w for w in words if max(w) >= KNOWN_CLASSES])
-        if not known:
-            return
-        cut = PRE_TOKEN.findall(" " + " ".join(known))
+        """Encode words by their pre-tokens, so that "word" and "word." are one piece of work. Letters alone are one."""
+        whole = [w for w in words if w.isalpha() or not (w.isascii() or max(w) < KNOWN_CLASSES)]
+        mixed = list(set(words).difference(whole)) if len(whole) < len(words) else []
+        cut = PRE_TOKEN.findall(" " + " ".join(mixed)) if mixed else []
         heads = [i for i, p in enumerate(cut) if p[0] == " "]
-        first = {cut[i][1:] for i in heads}
-        if missing := [w for w in first if w not in self.words]:
-            self._learn_words(missing)
+        firsts = self._unknown({cut[i][1:] for i in heads}.difference(whole))
+        self._learn_words(whole + firsts)
         self._learn_pieces({p for p in cut if p[0] != " "})
-        for w, a, z in zip(known, heads, [*heads[1:], len(cut)], strict=True):
-            if z > a + 1:
-                self._keep(self.words, w, self.words[cut[a][1:]] + b"".join([self.pieces[p] for p in cut[a + 1:z]]))
+        words_, pieces = self.words, self.pieces
+        for w, a, z in zip(mixed, heads, [*heads[1:], len(cut)], strict=True):
+            if z == a + 2:
+                words_[w] = words_[cut[a][1:]] + pieces[cut[a + 1]]
+            elif z > a + 2:
+                words_[w] = words_[cut[a][1:]] + b"".join([pieces[p] for p in cut[a + 1:z]])
+
+    def _unknown(self, wanted: set[str]) -> list[str]:
+        """Words to be learned; those known before are taken over."""
+        fresh = wanted.difference(self.words)
+        again = [w for w in fresh if w in self.before]
+        self.words.update((w, self.before[w]) for w in again)
+        return list(fresh.difference(again))
 
     def _lot(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") if self._by_word(t) else None for t in texts]
-        wanted = {w for s in split if s for w in s[1:]}
-        if self.held > CACHE:  # the words of this lot are the ones to keep
-            self.words = {w: self.words[w] for w in wanted if w in self.words}
-            self.pieces = {}
-            self.held = sum(len(w) + len(x) + ENTRY for w, x in self.words.items())
-        if missing := [w for w in wanted if w not in self.words]:
+        if len(self.words) + len(self.pieces) > CACHE:  # words that come again are taken over, others forgotten at the next turn
+            self.before, self.words, self.pieces = self.words, {}, {}
+        wanted: set[str] = set()
+        for s in split:
+            if s:
+                wanted.update(islice(s, 1, None))
+        if missing := self._unknown(wanted):
             self._learn(missing)
         # A text's first word has no blank before it.
         starts = [PRE_TOKEN.findall(s[0]) if s and s[0] and max(s[0]) < KNOWN_CLASSES else None for s in split]
         self._learn_pieces({p for cut in starts if cut for p in cut})
-        words, pieces = self.words, self.pieces
+        ids_of, pieces = self.words.__getitem__, self.pieces
         out = []
         for t, s, cut in zip(texts, split, starts):
             if s is None:
                 ids = self._whole(t).tobytes()
             else:
                 head = b"".join([pieces[p] for p in cut]) if cut else self._whole(s[0]).tobytes()
-                ids = head + b"".join([words[w] for w in s[1:]])
+                ids = head + b"".join(map(ids_of, islice(s, 1, None)))
             out.append(ids + self.end)
+        for w in [w for w in wanted if len(w) > LONGEST]:
+            del self.words[w]
+        for p in self.passing:
+            del self.pieces[p]
+        self.passing = []
         return out
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
