@@ -182,8 +182,11 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Encode words by their pre-tokens, so that "word" and "word." are one piece of work. Letters alone are one."""
         whole = [w for w in words if w.isalpha() or not (w.isascii() or max(w) < KNOWN_CLASSES)]
-        mixed = list(set(words).difference(whole)) if len(whole) < len(words) else []
-        cut = PRE_TOKEN.findall(" " + " ".join(mixed)) if mixed else []
+        if len(whole) == len(words):
+            self._learn_words(whole)
+            return
+        mixed = list(set(words).difference(whole))
+        cut = PRE_TOKEN.findall(" " + " ".join(mixed))
         heads = [i for i, p in enumerate(cut) if p[0] == " "]
         firsts = self._unknown({cut[i][1:] for i in heads}.difference(whole))
         self._learn_words(whole + firsts)
