@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import values
+from .common import saved, values
 
 #: Characters of a q-gram, of a window, and between the starts of windows (all are looked for); edits allowed in a window.
-Q, WINDOW, STRIDE, EDITS = 12, 64, 1, 3
+Q, WINDOW, EDITS = 12, 64, 3
 #: Characters from which an item may have edits, and of a q-gram of items too short for ``Q``.
 SHORTEST, SHORT_Q = 32, 10
 #: Windows that are aligned together.
@@ -191,7 +191,8 @@ class Grams:
         return edits, end
 
     def moved(self, codes, start, low, m: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """``aligned`` of many windows of ``m`` characters: the paths of up to ``k`` edits that touch their bands."""
+        """Least edits of many windows of ``m`` characters and where those stretches end: the paths of up to ``k`` edits that touch
+        their bands, which start free."""
         steps = np.arange(2 * (k + 1) + 2 * k)
         at = (start + low - k)[:, None] + steps
         row = np.zeros(at.shape, np.int64)
@@ -210,7 +211,7 @@ class Index:
     """What to look for of a bounded set of benchmark texts."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, window: int = WINDOW, edits: int = EDITS):
-        self.edits = edits
+        self.edits, self.nameless = edits, frozenset()
         texts = [(i, normal(t)) for i, t in items]
         full = q * (edits + 2)
         self.short = [(i, t) for i, t in texts if t and len(t) < min(SHORTEST, full)]
@@ -288,67 +289,59 @@ def _occurrences(text: str, part: str) -> list[int]:
     return found
 
 
-def aligned(pattern: np.ndarray, text: np.ndarray, middle: int, width: int) -> tuple[int, int]:
-    """Least edits between the whole pattern and some stretch of the text, and where that stretch ends; the stretch
-    starts free and the path stays on the diagonals from ``middle - width`` to ``middle + width``."""
-    m, n = len(pattern), len(text)
-    offsets = np.arange(middle - width, middle + width + 1)
-    far = 1 << 20
-    row = np.where((offsets >= 0) & (offsets <= n), 0, far)
-    steps = np.arange(len(offsets))
-    for i in range(1, m + 1):
-        j = offsets + i  # text characters used on each diagonal
-        inside = (j >= 1) & (j <= n)
-        same = np.zeros(len(j), bool)
-        same[inside] = text[j[inside] - 1] == pattern[i - 1]
-        take = np.where(inside, row + ~same, far)
-        drop = np.append(row[1:], far) + 1
-        best = np.where((j >= 0) & (j <= n), np.minimum(take, drop), far)
-        # Insertions run along the row: a running minimum of best minus its place.
-        row = np.minimum.accumulate(best - steps) + steps
-        row = np.where((j >= 0) & (j <= n), row, far)
-    end = int(row.argmin())
-    return int(row[end]), int(offsets[end] + m)
-
-
 HIT = "array<struct<item_id:long,start:int,end:int,edits:int>>"
 
 
-def indexes(benchmark: DataFrame, pass_chars: int = PASS_CHARS) -> list[Index]:
-    """The benchmark as indexes of bounded size: ``pass_chars`` characters each, about, by a hash of the id."""
-    rows = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    passes = max(1, -(-total // pass_chars))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    return [
-        Index([(r.item_id, r.text) for r in rows.filter(part == p).orderBy("item_id", "text").collect()])
-        for p in range(passes)
-    ]
-
-
-def contamination(text: Column | str, benchmark: list[Index]) -> Column:
-    """Hits of a text column in the benchmark: array of (item_id, start, end, edits)."""
+def pass_count(benchmark: DataFrame, pass_chars: int = PASS_CHARS) -> int:
+    """Passes in which a benchmark is looked for: ``pass_chars`` characters each, about."""
+    total = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(1, -(-total // pass_chars))
 
-    def one(index: Index) -> Column:
-        @F.arrow_udf(HIT)
-        def run(texts: pa.Array) -> pa.Array:
-            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
-            names = ("item_id", "start", "end", "edits")
-            return pa.array([[dict(zip(names, h)) for h in hits] for hits in index.search(values(texts), len(texts))], kind)
 
-        return run(text)
-
-    found = [one(i) for i in benchmark]
-    return found[0] if len(found) == 1 else F.concat(*found)
-
-
-def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document row, benchmark item and matching stretch: ``doc_id, item_id, start, end, edits``."""
-    hits = docs.select("doc_id", contamination("text", indexes(benchmark)).alias("hits"))
-    # The outer form keeps Spark from computing the hits once more to leave out empty ones.
-    return hits.select("doc_id", F.inline_outer("hits")).filter("item_id is not null")
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a hit."""
-    return docs.filter(F.size(contamination("text", indexes(benchmark))) == 0)
+def index_of(benchmark: DataFrame, part: int = 0, parts: int = 1) -> Index:
+    """The index of one of the passes; rows are dealt out by their hash. Items without an id have numbers of their own, which
+    ``nameless`` tells."""
+    rows = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    mine = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text")
+    items = [(r.item_id, r.text) for r in mine.collect()]  # bounded by the number of passes
+    free = min((i for i, _ in items if i is not None), default=0)
+    numbers = [i if i is not None else free - 1 - k for k, (i, _) in enumerate(items)]
+    index = Index([(n, t) for n, (_, t) in zip(numbers, items)])
+    index.nameless = frozenset(n for n, (i, _) in zip(numbers, items) if i is None)
+    return index
+
+
+def contamination(text: Column | str, index: Index) -> Column:
+    """Hits of a text column in an index: array of (item_id, start, end, edits)."""
+
+    @F.arrow_udf(HIT)
+    def run(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
+        found = index.search(values(texts), len(texts))
+        return pa.array([
+            [{"item_id": None if i in index.nameless else i, "start": a, "end": z, "edits": e} for i, a, z, e in hits] for hits in found
+        ], kind)
+
+    return run(text)
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, pass_chars: int = PASS_CHARS) -> DataFrame:
+    """One row per document row, benchmark item and matching stretch: ``doc_id, item_id, start, end, edits``. A benchmark of many
+    passes goes through the documents once for each; the hits of a pass are stored before the next index is built."""
+    parts, out = pass_count(benchmark, pass_chars), None
+    for p in range(parts):
+        hits = docs.select("doc_id", contamination("text", index_of(benchmark, p, parts)).alias("hits"))
+        # The outer form keeps Spark from computing the hits once more to leave out empty ones.
+        own = hits.select("doc_id", F.inline_outer("hits")).filter("end is not null")
+        own = saved(own, "hits") if parts > 1 else own
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, pass_chars: int = PASS_CHARS) -> DataFrame:
+    """Documents without a hit. What a pass leaves is stored for the next one."""
+    parts = pass_count(benchmark, pass_chars)
+    for p in range(parts):
+        docs = docs.filter(F.size(contamination("text", index_of(benchmark, p, parts))) == 0)
+        docs = saved(docs, "clean") if p + 1 < parts else docs
+    return docs
