@@ -110,3 +110,17 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` as the named columns and one struct ``input`` with all others, so that no helper column can clash with them; and
+    the columns that give ``df`` back."""
+    others = [c for c in df.columns if c not in names]
+    held = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(True).alias("none"))
+    back = [F.col(f"`{c}`") if c in names else F.col("input").getField(c).alias(c) for c in df.columns]
+    return df.select(*[F.col(f"`{c}`") for c in names], held.alias("input")), back
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row that can be hashed, to tell rows apart that are alike in id and text."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))])

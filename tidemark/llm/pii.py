@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.once import with_columns_once
+from .common import shielded
 
 NEAR = 40
 #: What a context word adds to the score.
@@ -194,7 +195,7 @@ def apart(found: Column) -> Column:
 
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``spans``: array of (kind, start, end, score) by kind in the order of ``KINDS``, then start."""
-    docs = docs.drop("spans")
+    docs, back = shielded(docs.drop("spans"), text)
     t = F.coalesce(F.col(text), F.lit(""))
     raw = {}
     for k in KINDS:
@@ -221,7 +222,7 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.coalesce(F.transform(good, one), F.array().cast(f"array<{SPAN}>"))
 
     out = F.concat(*[scored(k).cast(f"array<{SPAN}>") for k in KINDS])
-    return with_columns_once(rows, {"spans": out}).select(*docs.columns, "spans")
+    return with_columns_once(rows, {"spans": out}).select(*back, "spans")
 
 
 def redact(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:

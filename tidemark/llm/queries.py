@@ -90,6 +90,7 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
         F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.once import with_columns_once
-from .common import SPACE, saved
+from .common import SPACE, free_name, saved, shielded
 
 SYMBOLS = "[#*$%&|<>]"
 SPAN = 5
@@ -43,7 +43,7 @@ def _covered(hashes: Column, span: int = SPAN) -> Column:
 
 def text_figures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the figures of its texts: the columns of ``BASE`` and the shares of ``FIGURES``."""
-    docs = docs.drop(*BASE, *FIGURES)
+    docs, back = shielded(docs.drop(*BASE, *FIGURES), text)
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
     rows = with_columns_once(docs, {
@@ -66,13 +66,14 @@ def text_figures(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_repeat_words", F.coalesce(F.aggregate(gaps, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long")
     ).drop("qr_starts")
     n = F.greatest("n_words", F.lit(1))
-    return rows.withColumns({
+    derived = {
         "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
         "symbol_share": F.col("n_symbols") / F.greatest("word_chars", F.lit(1)),
         "repeat_share": F.col("n_repeat_words") / n,
         "repeated_line_share": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
         "mean_word": F.col("word_chars") / n,
-    }).drop("n_lines")
+    }
+    return rows.select(*back, *[c for c in BASE if c not in derived], *[v.alias(c) for c, v in derived.items()])
 
 
 def bucket(value: Column, alpha: float = ALPHA) -> Column:
@@ -128,17 +129,16 @@ def fences(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 def judge(figures: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """A table of ``text_figures`` with ``kept``: passes the base rule and lies within the fences of its group. The table
     is read twice, so it should be a stored one."""
-    limits = saved(fences(sketches(figures, lang, source)), "rules-fences").withColumnsRenamed(
-        {"lang": "r_lang", "source": "r_source"}
-    )
-    same = F.col(lang).eqNullSafe(F.col("r_lang")) & F.col(source).eqNullSafe(F.col("r_source"))
+    limits = saved(fences(sketches(figures, lang, source)), "rules-fences")
+    figures = figures.drop("kept")
+    own = free_name(figures, "fences")
+    of = lambda c: F.col(own).getField(c)
+    same = figures[lang].eqNullSafe(of("lang")) & figures[source].eqNullSafe(of("source"))
     ok = ~F.col("base_failed")
     for f in FIGURES:
-        ok = ok & (F.col(f) <= F.col(f"fence_{f}"))
+        ok = ok & (F.col(f) <= of(f"fence_{f}"))
     # One small row per group: Spark broadcasts it or splits the hot group of a sorted join.
-    return figures.drop("kept").join(limits, same).withColumn("kept", ok).drop(
-        "r_lang", "r_source", *[f"fence_{f}" for f in FIGURES]
-    )
+    return figures.join(limits.select(F.struct("*").alias(own)), same).select(*figures.columns, ok.alias("kept"))
 
 
 def apply_rules(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import components, saved, values
+from .common import components, free_name, row_hash, saved, values
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Fingerprints of one bucket compared in one task; larger buckets are cut into tiles of pairs.
@@ -208,19 +208,18 @@ def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """One row of each group stays: the smallest ``doc_id`` (null last), among its rows the smallest text hash."""
-    keys = docs.select("doc_id", text).withColumns({
-        "fp": simhash(text), "text_hash": F.xxhash64(F.coalesce(text, F.lit("")), F.col(text).isNull())
-    }).select("doc_id", "fp", "text_hash")
-    ids = saved(keys, "simhash-keys")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))
+    """One row of each group stays: the smallest ``doc_id`` (null last), among its rows the smallest hash of all columns. The
+    columns are those of the input."""
+    hashed = docs.select("*", row_hash(docs).alias(free_name(docs, "row_hash")))
+    own = hashed.columns[-1]
+    ids = saved(hashed.select("doc_id", simhash(text).alias("fp"), F.col(own).alias("row_hash")), "simhash-keys")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_hash"))
     first = ids.groupBy("fp").agg(F.min(order).alias("first"))
     part = components(saved(links(ids, radius), "simhash-links"))
     rooted = first.join(part.withColumnRenamed("node", "fp"), "fp", "left")
     best = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
-    keep = best.select(F.col("first.doc_id").alias("keep_id"), F.col("first.text_hash").alias("keep_hash"))
-    hashed = docs.withColumn("keep_hash_", F.xxhash64(F.coalesce(text, F.lit("")), F.col(text).isNull()))
-    same = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("keep_hash_") == F.col("keep_hash"))
-    left = hashed.join(keep, same, "left_semi")
-    # Repeats of the row that stays are equal in id and text.
-    return left.dropDuplicates(["doc_id", "keep_hash_"]).drop("keep_hash_")
+    keep = best.select(F.struct(F.col("first.doc_id").alias("id"), F.col("first.row_hash").alias("hash")).alias(free_name(hashed, "keep")))
+    k = F.col(keep.columns[0])
+    left = hashed.join(keep, hashed["doc_id"].eqNullSafe(k["id"]) & (hashed[own] == k["hash"]), "left_semi")
+    # Repeats of the row that stays are equal in every column.
+    return left.dropDuplicates(["doc_id", own]).drop(own)
