@@ -2,11 +2,12 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import features as ft
-from tidemark.operators import model
+from tidemark.operators import linear, model
 from tidemark.operators.metrics import forecast_errors
 from tidemark.sources.files import staged
 
@@ -33,3 +34,41 @@ def test_beats_the_mean(split, loss):
     mean = samples.data.filter("is_train").agg(F.avg("target")).first()[0]
     naive = forecast_errors(predicted.withColumn("m", F.lit(mean)), "target", "m").first()
     assert error.n == counts[False] and error.mae < naive.mae / 4
+
+
+@pytest.mark.parametrize("loss", ["squaredError", "huber"])
+def test_one_pass_for_all_targets_equals_numpy(spark, loss):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 30))
+    y = x @ rng.normal(size=(30, 3)) + rng.standard_t(2, size=(400, 3)) + [1.0, -2.0, 0.5]
+    df = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(x, y)], "x array<double>, y array<double>").repartition(5)
+    found = linear.fit(df, 30, 3, loss, reg=0.05)
+    n = len(x)
+    for t in range(3):
+        weight, w, b = np.ones(n), None, None
+        for _ in range(1 + (linear.REWEIGHTINGS if loss == "huber" else 0)):
+            mean_x, mean_y = weight @ x / weight.sum(), weight @ y[:, t] / weight.sum()
+            xc, yc = x - mean_x, y[:, t] - mean_y
+            w = np.linalg.solve((xc * weight[:, None]).T @ xc / n + 0.05 * np.eye(30), (xc * weight[:, None]).T @ yc / n)
+            b = mean_y - w @ mean_x
+            far = np.abs(y[:, t] - x @ w - b)
+            weight = np.where(far <= linear.DELTA, 1.0, linear.DELTA / far)
+        assert np.allclose(found.coefficients[t], w, atol=1e-8) and abs(found.intercepts[t] - b) < 1e-8
+    row = df.select("x", found.predict(1).alias("p")).first()
+    assert row.p == pytest.approx(np.dot(found.coefficients[1], row.x) + found.intercepts[1])
+
+
+def test_joint_forecast_with_all_inputs(split):
+    rows = model.joint_forecast(split, 8, losses=("huber",)).collect()
+    assert [r.target for r in rows] == ["reads", "writes", "bytes_read"] and {r.n for r in rows} == {3 * (68 - 31)}
+    reads = rows[0]
+    assert reads.mae < reads.mean_mae / 4 and reads.mae < reads.trend_mae
+
+
+def test_unscale_is_the_inverse_of_scale(split):
+    rows = ft.feature_rows(split, "reads")
+    scaler = ft.fit_scaler(rows, ["f_reads_1h", "f_trend_6h"], 12)
+    back = ft.unscale(ft.scale(rows, scaler, ["f_reads_1h", "f_trend_6h"]), scaler, {"f_reads_1h": "f_reads_1h", "f_trend_6h": "f_trend_6h"})
+    off = back.alias("a").join(rows.alias("b"), ["dataset_id", "timestamp"]).agg(
+        F.max(F.abs(F.col("a.f_reads_1h") - F.col("b.f_reads_1h")) + F.abs(F.col("a.f_trend_6h") - F.col("b.f_trend_6h")))).first()[0]
+    assert off < 1e-9

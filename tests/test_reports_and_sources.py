@@ -5,7 +5,9 @@ from helpers import dataset, datasets, job, jobs
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics, reports, scenario
+from tidemark.operators.jobs import first_rows
 from tidemark.operators.pricing import cost_summary
+from tidemark.operators.quantiles import merged_quantiles, quantile_sketches, rank_errors, RANK_ERROR
 from tidemark.operators import features as ft
 from tidemark.schemas import DATASET, RUN_LOG, TRAINING
 from tidemark.sources import files
@@ -96,8 +98,70 @@ def test_keyed_table_and_materialise(spark, tmp_path):
     again = KeyedTable(spark, str(tmp_path / "log"), "dataset_id", DATASET)
     assert {r.dataset_id: len(r.history) for r in again.read().collect()} == sizes | {f"n{i}": 1 for i in range(5)}
     assert again.has("x") and not again.has("z")
-    first = files.materialise(spark.range(3), str(tmp_path / "m"))
-    assert files.materialise(spark.range(9), str(tmp_path / "m")).count() == first.count() == 3
+
+
+def test_reuse_notices_other_input_and_other_arguments(spark, tmp_path):
+    where, given = str(tmp_path / "kept"), str(tmp_path / "in")
+    spark.range(3).write.parquet(given)
+    read = lambda: spark.read.parquet(given)
+    assert files.reused(read(), where).count() == 3
+    before = files.fingerprint(read())
+    assert files.reused(read().filter("false"), where).count() == 3  # the same input and arguments: only read
+    spark.range(2).write.mode("append").parquet(given)
+    assert files.fingerprint(read()) != before and files.reused(read(), where).count() == 5
+    assert files.reused(read().filter("id < 1"), where, {"below": 1}).count() == 2
+
+
+def test_lookup_reads_one_bucket(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "dataset_id", DATASET, buckets=8)
+    table.write(datasets(spark, [dataset(f"d{i}", [i]) for i in range(40)]), "x")
+    for i in (0, 17, 39):
+        found = table.find(f"d{i}")
+        assert [r.reads_1h for r in found.collect()] == [0] and len({f.split("bucket=")[1][0] for f in found.inputFiles()}) == 1
+    assert table.find("nothing").count() == 0
+
+
+def test_buckets_follow_the_size(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "dataset_id", DATASET, buckets=2, bucket_rows=10)
+    names = set()
+    for step in range(4):
+        new = {f"d{step}-{i}" for i in range(30)}
+        table.write(datasets(spark, [dataset(n, [step]) for n in new]), f"t{step}")
+        table.write(datasets(spark, [dataset(n, [step, 1]) for n in sorted(new)[:5]]), f"u{step}")
+        names |= new
+        rows = {r.dataset_id: len(r.history) for r in table.read().collect()}
+        assert set(rows) == names and rows[sorted(new)[0]] == 2
+    assert table._manifest()["count"] >= 8 and table.find("d0-7").count() == 1
+
+
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    for name, n in (("a", 5000), ("b", 1), ("c", 700)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i} {'x' * (i % 50)}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        rows = files.numbered_lines(spark, f"{tmp_path}/*.txt").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 5701 and all(r.line.split()[0] == f"{r.file[-5]}{r.line_no}" for r in rows)
+
+
+def test_sketches_merge_within_their_bound(spark):
+    df = spark.range(60_000).selectExpr("id % 3 as g", "id % 7 as h", "cast(id * id % 9973 as double) as v")
+    df = df.unionByName(spark.createDataFrame([(0, 0, None), (9, 9, 5.0), (8, 8, None)], "g long, h long, v double"))
+    stored = files.staged(quantile_sketches(df, "v", ["g", "h"]))
+    assert stored.count() == 22
+    asked = files.staged(merged_quantiles(stored, ["g"], [0.01, 0.5, 0.99]))
+    off = {(r.g, r.p): r.rank_error for r in rank_errors(df, "v", asked, ["g"]).collect()}
+    assert len(off) == 12 and max(off.values()) <= RANK_ERROR
+    assert {r.n for r in asked.filter("g = 9").collect()} == {1} and {r.value for r in asked.filter("g = 9").collect()} == {5.0}
+
+
+def test_first_rows_by_ranges(spark):
+    df = spark.createDataFrame([(i * 7919 % 1000 // 3, i) for i in range(1000)], "t int, id int").repartition(5)
+    want = sorted((r.t, r.id) for r in df.collect())
+    for n in (1, 10, 333, 999, 1000, 5000):
+        assert sorted((r.t, r.id) for r in first_rows(df, ["t", "id"], n, few=0).collect()) == want[:n]
 
 
 def test_messages(spark):

@@ -1,6 +1,7 @@
 """A stream over many files must end where one batch ends, and repeating a batch must change nothing."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,8 @@ from tidemark.operators.ingest import ingest_batch
 from tidemark.operators.validate import validate_events
 from tidemark.schemas import DATASET, JOB
 from tidemark.sources import derived as dv
-from tidemark.sources.files import text_event_stream
+from tidemark.operators.state import fold_events, summarise, upsert
+from tidemark.sources.files import staged, text_event_stream
 from tidemark.operators.jobs import new_request
 from tidemark.streaming.pipeline import (
     Store, drop_replays, ingest_stream, process_batch, rate_stream, run_pending_scans, run_scan,
@@ -158,3 +160,51 @@ def test_huge_values_do_not_stop_the_stream(spark):
     big = 6_000_000_000_000_000_000
     out = run(spark, [event(big, 1), event(big, 2), event(big, 3)])
     assert out.triggers.count() == 3 and out.state.count() == 1
+
+
+def late_rows(seed, n=400):
+    """Events of three datasets in an order of their own, with many of one time."""
+    rng = random.Random(seed)
+    return [(i, rng.randrange(60), f"d{rng.randrange(3)}", rng.choice([1, 50, 150]), rng.choice(["a", "b"])) for i in range(n)]
+
+
+def typed(spark, rows):
+    return spark.createDataFrame(rows, "seq long, timestamp long, dataset_id string, reads_1h long, current_backend string").selectExpr(
+        "*", "reads_1h + 1 as writes_1h", "seq as bytes_read_1h", "0 as hour_of_day", "0 as day_of_week", "current_backend as initial_backend",
+        "cast(seq as double) as size_gb")
+
+
+@pytest.mark.parametrize("cuts", [[], [200], [10, 11, 300], [90, 180, 270]])
+def test_state_by_event_time_does_not_depend_on_the_batches(spark, cuts):
+    rows = late_rows(1)
+    state = None
+    for a, z in zip([0, *cuts], [*cuts, len(rows)]):
+        batch = typed(spark, rows[a:z])
+        state = fold_events(batch, "event_time") if state is None else upsert(state, summarise(batch, "event_time"), order_by="event_time")
+        state = staged(state)
+    got = {r.dataset_id: r for r in state.collect()}
+    for d in ("d0", "d1", "d2"):
+        own = sorted((t, s, r, b) for s, t, k, r, b in rows if k == d)
+        first = min((s, b) for s, t, k, r, b in rows if k == d)
+        r = got[d]
+        assert [(e.timestamp, e.bytes_read_1h) for e in r.history] == [(t, s) for t, s, _, _ in own[-24:]]
+        assert (r.last_timestamp, r.size_gb, r.reads_1h, r.current_backend) == (own[-1][0], own[-1][1], own[-1][2], first[1])
+
+
+def test_replays_are_dropped_inside_the_stream(spark, raw, once, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    size = len(raw) // 3 + 1
+    parts = [raw[i * size:(i + 1) * size] for i in range(3)]
+    for i, texts in enumerate([parts[0], parts[1] + parts[0][::2], parts[1], parts[2] + parts[0]]):
+        f = source / f"part{i}.json"
+        f.write_text("\n".join(texts) + "\n")
+        os.utime(f, (1000 + i, 1000 + i))
+    store = Store(spark, str(tmp_path / "store"))
+    q = ingest_stream(
+        text_event_stream(spark, str(source), files_per_trigger=1), store, str(tmp_path / "cp"), clock=lambda: 9.0,
+        trigger={"availableNow": True}, order_by="event_time", replays="1 day")
+    q.awaitTermination(600)
+    assert state_of(store.state.read()) == once[0]
+    log = {r.batch: r for r in store.run_log().collect()}
+    assert len(log) == 4 and log[0].events == len(parts[0]) and log[2].accepted == 0

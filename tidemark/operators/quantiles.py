@@ -1,4 +1,4 @@
-"""Exact quantiles without one task that sees the whole column.
+"""Quantiles without one task that sees the whole column: exact ones of a column, and sketches per group that merge.
 
 The column becomes pairs (value, count), cut into ranges of values. Counts per range, one small number for each partition,
 tell how many values lie before a range; running counts inside each range do the rest. The source is read once and the
@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions.once import with_columns_once
 from ..sources.files import staged
 
 
@@ -22,14 +21,10 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def _offsets(pairs: DataFrame) -> DataFrame:
-    """``(part, before, n)``: values before each range and in all. One row per range, so one array holds them."""
+    """``(range, before, n)``: values before each range and in all; a window over one small row per range."""
     sizes = pairs.groupBy("part").agg(F.sum("c").alias("c"))
-    listed = sizes.agg(F.sort_array(F.collect_list(F.struct("part", "c"))).alias("s"))
-    total = lambda s: F.aggregate(s, F.lit(0).cast("long"), lambda a, e: a + e["c"])
-    rows = F.transform("s", lambda e, i: F.struct(
-        e["part"].alias("range"), total(F.slice("s", F.lit(1), i)).alias("before"), F.col("n").alias("n")
-    ))
-    return with_columns_once(listed, {"n": total(F.col("s"))}).select(F.inline(rows))
+    upto = F.sum("c").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, 0))
+    return sizes.select(F.col("part").alias("range"), (upto - F.col("c")).alias("before"), F.sum("c").over(W.partitionBy()).alias("n"))
 
 
 def exact_quantile(df: DataFrame, column: str, p: float, method: str = "exclusive") -> DataFrame:
@@ -53,3 +48,33 @@ def exact_quantile(df: DataFrame, column: str, p: float, method: str = "exclusiv
     if method == "exclusive":
         value = F.when(n < 100, F.col("top")).otherwise(value)
     return result.select(F.coalesce(n, F.lit(0)).alias("n"), value.alias("value"))
+
+
+#: Size of the sketches; the rank of an answer is off by at most RANK_ERROR of the rows (with 99 % confidence less than half).
+SKETCH_K, RANK_ERROR = 400, 0.02
+
+
+def quantile_sketches(df: DataFrame, column: str, by: list[str], k: int = SKETCH_K) -> DataFrame:
+    """``(by, sketch)``: a sketch of a few kilobytes per group, ready to be stored and merged. Sketches combine before the
+    shuffle, so a hot group costs a task one sketch."""
+    rows = df.filter(F.col(column).isNotNull())
+    return rows.groupBy(*by).agg(F.kll_sketch_agg_double(F.col(column).cast("double"), k).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, by: list[str], ranks: list[float]) -> DataFrame:
+    """Quantiles of any coarser grouping of stored sketches: ``(by, n, p, value)``, a row per rank."""
+    one = sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    listed = "array(" + ", ".join(f"{float(p)!r}D" for p in ranks) + ")"
+    answers = F.expr(f"inline(zip_with({listed}, kll_sketch_get_quantile_double(sketch, {listed}), (p, v) -> struct(p AS p, v AS value)))")
+    return one.select(*by, F.kll_sketch_get_n_double("sketch").alias("n"), answers)
+
+
+def rank_errors(df: DataFrame, column: str, quantiles: DataFrame, by: list[str]) -> DataFrame:
+    """How far the rank of each value of ``quantiles`` is from what was asked, as a share of the rows of its group."""
+    rows = df.filter(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("x"))
+    asked = F.broadcast(quantiles.select(*by, "p", "value"))  # a row per group and rank
+    counts = rows.join(asked, by).groupBy(*by, "p").agg(
+        F.count("*").alias("n"), F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto")
+    )
+    off = F.greatest(F.lit(0.0), F.col("below") / F.col("n") - F.col("p"), F.col("p") - F.col("upto") / F.col("n"))
+    return counts.select(*by, "p", "n", off.alias("rank_error"))

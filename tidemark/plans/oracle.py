@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import ARRIVALS, CLAIM, CUT_HOUR, LATE_CUT, NOW
+from .queries import ARRIVALS, CLAIM, CLAIM_MANY, CUT_HOUR, LATE_CUT, NOW, WAVES
 
 ORACLE: dict[str, str] = {}
 
@@ -417,7 +417,7 @@ FROM jobs WHERE job_id IN {CLAIMED}""")
 put("claimed_job_table", f"""
 SELECT job_id, dataset_id, CASE WHEN hit THEN 'RUNNING' ELSE status END AS status,
        CASE WHEN hit THEN attempts + 1 ELSE attempts END AS attempts, CASE WHEN hit THEN {NOW}::DOUBLE END AS started_at
-FROM (SELECT *, job_id IN {CLAIMED} AS hit FROM jobs)""")
+FROM (SELECT *, job_id IN {CLAIMED.replace(f"LIMIT {CLAIM}", f"LIMIT {CLAIM_MANY}")} AS hit FROM jobs)""")
 put("job_outcomes", f"""
 SELECT job_id,
        CASE WHEN good THEN 'COMPLETE' WHEN bad AND attempts >= 3 THEN 'FAILED' WHEN bad THEN 'PENDING' ELSE status END
@@ -684,6 +684,34 @@ FROM runs ORDER BY n DESC, service DESC LIMIT 1""")
 ORACLE["streamed_state"] = ORACLE["dataset_state"]
 ORACLE["streamed_jobs"] = ORACLE["reaction_job_list"]
 ORACLE["streamed_dead_letters"] = ORACLE["dead_letter_events"]
+ORACLE["streamed_state_without_replays"] = ORACLE["dataset_state"]
+ORACLE["stored_dataset_detail"] = ORACLE["dataset_detail"]
+put("streamed_scans", f"""
+SELECT dataset_id, from_backend, to_backend, reason, 'PENDING' AS status, 0 AS attempts, {NOW}::DOUBLE AS created_at, CAST(2 AS BIGINT) AS requests_done
+FROM scanned""")
+put("streamed_run_log", f"""
+SELECT CAST((seq - low) // ((high - low) // {WAVES} + 1) AS INTEGER) AS batch, 'ingest' AS service, {NOW}::DOUBLE AS ts,
+       count(*)::DOUBLE AS events, (count(*) FILTER (WHERE error IS NULL))::DOUBLE AS accepted
+FROM checked, (SELECT min(seq) AS low, max(seq) AS high FROM checked) GROUP BY 1""")
+CTE["minutes"] = "SELECT event_id, ts, CAST(floor(epoch(date_trunc('minute', ts)) / 60) AS BIGINT) AS minute FROM events"
+CTE["arriving"] = f"""
+  SELECT event_id, ts, minute, least((minute - low) // ((high - low) // {WAVES} + 1) + CASE WHEN event_id % 50 = 0 THEN 2 ELSE 0 END, {WAVES - 1}) AS wave
+  FROM minutes, (SELECT min(minute) AS low, max(minute) AS high FROM minutes)"""
+# The watermark that holds when a wave comes: ten minutes before the newest event so far.
+CTE["marks"] = f"""
+  SELECT w.wave, (SELECT max(date_trunc('millisecond', ts)) - INTERVAL 10 MINUTE FROM arriving a WHERE a.wave < w.wave) AS mark
+  FROM (SELECT unnest(range({WAVES + 1})) AS wave) w"""
+CTE["rate_rows"] = f"""
+  SELECT date_trunc('minute', a.ts) AS window_start,
+         CASE WHEN date_trunc('minute', a.ts) + INTERVAL 1 MINUTE <= m.mark THEN 'late'
+              WHEN date_trunc('minute', a.ts) + INTERVAL 1 MINUTE <= (SELECT mark FROM marks WHERE wave = {WAVES}) THEN 'closed' ELSE 'open' END AS part
+  FROM arriving a JOIN marks m ON m.wave = a.wave"""
+put("streamed_event_rate", """
+SELECT 'closed' AS part, CAST(window_start AS TIMESTAMP) AS window_start, count(*) AS events FROM rate_rows WHERE part = 'closed' GROUP BY 2
+UNION ALL SELECT 'open', NULL, count(*) FROM rate_rows WHERE part = 'open'
+UNION ALL SELECT 'late', NULL, count(*) FROM rate_rows WHERE part = 'late'""")
+put("reads_quantiles", """
+SELECT current_backend, p, count(*) AS n, true AS within FROM access, (VALUES (0.25::DOUBLE), (0.5), (0.95)) t(p) GROUP BY 1, 2""")
 
 
 def over(function: str, first: int, last: int) -> str:
@@ -710,7 +738,9 @@ CTE["split"] = """
 put("training_features", """
 SELECT * REPLACE (round(trend_6h, 4) AS trend_6h) FROM training""")
 ORACLE["training_csv"] = ORACLE["training_features"]
-put("reused_features", "SELECT dataset_id, timestamp, reads_24h, round(trend_6h, 4) AS trend_6h FROM training")
+_KEPT = "SELECT '{}' AS input, dataset_id, timestamp, reads_24h, round(trend_6h, 4) AS trend_6h FROM training {}"
+put("reused_features", " UNION ALL ".join([
+    _KEPT.format("all", ""), _KEPT.format("early", f"WHERE timestamp < {CUT_HOUR * 3600}"), _KEPT.format("all again", "")]))
 put("chronological_split", "SELECT dataset_id, timestamp, is_train, part_pos, part_rows FROM split")
 
 

@@ -11,22 +11,22 @@ from ..config import Limits
 from ..operators import features as ft
 from ..operators import forecast, jobs as jb, metrics, model, placement, pricing, reports, scenario, state
 from ..operators.ingest import hot_reactions as reactions, ingest_batch
-from ..operators.quantiles import exact_quantile
+from ..operators.quantiles import RANK_ERROR, exact_quantile, merged_quantiles, quantile_sketches, rank_errors
 from ..operators.validate import accepted, dead_letters, validate_events
-from ..schemas import DATASET, JOB
+from ..schemas import DATASET, JOB, REQUEST
 from ..sources import derived as dv
 from ..sources.files import (
-    append_request, append_run, keyed_messages, latest_logged_run, materialise, read_pipe_log, read_training_csv, run_of,
+    append_request, append_run, keyed_messages, latest_logged_run, read_pipe_log, read_training_csv, reused, run_of,
     run_folder, staged, text_event_stream, write_event_files,
 )
-from ..streaming.pipeline import Store, ingest_stream
+from ..streaming.pipeline import Store, ingest_stream, rate_account, scan_stream, write_rates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Clock of the job queries; later than every order date.
 NOW = 1_100_000_000.0
-CLAIM = 1000
+CLAIM, CLAIM_MANY = 1000, 100_000
 # The state query is fed in two batches cut at this hour number (2024-01-16).
 CUT_HOUR = 473_712
 # Arrival numbers of the late events: a permutation of the hours, as this is a prime, and the number where the second batch begins.
@@ -328,7 +328,7 @@ def next_jobs(spark, sf):
 
 @query
 def claimed_job_table(spark, sf):
-    out = jb.claim_jobs(dv.jobs(spark, sf), NOW, CLAIM)
+    out = jb.claim_jobs(dv.jobs(spark, sf), NOW, CLAIM_MANY)
     return out.select("job_id", "dataset_id", "status", "attempts", "started_at")
 
 
@@ -551,10 +551,18 @@ def training_csv(spark, sf):
 
 @query
 def reused_features(spark, sf):
-    """Training features stored once; the second call only reads, though it is given nothing to compute."""
+    """Training features stored for their input: asked for again with the same input they are only read, with other input they
+    are computed anew."""
     path = f"{run_folder(spark)}/features"
-    first = materialise(ft.training_table(_access(spark, sf)), path)
-    return rounded(materialise(first.filter("false"), path).select("dataset_id", "timestamp", "reads_24h", "trend_6h"))
+    access = _access(spark, sf)
+    reused(ft.training_table(access), path)
+    early = staged(access.filter(F.col("timestamp") < CUT_HOUR * 3600))
+    parts = [("all", access), ("early", early), ("all again", access)]
+    out = None
+    for name, rows in parts:
+        kept = reused(ft.training_table(rows), path).select(F.lit(name).alias("input"), "dataset_id", "timestamp", "reads_24h", "trend_6h")
+        out = kept if out is None else out.unionByName(kept)
+    return rounded(out)
 
 
 def _log_lines(spark, sf):
@@ -574,7 +582,7 @@ def _log_lines(spark, sf):
 def imported_run_log(spark, sf):
     """Run-log rows read from a text table."""
     path = f"{run_folder(spark)}/log"
-    _log_lines(spark, sf).coalesce(1).write.text(path)
+    _log_lines(spark, sf).write.text(path)
     return rounded(read_pipe_log(spark, path).filter("events is not null").drop("ts", "service"))
 
 
@@ -639,6 +647,84 @@ def streamed_dead_letters(spark, sf):
     return _streamed(spark, sf).dead_letters().select("error", "payload", "ts")
 
 
+@query
+def streamed_run_log(spark, sf):
+    """What the batches of the stream have written to the run log."""
+    return _streamed(spark, sf).run_log().select("batch", "service", "ts", "events", "accepted")
+
+
+@query
+def streamed_state_without_replays(spark, sf):
+    """State of a stream whose files bring a part of the events of the wave before once more."""
+    folder = run_folder(spark)
+    store = Store(spark, f"{folder}/store")
+    before = None
+    for i, wave in enumerate(_waves(staged(_raw(spark, sf)), "seq")):
+        published = wave if before is None else wave.unionByName(before.filter(F.col("seq") % 3 == 0))
+        before = wave
+        write_event_files(published, f"{folder}/events/{i:06d}", ["seq", "value"], ROWS_PER_FILE)
+        ingest_stream(
+            text_event_stream(spark, f"{folder}/events/*", by_name=True), store, f"{folder}/checkpoint", clock=lambda: NOW,
+            trigger={"availableNow": True}, order_by="event_time", replays="30 days",
+        ).awaitTermination()
+    return _state_row(store.state.read())
+
+
+@query
+def streamed_scans(spark, sf):
+    """Jobs made by a stream of requests over stored datasets and jobs."""
+    folder = run_folder(spark)
+    store = Store(spark, f"{folder}/store")
+    store.state.write(dv.datasets(spark, sf), "given")
+    store.jobs.write(dv.jobs(spark, sf), "given")
+    asked = dv.requests(spark, sf).filter(F.col("status") == "PENDING")
+    wanted = asked.orderBy("created_at", "request_id").limit(2)  # two requests, so two scans
+    store.requests.write(wanted, "given")
+    wanted.write.parquet(f"{folder}/requests")
+    ticks = spark.readStream.schema(REQUEST).parquet(f"{folder}/requests")
+    scan_stream(ticks, store, f"{folder}/checkpoint", clock=lambda: NOW, trigger={"availableNow": True}).awaitTermination()
+    left = store.requests.read().agg(F.count_if(F.col("status") == "COMPLETE")).scalar()
+    made = store.jobs.read().filter(F.col("created_at") == NOW)
+    return made.select("dataset_id", "from_backend", "to_backend", "reason", "status", "attempts", "created_at", left.alias("requests_done"))
+
+
+@query
+def streamed_event_rate(spark, sf):
+    """Rates of a stream in closed windows. One event in fifty arrives two waves late; those whose window has been closed by
+    then are counted."""
+    folder = run_folder(spark)
+    events = staged(dv.table(spark, sf, "events").select("event_id", "ts", F.floor(dv.epoch("ts") / 60).alias("minute")))
+    first, last = events.agg(F.min("minute"), F.max("minute")).first()
+    own = F.floor((F.col("minute") - (first or 0)) / (((last or 0) - (first or 0)) // WAVES + 1)).cast("int")
+    wave = F.least(own + F.when(F.col("event_id") % 50 == 0, 2).otherwise(0), F.lit(WAVES - 1))
+    arriving = staged(events.withColumn("wave", wave))
+    for i in range(WAVES):
+        arriving.filter(F.col("wave") == i).select("event_id", "ts").write.parquet(f"{folder}/events/{i:06d}")
+        stream = spark.readStream.schema(arriving.select("event_id", "ts").schema).parquet(f"{folder}/events/*")
+        write_rates(stream, f"{folder}/rates", f"{folder}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    out = rate_account(spark, f"{folder}/rates", f"{folder}/checkpoint", arriving)
+    return out.select("part", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "events")
+
+
+@query
+def stored_dataset_detail(spark, sf):
+    """One dataset out of the stored state; only its bucket is read."""
+    store = Store(spark, f"{run_folder(spark)}/store")
+    store.state.write(dv.datasets(spark, sf), "given")
+    return _state_row(store.state.find("ds_000007"))
+
+
+@query
+def reads_quantiles(spark, sf):
+    """Quantiles of hourly reads per tier, merged from stored sketches per tier and hour: whether the rank of each answer is within
+    the bound, against the rows themselves."""
+    access = _access(spark, sf)
+    hourly = staged(quantile_sketches(access.withColumn("hour", F.col("hour_of_day")), "reads_1h", ["current_backend", "hour"]))
+    asked = staged(merged_quantiles(hourly, ["current_backend"], [0.25, 0.5, 0.95]))
+    off = rank_errors(access, "reads_1h", asked, ["current_backend"])
+    return off.select("current_backend", "p", "n", (F.col("rank_error") <= RANK_ERROR).alias("within"))
+
+
 # ---- features --------------------------------------------------------------------------------------------
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..schemas import RUN_LOG, TRAINING
 
@@ -28,7 +29,7 @@ def text_event_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     seen = F.col("_metadata.file_modification_time")
     return reader.load(path).select(
-        "value", (F.lit(None).cast("timestamp") if by_name else seen).alias("file_time"),
+        "value", seen.alias("arrived"), (F.lit(None).cast("timestamp") if by_name else seen).alias("file_time"),
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
     )
 
@@ -131,10 +132,14 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a finished write left its marker in ``path``."""
-    fs, p = _fs(spark, f"{path}/_SUCCESS")
-    return fs.exists(p)
+    return exists(spark, f"{path}/_SUCCESS")
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -168,8 +173,25 @@ def replace_small(spark: SparkSession, path: str, text: str) -> None:
     context.rename(aside, p, options)
 
 
+def fingerprint(df: DataFrame, arguments: object = None) -> str:
+    """A digest of the files that ``df`` reads, with their sizes and times, of its columns and of what it was built with."""
+    spark, seen = df.sparkSession, hashlib.sha256(repr((df.dtypes, arguments)).encode())
+    for name in sorted(df.inputFiles()):
+        fs, p = _fs(spark, name)
+        status = fs.getFileStatus(p)
+        seen.update(f"{name}|{status.getLen()}|{status.getModificationTime()}\n".encode())
+    return seen.hexdigest()
+
+
+def reused(df: DataFrame, path: str, arguments: object = None) -> DataFrame:
+    """``df`` written below ``path`` and read back; a later call only reads, as long as the input files and the arguments are the
+    same. ``arguments`` stand for all that the result depends on besides its files, such as horizons and limits."""
+    return materialise(df, f"{path}/{fingerprint(df, arguments)}")
+
+
 def materialise(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` once and read it back; a later call with the same path only reads. Cuts the lineage."""
+    """Write ``df`` once and read it back; a later call with the same path only reads, so the path has to name the result: a
+    batch that is repeated goes on with what it wrote. Cuts the lineage. See ``reused`` for results of changing input."""
     spark = df.sparkSession
     if not is_complete(spark, path):
         df.write.mode("overwrite").parquet(path)
@@ -183,13 +205,26 @@ def write_json_report(report: DataFrame, path: str, counts: DataFrame | None = N
         counts.write.mode("overwrite").json(f"{path}-counts")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line_no, line`` of text files, lines numbered from 0. Files are read in splits: rows are numbered within their
+    split, and the rows of the splits before are added."""
+    seen = staged(spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"),
+    ))
+    splits = seen.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = F.sum("n").over(W.partitionBy("file").orderBy("block")) - F.col("n")  # a row per split
+    shifts = splits.select("file", "block", (before - F.col("first")).alias("shift"))
+    return seen.join(shifts, ["file", "block"]).select("file", (F.col("at") + F.col("shift")).alias("line_no"), "line")
+
+
 def read_pipe_log(spark: SparkSession, path: str, service: str = "benchmark") -> DataFrame:
     """Rows of a pipe table as run-log rows. ``ts`` is the position in the file, so the last row is the newest; rows
     of another width and the header give nulls."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\n")))
-    rows = lines.filter(F.col("col").startswith("| ") & ~F.col("col").contains("---")).select(
-        F.col("pos").cast("double").alias("ts"),
-        F.transform(F.split(F.regexp_replace("col", r"^\|+|\|+\s*$", ""), r"\|"), lambda c: F.trim(c)).alias("cells"),
+    lines = numbered_lines(spark, path)
+    rows = lines.filter(F.col("line").startswith("| ") & ~F.col("line").contains("---")).select(
+        F.col("line_no").cast("double").alias("ts"),
+        F.transform(F.split(F.regexp_replace("line", r"^\|+|\|+\s*$", ""), r"\|"), lambda c: F.trim(c)).alias("cells"),
     )
     good = F.size("cells") == 6
     names = RUN_LOG.names[2:]
