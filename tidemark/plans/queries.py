@@ -13,7 +13,7 @@ from ..operators import forecast, jobs as jb, metrics, model, placement, pricing
 from ..operators.ingest import hot_reactions as reactions, ingest_batch
 from ..operators.quantiles import RANK_ERROR, exact_quantile, merged_quantiles, quantile_sketches, rank_errors
 from ..operators.validate import accepted, dead_letters, validate_events
-from ..schemas import DATASET, JOB, REQUEST
+from ..schemas import DATASET, JOB, REQUEST, ROLLING_HOURS
 from ..sources import derived as dv
 from ..sources.files import (
     append_request, append_run, keyed_messages, latest_logged_run, read_pipe_log, read_training_csv, reused, run_of,
@@ -555,13 +555,12 @@ def reused_features(spark, sf):
     are computed anew."""
     path = f"{run_folder(spark)}/features"
     access = _access(spark, sf)
-    reused(ft.training_table(access), path)
     early = staged(access.filter(F.col("timestamp") < CUT_HOUR * 3600))
-    parts = [("all", access), ("early", early), ("all again", access)]
     out = None
-    for name, rows in parts:
-        kept = reused(ft.training_table(rows), path).select(F.lit(name).alias("input"), "dataset_id", "timestamp", "reads_24h", "trend_6h")
-        out = kept if out is None else out.unionByName(kept)
+    for name, rows in [("all", access), ("early", early), ("all again", access)]:
+        kept = reused(path, lambda rows=rows: ft.training_table(rows), [rows], ROLLING_HOURS)
+        part = kept.select(F.lit(name).alias("input"), "dataset_id", "timestamp", "reads_24h", "trend_6h")
+        out = part if out is None else out.unionByName(part)
     return rounded(out)
 
 

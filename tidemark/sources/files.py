@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -173,20 +174,26 @@ def replace_small(spark: SparkSession, path: str, text: str) -> None:
     context.rename(aside, p, options)
 
 
-def fingerprint(df: DataFrame, arguments: object = None) -> str:
-    """A digest of the files that ``df`` reads, with their sizes and times, of its columns and of what it was built with."""
-    spark, seen = df.sparkSession, hashlib.sha256(repr((df.dtypes, arguments)).encode())
-    for name in sorted(df.inputFiles()):
-        fs, p = _fs(spark, name)
-        status = fs.getFileStatus(p)
-        seen.update(f"{name}|{status.getLen()}|{status.getModificationTime()}\n".encode())
+def fingerprint(inputs: list[DataFrame], arguments: object = None) -> str:
+    """A digest of the files behind ``inputs``, with their sizes and times, of what is done to them, and of ``arguments``."""
+    seen = hashlib.sha256(repr(arguments).encode())
+    for df in inputs:
+        seen.update(repr((df.dtypes, df.semanticHash())).encode())
+        for name in sorted(df.inputFiles()):
+            fs, p = _fs(df.sparkSession, name)
+            status = fs.getFileStatus(p)
+            seen.update(f"{name}|{status.getLen()}|{status.getModificationTime()}\n".encode())
     return seen.hexdigest()
 
 
-def reused(df: DataFrame, path: str, arguments: object = None) -> DataFrame:
-    """``df`` written below ``path`` and read back; a later call only reads, as long as the input files and the arguments are the
-    same. ``arguments`` stand for all that the result depends on besides its files, such as horizons and limits."""
-    return materialise(df, f"{path}/{fingerprint(df, arguments)}")
+def reused(path: str, build: Callable[[], DataFrame], inputs: list[DataFrame], arguments: object = None) -> DataFrame:
+    """What ``build`` makes of ``inputs``, kept below ``path``: built and written the first time, only read as long as the
+    input files and the arguments are the same. ``arguments`` stand for all else that the result depends on, such as
+    horizons and limits."""
+    spark, where = inputs[0].sparkSession, f"{path}/{fingerprint(inputs, arguments)}"
+    if not is_complete(spark, where):
+        build().write.mode("overwrite").parquet(where)
+    return spark.read.parquet(where)
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
