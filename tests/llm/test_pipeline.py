@@ -2,9 +2,11 @@
 
 import zlib
 
+import documents as d
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from test_simhash import groups, plain as fingerprint
 
 import corpus_pipeline as pipeline
@@ -86,6 +88,26 @@ def test_tokens_are_those_of_the_mix(stages):
     assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
 
 
+def awkward(spark):
+    """Nulls in every column, empty and long texts, repeats, and columns that the stages use themselves."""
+    names = ["input", "keep", "row_hash", "mix", "want", "taken", "ranges", "size", "spans", "hits", "fp", "score"]
+    return d.table(spark).select(*pipeline.COLUMNS, *[F.lit(n).alias(n) for n in names])
+
+
+@pytest.mark.parametrize("table", [awkward, d.empty, lambda s: d.empty(s).unionByName(s.createDataFrame([(None,) * 8] * 3, d.SCHEMA))])
+def test_stages_on_awkward_tables(spark, tmp_path, table):
+    docs = table(spark)
+    for i, (name, stage) in enumerate(pipeline.STAGES):
+        before = docs.count()
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        if i < 4:
+            assert docs.columns == pipeline.COLUMNS, name
+        if i < 3:
+            assert docs.count() <= before
+    assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_returns_its_columns(spark, name):
     first = {"op3_revisits": "record_id", "op12_hard_negatives": "anchor_id"}.get(name, "doc_id")
