@@ -12,7 +12,10 @@ QUICK = [
     "event_validation", "dataset_state_upsert", "hot_reactions_on_state", "placement_decisions", "scan_jobs",
     "suppressed_jobs", "job_outcomes", "cost_summary", "savings_projection", "text_report", "migration_counts",
     "p95_event_value", "calendar_effect", "training_features", "feature_scaler", "best_horizon", "cost_summary_after_faults",
-    "savings_after_faults", "filled_hours_of_events", "streamed_state", "logged_runs",
+    "savings_after_faults", "filled_hours_of_events", "streamed_state", "logged_runs", "event_messages",
+    "dataset_state_event_time", "hot_reactions_event_time", "trained_forecast", "reads_quantiles", "reused_features",
+    "imported_run_log", "claimed_job_table", "tier_distribution", "stored_dataset_detail", "streamed_event_rate",
+    "streamed_scans", "streamed_run_log", "streamed_state_without_replays",
 ]
 
 
