@@ -34,7 +34,7 @@ END_ID = 0
 BLOCK_IDS = 1 << 18
 #: Words that a worker process remembers, twice, and the longest of them (about 170 bytes each, 400 at most); characters of
 #: text that it encodes together.
-CACHE, LONGEST, LOT_CHARS = 250_000, 64, 1 << 20
+CACHE, LONGEST, LOT_CHARS = 300_000, 64, 1 << 18
 #: Bytes of text per shard, about.
 SHARD_BYTES = 64 << 20
 
