@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import features as ft
 from tidemark.operators import linear, model
+from tidemark.operators.forecast import trailing_windows
 from tidemark.operators.metrics import forecast_errors
+from tidemark.operators.skew import spread
 from tidemark.sources.files import staged
 
 
@@ -58,6 +60,42 @@ def test_one_pass_for_all_targets_equals_numpy(spark, loss):
     assert row.p == pytest.approx(np.dot(found.coefficients[1], row.x) + found.intercepts[1])
 
 
+@pytest.mark.parametrize("loss", ["squaredError", "huber"])
+def test_short_vectors_are_read_once_for_all_targets(spark, loss):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 2))
+    y = x @ rng.normal(size=(2, 3)) + rng.standard_t(2, size=(300, 3))
+    df = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(x, y)], "x array<double>, y array<double>").repartition(3)
+    df = staged(df)
+    group = f"fit-{loss}"
+    spark.sparkContext.setJobGroup(group, "readings of the rows")
+    found = linear.fit(df, 2, 3, loss, reg=0.05)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("others", "all others")
+    # A reading takes two jobs under adaptive execution. One matrix per target and reweighting took seven readings.
+    assert jobs <= 2 * (3 if loss == "huber" else 1)
+    # The same rows through matrices.
+    most, linear.MOST_SUMS = linear.MOST_SUMS, 0
+    try:
+        other = linear.fit(df, 2, 3, loss, reg=0.05)
+    finally:
+        linear.MOST_SUMS = most
+    assert np.allclose(found.coefficients, other.coefficients, atol=1e-8) and np.allclose(found.intercepts, other.intercepts, atol=1e-8)
+
+
+@pytest.mark.parametrize("hours", [8, 12, 24])
+def test_windows_after_each_row_equal_those_of_the_history(spark, hours):
+    rows = [("d", 3600 * i, (7 * i * i) % 11, None if i == 4 else i % 5, 1024, 1.0) for i in range(30)]
+    df = spark.createDataFrame(rows, "dataset_id string, timestamp long, reads_1h long, writes_1h long, bytes_read_1h long, size_gb double")
+    got = {r.timestamp // 3600: r for r in trailing_windows(spread(df, "dataset_id", ["timestamp"], F.col("timestamp"), largest=30), hours).done().collect()}
+    for i in range(30):
+        for k, at in (("reads", 2), ("writes", 3)):
+            values = [float(r[at] or 0) for r in rows[max(0, i - hours + 1):i + 1]]
+            n = len(values)
+            older = values[n - 12:n - 6] if n >= 12 else values[:max(1, n // 2)]
+            assert got[i].n == n and got[i][f"older_{k}"] == pytest.approx(sum(older) / len(older))
+
+
 def test_joint_forecast_with_all_inputs(split):
     rows = model.joint_forecast(split, 8, losses=("huber",)).collect()
     assert [r.target for r in rows] == ["reads", "writes", "bytes_read"] and {r.n for r in rows} == {3 * (68 - 31)}

@@ -125,14 +125,14 @@ def joint_samples(
     """Samples of several targets at once. ``x``: the features of the newest ``depth`` of ``lookback`` rows, oldest first, in one
     array; ``y``: reads, writes and bytes of the next ``horizon`` rows; ``trend``: the clipped-trend forecast of the three.
     Only complete windows are kept."""
-    rows = table.withColumn("data_temperature_encoded", encode_temperature(F.col("data_temperature")))
-    runs = spread(rows, series, ORDER, day(), lookback=lookback - 1, lookahead=horizon, min_rows=min_rows)
+    encoded = {"data_temperature_encoded": encode_temperature(F.col("data_temperature"))} if "data_temperature" in table.columns else {}
+    runs = spread(table.withColumns(encoded), series, ORDER, day(), lookback=lookback - 1, lookahead=horizon, min_rows=min_rows)
     w = runs.window
-    past, future = w.rowsBetween(-(lookback - 1), 0), w.rowsBetween(1, horizon)
-    whole_ = (F.count(F.lit(1)).over(past) == lookback) & (F.count(F.lit(1)).over(future) == horizon)
+    future, depth = w.rowsBetween(1, horizon), depth or lookback
+    whole_ = (F.row_number().over(w) >= lookback) & F.lead(F.lit(1), horizon).over(w).isNotNull()
     newest = F.array(*[F.col(c).cast("double") for c in features])
     walked = trailing_windows(runs, hours=horizon).with_columns(
-        full=whole_, x=F.flatten(F.collect_list(newest).over(w.rowsBetween(1 - (depth or lookback), 0))),
+        full=whole_, x=newest if depth == 1 else F.flatten(F.collect_list(newest).over(w.rowsBetween(1 - depth, 0))),
         y=F.array(*[F.sum(F.col(c).cast("double")).over(future) for c in TARGETS]),
         last_bytes=F.sum(F.col("bytes_read_1h").cast("double")).over(w.rowsBetween(1 - horizon, 0)),
     ).done()

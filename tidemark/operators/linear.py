@@ -1,9 +1,10 @@
 """Ridge regression of several targets from one pass over the rows.
 
 A row becomes the vector ``1, features, targets``; the sum of its outer products holds the normal equations of every target.
-Spark sums them in the executors and in a tree, so a matrix of (features + targets + 1)^2 numbers is all that reaches the
-driver, whatever the number of rows. The ridge system is factorised once for all targets. The robust fit repeats this with the
-weights that the residuals of the fit before give, target by target.
+Spark sums them in the executors, so a matrix of (features + targets + 1)^2 numbers is all that reaches the driver, whatever the
+number of rows: short vectors by one aggregate with a sum per product, longer ones as matrices in a tree. The ridge system is
+factorised once for all targets. The robust fit repeats this with the weights that the residuals of the fit before give, each
+target with its own; with short vectors the rows are read once for all targets.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: Residuals beyond this many deviations of the target count linearly.
 DELTA = 1.35
 REWEIGHTINGS = 2
+#: Arrays up to this length are worked on place by place, longer ones by functions of arrays; most sums of one aggregate.
+SHORT, MOST_SUMS = 16, 256
 
 
 @dataclass(frozen=True)
@@ -29,7 +32,13 @@ class Fit:
     intercepts: np.ndarray
 
     def predict(self, target: int, x: str = "x") -> Column:
-        weights = ", ".join(f"{w!r}D" for w in self.coefficients[target].tolist())
+        found = self.coefficients[target].tolist()
+        if len(found) <= SHORT:
+            out = F.lit(float(self.intercepts[target]))
+            for i, w in enumerate(found):
+                out = out + F.get(x, F.lit(i)) * F.lit(w)
+            return out
+        weights = ", ".join(f"{w!r}D" for w in found)
         return F.expr(f"aggregate(zip_with({x}, array({weights}), (a, w) -> a * w), {float(self.intercepts[target])!r}D, (s, p) -> s + p)")
 
 
@@ -41,6 +50,41 @@ def gram(rows: DataFrame, vector: Column, size: int) -> np.ndarray:
     return np.asarray(found.toArray())
 
 
+def grams(rows: DataFrame, d: int, groups: list[list[int]], weights: list[Column] | None = None) -> list[np.ndarray]:
+    """For each group of targets the sum of the outer products of ``1, x, targets``, weighted by the group's weight if given."""
+    sizes = [1 + d + len(group) for group in groups]
+    if sum(s * (s + 1) // 2 for s in sizes) > MOST_SUMS:
+        out = []
+        for i, (group, size) in enumerate(zip(groups, sizes)):
+            z = F.concat(F.array(F.lit(1.0)), "x", F.array(*[F.get("y", F.lit(t)) for t in group]))
+            if weights is None:
+                out.append(gram(rows, z, size))
+            else:
+                rooted = rows.withColumn("root", F.sqrt(weights[i]))
+                out.append(gram(rooted, F.transform(z, lambda v: v * F.col("root")), size))
+        return out
+    place = lambda name, i: F.coalesce(F.get(name, F.lit(i)), F.lit(0.0)).alias(f"{name}{i}")
+    used = sorted({t for group in groups for t in group})
+    flat = rows.select(
+        *[place("x", i) for i in range(d)], *[place("y", t) for t in used],
+        *[w.alias(f"w{i}") for i, w in enumerate(weights or [])],
+    )
+    sums, places = [], []
+    for i, group in enumerate(groups):
+        names = [None, *[f"x{j}" for j in range(d)], *[f"y{t}" for t in group]]
+        for a in range(len(names)):
+            for b in range(a, len(names)):
+                product = F.lit(1.0) if weights is None else F.col(f"w{i}")
+                for name in (names[a], names[b]):
+                    product = product if name is None else product * F.col(name)
+                sums.append(F.sum(product))
+                places.append((i, a, b))
+    out = [np.zeros((s, s)) for s in sizes]
+    for (i, a, b), found in zip(places, flat.agg(*sums).first()):
+        out[i][a, b] = out[i][b, a] = found or 0.0
+    return out
+
+
 def _solve(g: np.ndarray, d: int, n: float, reg: float) -> tuple[np.ndarray, np.ndarray]:
     """Coefficients (targets by features) and intercepts; the intercept is not shrunk."""
     mass = g[0, 0]
@@ -53,19 +97,14 @@ def _solve(g: np.ndarray, d: int, n: float, reg: float) -> tuple[np.ndarray, np.
 
 def fit(rows: DataFrame, d: int, targets: int, loss: str = "squaredError", reg: float = 0.01) -> Fit:
     """``rows`` have ``x`` (``d`` numbers) and ``y`` (``targets`` numbers), both on a common scale."""
-    one = F.array(F.lit(1.0))
-    g = gram(rows, F.concat(one, "x", "y"), 1 + d + targets)
+    g = grams(rows, d, [list(range(targets))])[0]
     n = g[0, 0]
     if n == 0:
         return Fit(np.zeros((targets, d)), np.zeros(targets))
     found = Fit(*_solve(g, d, n, reg))
     for _ in range(REWEIGHTINGS if loss == "huber" else 0):
-        w, b = found.coefficients.copy(), found.intercepts.copy()
-        for t in range(targets):
-            far = F.abs(F.get("y", F.lit(t)) - found.predict(t))
-            root = F.sqrt(F.when(far <= DELTA, 1.0).otherwise(DELTA / far))
-            z = F.transform(F.concat(one, "x", F.array(F.get("y", F.lit(t)))), lambda v: v * F.col("root"))
-            own = gram(rows.withColumn("root", root), z, d + 2)
-            w[t:t + 1], b[t:t + 1] = _solve(own, d, n, reg)
-        found = Fit(w, b)
+        far = [F.abs(F.get("y", F.lit(t)) - found.predict(t)) for t in range(targets)]
+        weights = [F.when(f <= DELTA, 1.0).otherwise(DELTA / f) for f in far]
+        solved = [_solve(own, d, n, reg) for own in grams(rows, d, [[t] for t in range(targets)], weights)]
+        found = Fit(np.concatenate([w for w, _ in solved]), np.concatenate([b for _, b in solved]))
     return found

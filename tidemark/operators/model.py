@@ -71,6 +71,8 @@ def evaluate(predictions: DataFrame, name: str, kind: str, ord_: int) -> DataFra
 
 def standardised(samples: DataFrame, scale: list[tuple[float, float]], name: str) -> Column:
     """An array column of ``samples`` with each place on the scale of its (mean, deviation)."""
+    if len(scale) <= linear.SHORT:
+        return F.array(*[(F.get(name, F.lit(i)) - F.lit(m)) / F.lit(s) for i, (m, s) in enumerate(scale)])
     mean, sd = (", ".join(f"{v!r}D" for v in column) for column in zip(*scale))
     return F.expr(f"zip_with(zip_with({name}, array({mean}), (v, m) -> v - m), array({sd}), (v, s) -> v / s)")
 
@@ -85,6 +87,14 @@ def array_scale(rows: DataFrame, name: str, size: int) -> list[tuple[float, floa
     ]
 
 
+def staged_places(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """``staged``, with the short ones of the array columns of known sizes written place by place, as plain columns are read faster."""
+    short = {n: [f"{n}_{i}" for i in range(size)] for n, size in sizes.items() if size <= linear.SHORT}
+    others = [c for c in df.columns if c not in short]
+    kept = staged(df.select(*others, *[F.get(n, F.lit(i)).alias(p) for n, places in short.items() for i, p in enumerate(places)]))
+    return kept.select(*others, *[F.array(*places).alias(n) for n, places in short.items()])
+
+
 def joint_forecast(
     split_table: DataFrame, horizon: int, features: tuple[str, ...] = JOINT_FEATURES, depth: int = ft.LOOKBACK,
     losses: tuple[str, ...] = ("squaredError", "huber"), reg: float = 0.01,
@@ -95,28 +105,32 @@ def joint_forecast(
     training mean (``mean_mae``) and of the clipped-trend forecast (``trend_mae``), all in the unit of the target.
     """
     series = split_table.withColumn("series", F.concat_ws("|", "dataset_id", "is_train"))
-    samples = staged(ft.joint_samples(series, list(features), horizon, depth=depth, series="series"))
     d, k = len(features) * depth, len(ft.TARGETS)
+    made = ft.joint_samples(series, list(features), horizon, depth=depth, series="series")
+    samples = staged_places(made.select("is_train", "x", "y", "trend"), {"x": d, "y": k, "trend": k})
     known = samples.filter("is_train")
     scale_x, scale_y = array_scale(known, "x", d), array_scale(known, "y", k)
     plain = samples.select("is_train", standardised(samples, scale_x, "x").alias("x"), standardised(samples, scale_y, "y").alias("y"), F.col("y").alias("truth"), "trend")
-    scaled = staged(plain)
+    # Scaling short arrays again for each reading costs less than another copy.
+    scaled = plain if d <= linear.SHORT else staged(plain)
     train_rows, judged = scaled.filter("is_train").select("x", "y"), scaled.filter("not is_train")
-    out = None
-    for loss in losses:
-        found = linear.fit(train_rows, d, k, loss, reg)
-        for t, target in enumerate(ft.TARGETS):
-            mean, sd = scale_y[t]
-            truth = F.get("truth", F.lit(t))
-            off = lambda guess: F.avg(F.abs(truth - guess))  # noqa: B023, E731
-            row = judged.agg(
-                F.count("*").alias("n"), off(found.predict(t) * sd + mean).alias("mae"), off(F.lit(mean)).alias("mean_mae"),
-                off(F.get("trend", F.lit(t))).alias("trend_mae"),
-            ).select(
-                F.lit(target.removesuffix("_1h")).alias("target"), F.lit(f"{horizon}h").alias("name"), F.lit(loss).alias("loss"), "*"
-            )
-            out = row if out is None else out.unionByName(row)
-    return out
+    fits = {loss: linear.fit(train_rows, d, k, loss, reg) for loss in losses}
+    truth = [F.get("truth", F.lit(t)) for t in range(k)]
+    off = lambda t, guess: F.avg(F.abs(truth[t] - guess))
+    # All errors in one reading: a row with a column per error, then a row per loss and target.
+    errors = judged.agg(
+        F.count("*").alias("n"),
+        *[off(t, fits[loss].predict(t) * sd + mean).alias(f"mae_{i}_{t}") for i, loss in enumerate(losses) for t, (mean, sd) in enumerate(scale_y)],
+        *[off(t, F.lit(mean)).alias(f"mean_mae_{t}") for t, (mean, _) in enumerate(scale_y)],
+        *[off(t, F.get("trend", F.lit(t))).alias(f"trend_mae_{t}") for t in range(k)],
+    )
+    return errors.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(target.removesuffix("_1h")).alias("target"), F.lit(f"{horizon}h").alias("name"), F.lit(loss).alias("loss"), "n",
+            F.col(f"mae_{i}_{t}").alias("mae"), F.col(f"mean_mae_{t}").alias("mean_mae"), F.col(f"trend_mae_{t}").alias("trend_mae"),
+        )
+        for i, loss in enumerate(losses) for t, target in enumerate(ft.TARGETS)
+    ])))
 
 
 def compare(split_table: DataFrame, horizons=ft.HORIZONS, kinds=("reads", "writes"), loss: str = "squaredError",
