@@ -13,6 +13,7 @@ from tidemark.sources import derived as dv
 from tidemark.operators.state import fold_events, summarise, upsert
 from tidemark.sources.files import staged, text_event_stream
 from tidemark.operators.jobs import new_request
+from tidemark.sources.keyed_table import KeyedTable
 from tidemark.streaming.pipeline import (
     Store, drop_replays, ingest_stream, process_batch, rate_stream, run_pending_scans, run_scan,
 )
@@ -208,3 +209,20 @@ def test_replays_are_dropped_inside_the_stream(spark, raw, once, tmp_path):
     assert state_of(store.state.read()) == once[0]
     log = {r.batch: r for r in store.run_log().collect()}
     assert len(log) == 4 and log[0].events == len(parts[0]) and log[2].accepted == 0
+
+
+def test_a_bucket_is_one_file(spark, tmp_path):
+    """However many tasks a write has, so that the files do not grow with the tasks of each batch."""
+    table = KeyedTable(spark, str(tmp_path / "t"), "job_id", JOB, buckets=4)
+    for batch in range(2):
+        rows = [(f"j{i}", f"d{batch}", "a", "b", "r", "PENDING", 0, 1.0, None, None, None, None, None) for i in range(batch * 50, batch * 50 + 200)]
+        # More rows would be needed for several tasks if Spark could join their partitions.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            table.write(spark.createDataFrame(rows, JOB), f"b{batch}")
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    folders = [d for d in (tmp_path / "t").glob("v*/bucket=*")]
+    assert len(folders) == 2 * 4 and all(len(list(d.glob("*.parquet"))) == 1 for d in folders)
+    found = {r.job_id: r.dataset_id for r in table.read().collect()}
+    assert found == {f"j{i}": "d0" if i < 50 else "d1" for i in range(250)}
