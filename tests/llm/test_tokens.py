@@ -111,3 +111,26 @@ def test_added_tokens_are_those_of_a_fresh_tokenizer(encoder):
     for text, ids in zip(texts, encoder.encode(texts), strict=True):
         want = fresh.encode(text, add_special_tokens=False).ids + [t.END_ID]
         assert np.frombuffer(ids, encoder.kind).tolist() == want, repr(text)
+
+
+def test_few_words_in_many_combinations_are_few_to_remember():
+    """What stands between blanks may be new each time, as line ends and marks join words; the words are not."""
+    encoder, fresh = t.Encoder(PATH), Tokenizer.from_file(PATH)
+    words = [a + b for a in ["ka", "Lo", "mé", "Жи"] for b in ["ra", "st", "ün", "日", "tion"]]
+    texts = [" ".join(f"x {a}{s}\n{b}{s}" for b in words) for a in words for s in [",", ".", "?!", ""]]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, encoder.kind).tolist() == fresh.encode(text, add_special_tokens=False).ids + [t.END_ID], repr(text)
+    assert len({w for text in texts for w in text.split(" ")}) > 1500 and encoder.held < 300 * t.ENTRY
+
+
+@pytest.mark.parametrize("cache", [200, 1 << 30])
+def test_line_feeds(monkeypatch, cache):
+    """Runs of them at the start, between words and at the end, next to letters, marks, digits and other scripts."""
+    monkeypatch.setattr(t, "CACHE", cache)
+    monkeypatch.setattr(t, "LOT_CHARS", 300)
+    encoder, fresh, rng = t.Encoder(PATH), Tokenizer.from_file(PATH), random.Random(5)
+    parts = ["\n", "\n\n", "\n\n\n", "\n\n\n\n", " ", " ", "ab", "Ab", "é.", "...", "'s", "'", "7", "Ж", "日本", "\r", "\r\n", "_"]
+    texts = ["\n" * n + w + "\n" * m for n in range(5) for w in ["", "a", "a b", "Ж", "日 x", ".", "a\nb"] for m in range(5)]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 12))) for _ in range(1500)]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, encoder.kind).tolist() == fresh.encode(text, add_special_tokens=False).ids + [t.END_ID], repr(text)

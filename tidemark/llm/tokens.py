@@ -13,15 +13,18 @@ out.
 
 from __future__ import annotations
 
+import re
 import struct
 import sys
 import types
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -31,8 +34,8 @@ VOCABULARY_FILE = "byte_bpe_50k.json"
 END_ID = 0
 #: A block is closed at so many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
-#: Bytes of words and their ids that a worker process remembers, about, and characters of text that it encodes together.
-CACHE, LOT_CHARS = 80 << 20, 1 << 20
+#: Bytes of heads and pieces of words and their ids that a worker process remembers, about, and characters of text that it encodes together.
+CACHE, LOT_CHARS = 64 << 20, 2 << 20
 #: What an entry takes besides its characters.
 ENTRY = 150
 #: Bytes of text per shard, about.
@@ -42,8 +45,11 @@ SHARD_BYTES = 64 << 20
 BLANK = "\u0120"
 #: Fixed value: the pattern of the byte-level pre-tokenizer. Tokens never cross its matches.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Words of characters below this are cut here, as any engine knows their classes; others go to the tokenizer whole.
-KNOWN_CLASSES = "\u0530"
+#: Words without these are cut here, as any engine knows the classes of the other characters; the rest go to the tokenizer whole.
+UNKNOWN = re.compile("[\u0530-\U0010ffff]")
+#: Stands before the first word of a text, which has no blank before it. No text that is cut into words holds it.
+FIRST = "\r"
+MARKS = FIRST + "\n"
 # White space other than blank and line feed, and what one of two regular expression engines takes for it.
 _OTHER_SPACE = frozenset(
     c for c in map(chr, [*range(9, 14), *range(28, 32), 133, 160, 5760, 6158, *range(8192, 8208), 8232, 8233, 8239, 8287, 12288, 65279])
@@ -56,7 +62,30 @@ def _plain(text: str) -> bool:
     is between blanks can be encoded apart."""
     if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
         return False
-    return _OTHER_SPACE.isdisjoint(set(text))
+    return not any(c in text for c in _OTHER_SPACE)
+
+
+def _marked(text: str) -> str:
+    """A plain text with a mark before its first word, and a blank before line feeds where each is a pre-token by itself: all but
+    runs of three or more, and of two at the end."""
+    return FIRST + (text if "\n\n\n" in text or text.endswith("\n\n") else text.replace("\n", " \n"))
+
+
+def _cut(word: str) -> tuple[str, list[str]]:
+    """A word of a marked text as its pre-token with a blank before it (or none) and its pre-tokens without. What holds
+    characters of unknown class is left whole."""
+    bare = word[0] in MARKS
+    rest = word[1:] if bare else word
+    if UNKNOWN.search(rest):
+        cut = [rest]
+    elif bare:
+        cut = PRE_TOKEN.findall(rest)
+    else:
+        cut = PRE_TOKEN.findall(" " + rest)
+        cut[0] = cut[0][1:]
+    if word[0] == "\n":
+        cut.insert(0, "\n")
+    return ("", cut) if bare else (cut[0], cut[1:])
 
 
 class EliasFano:
@@ -141,8 +170,9 @@ class Encoder:
         self.end = np.array([end_id], self.kind).tobytes()
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.blank = np.array([t.startswith(BLANK) for t in tokens])
-        self.words: dict[str, bytes] = {}  # what stands between blanks, with the blank before it
-        self.pieces: dict[str, bytes] = {}  # pre-tokens without a blank
+        self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        self.heads: dict[str, bytes] = {"": b""}  # first pre-tokens of words, with the blank before them
+        self.pieces: dict[str, bytes] = {"": b""}  # pre-tokens without a blank
         self.held = 0
 
     @classmethod
@@ -163,62 +193,85 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def _keep(self, into: dict[str, bytes], word: str, ids: bytes) -> None:
-        into[word] = ids
-        self.held += len(word) + len(ids) + ENTRY
+    def _keep(self, into: dict[str, bytes], parts: list[str], ids: list[bytes]) -> None:
+        into.update(zip(parts, ids, strict=True))
+        self.held += sum(map(len, parts)) + sum(map(len, ids)) + ENTRY * len(parts)
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Encode words strung together, each after a blank. A blank begins a pre-token and so a token, and there is no
+    def _learn_heads(self, heads: list[str]) -> None:
+        """Encode heads strung together, each after a blank. A blank begins a pre-token and so a token, and there is no
         other, so the tokens that begin with a blank are the places to cut."""
-        ids = self._whole(" " + " ".join(words))
-        cut = np.append(np.nonzero(self.blank[ids])[0], len(ids)) * self.width
-        raw, cut = ids.tobytes(), cut.tolist()
-        for w, a, z in zip(words, cut, cut[1:], strict=False):
-            self._keep(self.words, w, raw[a:z])
-
-    def _learn_pieces(self, pieces: set[str]) -> None:
-        if missing := [p for p in pieces if p not in self.pieces]:
-            for p, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                self._keep(self.pieces, p, np.array(found.ids, self.kind).tobytes())
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words by their pre-tokens, so that "word" and "word." are one piece of work."""
-        known = [w for w in words if max(w) < KNOWN_CLASSES]
-        if len(known) < len(words):
-            self._learn_words([w for w in words if max(w) >= KNOWN_CLASSES])
-        if not known:
-            return
-        cut = PRE_TOKEN.findall(" " + " ".join(known))
-        heads = [i for i, p in enumerate(cut) if p[0] == " "]
-        first = {cut[i][1:] for i in heads}
-        if missing := [w for w in first if w not in self.words]:
-            self._learn_words(missing)
-        self._learn_pieces({p for p in cut if p[0] != " "})
-        for w, a, z in zip(known, heads, [*heads[1:], len(cut)], strict=True):
-            if z > a + 1:
-                self._keep(self.words, w, self.words[cut[a][1:]] + b"".join([self.pieces[p] for p in cut[a + 1:z]]))
+        ids = self._whole(" " + " ".join(heads))
+        cut = (np.append(np.nonzero(self.blank[ids])[0], len(ids)) * self.width).tolist()
+        raw = ids.tobytes()
+        self._keep(self.heads, heads, [raw[a:z] for a, z in zip(cut, cut[1:])])
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        """Encode pieces strung together, each before a line feed, which is a pre-token and a token by itself there."""
+        for p in [p for p in pieces if "\n" in p]:
+            self._keep(self.pieces, [p], [self._whole(p).tobytes()])
+        if pieces := [p for p in pieces if "\n" not in p]:
+            ids = self._whole("\n".join(pieces) + "\n.")
+            raw, ends = ids.tobytes(), (np.nonzero(ids == self.feed)[0] * self.width).tolist()
+            starts = [0, *[z + self.width for z in ends[:-1]]]
+            self._keep(self.pieces, pieces, [raw[a:z] for a, z in zip(starts, ends, strict=True)])
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of words as ``_marked`` leaves them. Only heads and pieces are kept, so "word", "word." and "word" at a
+        line's end are one piece of work."""
+        out = list(map(self.heads.get, words))
+        foreign = UNKNOWN.search("".join(words)) is not None
+        # Most words are letters, then marks if any; the others are cut by the pattern.
+        at, heads, tails, others = [], [], [], []
+        for i, ids in enumerate(out):
+            if ids is None:
+                word = words[i]
+                stem = word.rstrip(punctuation)
+                if stem.isalpha() and not (foreign and UNKNOWN.search(word)):
+                    at.append(i)
+                    heads.append(stem)
+                    tails.append(word[len(stem):])
+                else:
+                    others.append(i)
+        cuts = [_cut(words[i]) for i in others]
+        need = {*heads, *[head for head, _ in cuts]}
+        pieces = {*tails, *[p for _, rest in cuts for p in rest]}
+        if self.held > CACHE:  # the heads and pieces of this lot are the ones to keep
+            kept = {w: ids for w, ids in zip(words, out) if ids is not None}
+            kept |= {h: self.heads[h] for h in need if h in self.heads}
+            self.heads, self.pieces, old, self.held = {"": b""}, {"": b""}, self.pieces, 0
+            self._keep(self.heads, list(kept), list(kept.values()))
+            again = [p for p in pieces if p in old]
+            self._keep(self.pieces, again, [old[p] for p in again])
+        if missing := list(need.difference(self.heads)):
+            self._learn_heads(missing)
+        if missing := list(pieces.difference(self.pieces)):
+            self._learn_pieces(missing)
+        head_of, piece_of = self.heads, self.pieces
+        for i, head, tail in zip(at, heads, tails):
+            out[i] = head_of[head] + piece_of[tail]
+        for i, (head, rest) in zip(others, cuts):
+            out[i] = head_of[head] + b"".join([piece_of[p] for p in rest])
+        return out
 
     def _lot(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if self._by_word(t) else None for t in texts]
-        wanted = {w for s in split if s for w in s[1:]}
-        if self.held > CACHE:  # the words of this lot are the ones to keep
-            self.words = {w: self.words[w] for w in wanted if w in self.words}
-            self.pieces = {}
-            self.held = sum(len(w) + len(x) + ENTRY for w, x in self.words.items())
-        if missing := [w for w in wanted if w not in self.words]:
-            self._learn(missing)
-        # A text's first word has no blank before it.
-        starts = [PRE_TOKEN.findall(s[0]) if s and s[0] and max(s[0]) < KNOWN_CLASSES else None for s in split]
-        self._learn_pieces({p for cut in starts if cut for p in cut})
-        words, pieces = self.words, self.pieces
-        out = []
-        for t, s, cut in zip(texts, split, starts):
-            if s is None:
-                ids = self._whole(t).tobytes()
+        by_word = [self._by_word(t) for t in texts]
+        split = pc.split_pattern(pa.array([_marked(t) for t, b in zip(texts, by_word) if b], pa.string()), " ")
+        at = np.cumsum([0, *pc.list_value_length(split).to_pylist()])
+        words = split.flatten().dictionary_encode()
+        del split
+        known = pa.array(self._ids_of(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        # The ids of all words lie one after another; where a text begins among them follows from its number of words.
+        _, places, raw = known.take(words.indices).buffers()
+        bounds = iter(np.frombuffer(places, np.int64)[at].tolist() if len(words) else [0])
+        raw = memoryview(raw or b"")
+        out, begin = [], next(bounds)
+        for t, b in zip(texts, by_word):
+            if b:
+                end = next(bounds)
+                out.append(bytes(raw[begin:end]) + self.end)
+                begin = end
             else:
-                head = b"".join([pieces[p] for p in cut]) if cut else self._whole(s[0]).tobytes()
-                ids = head + b"".join([words[w] for w in s[1:]])
-            out.append(ids + self.end)
+                out.append(self._whole(t).tobytes() + self.end)
         return out
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
